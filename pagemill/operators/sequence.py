@@ -6,7 +6,7 @@ break when a key holds a third of the rows.  Here the order is cut into
 buckets by a caller-supplied column that never decreases along the order
 (for example ``pos div 2^20`` or the hour of a timestamp):
 
-1. per (key, bucket) totals, aggregated map-side before the shuffle;
+1. one shuffle on (key, bucket), then per (key, bucket) totals;
 2. an exclusive running sum over the buckets of a key -- a table with one row
    per (key, bucket), far smaller than the input;
 3. a local window per (key, bucket), whose groups are bounded by the bucket;
@@ -43,7 +43,10 @@ def prefix_sum(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
     """
     by = list(by)
     val = F.lit(1).cast("long") if value is None else value.cast("long")
-    work = df.withColumn("_pm_b", bucket).withColumn("_pm_v", val)
+    # One exchange on (key, bucket) feeds both the totals and the local
+    # windows, so whatever is computed upstream runs once (ReusedExchange).
+    work = (df.withColumn("_pm_b", bucket).withColumn("_pm_v", val)
+            .repartition(*by, "_pm_b"))
 
     totals = work.groupBy(*by, "_pm_b").agg(F.sum("_pm_v").alias("_pm_t"))
     wb = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("_pm_b")

@@ -115,3 +115,174 @@ QUERIES = {
     "normalize_whitespace": f"with a as ({ARTICLES}) select pos, {whitespace_sql('text')} as text from a",
     "clean_articles": f"select pos, link, clean_status, extracted_date, text, publish_date from ({CLEANED})",
 }
+
+
+# ---------------------------------------------------------------------------
+# Recursive splitter in SQL.  Pieces are produced level by level with a
+# recursive CTE (a piece of ``size`` or more is split again with the next
+# separator it contains); small pieces between two large siblings form one
+# merge group; each group is folded with list_reduce, whose accumulator holds
+# the current run, its length and the emitted chunks.
+# ---------------------------------------------------------------------------
+
+def chunks_sql(src: str, size: int = 1000, overlap: int = 100) -> str:
+    """Rows (pos, chunk_index, chunk_text) for the (pos, text) rows of ``src``."""
+    seps = "[chr(10)||chr(10), chr(10), ' ', '']"
+    lens = "coalesce(list_sum(list_transform(list_slice(acc.cur, 1, k), lambda x: length(x))), 0)"
+    t_k = f"(acc.total - {lens})"
+    cond = f"({t_k} <= {overlap} and ({t_k} + length(d) <= {size} or {t_k} = 0))"
+    k_expr = f"(list_position(list_transform(range(0, len(acc.cur) + 1), lambda k: {cond}), true) - 1)"
+    lens_k = (f"coalesce(list_sum(list_transform(list_slice(acc.cur, 1, {k_expr}), "
+              f"lambda x: length(x))), 0)")
+    run_text = ws_trim("array_to_string(acc.cur, '')")
+    emit = (f"case when len(acc.cur) > 0 and {run_text} <> '' "
+            f"then list_append(acc.out, {run_text}) else acc.out end")
+    step = (f"case when acc.total + length(d) > {size} then "
+            f"{{'cur': list_append(list_slice(acc.cur, {k_expr} + 1, len(acc.cur)), d), "
+            f"'total': acc.total - {lens_k} + length(d), 'out': {emit}}} "
+            f"else {{'cur': list_append(acc.cur, d), 'total': acc.total + length(d), "
+            f"'out': acc.out}} end")
+    init = "{'cur': []::VARCHAR[], 'total': 0::BIGINT, 'out': []::VARCHAR[]}"
+    last = ws_trim("array_to_string(r.cur, '')")
+    return f"""
+with recursive
+src as (select pos, text from ({src}) where text is not null),
+parts(pos, path, piece, sepi) as (
+  select pos, []::INTEGER[], text, 0 from src
+  union all
+  select pos, list_append(path, idx), sub, nsep from (
+    select pos, path, nsep, unnest(pieces) as sub, generate_subscripts(pieces, 1) as idx
+    from (
+      select pos, path, nsep,
+        list_filter(list_transform(string_split(piece, {seps}[nsep]),
+                    lambda s, i: case when i = 1 then s else {seps}[nsep] || s end),
+                    lambda s: s <> '') as pieces
+      from (
+        select pos, path, piece,
+          case when sepi < 1 and contains(piece, chr(10)||chr(10)) then 1
+               when sepi < 2 and contains(piece, chr(10)) then 2
+               when sepi < 3 and contains(piece, ' ') then 3 else 4 end as nsep
+        from parts
+        where (len(path) = 0 or length(piece) >= {size}) and sepi < 4)))
+),
+children as (
+  select pos, path, piece, list_slice(path, 1, len(path) - 1) as parent, path[len(path)] as idx,
+    sum(case when length(piece) >= {size} then 1 else 0 end)
+      over (partition by pos, list_slice(path, 1, len(path) - 1) order by path[len(path)]
+            rows between unbounded preceding and current row) as run
+  from parts where len(path) > 0
+),
+groups as (
+  select pos, min(path) as gpath, list(piece order by idx) as pieces
+  from children where length(piece) < {size}
+  group by pos, parent, run
+),
+folded as (
+  select pos, gpath, list_reduce(pieces, lambda acc, d: {step}, {init}) as r from groups
+),
+emitted as (
+  select pos, gpath, case when {last} <> '' then list_append(r.out, {last}) else r.out end as cs
+  from folded
+),
+flat as (
+  select pos, gpath, unnest(cs) as chunk_text, generate_subscripts(cs, 1) as ci from emitted
+)
+select pos, (row_number() over (partition by pos order by gpath, ci) - 1) as chunk_index, chunk_text
+from flat
+"""
+
+
+# ---------------------------------------------------------------------------
+# Index build: validation, ids, chunk rows and counters.
+# ---------------------------------------------------------------------------
+
+def ledger_sql(empty: bool = False) -> str:
+    if empty:
+        return "select ''::VARCHAR as link where false"
+    return (f"select link from ({ARTICLES}) where pos % {fx.LEDGER_EVERY} = 0 "
+            f"union all select '{fx.LEDGER_STRAY_LINK}'")
+
+
+def validated_sql(empty_ledger: bool = False) -> str:
+    return f"""
+with c as ({CLEANED}),
+a as (
+  select pos, link, title, publish_date, text, coalesce(link, '') as link_key,
+    coalesce(error, '') = '' as ok,
+    coalesce(text, '') <> '' as has_text,
+    coalesce(error, '') = '' and coalesce(length({ws_trim('text')}), 0) > 0 as cand
+  from c),
+l as (select distinct coalesce(link, '') as link_key from ({ledger_sql(empty_ledger)})),
+f as (
+  select a.*,
+    exists (select 1 from l where l.link_key = a.link_key) as in_ledger,
+    exists (select 1 from a b where b.link_key = a.link_key and b.ok) as key_ok,
+    exists (select 1 from a b where b.link_key = a.link_key and b.cand and b.pos < a.pos) as earlier
+  from a)
+select pos, link, title, publish_date, text, link_key,
+  ok and not in_ledger as new,
+  key_ok and not in_ledger as visited,
+  case when in_ledger then 'in_ledger'
+       when not key_ok or not ok then 'error'
+       when not has_text then 'no_text'
+       when not cand then 'no_chunks'
+       when earlier then 'already_processed' end as skip_reason
+from f
+"""
+
+
+def built_sql(empty_ledger: bool = False) -> str:
+    v = validated_sql(empty_ledger)
+    ch = chunks_sql(f"select pos, text from ({v}) where skip_reason is null")
+    return f"""
+with v as ({v}),
+ch as ({ch}),
+n as (select pos, count(*) as n_chunks from ch group by pos),
+o as (select v.pos, v.link_key, coalesce(v.title, 'Untitled') as title,
+        coalesce(v.publish_date, '') as publish_date,
+        coalesce(sum(n.n_chunks) over (order by v.pos, v.link_key
+                 rows between unbounded preceding and 1 preceding), 0) as offs
+      from v join n using (pos) where v.skip_reason is null)
+select concat('id', o.offs + ch.chunk_index + 1) as chunk_id,
+  o.offs + ch.chunk_index + 1 as chunk_no, o.link_key as link, o.title, o.publish_date,
+  ch.chunk_text, o.pos as article_pos, ch.chunk_index
+from o join ch using (pos)
+"""
+
+
+CHUNK_COLS = "chunk_id, chunk_no, link, title, publish_date, chunk_text"
+
+QUERIES.update({
+    "chunk_articles": chunks_sql(f"select pos, text from ({CLEANED})"),
+    "unprocessed_links": f"""
+        select pos, coalesce(link, '') as link from ({CLEANED}) a
+        where coalesce(error, '') = ''
+          and coalesce(link, '') not in (select coalesce(link, '') from ({ledger_sql()}))""",
+    "validate_articles": f"select pos, link, new, visited, skip_reason from ({validated_sql()})",
+    "chunk_ids": f"select chunk_id, chunk_no, link, article_pos, chunk_index from ({built_sql()})",
+    "incremental_build": f"select {CHUNK_COLS} from ({built_sql()})",
+    "rebuild": f"select {CHUNK_COLS} from ({built_sql(True)})",
+    "build_stats": f"""
+        with v as ({validated_sql()}), b as ({built_sql()})
+        select (select count(*) from v) as total_articles,
+          (select count(*) from v where new) as new_articles,
+          (select count(*) from b) as chunks_added,
+          (select count(*) from v where visited and skip_reason is null) as articles_processed,
+          (select count(*) from v where visited and skip_reason is not null) as articles_skipped,
+          0::BIGINT as errors""",
+    "index_summary": f"""
+        with v as ({validated_sql()}), b as ({built_sql()}),
+        l as (select coalesce(link, '') as link from ({ledger_sql()})
+              union select link_key from v where skip_reason is null),
+        s as (select (select count(*) from v) as total_articles,
+                     (select count(*) from l) as processed_articles,
+                     (select count(*) from b) as total_chunks)
+        select *, processed_articles = total_articles as up_to_date,
+          total_articles - processed_articles as remaining from s""",
+    "store_stats": f"""
+        with v as ({validated_sql()}), b as ({built_sql()}),
+        l as (select coalesce(link, '') as link from ({ledger_sql()})
+              union select link_key from v where skip_reason is null)
+        select 'article_chunks' as collection_name, (select count(*) from b) as total_chunks,
+          (select count(*) from l) as processed_articles, 'chunk_store' as vector_store_path""",
+})

@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions import splitter as sp
 from ..operators import clean as cl
+from ..operators import index as ix
 from . import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +61,73 @@ def q_clean_articles(spark, sf_dir):
     return c.select("pos", "link", "clean_status", "extracted_date", "text", "publish_date")
 
 
+# Index build over the cleaned articles (the index reads what the cleaner
+# wrote), against the fixture ledger, into an empty store.
+STORE_NAME = "article_chunks"
+STORE_PATH = "chunk_store"
+
+
+def cleaned_articles(spark, sf_dir):
+    return cl.clean_articles(fx.articles(spark, sf_dir)).drop("clean_status", "extracted_date")
+
+
+def _validated(spark, sf_dir, rebuild=False):
+    ledger = fx.ledger_links(spark, sf_dir)
+    if rebuild:
+        ledger = ledger.limit(0)
+    return ix.validate_articles(cleaned_articles(spark, sf_dir), ledger)
+
+
+def _built(spark, sf_dir, rebuild=False):
+    return ix.assign_chunks(ix.to_process(_validated(spark, sf_dir, rebuild)), base_id=0)
+
+
+CHUNK_COLUMNS = ["chunk_id", "chunk_no", "link", "title", "publish_date", "chunk_text"]
+
+
+def q_chunk_articles(spark, sf_dir):
+    a = cleaned_articles(spark, sf_dir)
+    return a.select("pos", F.posexplode(sp.chunk_column(F.col("text"))).alias("chunk_index", "chunk_text"))
+
+
+def q_unprocessed_links(spark, sf_dir):
+    return ix.unprocessed_links(cleaned_articles(spark, sf_dir), fx.ledger_links(spark, sf_dir))
+
+
+def q_validate_articles(spark, sf_dir):
+    return _validated(spark, sf_dir).select("pos", "link", "new", "visited", "skip_reason")
+
+
+def q_chunk_ids(spark, sf_dir):
+    return _built(spark, sf_dir).select("chunk_id", "chunk_no", "link", "article_pos", "chunk_index")
+
+
+def q_incremental_build(spark, sf_dir):
+    return _built(spark, sf_dir).select(*CHUNK_COLUMNS)
+
+
+def q_rebuild(spark, sf_dir):
+    return _built(spark, sf_dir, rebuild=True).select(*CHUNK_COLUMNS)
+
+
+def q_build_stats(spark, sf_dir):
+    v = _validated(spark, sf_dir)
+    return ix.build_stats(v, ix.assign_chunks(ix.to_process(v), 0))
+
+
+def q_index_summary(spark, sf_dir):
+    v = _validated(spark, sf_dir)
+    ledger = fx.ledger_links(spark, sf_dir).unionByName(ix.ledger_marks(v))
+    return ix.status_summary(cleaned_articles(spark, sf_dir), ledger,
+                             ix.assign_chunks(ix.to_process(v), 0))
+
+
+def q_store_stats(spark, sf_dir):
+    v = _validated(spark, sf_dir)
+    ledger = fx.ledger_links(spark, sf_dir).unionByName(ix.ledger_marks(v))
+    return ix.store_stats(ix.assign_chunks(ix.to_process(v), 0), ledger, STORE_NAME, STORE_PATH)
+
+
 QUERIES: dict[str, Query] = {
     "clean_stats": q_clean_stats,
     "extract_date": q_extract_date,
@@ -68,4 +137,13 @@ QUERIES: dict[str, Query] = {
     "clean_markdown": q_clean_markdown,
     "normalize_whitespace": q_normalize_whitespace,
     "clean_articles": q_clean_articles,
+    "chunk_articles": q_chunk_articles,
+    "unprocessed_links": q_unprocessed_links,
+    "validate_articles": q_validate_articles,
+    "chunk_ids": q_chunk_ids,
+    "incremental_build": q_incremental_build,
+    "rebuild": q_rebuild,
+    "build_stats": q_build_stats,
+    "index_summary": q_index_summary,
+    "store_stats": q_store_stats,
 }
