@@ -118,3 +118,26 @@ def fetch_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("event_id").cast("string")).alias("text"),
         )).alias("payload"),
     )
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages: page number = ``page_id``."""
+    return read_table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("page_no"), "url", "html")
+
+
+def listing_pages_with_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages with an end: the next-to-last page is missing (a gap)
+    and the last page has no anchors, so pagination must stop at the gap."""
+    pages = listing_pages(spark, sf_dir)
+    last = pages.select(F.max("page_no")).scalar()
+    return (pages.filter(F.col("page_no") != last - 1)
+            .withColumn("html", F.when(F.col("page_no") == last, F.lit(""))
+                        .otherwise(F.col("html"))))
+
+
+def attempt_links(attempts: DataFrame) -> DataFrame:
+    """The crawl's link list: attempt links in order of their first attempt."""
+    from ..operators.links import ordered_distinct
+    return ordered_distinct(attempts, ["ts", "event_id"],
+                            F.date_trunc("hour", F.col("ts")))

@@ -286,3 +286,167 @@ QUERIES.update({
         select 'article_chunks' as collection_name, (select count(*) from b) as total_chunks,
           (select count(*) from l) as processed_articles, 'chunk_store' as vector_store_path""",
 })
+
+
+# ---------------------------------------------------------------------------
+# Link discovery.
+# ---------------------------------------------------------------------------
+
+def _q(s: str) -> str:
+    return s.replace("'", "''")
+
+
+def page_links_sql(pages: str = "select page_id as page_no, html from pages") -> str:
+    from ..operators import links as lk
+    return f"""
+select page_no, idx, link from (
+  select page_no, unnest(h) as link, generate_subscripts(h, 1) - 1 as idx
+  from (select page_no,
+          list_filter(list_transform(regexp_extract_all(html, '{_q(lk.ANCHOR_RE)}', 0),
+                                     lambda t: regexp_extract(t, '{_q(lk.HREF_RE)}', 1)),
+                      lambda x: x <> '') as h
+        from ({pages})))
+"""
+
+
+PAGES_WITH_END = """
+select page_id as page_no,
+  case when page_id = (select max(page_id) from pages) then '' else html end as html
+from pages where page_id <> (select max(page_id) from pages) - 1
+"""
+
+
+def first_seen_sql(src: str, order: str) -> str:
+    """Ordered distinct of (link, order...) rows: pos by first occurrence."""
+    return f"""
+select row_number() over (order by {order}) - 1 as pos, link from (
+  select *, row_number() over (partition by link order by {order}) as k from ({src}))
+where k = 1
+"""
+
+
+SAVED = first_seen_sql(f"select * from ({page_links_sql()}) where page_no >= 1", "page_no, idx")
+TOP = first_seen_sql(f"select * from ({page_links_sql()}) where page_no = 0", "page_no, idx")
+DELTA = f"""
+with saved as ({SAVED}), top as ({TOP}),
+st as (select * from saved where pos < (select count(*) from top))
+select pos, link from top
+where link not in (select link from st)
+  and (select count(distinct link) from (select link from top union all select link from st))
+      <> (select count(*) from st)
+"""
+
+
+def prepend_sql(new: str) -> str:
+    return first_seen_sql(
+        f"select 0 as g, pos as p, link from ({new}) union all select 1, pos, link from ({SAVED})",
+        "g, p")
+
+
+QUERIES.update({
+    "extract_links": page_links_sql(),
+    "paginate_links": f"""
+        with p as ({PAGES_WITH_END}), l as ({page_links_sql(PAGES_WITH_END)}),
+        c as (select p.page_no, (select count(*) from l where l.page_no = p.page_no) as n from p),
+        s as (select min(x) as stop from (
+                select page_no as x from c where n = 0
+                union all select page_no + 1 from c where page_no + 1 not in (select page_no from c)
+                union all select 0 where 0 not in (select page_no from c)))
+        select page_no, idx, link from l
+        where page_no >= 0 and (page_no < (select stop from s) or (select stop from s) is null)""",
+    "ordered_distinct_links": first_seen_sql(page_links_sql(), "page_no, idx"),
+    "link_delta": DELTA,
+    "prepend_merge": prepend_sql(TOP),
+    "link_update": f"""
+        with d as ({DELTA}), u as ({prepend_sql(DELTA)})
+        select pos, link, link in (select link from d) as is_new from u""",
+})
+
+
+# ---------------------------------------------------------------------------
+# Fetch bookkeeping.
+# ---------------------------------------------------------------------------
+
+ATTEMPTS = f"""
+select link, event_id, ts, rn, cast(ceil(rn / 3) as integer) as round,
+  cast(1 + (rn - 1) % 3 as integer) as attempt,
+  case when event_type = 'error' then concat('error at event ', event_id) end as error,
+  case when event_type <> 'error' then concat('Article ', event_id) end as title,
+  case when event_type <> 'error' then concat('Body of ', link, ' from event ', event_id) end as text
+from (select concat('{fx.LINK_PREFIX}', user_id) as link, event_id, ts, event_type,
+        row_number() over (partition by user_id order by ts, event_id) as rn from events)
+"""
+
+
+def attempt_fold_sql(rounds: int = 5, per_round: int = 3) -> str:
+    return f"""
+select link, round, count(*) filter (where error is null) > 0 as ok,
+  coalesce(min(attempt) filter (where error is null), max(attempt)) as attempts,
+  arg_min(title, attempt) filter (where error is null) as title,
+  arg_min(text, attempt) filter (where error is null) as text,
+  case when count(*) filter (where error is null) = 0 then arg_max(error, attempt) end as error
+from ({ATTEMPTS}) where round <= {rounds} and attempt <= {per_round}
+group by link, round
+"""
+
+
+def round_fold_sql(rounds: int = 5, per_round: int = 3, src: str = ATTEMPTS) -> str:
+    return f"""
+select link, count(*) filter (where error is null) > 0 as ok,
+  coalesce(min(round) filter (where error is null), max(round)) as rounds,
+  arg_min(title, round * 1000 + attempt) filter (where error is null) as title,
+  arg_min(text, round * 1000 + attempt) filter (where error is null) as text,
+  case when count(*) filter (where error is null) = 0
+       then arg_max(error, round * 1000 + attempt) end as error
+from ({src}) where round <= {rounds} and attempt <= {per_round}
+group by link
+"""
+
+
+DATASET = f"""
+select first_pos as pos, link, title, text, error from (
+  select *, min(pos) over (partition by link) as first_pos,
+    row_number() over (partition by link order by pos desc) as k
+  from ({ARTICLES}) where link is not null)
+where k = 1
+"""
+
+LINK_LIST = first_seen_sql(f"select link, ts, event_id from ({ATTEMPTS})", "ts, event_id")
+
+NEEDS = f"""
+select pos, link from ({LINK_LIST}) l
+where link not in (select link from ({DATASET}))
+   or link in (select link from ({DATASET}) where error is not null)
+"""
+
+
+def upsert_sql(rounds: int = 5, per_round: int = 3) -> str:
+    fetched = round_fold_sql(rounds, per_round,
+                             f"select * from ({ATTEMPTS}) where link in (select link from ({NEEDS}))")
+    return f"""
+with d as ({DATASET}), f as ({fetched}), l as ({LINK_LIST})
+select d.pos, d.link,
+  case when f.link is null then d.title when f.ok then f.title end as title,
+  case when f.link is null then d.text when f.ok then f.text end as text,
+  case when f.link is null then d.error when f.ok then null else coalesce(f.error, '') end as error
+from d left join f on d.link = f.link
+union all
+select (select max(pos) from d) + 1 + l.pos, f.link,
+  case when f.ok then f.title end, case when f.ok then f.text end,
+  case when f.ok then null else coalesce(f.error, '') end
+from f join l on f.link = l.link
+where f.link not in (select link from d)
+"""
+
+
+QUERIES.update({
+    "attempt_fold": attempt_fold_sql(),
+    "round_fold": round_fold_sql(),
+    "load_dataset": DATASET,
+    "needs_fetch": NEEDS,
+    "upsert_articles": upsert_sql(),
+    "failed_links": f"select pos, link, error from ({upsert_sql(1, 2)}) where error is not null",
+    "fetch_report": f"""
+        select count(*) as total, count(*) filter (where error is null) as successful,
+          count(*) filter (where error is not null) as failed from ({upsert_sql(1, 2)})""",
+})

@@ -16,6 +16,8 @@ from ..functions import text as tx
 from ..functions import splitter as sp
 from ..operators import clean as cl
 from ..operators import index as ix
+from ..operators import links as lk
+from ..operators import attempts as fb
 from . import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,6 +130,100 @@ def q_store_stats(spark, sf_dir):
     return ix.store_stats(ix.assign_chunks(ix.to_process(v), 0), ledger, STORE_NAME, STORE_PATH)
 
 
+# Link discovery over stored listing pages (anchors carry no class in the
+# driver's pages, so no class filter is applied).
+def _page_links(spark, sf_dir):
+    return lk.extract_links(fx.listing_pages(spark, sf_dir))
+
+
+def _page_bucket():
+    return F.shiftright(F.col("page_no"), lk.PAGE_BUCKET_BITS)
+
+
+def _saved_and_top(spark, sf_dir):
+    links = _page_links(spark, sf_dir)
+    saved = lk.ordered_distinct(links.filter(F.col("page_no") >= 1), ["page_no", "idx"], _page_bucket())
+    top = lk.ordered_distinct(links.filter(F.col("page_no") == 0), ["page_no", "idx"], _page_bucket())
+    return saved, top
+
+
+def q_extract_links(spark, sf_dir):
+    return _page_links(spark, sf_dir)
+
+
+def q_paginate_links(spark, sf_dir):
+    pages = fx.listing_pages_with_end(spark, sf_dir)
+    return lk.paginate(lk.extract_links(pages), pages, start=0)
+
+
+def q_ordered_distinct_links(spark, sf_dir):
+    return lk.ordered_distinct(_page_links(spark, sf_dir), ["page_no", "idx"], _page_bucket())
+
+
+def q_link_delta(spark, sf_dir):
+    saved, top = _saved_and_top(spark, sf_dir)
+    return lk.top_n_delta(saved, top)
+
+
+def q_prepend_merge(spark, sf_dir):
+    saved, top = _saved_and_top(spark, sf_dir)
+    return lk.prepend(top, saved)
+
+
+def q_link_update(spark, sf_dir):
+    saved, top = _saved_and_top(spark, sf_dir)
+    new, updated = lk.update_links(saved, top)
+    return (updated.join(new.select("link", F.lit(True).alias("is_new")), "link", "left")
+            .select("pos", "link", F.coalesce(F.col("is_new"), F.lit(False)).alias("is_new")))
+
+
+# Fetch bookkeeping: attempts from events, dataset from the article fixture.
+# The tight budget (one round of two attempts) leaves some links failing.
+TIGHT_BUDGET = dict(max_rounds=1, attempts_per_round=2)
+
+
+def _flat(df):
+    return df.select(*[c for c in df.columns if c != "payload"],
+                     F.col("payload.title").alias("title"), F.col("payload.text").alias("text"))
+
+
+def q_attempt_fold(spark, sf_dir):
+    return _flat(fb.attempt_fold(fx.fetch_attempts(spark, sf_dir)))
+
+
+def q_round_fold(spark, sf_dir):
+    return _flat(fb.round_fold(fx.fetch_attempts(spark, sf_dir)))
+
+
+def q_load_dataset(spark, sf_dir):
+    return fb.load_dataset(fx.articles(spark, sf_dir)).select("pos", "link", "title", "text", "error")
+
+
+def _crawl(spark, sf_dir, budget=None):
+    att = fx.fetch_attempts(spark, sf_dir)
+    links = fx.attempt_links(att)
+    dataset = fb.load_dataset(fx.articles(spark, sf_dir))
+    need = fb.needs_fetch(links, dataset)
+    fetched = fb.round_fold(att.join(need.select("link"), "link", "left_semi"), **(budget or {}))
+    return links, dataset, need, fb.upsert(dataset, fetched, links)
+
+
+def q_needs_fetch(spark, sf_dir):
+    return _crawl(spark, sf_dir)[2]
+
+
+def q_upsert_articles(spark, sf_dir):
+    return _crawl(spark, sf_dir)[3]
+
+
+def q_failed_links(spark, sf_dir):
+    return fb.failed_links(_crawl(spark, sf_dir, TIGHT_BUDGET)[3])
+
+
+def q_fetch_report(spark, sf_dir):
+    return fb.fetch_report(_crawl(spark, sf_dir, TIGHT_BUDGET)[3])
+
+
 QUERIES: dict[str, Query] = {
     "clean_stats": q_clean_stats,
     "extract_date": q_extract_date,
@@ -146,4 +242,17 @@ QUERIES: dict[str, Query] = {
     "build_stats": q_build_stats,
     "index_summary": q_index_summary,
     "store_stats": q_store_stats,
+    "extract_links": q_extract_links,
+    "paginate_links": q_paginate_links,
+    "ordered_distinct_links": q_ordered_distinct_links,
+    "link_delta": q_link_delta,
+    "prepend_merge": q_prepend_merge,
+    "link_update": q_link_update,
+    "attempt_fold": q_attempt_fold,
+    "round_fold": q_round_fold,
+    "load_dataset": q_load_dataset,
+    "needs_fetch": q_needs_fetch,
+    "upsert_articles": q_upsert_articles,
+    "failed_links": q_failed_links,
+    "fetch_report": q_fetch_report,
 }
