@@ -450,3 +450,123 @@ QUERIES.update({
         select count(*) as total, count(*) filter (where error is null) as successful,
           count(*) filter (where error is not null) as failed from ({upsert_sql(1, 2)})""",
 })
+
+
+# ---------------------------------------------------------------------------
+# Extraction, text statistics, embeddings.
+# ---------------------------------------------------------------------------
+
+def _html_sql():
+    from ..functions import html as hx
+    from ..operators import embed as em
+    from ..operators import extract as ex
+    return hx, em, ex
+
+
+def _plain_sql(frag: str) -> str:
+    hx, _, _ = _html_sql()
+    no_tags = (f"regexp_replace(regexp_replace({frag}, '{_q(hx.BR_RE)}', ' ', 'g'), "
+               f"'{_q(hx.TAG_RE)}', '', 'g')")
+    out = ws_trim(f"regexp_replace({no_tags}, '{_q(hx.SPACE_RE)}', ' ', 'g')")
+    for ent, ch in hx.ENTITIES:
+        out = f"replace({out}, '{ent}', chr({ord(ch)}))"
+    return out
+
+
+def extract_sql() -> str:
+    hx, _, _ = _html_sql()
+    h = "html"
+    h = f"regexp_replace({h}, '{_q(hx.COMMENT_RE)}', '', 'g')"
+    for tag in hx.DROPPED_ELEMENTS:
+        h = f"regexp_replace({h}, '{_q(hx.element_re(tag))}', '', 'g')"
+    title = _plain_sql(f"regexp_extract(h, '{_q(hx.TITLE_RE)}', 1)")
+    h1 = _plain_sql(f"regexp_extract(h, '{_q(hx.H1_RE)}', 1)")
+    region = (f"case when regexp_matches(h, '(?i)<article\\b') "
+              f"then regexp_extract(h, '{_q(hx.ARTICLE_RE)}', 1) else h end")
+    blocks = f"list_slice(regexp_split_to_array({region}, '{_q(hx.P_OPEN_RE)}'), 2, 1073741824)"
+    paras = f"list_transform({blocks}, lambda b: {_plain_sql(f'regexp_replace(b, {chr(39)}{_q(hx.P_CLOSE_RE)}{chr(39)}, {chr(39)}{chr(39)})')})"
+    text = f"array_to_string(list_filter({paras}, lambda p: p <> ''), chr(10) || chr(10))"
+    authors = (f"list_transform(regexp_extract_all(html, '{_q(hx.AUTHOR_RE)}', 1), "
+               f"lambda a: {ws_trim('a')})")
+    meta = f"regexp_extract(html, '{_q(hx.PUBLISHED_META_RE)}', 1)"
+    tm = f"regexp_extract(html, '{_q(hx.TIME_RE)}', 1)"
+    date = (f"strftime(try_cast(case when {meta} <> '' then {meta} when {tm} <> '' then {tm} end "
+            f"as timestamp), '%Y-%m-%dT%H:%M:%S')")
+    return f"""
+select page_id, url as link,
+  coalesce(case when {title} <> '' then {title} else {h1} end, '') as title,
+  coalesce({authors}, []::VARCHAR[]) as authors,
+  {date} as publish_date,
+  coalesce({text}, '') as text
+from (select page_id, url, html, {h} as h from pages)
+"""
+
+
+def _stop_list() -> str:
+    _, _, ex = _html_sql()
+    return ", ".join(f"'{w}'" for w in ex.STOPWORDS)
+
+
+def word_counts_sql() -> str:
+    _, _, ex = _html_sql()
+    return f"""
+select doc_id, word, count(*) as n from (
+  select doc_id, unnest(regexp_extract_all(lower(text), '{ex.WORD_RE}', 0)) as word from documents)
+where word not in ({_stop_list()})
+group by doc_id, word
+"""
+
+
+def keywords_sql() -> str:
+    return f"""
+with c as ({word_counts_sql()}),
+r as (select doc_id, word, row_number() over (partition by doc_id order by n desc, word) as rk from c)
+select d.doc_id, coalesce((select list(word order by rk) from r where r.doc_id = d.doc_id and rk <= 10),
+                          []::VARCHAR[]) as keywords
+from documents d
+"""
+
+
+def summary_sql() -> str:
+    _, _, ex = _html_sql()
+    return f"""
+with c as ({word_counts_sql()}),
+s as (select doc_id, sidx, s from (
+        select doc_id, generate_subscripts(ss, 1) - 1 as sidx, {ws_trim('unnest(ss)')} as s
+        from (select doc_id, regexp_extract_all(text, '{ex.SENTENCE_RE}', 0) as ss from documents))
+      where s <> ''),
+w as (select doc_id, sidx, word from (
+        select doc_id, sidx, unnest(regexp_extract_all(lower(s), '{ex.WORD_RE}', 0)) as word from s)
+      where word not in ({_stop_list()})),
+sc as (select w.doc_id, w.sidx, avg(c.n) as score from w join c using (doc_id, word) group by all),
+r as (select s.doc_id, s.sidx, s.s,
+        row_number() over (partition by s.doc_id order by coalesce(sc.score, 0) desc, s.sidx) as rk
+      from s left join sc using (doc_id, sidx))
+select d.doc_id, coalesce((select string_agg(s, chr(10) order by sidx) from r
+                           where r.doc_id = d.doc_id and rk <= 5), '') as summary
+from documents d
+"""
+
+
+def embed_sql() -> str:
+    _, em, _ = _html_sql()
+    toks = f"regexp_extract_all(lower(chunk_text), '{em.TOKEN_RE}', 0)"
+    buckets = (f"list_transform({toks}, lambda w: "
+               f"cast(('0x' || substr(md5(w), 1, 8))::BIGINT % {em.DIM} as INTEGER))")
+    counts = (f"list_transform(range(0, {em.DIM}), lambda i: "
+              f"cast(len(list_filter(b, lambda x: x = i)) as DOUBLE))")
+    return f"""
+select chunk_id, list_transform(cnt, lambda x: cast(case when nrm > 0 then x / nrm else 0.0 end as FLOAT))
+  as embedding
+from (select chunk_id, cnt, sqrt(list_sum(list_transform(cnt, lambda x: x * x))) as nrm
+      from (select chunk_id, {counts} as cnt
+            from (select chunk_id, {buckets} as b from ({built_sql()}))))
+"""
+
+
+QUERIES.update({
+    "extract_articles": extract_sql(),
+    "keywords": keywords_sql(),
+    "summary": summary_sql(),
+    "embed_chunks": embed_sql(),
+})

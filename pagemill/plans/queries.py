@@ -18,6 +18,8 @@ from ..operators import clean as cl
 from ..operators import index as ix
 from ..operators import links as lk
 from ..operators import attempts as fb
+from ..operators import embed as em
+from ..operators import extract as ex
 from . import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -224,6 +226,24 @@ def q_fetch_report(spark, sf_dir):
     return fb.fetch_report(_crawl(spark, sf_dir, TIGHT_BUDGET)[3])
 
 
+# Extraction from stored pages; text statistics over documents; embeddings of
+# the chunks the incremental build adds.
+def q_extract_articles(spark, sf_dir):
+    return ex.extract_articles(fx.read_table(spark, sf_dir, "pages"))
+
+
+def q_keywords(spark, sf_dir):
+    return ex.keywords(fx.read_table(spark, sf_dir, "documents"))
+
+
+def q_summary(spark, sf_dir):
+    return ex.summary(fx.read_table(spark, sf_dir, "documents"))
+
+
+def q_embed_chunks(spark, sf_dir):
+    return em.embed_chunks(_built(spark, sf_dir)).select("chunk_id", "embedding")
+
+
 QUERIES: dict[str, Query] = {
     "clean_stats": q_clean_stats,
     "extract_date": q_extract_date,
@@ -255,4 +275,8 @@ QUERIES: dict[str, Query] = {
     "upsert_articles": q_upsert_articles,
     "failed_links": q_failed_links,
     "fetch_report": q_fetch_report,
+    "extract_articles": q_extract_articles,
+    "keywords": q_keywords,
+    "summary": q_summary,
+    "embed_chunks": q_embed_chunks,
 }
