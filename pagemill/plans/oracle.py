@@ -570,3 +570,26 @@ QUERIES.update({
     "summary": summary_sql(),
     "embed_chunks": embed_sql(),
 })
+
+
+# ---------------------------------------------------------------------------
+# Sources, sinks and the stream: same results as the in-memory queries.
+# ---------------------------------------------------------------------------
+
+MIXED_CLEAN_STATS = f"""
+with c as ({CLEANED}),
+m as (select *, pos % 97 = 0 as not_object from c)
+select count(*) as total,
+  count(*) filter (where not not_object and clean_status = 'cleaned') as cleaned,
+  count(*) filter (where not not_object and clean_status = 'cleaned' and extracted_date <> '') as date_extracted,
+  count(*) filter (where not_object or clean_status = 'skipped_error') as skipped_errors,
+  count(*) filter (where not not_object and clean_status = 'skipped_no_text') as skipped_no_text
+from m
+"""
+
+QUERIES.update({
+    "read_mixed_json": MIXED_CLEAN_STATS,
+    "read_articles": f"select link, title, text, error from ({ARTICLES})",
+    "snapshot": f"select pos, link, clean_status, text, publish_date from ({CLEANED})",
+    "stream_incremental": f"select {CHUNK_COLS} from ({built_sql()})",
+})

@@ -20,6 +20,10 @@ from ..operators import links as lk
 from ..operators import attempts as fb
 from ..operators import embed as em
 from ..operators import extract as ex
+from ..session import scratch_path
+from ..sources import io
+from ..sources.store import ChunkStore
+from ..streaming.incremental import run_build_stream
 from . import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -244,6 +248,56 @@ def q_embed_chunks(spark, sf_dir):
     return em.embed_chunks(_built(spark, sf_dir)).select("chunk_id", "embedding")
 
 
+# Sources and sinks: the article fixture goes through real files in the
+# session's checkpoint directory and is read back.
+NOT_OBJECT_EVERY = 97     # these entries are written as JSON strings
+
+
+def _json_files(spark, sf_dir, mixed):
+    arts = fx.articles(spark, sf_dir)
+    entries = io.article_json(arts)
+    if mixed:
+        scalar = F.concat(F.lit('"'), F.col("pos").cast("string"), F.lit('"'))
+        entries = entries.withColumn(
+            "json", F.when(F.col("pos") % NOT_OBJECT_EVERY == 0, scalar).otherwise(F.col("json")))
+    path = scratch_path(spark, "articles-json")
+    io.write_json_arrays(entries, path, bits=8)
+    return path
+
+
+def q_read_mixed_json(spark, sf_dir):
+    path = _json_files(spark, sf_dir, mixed=True)
+    return cl.clean_stats(cl.clean_articles(io.read_mixed_articles(spark, path)))
+
+
+def q_read_articles(spark, sf_dir):
+    path = _json_files(spark, sf_dir, mixed=False)
+    return io.read_articles(spark, path).select("link", "title", "text", "error")
+
+
+def q_snapshot(spark, sf_dir):
+    path = scratch_path(spark, "articles")
+    io.write_table(fx.articles(spark, sf_dir), path)
+    before = io.snapshot(spark, path, path + "_backup")
+    io.write_table(cl.clean_articles(before), path)
+    return spark.read.parquet(path).select("pos", "link", "clean_status", "text", "publish_date")
+
+
+def q_stream_incremental(spark, sf_dir):
+    from ..schema import ARTICLE
+    docs = fx.read_table(spark, sf_dir, "documents")
+    store = ChunkStore(spark, scratch_path(spark, "stream-store"), embed=False)
+    # Seed the ledger with the fixture ledger as batch 0 of the store.
+    store.import_ledger(fx.ledger_links(spark, sf_dir), batch=0)
+
+    def prepare(raw):
+        return cl.clean_articles(fx.articles_from_documents(raw)).drop("clean_status", "extracted_date")
+
+    run_build_stream(spark, sf_dir, docs.schema, store, scratch_path(spark, "stream-ckpt"),
+                     prepare=prepare, glob="documents.parquet", batch_offset=1)
+    return store.chunks().select(*CHUNK_COLUMNS)
+
+
 QUERIES: dict[str, Query] = {
     "clean_stats": q_clean_stats,
     "extract_date": q_extract_date,
@@ -279,4 +333,8 @@ QUERIES: dict[str, Query] = {
     "keywords": q_keywords,
     "summary": q_summary,
     "embed_chunks": q_embed_chunks,
+    "read_mixed_json": q_read_mixed_json,
+    "read_articles": q_read_articles,
+    "snapshot": q_snapshot,
+    "stream_incremental": q_stream_incremental,
 }
