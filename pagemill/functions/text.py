@@ -15,7 +15,7 @@ import unicodedata
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -48,11 +48,14 @@ WS_NO_LF = _class(WS_RANGES, exclude=(0x0A,))
 CONTROL = _class(CONTROL_RANGES)
 
 # Patterns, valid in both Java regex and RE2 (no lookaround), see oracle SQL.
+# TRAILING_WS_RE is the per-line right strip as one regex; the Spark side
+# splits lines instead (cheaper), the DuckDB oracle uses the regex.
 DATE_RE = f"{PUBLISHED}{WS}+([^\\n]*?)(?:{WS}+{UPDATE_SUFFIX})?\\n"
 HEADER_RE = f"(?s)\\A(.*?\\n+{PUBLISHED}{WS}+.*?(?:{WS}+{UPDATE_SUFFIX})?\\n)"
 # (?d): only LF ends a line, as in the cleaned text's line model.
 HEADING_RE = f"(?dm)^#{{1,6}}{WS}+"
 MARKUP_RES = [r"\*\*([^*]+)\*\*", r"__([^_]+)__", r"\*([^*]+)\*", r"_([^_]+)_"]
+MARKUP_MARKERS = ["*", "_", "*", "_"]
 TRAILING_WS_RE = f"{WS_NO_LF}+(\\n|\\z)"
 
 
@@ -97,8 +100,43 @@ def remove_control_chars(text: Column) -> Column:
     return F.regexp_replace(text, CONTROL, "")
 
 
+def _guarded(text: Column, marker: str, pattern: str, repl: str) -> Column:
+    """``regexp_replace`` only on rows holding the pattern's marker
+    character; every pattern here needs its marker to match, so skipping the
+    other rows changes nothing and saves the regex pass.
+
+    The input is referenced three times, so a guarded step must read a
+    column, not a nested expression: steps are applied as successive
+    projections (:func:`apply_steps`), which Catalyst keeps apart because
+    collapsing them would duplicate the expensive producer."""
+    return F.when(F.instr(text, marker) > 0, F.regexp_replace(text, pattern, repl)).otherwise(text)
+
+
+def _markdown_steps():
+    steps = [lambda t: _guarded(t, "#", HEADING_RE, "")]
+    for marker, pat in zip(MARKUP_MARKERS, MARKUP_RES):
+        steps.append(lambda t, m=marker, p=pat: _guarded(t, m, p, "$1"))
+    return steps
+
+
+def _rstrip_lines(text: Column) -> Column:
+    lines = F.transform(F.split(text, "\n", -1), lambda line: F.rtrim(line, F.lit(WS_CHARS)))
+    return F.array_join(lines, "\n")
+
+
+def _whitespace_steps():
+    return [lambda t: _guarded(t, "\n\n\n", "\n{3,}", "\n\n"),
+            lambda t: _guarded(t, "  ", " {2,}", " "),
+            lambda t: _ws_strip(_rstrip_lines(t))]
+
+
+MARKDOWN_STEPS = _markdown_steps()
+WHITESPACE_STEPS = _whitespace_steps()
+
+
 def clean_markdown(text: Column) -> Column:
-    """CL5: headings at line start, then bold/italic markers, in that order."""
+    """CL5 as one expression: headings at line start, then bold/italic
+    markers, in that order (unguarded; for tables use :data:`MARKDOWN_STEPS`)."""
     out = F.regexp_replace(text, HEADING_RE, "")
     for pat in MARKUP_RES:
         out = F.regexp_replace(out, pat, "$1")
@@ -106,18 +144,27 @@ def clean_markdown(text: Column) -> Column:
 
 
 def normalize_whitespace(text: Column) -> Column:
-    """CL6: 3+ LF -> 2, 2+ spaces -> 1, strip each line's end, strip."""
-    out = F.regexp_replace(text, "\\n{3,}", "\n\n")
+    """CL6 as one expression: 3+ LF -> 2, 2+ spaces -> 1, strip each line's
+    end, strip (for tables use :data:`WHITESPACE_STEPS`)."""
+    out = F.regexp_replace(text, "\n{3,}", "\n\n")
     out = F.regexp_replace(out, " {2,}", " ")
-    out = F.regexp_replace(out, TRAILING_WS_RE, "$1")
-    return _ws_strip(out)
+    return _ws_strip(_rstrip_lines(out))
 
 
-def clean_text(text: Column, nfkc: bool = True) -> Column:
-    """CL7 text part: CL2 -> CL3 -> CL4 -> CL5 -> CL6."""
-    out = remove_header(text)
+def clean_steps(nfkc: bool = True) -> list:
+    """CL7 text part as steps: CL2 -> CL3 -> CL4 -> CL5 -> CL6."""
+    steps = [remove_header]
     if nfkc:
-        out = normalize_unicode(out)
-    out = remove_control_chars(out)
-    out = clean_markdown(out)
-    return normalize_whitespace(out)
+        steps.append(normalize_unicode)
+    steps.append(remove_control_chars)
+    return steps + MARKDOWN_STEPS + WHITESPACE_STEPS
+
+
+def apply_steps(df: DataFrame, column: str, steps, out: str | None = None) -> DataFrame:
+    """Apply ``steps`` (Column -> Column) to ``column`` as successive
+    projections, writing ``out`` (default: in place)."""
+    out = out or column
+    df = df.withColumn(out, steps[0](F.col(column)))
+    for step in steps[1:]:
+        df = df.withColumn(out, step(F.col(out)))
+    return df

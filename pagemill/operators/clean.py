@@ -44,14 +44,16 @@ def clean_articles(df: DataFrame, extract_dates: bool = True, nfkc: bool = True)
     status = clean_status(df)
     is_clean = F.col("clean_status") == CLEANED
     date = tx.extract_date(F.col("text")) if extract_dates else F.lit("")
-    staged = df.withColumn("clean_status", status)
+    staged = (df.withColumn("clean_status", status)
+              .withColumn("extracted_date", F.when(is_clean, date))
+              .withColumn("_clean", F.when(is_clean, F.col("text"))))
+    staged = tx.apply_steps(staged, "_clean", tx.clean_steps(nfkc))
     return (staged
-            .withColumn("extracted_date", F.when(is_clean, date))
-            .withColumn("text", F.when(is_clean, tx.clean_text(F.col("text"), nfkc))
-                        .otherwise(F.col("text")))
+            .withColumn("text", F.when(is_clean, F.col("_clean")).otherwise(F.col("text")))
             .withColumn("publish_date",
                         F.when(is_clean & (F.col("extracted_date") != ""),
-                               F.col("extracted_date")).otherwise(F.col("publish_date"))))
+                               F.col("extracted_date")).otherwise(F.col("publish_date")))
+            .drop("_clean"))
 
 
 def clean_stats(cleaned: DataFrame) -> DataFrame:

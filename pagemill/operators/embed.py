@@ -20,27 +20,56 @@ DIM = 64
 TOKEN_RE = r"[\p{L}\p{N}]+"
 
 
+def _sorted_buckets(text: Column, dim: int) -> Column:
+    tokens = F.regexp_extract_all(F.lower(text), F.lit(TOKEN_RE), 0)
+    return F.array_sort(F.transform(tokens, lambda w: F.pmod(
+        F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long"), F.lit(dim)).cast("int")))
+
+
+def _bucket_counts(sorted_buckets: Column, reversed_buckets: Column, dim: int) -> Column:
+    """Count of bucket ``i`` = distance between its first and last position
+    in the sorted ids, found by native ``array_position`` scans."""
+    n = F.size(sorted_buckets)
+
+    def count(i):
+        first = F.array_position(sorted_buckets, i)
+        last = n - F.array_position(reversed_buckets, i) + 1
+        return F.when(first > 0, last - first + 1).otherwise(0).cast("double")
+
+    return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), count)
+
+
+def _normalise(counts: Column, norm: Column) -> Column:
+    return F.transform(counts, lambda x: F.when(norm > 0, x / norm).otherwise(F.lit(0.0))
+                       .cast("float"))
+
+
 def hashed_embedding(text: Column, dim: int = DIM) -> Column:
-    """One fold over the tokens: each token adds 1 to its bucket; the finish
-    step L2-normalises the ``dim`` counts.  Tokens are hashed once per row."""
+    """The embedding as one column expression (a fold over the tokens).
+    Tables use :func:`embed_chunks`, which is faster."""
     tokens = F.regexp_extract_all(F.lower(text), F.lit(TOKEN_RE), 0)
     buckets = F.transform(tokens, lambda w: F.pmod(
         F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long"), F.lit(dim)).cast("int"))
-    zero = F.array_repeat(F.lit(0.0), dim)
 
     def add(acc, b):
         return F.transform(acc, lambda x, i: x + F.when(i == b, 1.0).otherwise(0.0))
 
     def finish(acc):
-        norm = F.sqrt(F.aggregate(acc, F.lit(0.0), lambda s, y: s + y * y))
-        return F.transform(acc, lambda x: F.when(norm > 0, x / norm).otherwise(F.lit(0.0))
-                           .cast("float"))
+        return _normalise(acc, F.sqrt(F.aggregate(acc, F.lit(0.0), lambda s, y: s + y * y)))
 
-    return F.aggregate(buckets, zero, add, finish)
+    return F.aggregate(buckets, F.array_repeat(F.lit(0.0), dim), add, finish)
 
 
 def embed_chunks(chunks: DataFrame, dim: int = DIM, text_col: str = "chunk_text") -> DataFrame:
-    return chunks.withColumn("embedding", hashed_embedding(F.col(text_col), dim))
+    """Attach ``embedding``.  Each intermediate array is its own projection,
+    so no array is recomputed inside another's lambda."""
+    return (chunks
+            .withColumn("_eb", _sorted_buckets(F.col(text_col), dim))
+            .withColumn("_er", F.reverse("_eb"))
+            .withColumn("_ec", _bucket_counts(F.col("_eb"), F.col("_er"), dim))
+            .withColumn("_en", F.sqrt(F.aggregate("_ec", F.lit(0.0), lambda s, y: s + y * y)))
+            .withColumn("embedding", _normalise(F.col("_ec"), F.col("_en")))
+            .drop("_eb", "_er", "_ec", "_en"))
 
 
 def embed_with(chunks: DataFrame, model: Callable[[pd.Series], list],

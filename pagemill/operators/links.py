@@ -14,7 +14,7 @@ from .sequence import prefix_sum
 ANCHOR_RE = r"(?i)<a\s[^>]*>"
 HREF_RE = r"""(?i)\shref\s*=\s*["']([^"']*)["']"""
 # Listing pages per bucket of the dense re-numbering (pages hold tens of links).
-PAGE_BUCKET_BITS = 10
+PAGE_BUCKET_BITS = 4
 
 
 def class_pattern(css_class: str) -> str:
@@ -116,7 +116,7 @@ def prepend(new: DataFrame, saved: DataFrame) -> DataFrame:
     """LK5: new links first, then the saved ones; ordered distinct."""
     both = (new.select(F.lit(0).alias("_grp"), "pos", "link")
             .unionByName(saved.select(F.lit(1).alias("_grp"), "pos", "link")))
-    bucket = F.col("_grp") * (1 << 40) + F.shiftright(F.col("pos"), 20)
+    bucket = F.col("_grp") * (1 << 50) + F.shiftright(F.col("pos"), 10)
     return ordered_distinct(both, ["_grp", "pos"], bucket)
 
 

@@ -3,16 +3,18 @@
 A window ``partitionBy(key).orderBy(...)`` sends a whole group to one task,
 and a window without ``partitionBy`` sends the whole table to one task.  Both
 break when a key holds a third of the rows.  Here the order is cut into
-buckets by a caller-supplied column that never decreases along the order
-(for example ``pos div 2^20`` or the hour of a timestamp):
-
-1. one shuffle on (key, bucket), then per (key, bucket) totals;
-2. an exclusive running sum over the buckets of a key -- a table with one row
-   per (key, bucket), far smaller than the input;
-3. a local window per (key, bucket), whose groups are bounded by the bucket;
-4. an equi-join on (key, bucket).  The big side is already hash-partitioned
-   on those columns by step 3, so only the small side moves; AQE turns the
-   join into a broadcast when the bucket table is small at run time.
+buckets by a caller-supplied BIGINT column that never decreases along the
+order (for example ``pos >> 10`` or hours since the epoch):
+
+1. one shuffle on (key, bucket) carries the rows; each task holds whole
+   buckets, so a task's size is bounded by the bucket width, not the key;
+2. bucket totals (one row per bucket) get an exclusive running sum in two
+   levels: within a super-bucket of 1024 buckets, then over super-buckets --
+   small windows at both levels, even for a global order;
+3. a local window per (key, bucket) adds the running sum inside the bucket;
+4. an equi-join on (key, bucket) with the small bucket-base table.  The big
+   side is already hash-partitioned on those columns, so only the small side
+   moves; AQE turns the join into a broadcast when it is small at run time.
 """
 
 from __future__ import annotations
@@ -22,38 +24,50 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Positions are dense record numbers; 2^20 of them per bucket bounds a local
-# window group at about a million rows.
-POS_BUCKET_BITS = 20
+# Positions per bucket (2^10) and buckets per super-bucket (2^10).
+POS_BUCKET_BITS = 10
+SUPER_BITS = 10
 
 
 def pos_bucket(pos: Column | str, bits: int = POS_BUCKET_BITS) -> Column:
     return F.shiftright(F.col(pos) if isinstance(pos, str) else pos, bits)
 
 
+def hour_bucket(ts: Column | str) -> Column:
+    """Hours since the epoch, for orders that start with a timestamp."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    return F.floor(F.unix_micros(c.cast("timestamp")) / 3_600_000_000).cast("long")
+
+
+def _exclusive(total: str, by: list[str], order: str) -> Column:
+    w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(order)
+    return F.coalesce(F.sum(total).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
 def prefix_sum(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
                bucket: Column, value: Column | None = None, name: str = "offset",
                inclusive: bool = False) -> DataFrame:
     """Add ``name`` = sum of ``value`` over the rows before this one.
 
     Rows are ordered by ``order`` within each group of ``by`` (``by`` may be
-    empty for one global order).  ``bucket`` must be non-decreasing along the
-    order.  With ``inclusive`` the row's own value is included.
-    ``value`` defaults to 1, which makes ``inclusive`` a row number.
+    empty for one global order).  ``bucket`` must be a BIGINT that never
+    decreases along the order.  With ``inclusive`` the row's own value is
+    included.  ``value`` defaults to 1, which makes ``inclusive`` a row
+    number.
     """
     by = list(by)
     val = F.lit(1).cast("long") if value is None else value.cast("long")
-    # One exchange on (key, bucket) feeds both the totals and the local
-    # windows, so whatever is computed upstream runs once (ReusedExchange).
-    work = (df.withColumn("_pm_b", bucket).withColumn("_pm_v", val)
+    work = (df.withColumn("_pm_b", bucket.cast("long")).withColumn("_pm_v", val)
             .repartition(*by, "_pm_b"))
 
-    totals = work.groupBy(*by, "_pm_b").agg(F.sum("_pm_v").alias("_pm_t"))
-    wb = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("_pm_b")
-    base = totals.select(
-        *by, "_pm_b",
-        F.coalesce(F.sum("_pm_t").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_pm_base"))
+    totals = (work.groupBy(*by, "_pm_b").agg(F.sum("_pm_v").alias("_pm_t"))
+              .withColumn("_pm_sb", F.shiftright("_pm_b", SUPER_BITS)))
+    in_super = totals.select(*by, "_pm_b", "_pm_sb",
+                             _exclusive("_pm_t", by + ["_pm_sb"], "_pm_b").alias("_pm_in"))
+    supers = (totals.groupBy(*by, "_pm_sb").agg(F.sum("_pm_t").alias("_pm_st"))
+              .select(*by, "_pm_sb", _exclusive("_pm_st", by, "_pm_sb").alias("_pm_sup")))
+    base = (in_super.join(supers, [*by, "_pm_sb"])
+            .select(*by, "_pm_b", (F.col("_pm_sup") + F.col("_pm_in")).alias("_pm_base")))
 
     wl = Window.partitionBy(*by, "_pm_b").orderBy(*order)
     frame = wl.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)

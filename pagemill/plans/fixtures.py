@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sequence import row_number
+from ..operators.sequence import hour_bucket, row_number
 from ..schema import ARTICLE
 
 LF = "\n"
@@ -27,8 +27,22 @@ LEDGER_STRAY_LINK = "https://example.org/not-in-dataset"
 ATTEMPTS_PER_ROUND = 3
 
 
+# Text tables: parsing and cleaning cost CPU per byte, so their scans are
+# spread over all cores when the file layout gives fewer splits.
+TEXT_TABLES = {"documents", "pages"}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin over ``defaultParallelism`` partitions, only when the scan
+    has fewer splits than that (a few large row groups).  A large input has
+    many more splits than cores and is left as it is, with no shuffle."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
 def _article_link(doc_id: Column) -> Column:
@@ -104,7 +118,7 @@ def fetch_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(LINK_PREFIX), F.col("user_id").cast("string")).alias("link"),
         "event_id", "ts", "event_type", "value")
     numbered = row_number(ev, ["link"], ["ts", "event_id"],
-                          bucket=F.date_trunc("hour", F.col("ts")), name="rn")
+                          bucket=hour_bucket("ts"), name="rn")
     return numbered.select(
         "link", "event_id", "ts", "rn",
         F.ceil(F.col("rn") / ATTEMPTS_PER_ROUND).cast("int").alias("round"),
@@ -139,5 +153,4 @@ def listing_pages_with_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 def attempt_links(attempts: DataFrame) -> DataFrame:
     """The crawl's link list: attempt links in order of their first attempt."""
     from ..operators.links import ordered_distinct
-    return ordered_distinct(attempts, ["ts", "event_id"],
-                            F.date_trunc("hour", F.col("ts")))
+    return ordered_distinct(attempts, ["ts", "event_id"], hour_bucket("ts"))

@@ -56,12 +56,12 @@ def q_remove_control_chars(spark, sf_dir):
 
 def q_clean_markdown(spark, sf_dir):
     a = fx.articles(spark, sf_dir)
-    return a.select("pos", tx.clean_markdown(F.col("text")).alias("text"))
+    return tx.apply_steps(a, "text", tx.MARKDOWN_STEPS).select("pos", "text")
 
 
 def q_normalize_whitespace(spark, sf_dir):
     a = fx.articles(spark, sf_dir)
-    return a.select("pos", tx.normalize_whitespace(F.col("text")).alias("text"))
+    return tx.apply_steps(a, "text", tx.WHITESPACE_STEPS).select("pos", "text")
 
 
 def q_clean_articles(spark, sf_dir):

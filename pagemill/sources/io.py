@@ -83,7 +83,7 @@ def read_dataset(spark: SparkSession, path: str) -> DataFrame:
 
 def write_links(links: DataFrame, path: str) -> None:
     """IO5: ordered distinct, then overwrite (Parquet ``pos, link``)."""
-    bucket = F.shiftright(F.col("pos"), 20)
+    bucket = F.shiftright(F.col("pos"), 10)
     ordered_distinct(links, ["pos"], bucket).write.mode("overwrite").parquet(path)
 
 
