@@ -1,12 +1,15 @@
-"""Chunk store: a chunk table and a ledger table under one root (IO11, IO12,
-IX2-IX7).
-
-Both tables are Parquet, partitioned by ``batch_id``.  A build run writes its
-chunks into partition N, then its ledger marks into partition N, each with
-dynamic partition overwrite.  Batch N counts as committed once its ledger
-partition exists; chunks of an uncommitted batch are ignored on read and
-overwritten by the re-run, so a run that dies between the two writes is
-repeated exactly once.  In a stream the batch id is the epoch id.
+"""Chunk store: a chunk table, a ledger table and a commit log under one
+root (IO11, IO12, IX2-IX7).
+
+Chunks and ledger are Parquet, partitioned by ``batch_id``.  A build run
+writes its chunks into partition N, then its ledger marks into partition N
+(both with dynamic partition overwrite), then appends one row for N to the
+commit log: ``(batch_id, max_chunk_no, chunks)``.  Only batches in the log
+are visible; a run that dies before its commit row is repeated and
+overwrites its own partitions, so every batch lands exactly once.  The next
+batch id and the id base come from the log, which has one row per batch, so
+they cost nothing however large the tables grow.  In a stream the batch id
+is the epoch id.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ from ..session import ensure_checkpoint_dir
 # Default collection name.
 COLLECTION = "article_chunks"
 
+COMMITS = "batch_id long, max_chunk_no long, chunks long, committed_at timestamp"
+
 
 class ChunkStore:
     def __init__(self, spark: SparkSession, root: str, name: str = COLLECTION,
@@ -35,6 +40,7 @@ class ChunkStore:
         self.embed = embed
         self.chunks_path = os.path.join(root, "chunks")
         self.ledger_path = os.path.join(root, "ledger")
+        self.commits_path = os.path.join(root, "commits")
         ensure_checkpoint_dir(spark)
 
     # -- reading (IO9, IO12) ------------------------------------------------
@@ -45,31 +51,38 @@ class ChunkStore:
             empty = self.spark.createDataFrame([], schema)
             return empty.withColumn("batch_id", F.lit(None).cast("long"))
 
-    def ledger_table(self) -> DataFrame:
-        return self._read(self.ledger_path, LEDGER)
+    def commits(self) -> DataFrame:
+        return self._read(self.commits_path, COMMITS)
 
     def committed_batches(self) -> DataFrame:
-        return self.ledger_table().select("batch_id").distinct()
-
-    def ledger(self, before: int | None = None) -> DataFrame:
-        led = self.ledger_table()
-        if before is not None:
-            led = led.filter(F.col("batch_id") < before)
-        return led.select("link", "processed_at")
+        return self.commits().select("batch_id")
 
-    def chunks(self, before: int | None = None) -> DataFrame:
-        """Chunks of committed batches only (optionally of batches < before)."""
-        raw = self._read(self.chunks_path, EMBEDDED_CHUNKS)
+    def _visible(self, path: str, schema, before: int | None) -> DataFrame:
+        raw = self._read(path, schema)
         if before is not None:
             raw = raw.filter(F.col("batch_id") < before)
         return raw.join(self.committed_batches(), "batch_id", "left_semi")
 
+    def ledger(self, before: int | None = None) -> DataFrame:
+        """Ledger rows of committed batches (optionally of batches < before)."""
+        return self._visible(self.ledger_path, LEDGER, before).select("link", "processed_at")
+
+    def chunks(self, before: int | None = None) -> DataFrame:
+        """Chunks of committed batches (optionally of batches < before)."""
+        return self._visible(self.chunks_path, EMBEDDED_CHUNKS, before)
+
     def next_batch(self) -> int:
-        last = self.ledger_table().agg(F.max("batch_id")).first()[0]
+        last = self.commits().agg(F.max("batch_id")).first()[0]
         return 0 if last is None else int(last) + 1
 
     def is_committed(self, batch: int) -> bool:
-        return self.ledger_table().filter(F.col("batch_id") == batch).limit(1).count() > 0
+        return self.commits().filter(F.col("batch_id") == batch).limit(1).count() > 0
+
+    def id_base(self, batch: int) -> int:
+        """Largest chunk number of the batches before ``batch`` (0 if none)."""
+        top = (self.commits().filter(F.col("batch_id") < batch)
+               .agg(F.max("max_chunk_no")).first()[0])
+        return int(top or 0)
 
     # -- writing (IX3, IX4) -------------------------------------------------
     def _write(self, df: DataFrame, path: str, batch_id: int) -> None:
@@ -77,14 +90,25 @@ class ChunkStore:
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(path))
 
+    def _commit(self, batch: int, base: int) -> None:
+        written = self._read(self.chunks_path, EMBEDDED_CHUNKS).filter(F.col("batch_id") == batch)
+        top, n = written.agg(F.max("chunk_no"), F.count(F.lit(1))).first()
+        row = [(batch, int(top if top is not None else base), int(n))]
+        (self.spark.createDataFrame(row, "batch_id long, max_chunk_no long, chunks long")
+         .withColumn("committed_at", F.current_timestamp())
+         .write.mode("append").parquet(self.commits_path))
+
     def import_ledger(self, links: DataFrame, batch: int = 0) -> None:
         """Commit existing ledger rows ``(link, processed_at)`` as ``batch``
         (for example a ledger kept by an earlier tool) with no chunks."""
         self._write(self.spark.createDataFrame([], EMBEDDED_CHUNKS), self.chunks_path, batch)
         self._write(links.select("link", "processed_at"), self.ledger_path, batch)
+        self._commit(batch, self.id_base(batch))
 
     def clear(self) -> None:
         """IX4: empty both tables (a forced rebuild starts from nothing)."""
+        (self.spark.createDataFrame([], COMMITS).write.mode("overwrite")
+         .parquet(self.commits_path))
         for path, schema in ((self.chunks_path, EMBEDDED_CHUNKS), (self.ledger_path, LEDGER)):
             (self.spark.createDataFrame([], schema)
              .withColumn("batch_id", F.lit(None).cast("long"))
@@ -104,13 +128,14 @@ class ChunkStore:
         batch = self.next_batch() if batch_id is None else batch_id
         validated = ix.validate_articles(articles, self.ledger(before=batch))
         if not self.is_committed(batch):
-            top = self.chunks(before=batch).agg(F.max("chunk_no")).first()[0]
-            new = ix.assign_chunks(ix.to_process(validated), base_id=int(top or 0))
+            base = self.id_base(batch)
+            new = ix.assign_chunks(ix.to_process(validated), base_id=base)
             rows = new.select(*[f.name for f in EMBEDDED_CHUNKS.fields if f.name != "embedding"])
             rows = (em.embed_chunks(rows) if self.embed
                     else rows.withColumn("embedding", F.lit(None).cast("array<float>")))
             self._write(rows, self.chunks_path, batch)
             self._write(ix.ledger_marks(validated), self.ledger_path, batch)
+            self._commit(batch, base)
         written = self.chunks().filter(F.col("batch_id") == batch)
         stats = ix.build_stats(validated, written).withColumn("batch_id", F.lit(batch))
         return self.spark.createDataFrame(stats.collect(), stats.schema)
