@@ -135,7 +135,7 @@ def append_ledger(marks: DataFrame, path: str) -> None:
     marks.select("link", "processed_at").write.mode("append").parquet(path)
 
 
-def write_json_arrays(entries: DataFrame, path: str, bits: int = 16) -> None:
+def write_json_arrays(entries: DataFrame, path: str, bits: int = 12) -> None:
     """Write ``(pos, json STRING)`` rows as JSON array files, one per block of
     ``2^bits`` positions, elements in ``pos`` order.  A block is one group,
     so its size is bounded by ``2^bits`` entries."""
