@@ -20,23 +20,23 @@ DIM = 64
 TOKEN_RE = r"[\p{L}\p{N}]+"
 
 
-def _sorted_buckets(text: Column, dim: int) -> Column:
-    tokens = F.regexp_extract_all(F.lower(text), F.lit(TOKEN_RE), 0)
-    return F.array_sort(F.transform(tokens, lambda w: F.pmod(
-        F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long"), F.lit(dim)).cast("int")))
+# Bucket ids are written as one ASCII character each, starting at '0'.
+_CODE_BASE = 48
 
 
-def _bucket_counts(sorted_buckets: Column, reversed_buckets: Column, dim: int) -> Column:
-    """Count of bucket ``i`` = distance between its first and last position
-    in the sorted ids, found by native ``array_position`` scans."""
-    n = F.size(sorted_buckets)
+def _bucket_codes(text: Column, dim: int) -> Column:
+    """One character per token: ``chr(48 + bucket)``."""
+    tokens = F.regexp_extract_all(F.lower(text), F.lit(TOKEN_RE), 0)
+    return F.array_join(F.transform(tokens, lambda w: F.char(F.pmod(
+        F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long"), F.lit(dim)) + _CODE_BASE)), "")
 
-    def count(i):
-        first = F.array_position(sorted_buckets, i)
-        last = n - F.array_position(reversed_buckets, i) + 1
-        return F.when(first > 0, last - first + 1).otherwise(0).cast("double")
 
-    return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), count)
+def _bucket_counts(codes: Column, dim: int) -> Column:
+    """Count of bucket ``i`` = characters removed by deleting ``chr(48+i)``:
+    native string scans, no per-token lambda over the vector."""
+    n = F.length(codes)
+    return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: (
+        n - F.length(F.replace(codes, F.char(i + _CODE_BASE), F.lit("")))).cast("double"))
 
 
 def _normalise(counts: Column, norm: Column) -> Column:
@@ -63,13 +63,14 @@ def hashed_embedding(text: Column, dim: int = DIM) -> Column:
 def embed_chunks(chunks: DataFrame, dim: int = DIM, text_col: str = "chunk_text") -> DataFrame:
     """Attach ``embedding``.  Each intermediate array is its own projection,
     so no array is recomputed inside another's lambda."""
+    if dim > 200:
+        raise ValueError("embed_chunks encodes bucket ids as ASCII characters; dim <= 200")
     return (chunks
-            .withColumn("_eb", _sorted_buckets(F.col(text_col), dim))
-            .withColumn("_er", F.reverse("_eb"))
-            .withColumn("_ec", _bucket_counts(F.col("_eb"), F.col("_er"), dim))
+            .withColumn("_eb", _bucket_codes(F.col(text_col), dim))
+            .withColumn("_ec", _bucket_counts(F.col("_eb"), dim))
             .withColumn("_en", F.sqrt(F.aggregate("_ec", F.lit(0.0), lambda s, y: s + y * y)))
             .withColumn("embedding", _normalise(F.col("_ec"), F.col("_en")))
-            .drop("_eb", "_er", "_ec", "_en"))
+            .drop("_eb", "_ec", "_en"))
 
 
 def embed_with(chunks: DataFrame, model: Callable[[pd.Series], list],

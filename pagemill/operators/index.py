@@ -114,8 +114,13 @@ def assign_chunks(processed: DataFrame, base_id: Column | int = 0,
         # checkpoint directory runs the splitter once and cuts the lineage.
         ensure_checkpoint_dir(chunked.sparkSession)
         chunked = chunked.checkpoint(eager=True)
-    numbered = prefix_sum(chunked, [], ["pos", "link_key"], pos_bucket("pos"),
-                          F.col("n_chunks"), name="_offset")
+    # The running sum needs only (pos, link, n_chunks); the chunk arrays stay
+    # where they are (hash-partitioned on the link by validation) and get
+    # their offset by an equi-join on the link, unique among processed rows.
+    offsets = (prefix_sum(chunked.select("pos", "link_key", "n_chunks"), [], ["pos", "link_key"],
+                          pos_bucket("pos"), F.col("n_chunks"), name="_offset")
+               .select("link_key", "_offset"))
+    numbered = chunked.join(offsets, "link_key")
     base = base_id if isinstance(base_id, Column) else F.lit(base_id)
     exploded = numbered.select(
         "pos", "link_key", "title", "publish_date", "_offset",
