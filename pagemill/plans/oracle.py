@@ -507,44 +507,49 @@ def _stop_list() -> str:
     return ", ".join(f"'{w}'" for w in ex.STOPWORDS)
 
 
-def word_counts_sql() -> str:
+DOCS = "select doc_id as id, text from documents"
+
+
+def word_counts_sql(src: str = DOCS) -> str:
     _, _, ex = _html_sql()
     return f"""
-select doc_id, word, count(*) as n from (
-  select doc_id, unnest(regexp_extract_all(lower(text), '{ex.WORD_RE}', 0)) as word from documents)
+select id, word, count(*) as n from (
+  select id, unnest(regexp_extract_all(lower(text), '{ex.WORD_RE}', 0)) as word from ({src}))
 where word not in ({_stop_list()})
-group by doc_id, word
+group by id, word
 """
 
 
-def keywords_sql() -> str:
+def keywords_sql(src: str = DOCS, id_col: str = "doc_id") -> str:
     return f"""
-with c as ({word_counts_sql()}),
-r as (select doc_id, word, row_number() over (partition by doc_id order by n desc, word) as rk from c)
-select d.doc_id, coalesce((select list(word order by rk) from r where r.doc_id = d.doc_id and rk <= 10),
-                          []::VARCHAR[]) as keywords
-from documents d
+with c as ({word_counts_sql(src)}),
+r as (select id, word, row_number() over (partition by id order by n desc, word) as rk from c)
+select d.id as {id_col},
+  coalesce((select list(word order by rk) from r where r.id = d.id and rk <= 10),
+           []::VARCHAR[]) as keywords
+from ({src}) d
 """
 
 
-def summary_sql() -> str:
+def summary_sql(src: str = DOCS, id_col: str = "doc_id") -> str:
     _, _, ex = _html_sql()
     return f"""
-with c as ({word_counts_sql()}),
-s as (select doc_id, sidx, s from (
-        select doc_id, generate_subscripts(ss, 1) - 1 as sidx, {ws_trim('unnest(ss)')} as s
-        from (select doc_id, regexp_extract_all(text, '{ex.SENTENCE_RE}', 0) as ss from documents))
+with c as ({word_counts_sql(src)}),
+s as (select id, sidx, s from (
+        select id, generate_subscripts(ss, 1) - 1 as sidx, {ws_trim('unnest(ss)')} as s
+        from (select id, regexp_extract_all(text, '{ex.SENTENCE_RE}', 0) as ss from ({src})))
       where s <> ''),
-w as (select doc_id, sidx, word from (
-        select doc_id, sidx, unnest(regexp_extract_all(lower(s), '{ex.WORD_RE}', 0)) as word from s)
+w as (select id, sidx, word from (
+        select id, sidx, unnest(regexp_extract_all(lower(s), '{ex.WORD_RE}', 0)) as word from s)
       where word not in ({_stop_list()})),
-sc as (select w.doc_id, w.sidx, avg(c.n) as score from w join c using (doc_id, word) group by all),
-r as (select s.doc_id, s.sidx, s.s,
-        row_number() over (partition by s.doc_id order by coalesce(sc.score, 0) desc, s.sidx) as rk
-      from s left join sc using (doc_id, sidx))
-select d.doc_id, coalesce((select string_agg(s, chr(10) order by sidx) from r
-                           where r.doc_id = d.doc_id and rk <= 5), '') as summary
-from documents d
+sc as (select w.id, w.sidx, avg(c.n) as score from w join c using (id, word) group by all),
+r as (select s.id, s.sidx, s.s,
+        row_number() over (partition by s.id order by coalesce(sc.score, 0) desc, s.sidx) as rk
+      from s left join sc using (id, sidx))
+select d.id as {id_col},
+  coalesce((select string_agg(s, chr(10) order by sidx) from r where r.id = d.id and rk <= 5), '')
+    as summary
+from ({src}) d
 """
 
 
@@ -564,7 +569,16 @@ from (select chunk_id, cnt, sqrt(list_sum(list_transform(cnt, lambda x: x * x)))
 """
 
 
+ARTICLE_NLP = f"""
+with a as ({extract_sql()}),
+k as ({keywords_sql("select link as id, text from a", "link")}),
+s as ({summary_sql("select link as id, text from a", "link")})
+select a.page_id, a.link, a.title, k.keywords, s.summary, null::VARCHAR as nlp_error
+from a join k using (link) join s using (link)
+"""
+
 QUERIES.update({
+    "article_nlp": ARTICLE_NLP,
     "extract_articles": extract_sql(),
     "keywords": keywords_sql(),
     "summary": summary_sql(),

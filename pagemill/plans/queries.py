@@ -244,6 +244,11 @@ def q_summary(spark, sf_dir):
     return ex.summary(fx.read_table(spark, sf_dir, "documents"))
 
 
+def q_article_nlp(spark, sf_dir):
+    arts = ex.extract_articles(fx.read_table(spark, sf_dir, "pages"))
+    return ex.with_nlp(arts).select("page_id", "link", "title", "keywords", "summary", "nlp_error")
+
+
 def q_embed_chunks(spark, sf_dir):
     return em.embed_chunks(_built(spark, sf_dir)).select("chunk_id", "embedding")
 
@@ -332,6 +337,7 @@ QUERIES: dict[str, Query] = {
     "extract_articles": q_extract_articles,
     "keywords": q_keywords,
     "summary": q_summary,
+    "article_nlp": q_article_nlp,
     "embed_chunks": q_embed_chunks,
     "read_mixed_json": q_read_mixed_json,
     "read_articles": q_read_articles,
