@@ -111,3 +111,86 @@ def chunk_column(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVER
                         type=pa.list_(pa.string()))
 
     return _chunks(text)
+
+
+def chunk_column_native(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
+                        separators: tuple[str, ...] = SEPARATORS) -> Column:
+    """The same contract with higher-order functions only (no Python worker).
+
+    Pieces are kept as ``(run, t, done)``.  One stage per separator splits
+    every element that is not done and holds the separator; a small piece is
+    done and tagged with its parent's run plus the level, a large piece gets
+    its own run (parent run, level, index) and waits for the next separator.
+    Neighbours with the same run form one merge group.  A fold then merges
+    each group greedily with the overlap rule.  Slower than the Arrow form;
+    kept as a cross-check and for clusters without Python workers.
+    """
+    ws = F.lit(WS_CHARS)
+
+    def elem(run, t, done):
+        return F.struct(run.alias("run"), t.alias("t"), done.alias("done"))
+
+    arr = F.array(elem(F.lit("r"), text, F.lit(False)))
+    def stage(level: int, sep: str):
+        # a closure: a second lambda parameter would receive the element index
+        def expand(e):
+            if sep == "":
+                pieces = F.regexp_extract_all(e["t"], F.lit("(?s)."), 0)
+                skip = e["done"]
+            else:
+                raw = F.split(e["t"], sep.replace("\n", "\\n"), -1)
+                prefixed = F.transform(raw, lambda p, i: F.when(i == 0, p)
+                                       .otherwise(F.concat(F.lit(sep), p)))
+                pieces = F.filter(prefixed, lambda p: p != "")
+                skip = e["done"] | ~F.contains(e["t"], F.lit(sep))
+            tagged = F.transform(pieces, lambda p, j: F.when(
+                F.length(p) < size,
+                elem(F.concat(e["run"], F.lit(f".{level}")), p, F.lit(True))).otherwise(
+                elem(F.concat(e["run"], F.lit(f".{level}."), j.cast("string")), p, F.lit(False))))
+            return F.when(skip, F.array(e)).otherwise(tagged)
+        return expand
+
+    for level, sep in enumerate(separators):
+        arr = F.flatten(F.transform(arr, stage(level, sep)))
+
+    def emit(out, cur):
+        joined = F.btrim(F.array_join(cur, ""), ws)
+        return F.when((F.size(cur) > 0) & (joined != ""), F.array_append(out, joined)).otherwise(out)
+
+    def keep_after_drop(cur, tot, n):
+        # drop pieces from the left until what is kept is <= overlap and the
+        # next piece fits (or nothing is kept); returns (kept pieces, length)
+        def ok(t):
+            return (t <= overlap) & ((t + n <= size) | (t == 0))
+        start = F.struct(F.lit(0).alias("k"), tot.alias("t"), ok(tot).alias("f"))
+        def step(s, p):
+            t2 = s["t"] - F.length(p)
+            return F.when(s["f"], s).otherwise(F.struct(
+                (s["k"] + 1).alias("k"), t2.alias("t"), ok(t2).alias("f")))
+        return F.aggregate(cur, start, step, lambda s: F.struct(
+            F.slice(cur, s["k"] + 1, F.greatest(F.size(cur) - s["k"], F.lit(0))).alias("cur"),
+            s["t"].alias("tot")))
+
+    empty = F.array().cast("array<string>")
+    init = F.struct(F.lit("").alias("prun"), empty.alias("cur"),
+                    F.lit(0).alias("tot"), empty.alias("out"))
+
+    def merge(acc, e):
+        d, n = e["t"], F.length(e["t"])
+        new_group = acc["prun"] != e["run"]
+        out0 = F.when(new_group, emit(acc["out"], acc["cur"])).otherwise(acc["out"])
+        cur0 = F.when(new_group, empty).otherwise(acc["cur"])
+        tot0 = F.when(new_group, F.lit(0)).otherwise(acc["tot"])
+        over = tot0 + n > size
+        kept = keep_after_drop(cur0, tot0, n)
+        cur1 = F.when(over, kept["cur"]).otherwise(cur0)
+        tot1 = F.when(over, kept["tot"]).otherwise(tot0)
+        out1 = F.when(over, emit(out0, cur0)).otherwise(out0)
+        return F.struct(e["run"].alias("prun"), F.array_append(cur1, d).alias("cur"),
+                        (tot1 + n).alias("tot"), out1.alias("out"))
+
+    folded = F.aggregate(arr, init, merge, lambda acc: emit(acc["out"], acc["cur"]))
+    short = F.btrim(text, ws)
+    return (F.when(text.isNull(), empty)
+            .when(F.length(text) < size, F.when(short != "", F.array(short)).otherwise(empty))
+            .otherwise(folded))

@@ -97,16 +97,18 @@ def to_process(validated: DataFrame) -> DataFrame:
 
 def assign_chunks(processed: DataFrame, base_id: Column | int = 0,
                   size: int = sp.CHUNK_SIZE, overlap: int = sp.CHUNK_OVERLAP,
-                  materialize: bool = True) -> DataFrame:
+                  materialize: bool = True, native: bool = False) -> DataFrame:
     """CK1-CK3: chunk rows with dense ids ``base_id + 1 ...``.
 
     ``base_id`` is the largest chunk number already stored (0 when empty).
+    ``native`` picks the higher-order-function splitter (no Python worker).
     The running chunk count over articles is a bucketed prefix sum, never a
     window over the whole table.
     """
+    splitter = sp.chunk_column_native if native else sp.chunk_column
     chunked = (processed
                .select("pos", "link_key", "title", "publish_date",
-                       sp.chunk_column(F.col("text"), size, overlap).alias("chunks"))
+                       splitter(F.col("text"), size, overlap).alias("chunks"))
                .withColumn("n_chunks", F.size("chunks")))
     if materialize:
         # The id prefix sum reads the chunk counts twice (bucket totals and

@@ -254,6 +254,7 @@ CHUNK_COLS = "chunk_id, chunk_no, link, title, publish_date, chunk_text"
 
 QUERIES.update({
     "chunk_articles": chunks_sql(f"select pos, text from ({CLEANED})"),
+    "chunk_articles_native": chunks_sql(f"select pos, text from ({CLEANED})"),
     "unprocessed_links": f"""
         select pos, coalesce(link, '') as link from ({CLEANED}) a
         where coalesce(error, '') = ''

@@ -98,6 +98,12 @@ def q_chunk_articles(spark, sf_dir):
     return a.select("pos", F.posexplode(sp.chunk_column(F.col("text"))).alias("chunk_index", "chunk_text"))
 
 
+def q_chunk_articles_native(spark, sf_dir):
+    a = cleaned_articles(spark, sf_dir)
+    return a.select("pos", F.posexplode(sp.chunk_column_native(F.col("text")))
+                    .alias("chunk_index", "chunk_text"))
+
+
 def q_unprocessed_links(spark, sf_dir):
     return ix.unprocessed_links(cleaned_articles(spark, sf_dir), fx.ledger_links(spark, sf_dir))
 
@@ -313,6 +319,7 @@ QUERIES: dict[str, Query] = {
     "normalize_whitespace": q_normalize_whitespace,
     "clean_articles": q_clean_articles,
     "chunk_articles": q_chunk_articles,
+    "chunk_articles_native": q_chunk_articles_native,
     "unprocessed_links": q_unprocessed_links,
     "validate_articles": q_validate_articles,
     "chunk_ids": q_chunk_ids,

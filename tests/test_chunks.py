@@ -57,6 +57,14 @@ def test_chunk_column_and_yields_chunks(spark):
         assert r["y"] == (len(r["c"]) > 0)
 
 
+def test_native_splitter_matches(spark):
+    data = fuzz_texts(500, seed=21) + [(2000, None), (2001, "x" * 45 + "\n\n" + "y z " * 9)]
+    df = spark.createDataFrame(data, "pos long, text string")
+    out = df.select("text", sp.chunk_column_native(F.col("text"), 20, 6).alias("c")).collect()
+    for r in out:
+        assert r["c"] == sp.split_text(r["text"], 20, 6), r["text"]
+
+
 def articles(spark, rows):
     return spark.createDataFrame(
         rows, "pos long, link string, title string, publish_date string, text string, error string")
