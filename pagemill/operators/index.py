@@ -62,14 +62,18 @@ def unprocessed_links(articles: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def validate_articles(articles: DataFrame, ledger: DataFrame) -> DataFrame:
-    """CK4 / IX8: every article with ``new``, ``visited`` and ``skip_reason``.
+    """CK4 / IX8: one light row per article -- ``pos, link, link_key, new,
+    visited, skip_reason`` (NULL skip_reason = to process).
 
-    ``skip_reason`` is NULL for articles to process.
+    Only positions, links and flags computed from the text travel through
+    the shuffle; the text stays in the input.  ``pos`` must be unique.
     """
-    a = (articles.withColumn("link_key", link_key(F.col("link")))
-         .withColumn("_ok", ~flagged(F.col("error")))
-         .withColumn("_has_text", F.coalesce(F.col("text"), F.lit("")) != "")
-         .withColumn("_cand", F.col("_ok") & F.col("_has_text") & yields_chunks(F.col("text"))))
+    a = articles.select(
+        "pos", "link", link_key(F.col("link")).alias("link_key"),
+        (~flagged(F.col("error"))).alias("_ok"),
+        (F.coalesce(F.col("text"), F.lit("")) != "").alias("_has_text"),
+        yields_chunks(F.col("text")).alias("_yields"))
+    a = a.withColumn("_cand", F.col("_ok") & F.col("_has_text") & F.col("_yields"))
     keys = (a.groupBy("link_key")
             .agg(F.max(F.col("_ok").cast("int")).alias("_key_ok"),
                  F.min(F.when(F.col("_cand"), F.col("pos"))).alias("_first_pos"))
@@ -85,14 +89,19 @@ def validate_articles(articles: DataFrame, ledger: DataFrame) -> DataFrame:
               .when(~F.col("_cand"), F.lit(SKIP_NO_CHUNKS))
               .when(F.col("pos") != F.col("_first_pos"), F.lit(SKIP_DUPLICATE)))
     return j.select(
-        *[c for c in articles.columns], "link_key",
+        "pos", "link", "link_key",
         (F.col("_ok") & ~in_ledger).alias("new"),
         visited.alias("visited"),
         reason.alias("skip_reason"))
 
 
-def to_process(validated: DataFrame) -> DataFrame:
-    return validated.filter(F.col("skip_reason").isNull())
+def to_process(validated: DataFrame, articles: DataFrame) -> DataFrame:
+    """The article rows to index: the input joined with the positions whose
+    ``skip_reason`` is NULL.  In an incremental run that set is small and
+    AQE broadcasts it, so the corpus is not shuffled; otherwise it is one
+    shuffle on the unique ``pos``, which no hot link can skew."""
+    keep = validated.filter(F.col("skip_reason").isNull()).select("pos", "link_key")
+    return articles.join(keep, "pos")
 
 
 def assign_chunks(processed: DataFrame, base_id: Column | int = 0,
@@ -117,12 +126,12 @@ def assign_chunks(processed: DataFrame, base_id: Column | int = 0,
         ensure_checkpoint_dir(chunked.sparkSession)
         chunked = chunked.checkpoint(eager=True)
     # The running sum needs only (pos, link, n_chunks); the chunk arrays stay
-    # where they are (hash-partitioned on the link by validation) and get
-    # their offset by an equi-join on the link, unique among processed rows.
+    # where they are (hash-partitioned on pos by to_process, or not moved at
+    # all) and get their offset by an equi-join on the unique pos.
     offsets = (prefix_sum(chunked.select("pos", "link_key", "n_chunks"), [], ["pos", "link_key"],
                           pos_bucket("pos"), F.col("n_chunks"), name="_offset")
-               .select("link_key", "_offset"))
-    numbered = chunked.join(offsets, "link_key")
+               .select("pos", "_offset"))
+    numbered = chunked.join(offsets, "pos")
     base = base_id if isinstance(base_id, Column) else F.lit(base_id)
     exploded = numbered.select(
         "pos", "link_key", "title", "publish_date", "_offset",
@@ -163,7 +172,7 @@ def build_stats(validated: DataFrame, chunks: DataFrame) -> DataFrame:
 def ledger_marks(validated: DataFrame, at: Column | None = None) -> DataFrame:
     """IX2: ledger rows for the articles processed in this run."""
     ts = at if at is not None else F.current_timestamp()
-    return (to_process(validated)
+    return (validated.filter(F.col("skip_reason").isNull())
             .select(F.col("link_key").alias("link"), ts.alias("processed_at")))
 
 

@@ -20,7 +20,7 @@ from ..operators import links as lk
 from ..operators import attempts as fb
 from ..operators import embed as em
 from ..operators import extract as ex
-from ..session import scratch_path
+from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources import io
 from ..sources.store import ChunkStore
 from ..streaming.incremental import run_build_stream
@@ -79,15 +79,26 @@ def cleaned_articles(spark, sf_dir):
     return cl.clean_articles(fx.articles(spark, sf_dir)).drop("clean_status", "extracted_date")
 
 
-def _validated(spark, sf_dir, rebuild=False):
+def index_input(spark, sf_dir):
+    """The cleaner's output as the index job reads it: materialised once
+    (reliable checkpoint in the session's checkpoint directory), so the light
+    validation pass and the heavy join read it instead of re-cleaning."""
+    ensure_checkpoint_dir(spark)
+    return cleaned_articles(spark, sf_dir).checkpoint(eager=True)
+
+
+def _validated(spark, sf_dir, rebuild=False, arts=None):
     ledger = fx.ledger_links(spark, sf_dir)
     if rebuild:
         ledger = ledger.limit(0)
-    return ix.validate_articles(cleaned_articles(spark, sf_dir), ledger)
+    arts = arts if arts is not None else index_input(spark, sf_dir)
+    return ix.validate_articles(arts, ledger)
 
 
-def _built(spark, sf_dir, rebuild=False):
-    return ix.assign_chunks(ix.to_process(_validated(spark, sf_dir, rebuild)), base_id=0)
+def _built(spark, sf_dir, rebuild=False, validated=None, arts=None):
+    arts = arts if arts is not None else index_input(spark, sf_dir)
+    v = validated if validated is not None else _validated(spark, sf_dir, rebuild, arts)
+    return ix.assign_chunks(ix.to_process(v, arts), base_id=0)
 
 
 CHUNK_COLUMNS = ["chunk_id", "chunk_no", "link", "title", "publish_date", "chunk_text"]
@@ -125,21 +136,24 @@ def q_rebuild(spark, sf_dir):
 
 
 def q_build_stats(spark, sf_dir):
-    v = _validated(spark, sf_dir)
-    return ix.build_stats(v, ix.assign_chunks(ix.to_process(v), 0))
+    arts = index_input(spark, sf_dir)
+    v = _validated(spark, sf_dir, arts=arts)
+    return ix.build_stats(v, _built(spark, sf_dir, validated=v, arts=arts))
 
 
 def q_index_summary(spark, sf_dir):
-    v = _validated(spark, sf_dir)
+    arts = index_input(spark, sf_dir)
+    v = _validated(spark, sf_dir, arts=arts)
     ledger = fx.ledger_links(spark, sf_dir).unionByName(ix.ledger_marks(v))
-    return ix.status_summary(cleaned_articles(spark, sf_dir), ledger,
-                             ix.assign_chunks(ix.to_process(v), 0))
+    return ix.status_summary(arts, ledger, _built(spark, sf_dir, validated=v, arts=arts))
 
 
 def q_store_stats(spark, sf_dir):
-    v = _validated(spark, sf_dir)
+    arts = index_input(spark, sf_dir)
+    v = _validated(spark, sf_dir, arts=arts)
     ledger = fx.ledger_links(spark, sf_dir).unionByName(ix.ledger_marks(v))
-    return ix.store_stats(ix.assign_chunks(ix.to_process(v), 0), ledger, STORE_NAME, STORE_PATH)
+    return ix.store_stats(_built(spark, sf_dir, validated=v, arts=arts), ledger,
+                          STORE_NAME, STORE_PATH)
 
 
 # Link discovery over stored listing pages (anchors carry no class in the

@@ -129,7 +129,7 @@ class ChunkStore:
         validated = ix.validate_articles(articles, self.ledger(before=batch))
         if not self.is_committed(batch):
             base = self.id_base(batch)
-            new = ix.assign_chunks(ix.to_process(validated), base_id=base)
+            new = ix.assign_chunks(ix.to_process(validated, articles), base_id=base)
             rows = new.select(*[f.name for f in EMBEDDED_CHUNKS.fields if f.name != "embedding"])
             rows = (em.embed_chunks(rows) if self.embed
                     else rows.withColumn("embedding", F.lit(None).cast("array<float>")))

@@ -94,7 +94,7 @@ def test_index_quirks(spark):
     assert got[6] == (False, False, "error")
     assert got[7] == (False, False, "in_ledger")
     assert got[8] == (True, True, "no_chunks")
-    chunks = ix.assign_chunks(ix.to_process(v), base_id=10)
+    chunks = ix.assign_chunks(ix.to_process(v, arts), base_id=10)
     c = sorted((r["chunk_no"], r["chunk_id"], r["link"], r["title"], r["publish_date"])
                for r in chunks.collect())
     assert c == [(11, "id11", "a", "A", ""), (12, "id12", "b", "B", "d"),
@@ -110,7 +110,7 @@ def test_ids_dense_and_ordered(spark):
     rows = [(i, f"l{i}", "t", None, ("word " * (i % 7 * 60)).strip() or "x", None) for i in range(3000)]
     arts = articles(spark, rows)
     empty = spark.createDataFrame([], "link string, processed_at timestamp")
-    chunks = ix.assign_chunks(ix.to_process(ix.validate_articles(arts, empty)), base_id=0)
+    chunks = ix.assign_chunks(ix.to_process(ix.validate_articles(arts, empty), arts), base_id=0)
     got = [(r["article_pos"], r["chunk_index"], r["chunk_no"]) for r in chunks.collect()]
     got.sort()
     assert [g[2] for g in got] == list(range(1, len(got) + 1))
