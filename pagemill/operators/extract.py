@@ -73,9 +73,12 @@ def summary(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.regexp_extract_all(F.col(text_col), F.lit(SENTENCE_RE), 0)).alias("sidx", "s"))
         .withColumn("s", F.btrim(F.col("s"), F.lit(WS_CHARS)))
         .filter(F.col("s") != ""))
-    counts = word_counts(df, id_col, text_col)
+    # Words never cross a sentence end (terminators are not letters), so the
+    # per-document count of each word can be taken over the sentence words:
+    # one window per (document, word) instead of a second pass and a join.
     sw = _words(sents, [id_col, "sidx"], "s")
-    scores = (sw.join(counts, [id_col, "word"])
+    per_word = Window.partitionBy(id_col, "word")
+    scores = (sw.withColumn("n", F.count(F.lit(1)).over(per_word))
               .groupBy(id_col, "sidx").agg(F.avg("n").alias("score")))
     ranked = (sents.join(scores, [id_col, "sidx"], "left")
               .withColumn("score", F.coalesce(F.col("score"), F.lit(0.0))))
