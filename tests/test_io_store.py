@@ -124,3 +124,26 @@ def test_stream_equals_batch(spark):
     cols = ["chunk_id", "chunk_no", "link", "title", "publish_date", "chunk_text"]
     assert store.chunks().select(cols).exceptAll(batch.chunks().select(cols)).count() == 0
     assert store.chunks().count() == batch.chunks().count() > 0
+
+
+def test_stream_of_several_files_equals_batch(spark):
+    src = scratch()
+    arts = q.cleaned_articles(spark, SF001)
+    # four files in position order; one file per micro-batch
+    for i in range(4):
+        (arts.filter((F.col("pos") >= i * 50) & (F.col("pos") < (i + 1) * 50))
+         .coalesce(1).write.mode("overwrite").parquet(os.path.join(src, f"part{i}")))
+    import glob
+    import shutil
+    flat = scratch()
+    for i, f in enumerate(sorted(glob.glob(os.path.join(src, "part*", "*.parquet")))):
+        shutil.copy(f, os.path.join(flat, f"articles-{i}.parquet"))
+    store = ChunkStore(spark, scratch(), embed=False)
+    run_build_stream(spark, flat, arts.schema, store, os.path.join(scratch(), "ckpt"),
+                     max_files_per_trigger=1)
+    assert store.commits().count() == 4
+    batch = ChunkStore(spark, scratch(), embed=False)
+    batch.build(arts)
+    cols = ["chunk_id", "chunk_no", "link", "title", "publish_date", "chunk_text"]
+    a, b = store.chunks().select(cols), batch.chunks().select(cols)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
