@@ -75,6 +75,14 @@ STORE_NAME = "article_chunks"
 STORE_PATH = "chunk_store"
 
 
+def _stored(df):
+    """A derived input as the job would read it from storage: materialised
+    once (reliable checkpoint), so scalar subqueries and the branches of a
+    plan read it instead of deriving it again."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def cleaned_articles(spark, sf_dir):
     return cl.clean_articles(fx.articles(spark, sf_dir)).drop("clean_status", "extracted_date")
 
@@ -83,8 +91,7 @@ def index_input(spark, sf_dir):
     """The cleaner's output as the index job reads it: materialised once
     (reliable checkpoint in the session's checkpoint directory), so the light
     validation pass and the heavy join read it instead of re-cleaning."""
-    ensure_checkpoint_dir(spark)
-    return cleaned_articles(spark, sf_dir).checkpoint(eager=True)
+    return _stored(cleaned_articles(spark, sf_dir))
 
 
 def _validated(spark, sf_dir, rebuild=False, arts=None):
