@@ -84,13 +84,14 @@ def clean_dataset(spark: SparkSession, input_path: str, output_path: str,
     ``<input>_backup`` and the rewrite reads from that copy (IO8).
     """
     articles = io.read_mixed_articles(spark, input_path)
-    if input_path == output_path:
+    if input_path == output_path and backup:
         snap = input_path.rstrip("/") + "_backup"
         articles.write.mode("overwrite").parquet(snap)
         articles = spark.read.parquet(snap)
-        if not backup:
-            ensure_checkpoint_dir(spark)
-            articles = articles.checkpoint(eager=True)
+    elif input_path == output_path:
+        # no backup wanted: still cut the lineage to the files being replaced
+        ensure_checkpoint_dir(spark)
+        articles = articles.checkpoint(eager=True)
     cleaned = cl.clean_articles(articles)
     cleaned.write.mode("overwrite").parquet(output_path)
     return cl.clean_stats(spark.read.parquet(output_path))
