@@ -3,8 +3,8 @@
 The crawler exchanges whole JSON arrays.  A JSON array cannot be split
 between tasks, so each file is parsed by one task; the readers here are the
 conversion step, and everything downstream works on Parquet tables with an
-explicit ``pos`` column.  Positions rise in file order (within a file they
-are consecutive); they order rows but need not be dense.
+explicit ``pos`` column.  Positions are unique and rise in file order, then
+element order (within a file they are consecutive); they need not be dense.
 """
 
 from __future__ import annotations
@@ -23,14 +23,22 @@ def _empty(spark: SparkSession, schema) -> DataFrame:
 
 
 def _entries(spark: SparkSession, path: str) -> DataFrame:
-    """``(pos, entry VARIANT)`` for every element of the JSON array(s)."""
+    """``(pos, entry VARIANT)`` for every element of the JSON array(s).
+
+    ``pos = (rank of the file path) << 32 | element index``: unique, and
+    rising in file-path order, then element order.  The file ranks come from
+    the scan's file list (metadata the driver holds anyway), so the small
+    rank table is broadcast with a bound: one row per input file.
+    """
     raw = (spark.read.option("singleVariantColumn", "_v").option("multiLine", True)
            .option("mode", "PERMISSIVE").json(path))
+    ranks = spark.createDataFrame(list(enumerate(sorted(raw.inputFiles()))),
+                                  "_fr long, _file string")
     arr = F.try_variant_get(F.col("_v"), "$", "array<variant>")
-    file_pos = F.shiftleft(F.monotonically_increasing_id(), 32)
-    return (raw.select(file_pos.alias("_f"), arr.alias("_a"))
-            .select(F.posexplode("_a").alias("_i", "entry"), "_f")
-            .select((F.col("_f") + F.col("_i")).alias("pos"), "entry"))
+    return (raw.select(F.input_file_name().alias("_file"), arr.alias("_a"))
+            .join(F.broadcast(ranks), "_file")
+            .select("_fr", F.posexplode("_a").alias("_i", "entry"))
+            .select((F.shiftleft("_fr", 32) + F.col("_i")).alias("pos"), "entry"))
 
 
 def _field(entry, key: str, dtype: str):

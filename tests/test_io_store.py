@@ -63,6 +63,16 @@ def test_dataset_reader_last_value_first_position(spark):
     assert io.read_dataset(spark, os.path.join(d, "missing")).count() == 0
 
 
+def test_positions_unique_across_files(spark):
+    d = scratch()
+    write(os.path.join(d, "f1.json"), [{"link": "a", "Title": "1"}, {"link": "b"}])
+    write(os.path.join(d, "f2.json"), [{"link": "a", "Title": "2"}, 7])
+    pos = [r["pos"] for r in io.read_mixed_articles(spark, d).collect()]
+    assert len(set(pos)) == 4
+    got = {r["link"]: (r["pos"], r["title"]) for r in io.read_dataset(spark, d).collect()}
+    assert got["a"] == (0, "2")            # later file wins, first position kept
+
+
 def test_ledger_json_reader(spark):
     d = scratch()
     write(os.path.join(d, "processed.json"), {"processed_links": ["a", "b", "a"],
