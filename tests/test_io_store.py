@@ -145,15 +145,26 @@ def test_stream_of_several_files_equals_batch(spark):
          .coalesce(1).write.mode("overwrite").parquet(os.path.join(src, f"part{i}")))
     import glob
     import shutil
+    import time
     flat = scratch()
+    now = time.time() - 100
     for i, f in enumerate(sorted(glob.glob(os.path.join(src, "part*", "*.parquet")))):
-        shutil.copy(f, os.path.join(flat, f"articles-{i}.parquet"))
+        dst = os.path.join(flat, f"articles-{i}.parquet")
+        shutil.copy(f, dst)
+        os.utime(dst, (now + 10 * i, now + 10 * i))   # the source takes oldest files first
     store = ChunkStore(spark, scratch(), embed=False)
     run_build_stream(spark, flat, arts.schema, store, os.path.join(scratch(), "ckpt"),
                      max_files_per_trigger=1)
     assert store.commits().count() == 4
     batch = ChunkStore(spark, scratch(), embed=False)
     batch.build(arts)
-    cols = ["chunk_id", "chunk_no", "link", "title", "publish_date", "chunk_text"]
-    a, b = store.chunks().select(cols), batch.chunks().select(cols)
+    # ids follow arrival order; content must match whatever the order
+    content = ["link", "title", "publish_date", "chunk_text"]
+    a, b = store.chunks().select(content), batch.chunks().select(content)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    ids = sorted(r["chunk_no"] for r in store.chunks().select("chunk_no").collect())
+    assert ids == list(range(1, len(ids) + 1))
+    # with files arriving in position order the ids match the batch build too
+    cols = ["chunk_id", "chunk_no", "link", "chunk_text"]
+    a, b = store.chunks().select(cols), batch.chunks().select(cols)
+    assert a.exceptAll(b).count() == 0
