@@ -22,7 +22,7 @@ def _empty(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def _entries(spark: SparkSession, path: str) -> DataFrame:
+def _entries(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
     """``(pos, entry VARIANT)`` for every element of the JSON array(s).
 
     ``pos = (rank of the file path) << 32 | element index``: unique, and
@@ -31,7 +31,7 @@ def _entries(spark: SparkSession, path: str) -> DataFrame:
     rank table is broadcast with a bound: one row per input file.
     """
     raw = (spark.read.option("singleVariantColumn", "_v").option("multiLine", True)
-           .option("mode", "PERMISSIVE").json(path))
+           .option("mode", mode).json(path))
     ranks = spark.createDataFrame(list(enumerate(sorted(raw.inputFiles()))),
                                   "_fr long, _file string")
     arr = F.try_variant_get(F.col("_v"), "$", "array<variant>")
@@ -46,11 +46,18 @@ def _field(entry, key: str, dtype: str):
 
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
-    """IO1 strict reader: a missing file or malformed JSON raises."""
-    df = (spark.read.schema(ARTICLE_JSON).option("multiLine", True)
-          .option("mode", "FAILFAST").json(path))
-    return df.select(F.monotonically_increasing_id().alias("pos"),
-                     *[F.col(f"`{k}`").alias(v) for k, v in JSON_KEYS.items()])
+    """IO1 strict reader: a missing file or malformed JSON raises.  Returns
+    the object entries with their positions (an entry that is not an object
+    would stop the index build, so it is not returned)."""
+    arts = _articles(_entries(spark, path, mode="FAILFAST"))
+    return arts.filter(F.col("is_object")).drop("is_object")
+
+
+def _articles(e: DataFrame) -> DataFrame:
+    is_obj = F.coalesce(F.schema_of_variant(F.col("entry")).startswith("OBJECT"), F.lit(False))
+    cols = [F.when(is_obj, _field(F.col("entry"), f.name, f.dataType.simpleString()))
+            .alias(JSON_KEYS[f.name]) for f in ARTICLE_JSON.fields]
+    return e.select("pos", *cols, is_obj.alias("is_object"))
 
 
 def read_mixed_articles(spark: SparkSession, path: str) -> DataFrame:
@@ -60,14 +67,7 @@ def read_mixed_articles(spark: SparkSession, path: str) -> DataFrame:
     not JSON objects (their fields are NULL), which the cleaner counts as
     errors.
     """
-    e = _entries(spark, path)
-    is_obj = F.coalesce(F.schema_of_variant(F.col("entry")).startswith("OBJECT"), F.lit(False))
-    cols = []
-    for f in ARTICLE_JSON.fields:
-        dtype = f.dataType.simpleString()
-        cols.append(F.when(is_obj, _field(F.col("entry"), f.name, dtype))
-                    .alias(JSON_KEYS[f.name]))
-    return e.select("pos", *cols, is_obj.alias("is_object"))
+    return _articles(_entries(spark, path))
 
 
 def read_links(spark: SparkSession, path: str) -> DataFrame:
