@@ -53,3 +53,25 @@ def test_crawl_first_run_then_update(spark):
     out2 = jobs.crawl_update(spark, pages, att, links, ds + "_1", ds + "_2")
     assert out2["new_links"].count() == 0
     assert spark.read.parquet(links).count() == n_links          # rewritten in place
+
+
+def test_crawl_folds_attempts_for_discovered_links(spark):
+    pages = fx.listing_pages(spark, SF001).select("page_no", "html")
+    root = scratch()
+    links, ds = os.path.join(root, "links"), os.path.join(root, "dataset")
+    # discover links first (no attempts yet), then fold attempts for three of them
+    empty = spark.createDataFrame([], "link string, round int, attempt int, error string, "
+                                      "payload struct<title:string,text:string>")
+    jobs.crawl_update(spark, pages, empty, links, ds, ds + "_0")
+    first3 = [r["link"] for r in spark.read.parquet(links).orderBy("pos").limit(3).collect()]
+    att = spark.createDataFrame([
+        (first3[0], 1, 1, None, ("T0", "body0")),
+        (first3[1], 1, 1, "e1", None), (first3[1], 1, 2, None, ("T1", "body1")),
+    ] + [(first3[2], r, a, f"down {r}.{a}", None) for r in range(1, 6) for a in range(1, 4)],
+        "link string, round int, attempt int, error string, payload struct<title:string,text:string>")
+    out = jobs.crawl_update(spark, pages, att, links, ds + "_0", ds + "_1")
+    rep = out["report"].first()
+    assert (rep["total"], rep["successful"], rep["failed"]) == (3, 2, 1)
+    assert [r["error"] for r in out["failed"].collect()] == ["down 5.3"]
+    got = {r["link"]: r["title"] for r in spark.read.parquet(ds + "_1").collect()}
+    assert got[first3[0]] == "T0" and got[first3[1]] == "T1"
