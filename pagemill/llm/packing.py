@@ -91,22 +91,24 @@ class Tokens:
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for at in range(0, len(texts), 128):
             part = texts[at:at + 128]
-            words = [[] if self.ODD.intersection(t) else t.split() for t in part]
-            new = set().union(*words).difference(self.known)
+            words = [None if self.ODD.intersection(t) else t.split() for t in part]
+            new = set().union(*filter(None, words)).difference(self.known)
             if new:
                 self._learn(new)
             get = self.known.__getitem__
             for t, w in zip(part, words):
-                yield b"".join(map(get, w)) if w or not t.strip() else self._encode([t])[0]
+                yield self._encode([t])[0] if w is None else b"".join(map(get, w))
 
 
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
            capacity: int = CAPACITY) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``."""
-    cache: dict[str, Tokens] = {}
+    loaded: list[Tokens] = []           # per task; the word caches outlive it
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        tok = cache.setdefault(tokenizer, None) or cache.setdefault("t", Tokens(tokenizer))
+        if not loaded:
+            loaded.append(Tokens(tokenizer))
+        tok = loaded[0]
         out: list[list] = [[], [], [], [], []]
         ids = batch.column(0).to_pylist()
         end = np.array([END], "<u4").tobytes()

@@ -12,9 +12,7 @@ DOC = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text",
 def make(spark):  # noqa: F811
     """A documents table from texts (ids 0, 1, ...) or (id, text) pairs."""
     def build(texts, lang="en"):
-        rows = [(i, *t) if not isinstance(t, tuple) else t for i, t in
-                enumerate([(t,) if not isinstance(t, tuple) else t for t in texts])] \
-            if not texts or not isinstance(texts[0], tuple) else texts
+        rows = texts if texts and isinstance(texts[0], tuple) else list(enumerate(texts))
         return spark.createDataFrame([(r[0], r[1], lang, "s", len(r[1] or "")) for r in rows], DOC)
     return build
 
