@@ -10,15 +10,26 @@ and links with nothing.  Two documents are linked when
    pair at similarity 0.75 misses all of them with probability 5e-6).  Of each
    minimum the low ``B`` bits are kept, packed into 64-bit words.
 2. Equal sets collapse to one representative, so copies cost one row each.
-3. In each band group every member is paired with the smallest id (a star:
+3. In each band group every member is paired with the smallest set (a star:
    linear in the group).  The packed signatures estimate the similarity,
-   corrected for chance agreement of ``B`` bits; pairs below ``FLOOR`` (more
-   than six standard deviations under 0.75) go.  The rest are confirmed on
-   the full sets.
-4. Band groups that still hold more than one component are finished exactly:
-   all pairs across components, in small groups by a join, in groups over
-   ``SMALL`` members block by block with packed signatures, so no task holds
-   more than two blocks.  No partner or candidate is dropped.
+   corrected for chance agreement of ``B`` bits.  Pairs under ``NEAR`` are
+   far; the others are compared on the full sets, which also gives each
+   member's novel shingles, those that the hub lacks.
+4. What the stars leave open is finished without pairing whole groups:
+
+   * a member that is not linked to its hub can only be linked to another
+     near member that shares a novel shingle with it.  (The hub has the
+     smallest set, so an overlap of 3/7 of both sizes does not fit into the
+     hub's part alone.)  So such members look for partners by novel shingles,
+     and only by a prefix of the rarest: any partner shares at least ``need``
+     of them, hence one of all but the ``need - 1`` most frequent;
+   * far members of a group cannot be linked to those linked with the hub
+     (distances 1 - J add up); among themselves all pairs across components
+     are estimated, in small groups by a join, in groups over ``SMALL``
+     members block by block, so no task holds more than two blocks.
+
+   Candidates over ``FLOOR`` (more than six standard deviations under 0.75)
+   are confirmed on full sets.  No partner or candidate is dropped.
 
 Defined cases: null text is empty; repeated ids count as one document whose
 rows share a component when their sets are equal or similar, and each input
@@ -32,7 +43,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, map_batches, stage, text_or_empty
@@ -42,6 +53,7 @@ WORDS = 5
 PERCENT = 75
 HASHES, BANDS, B = 128, 32, 2
 FLOOR = 0.45
+NEAR = 0.35
 #: Members of a band group up to which its remaining pairs come from a join;
 #: members in a block beyond that.
 SMALL, BLOCK = 64, 512
@@ -148,30 +160,63 @@ def estimate(sa: str, sb: str):
     return (1 - diff / float(HASHES) - chance) / (1 - chance)
 
 
-def _confirm(batch: pa.RecordBatch) -> pa.RecordBatch:
-    keep, last = [], (None, None)
+def _compare(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Exact comparison of two texts per row; ``novel``: shingles of a that b
+    lacks."""
+    cols, last = [[], [], [], []], (None, None)
     for i in range(batch.num_rows):
         b = batch.column(3)[i].as_py()
         if last[0] != b:
             last = (b, shingle_set(b))
         x, y = shingle_set(batch.column(2)[i].as_py()), last[1]
-        inter = len(np.intersect1d(x, y, assume_unique=True))
-        keep.append(100 * inter >= PERCENT * (len(x) + len(y) - inter))
-    return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)],
-                                      names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        novel = np.setdiff1d(x, y, assume_unique=True)
+        for c, v in zip(cols, (len(x), len(y), len(x) - len(novel), novel.view(np.int64))):
+            c.append(v)
+    return pa.RecordBatch.from_arrays(
+        [batch.column(0), batch.column(1), *[pa.array(c, pa.int64()) for c in cols[:3]],
+         pa.array(cols[3], pa.list_(pa.int64()))], names=["a", "b", "na", "nb", "both", "novel"])
 
 
-def _links(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
-    """The pairs ``(a, b)`` that are linked: estimate first, then full sets."""
+def _near(pairs: DataFrame, sigs: DataFrame, floor: float) -> DataFrame:
+    """The pairs ``(a, b)`` whose estimated similarity reaches ``floor``."""
     sa = sigs.select(F.col("doc_id").alias("a"), F.col("sig").alias("sa"))
     sb = sigs.select(F.col("doc_id").alias("b"), F.col("sig").alias("sb"))
-    close = (pairs.join(sa, "a").join(sb, "b")
-             .filter(estimate("sa", "sb") >= FLOOR).select("a", "b"))
-    close = stage(close, f"{name}-close")
+    return (pairs.join(sa, "a").join(sb, "b")
+            .filter(estimate("sa", "sb") >= floor).select("a", "b"))
+
+
+def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     ta = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
     tb = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    full = close.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb")
-    return stage(map_batches(full, _confirm, "a long, b long"), f"{name}-links")
+    full = pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb")
+    out = map_batches(full, _compare,
+                      "a long, b long, na long, nb long, both long, novel array<long>")
+    return out.withColumn("linked", F.expr(f"100 * both >= {PERCENT} * (na + nb - both)"))
+
+
+def _by_novel(checked: DataFrame) -> DataFrame:
+    """Candidate pairs of near members that a star did not link: they share a
+    novel shingle within the rarest ones of the member that is not linked."""
+    open_hubs = stage(checked.filter("not linked").select("b").distinct(), "near-open-hubs")
+    rows = (checked.join(open_hubs, "b", "left_semi")
+            .select("a", "b", "linked", F.size("novel").alias("nn"),
+                    # any partner has at least the hub's size and 3/4 of na
+                    (F.ceil(3 * (F.col("na") + F.greatest("nb", F.ceil(F.col("na") * 3 / 4))) / 7)
+                     - F.col("both")).alias("need"),
+                    F.explode("novel").alias("sh")))
+    rows = stage(rows, "near-novel")
+    freq = stage(rows.groupBy("b", "sh").agg(F.count(F.lit(1)).alias("f")).filter("f >= 2"),
+                 "near-freq")
+    rows = stage(rows.join(freq, ["b", "sh"]), "near-shared")
+    w = Window.partitionBy("b", "a")
+    rare = (rows.filter("not linked")
+            .withColumn("rank", F.row_number().over(w.orderBy("f", "sh")))
+            .withColumn("alone", F.col("nn") - F.count(F.lit(1)).over(w))
+            .filter("rank + alone <= nn - need + 1")
+            .select("b", "sh", F.col("a").alias("u")))
+    other = rows.select("b", "sh", F.col("a").alias("c"))
+    return (rare.join(other, ["b", "sh"]).filter("u != c")
+            .select(F.greatest("u", "c").alias("a"), F.least("u", "c").alias("b")).distinct())
 
 
 def _across(block: pd.DataFrame) -> pd.DataFrame:
@@ -206,15 +251,15 @@ def _across(block: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
 
 
-def _rest_of_groups(members: DataFrame, comp: DataFrame, sigs: DataFrame,
-                    tested: DataFrame) -> DataFrame:
-    """Pairs across components within band groups that the stars left open."""
-    m = stage(members.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-              .select("key", "doc_id", F.coalesce("comp", "doc_id").alias("comp")), "near-members")
+def _by_groups(far: DataFrame, comp: DataFrame, sigs: DataFrame) -> DataFrame:
+    """Candidate pairs across components among the far members ``(key,
+    doc_id)`` of band groups."""
+    m = stage(far.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+              .select("key", "doc_id", F.coalesce("comp", "doc_id").alias("comp")), "near-far")
     open_ = stage(m.groupBy("key")
                   .agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("c0"),
                        F.max("comp").alias("c1"))
-                  .filter("n >= 3 and c0 < c1").select("key", "n"), "near-open")
+                  .filter("c0 < c1").select("key", "n"), "near-open")
     m = stage(m.join(open_, "key"), "near-open-members")
     few = m.filter(F.col("n") <= SMALL)
     x = few.select("key", F.col("doc_id").alias("a"), F.col("comp").alias("ca"))
@@ -227,7 +272,7 @@ def _rest_of_groups(members: DataFrame, comp: DataFrame, sigs: DataFrame,
             .select("key", "doc_id", "comp", "sig", "i",
                     F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi")))
     large = many.groupBy("key", "lo", "hi").applyInPandas(_across, "a long, b long")
-    return small.unionByName(large).distinct().join(tested, ["a", "b"], "left_anti")
+    return small.unionByName(large).distinct()
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -238,28 +283,39 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # one row per distinct set: the rows of a representative
     own = stage(some.join(reps.select("hi", "lo", F.col("rep").alias("doc_id")),
                           ["hi", "lo", "doc_id"], "left_semi")
-                .select("doc_id", "hi", "lo", "bands", "sig")
+                .select("doc_id", "n_shingles", "hi", "lo", "bands", "sig")
                 .dropDuplicates(["hi", "lo"]), "near-own")
-    keys = own.select("doc_id", F.explode("bands").alias("key"))
-    hubs = stage(keys.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("far"))
-                 .filter("hub < far").select("key", "hub"), "near-hubs")
-    members = stage(keys.join(hubs, "key"), "near-grouped")
-    star = stage(members.filter("doc_id != hub")
-                 .select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct(),
-                 "near-star")
-    ids = members.select("doc_id").distinct()
+    keys = own.select("doc_id", "n_shingles", F.explode("bands").alias("key"))
+    # the smallest set of each group, then the smallest id; groups of one go
+    hubs = stage(keys.groupBy("key", "n_shingles")
+                 .agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+                 .groupBy("key").agg(F.min_by("first", "n_shingles").alias("hub"),
+                                     F.sum("n").alias("n"))
+                 .filter("n > 1").select("key", "hub"), "near-hubs")
+    members = stage(keys.select("key", "doc_id").join(hubs, "key").filter("doc_id != hub"),
+                    "near-grouped")
+    star = members.select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
+    ids = members.select("doc_id").union(members.select("hub")).distinct()
     sigs = stage(own.select("doc_id", "sig").join(ids, "doc_id", "left_semi"), "near-sigs")
     texts = stage(docs.select(F.col(id_col).cast("long").alias("doc_id"),
                               text_or_empty(text_col).cast("binary").alias("text"))
                   .join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "near-texts")
-    first = _links(star, sigs, texts, "near1")
+    near = stage(_near(star, sigs, NEAR), "near-star")
+    checked = stage(_compared(near, texts), "near-checked")
+    first = checked.filter("linked").select("a", "b")
     comp = components(first, "near-cc1")
-    more = stage(_rest_of_groups(members.select("key", "doc_id"), comp, sigs, star), "near-rest")
-    second = _links(more, sigs, texts, "near2")
+    far = stage(members.join(near.select(F.col("a").alias("doc_id"), F.col("b").alias("hub")),
+                             ["doc_id", "hub"], "left_anti").select("key", "doc_id"), "near-left")
+    lab = comp.select(F.col("id").alias("a"), F.col("comp").alias("ca"))
+    lab2 = comp.select(F.col("id").alias("b"), F.col("comp").alias("cb"))
+    more = stage(_by_novel(checked).unionByName(_by_groups(far, comp, sigs)).distinct()
+                 .join(lab, "a", "left").join(lab2, "b", "left")
+                 .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"),
+                 "near-more")
+    more = stage(_near(more, sigs, FLOOR), "near-close")
+    second = stage(_compared(more, texts).filter("linked").select("a", "b"), "near-links")
     if not second.isEmpty():
         # components of components: the first labels stand for their members
-        lab = comp.select(F.col("id").alias("a"), F.col("comp").alias("ca"))
-        lab2 = comp.select(F.col("id").alias("b"), F.col("comp").alias("cb"))
         between = (second.join(lab, "a", "left").join(lab2, "b", "left")
                    .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
                    .filter("a != b").distinct())

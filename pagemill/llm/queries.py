@@ -4,18 +4,24 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import exact_dedup, fingerprint, language_id, near_dedup, packing, secret_scan
+from . import (exact_dedup, fingerprint, html_layout, language_id, near_dedup, packing, repeats,
+               secret_scan, sentencepiece_fst, token_count)
 from .common import documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES = {
+    "op1_sentencepiece": lambda s, d: sentencepiece_fst.encode(documents(s, d), PIECES, with_ids=False),
     "op2_language_id": lambda s, d: language_id.identify(documents(s, d)),
     "op3_minhash_near_dedup": lambda s, d: near_dedup.near_dedup(documents(s, d)),
     "op4_secret_scan": lambda s, d: secret_scan.digest(secret_scan.detect(documents(s, d))),
     "op5_best_fit_packing": lambda s, d: packing.pack(documents(s, d), WORD_BPE),
     "op6_fingerprints": lambda s, d: fingerprint.edited_fingerprints(documents(s, d)),
+    "op7_suffix_array_dedup": lambda s, d: repeats.remove_repeats(documents(s, d)),
     "op8_exact_dedup": lambda s, d: exact_dedup.decide(documents(s, d)),
+    "op9_token_counts": lambda s, d: token_count.count_tokens(documents(s, d), PIECES),
+    "op10_html_extraction": lambda s, d: html_layout.extract(s.read.parquet(f"{d}/pages.parquet")),
 }
 
 ORACLES = {"op8_exact_dedup": exact_dedup.ORACLE}

@@ -77,10 +77,30 @@ def test_near_chains_and_crowds(make):
     assert near(make(list(texts.items()))) == brute_components(texts)
 
 
-def test_near_large_groups_by_blocks(make, monkeypatch):
-    monkeypatch.setattr(near_dedup, "SMALL", 4)
-    monkeypatch.setattr(near_dedup, "BLOCK", 16)
-    test_near_chains_and_crowds(make)
+def test_groups_by_join_and_by_blocks(spark, make, monkeypatch):
+    """All pairs across components of one group of 150, either way."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(60)]
+    texts = {}
+    for i in range(150):
+        d = list(base)
+        for _ in range(rng.randrange(12)):
+            d[rng.randrange(60)] = f"v{rng.randrange(10**6)}"
+        texts[i] = " ".join(d)
+    sets = brute_sets(texts)
+    want = {(a, b) for a in texts for b in range(a)
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    df = make(list(texts.items()))
+    sigs = near_dedup.sign(df).select("doc_id", "sig")
+    far = df.selectExpr("1L as key", "doc_id")
+    none = spark.createDataFrame([], "id long, comp long")
+    for small in (1000, 4):
+        monkeypatch.setattr(near_dedup, "SMALL", small)
+        monkeypatch.setattr(near_dedup, "BLOCK", 16)
+        got = {tuple(r) for r in near_dedup._by_groups(far, none, sigs).select("a", "b").collect()}
+        close = {tuple(r) for r in near_dedup._near(
+            spark.createDataFrame(sorted(got), "a long, b long"), sigs, near_dedup.FLOOR).collect()}
+        assert want <= got and want <= close
 
 
 def test_exact_oracle(spark):
