@@ -10,19 +10,22 @@ and links with nothing.  Two documents are linked when
    pair at similarity 0.75 misses all of them with probability 5e-6).  Of each
    minimum the low ``B`` bits are kept, packed into 64-bit words.
 2. Equal sets collapse to one representative, so copies cost one row each.
-3. In each band group every member is paired with the smallest set (a star:
-   linear in the group).  The packed signatures estimate the similarity,
-   corrected for chance agreement of ``B`` bits.  Pairs under ``NEAR`` are
-   far; the others are compared on the full sets, which also gives each
-   member's novel shingles, those that the hub lacks.
-4. What the stars leave open is finished without pairing whole groups:
-
-   * a member that is not linked to its hub can only be linked to another
-     near member that shares a novel shingle with it.  (The hub has the
-     smallest set, so an overlap of 3/7 of both sizes does not fit into the
-     hub's part alone.)  So such members look for partners by novel shingles,
-     and only by a prefix of the rarest: any partner shares at least ``need``
-     of them, hence one of all but the ``need - 1`` most frequent;
+3. In each band group every member is paired with a hub (a star: linear in the
+   group): the member with the most company over all its bands, that is the
+   likely original, then the smallest id.  The packed signatures estimate the
+   similarity, corrected for chance agreement of ``B`` bits.  Pairs under
+   ``NEAR`` are far; the others are compared on the full sets, which also
+   gives each member's novel shingles, those that the hub lacks.
+4. What the stars leave open is finished without pairing whole groups.  A link
+   of u and c needs ``3 / 7 * (|u| + |c|)`` common shingles; at most
+   ``min(|u & hub|, |c & hub|)`` of them are the hub's:
+
+   * if u is not linked to the hub and c is no smaller than the hub, the hub's
+     part never suffices, so c shares ``need`` or more novel shingles with u,
+     hence one of u's novel shingles other than the ``need - 1`` most frequent:
+     partners are looked up by that prefix of rare ones;
+   * a smaller c is looked up by all novel shingles of u, and paired directly
+     where the hub's part could suffice;
    * far members of a group cannot be linked to those linked with the hub
      (distances 1 - J add up); among themselves all pairs across components
      are estimated, in small groups by a join, in groups over ``SMALL``
@@ -195,15 +198,15 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _by_novel(checked: DataFrame) -> DataFrame:
-    """Candidate pairs of near members that a star did not link: they share a
-    novel shingle within the rarest ones of the member that is not linked."""
+    """Candidate pairs of near members of a hub that a star did not link."""
     open_hubs = stage(checked.filter("not linked").select("b").distinct(), "near-open-hubs")
-    rows = (checked.join(open_hubs, "b", "left_semi")
-            .select("a", "b", "linked", F.size("novel").alias("nn"),
-                    # any partner has at least the hub's size and 3/4 of na
-                    (F.ceil(3 * (F.col("na") + F.greatest("nb", F.ceil(F.col("na") * 3 / 4))) / 7)
-                     - F.col("both")).alias("need"),
-                    F.explode("novel").alias("sh")))
+    own = stage(checked.join(open_hubs, "b", "left_semi"), "near-open-stars")
+    rows = own.select(
+        "a", "b", "linked", (F.col("na") < F.col("nb")).alias("small"),
+        F.size("novel").alias("nn"),
+        (F.ceil(3 * (F.col("na") + F.greatest("nb", F.ceil(F.col("na") * 3 / 4))) / 7)
+         - F.col("both")).alias("need"),
+        F.explode("novel").alias("sh"))
     rows = stage(rows, "near-novel")
     freq = stage(rows.groupBy("b", "sh").agg(F.count(F.lit(1)).alias("f")).filter("f >= 2"),
                  "near-freq")
@@ -212,10 +215,22 @@ def _by_novel(checked: DataFrame) -> DataFrame:
     rare = (rows.filter("not linked")
             .withColumn("rank", F.row_number().over(w.orderBy("f", "sh")))
             .withColumn("alone", F.col("nn") - F.count(F.lit(1)).over(w))
-            .filter("rank + alone <= nn - need + 1")
-            .select("b", "sh", F.col("a").alias("u")))
-    other = rows.select("b", "sh", F.col("a").alias("c"))
-    return (rare.join(other, ["b", "sh"]).filter("u != c")
+            .select("b", "sh", F.col("a").alias("u"),
+                    F.expr("rank + alone <= nn - need + 1").alias("rare")))
+    other = rows.select("b", "sh", F.col("a").alias("c"), "small")
+    shared = (rare.join(other, ["b", "sh"]).filter("u != c and (rare or small)")
+              .select("u", "c"))
+    # where the hub's part could suffice: 3 * (nu + nc) <= 7 * min(both)
+    u = own.filter("not linked").select("b", F.col("a").alias("u"), F.col("na").alias("nu"),
+                                        F.col("both").alias("bu"))
+    c = own.filter("na < nb").select("b", F.col("a").alias("c"), F.col("na").alias("nc"),
+                                     F.col("both").alias("bc"))
+    room = stage(u.groupBy("b").agg(F.max(F.floor(F.col("bu") * 7 / 3) - F.col("nu")).alias("most")),
+                 "near-room")
+    c = c.join(room, "b").filter("nc <= most")
+    inside = (u.join(c, "b").filter("u != c and 3 * (nu + nc) <= 7 * least(bu, bc) "
+                                    "and 4 * nc >= 3 * nu and 4 * nu >= 3 * nc").select("u", "c"))
+    return (shared.unionByName(inside)
             .select(F.greatest("u", "c").alias("a"), F.least("u", "c").alias("b")).distinct())
 
 
@@ -283,15 +298,16 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # one row per distinct set: the rows of a representative
     own = stage(some.join(reps.select("hi", "lo", F.col("rep").alias("doc_id")),
                           ["hi", "lo", "doc_id"], "left_semi")
-                .select("doc_id", "n_shingles", "hi", "lo", "bands", "sig")
+                .select("doc_id", "hi", "lo", "bands", "sig")
                 .dropDuplicates(["hi", "lo"]), "near-own")
-    keys = own.select("doc_id", "n_shingles", F.explode("bands").alias("key"))
-    # the smallest set of each group, then the smallest id; groups of one go
-    hubs = stage(keys.groupBy("key", "n_shingles")
-                 .agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
-                 .groupBy("key").agg(F.min_by("first", "n_shingles").alias("hub"),
-                                     F.sum("n").alias("n"))
-                 .filter("n > 1").select("key", "hub"), "near-hubs")
+    keys = stage(own.select("doc_id", F.explode("bands").alias("key")), "near-keys")
+    size = stage(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "near-size")
+    keys = stage(keys.join(size, "key"), "near-groups")
+    # company of a member: how many others it meets, over all bands
+    company = stage(keys.groupBy("doc_id").agg(F.sum("n").alias("company")), "near-company")
+    hubs = stage(keys.join(company, "doc_id").groupBy("key", "company")
+                 .agg(F.min("doc_id").alias("first"))
+                 .groupBy("key").agg(F.max_by("first", "company").alias("hub")), "near-hubs")
     members = stage(keys.select("key", "doc_id").join(hubs, "key").filter("doc_id != hub"),
                     "near-grouped")
     star = members.select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()

@@ -77,6 +77,26 @@ def test_near_chains_and_crowds(make):
     assert near(make(list(texts.items()))) == brute_components(texts)
 
 
+def test_near_crowd_with_shorter_copies(make):
+    """Copies with words replaced or left out, many of them below the
+    threshold to the original but not to each other."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(150)]
+    texts = {500: " ".join(base)}
+    for i in range(160):
+        d = list(base)
+        for _ in range(rng.randrange(9)):
+            d[rng.randrange(len(d))] = f"v{rng.randrange(10**6)}"
+        if i % 2:
+            at, n = rng.randrange(100), rng.randrange(45)
+            d = d[:at] + d[at + n:]
+        texts[i] = " ".join(d)
+        if i % 5 == 0:
+            d[rng.randrange(len(d))] = "again"
+            texts[200 + i] = " ".join(d)
+    assert near(make(list(texts.items()))) == brute_components(texts)
+
+
 def test_groups_by_join_and_by_blocks(spark, make, monkeypatch):
     """All pairs across components of one group of 150, either way."""
     rng = random.Random(6)
