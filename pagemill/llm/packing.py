@@ -27,7 +27,9 @@ an empty result; other columns are not read.
 from __future__ import annotations
 
 import bisect
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +44,7 @@ END = 0
 NODES = 20_000
 #: Fillings tried per node, and entries in a worker's cache of words.
 WIDTH = 8
-CACHE = 300_000
+CACHE = 600_000
 
 Pattern = tuple[int, list[tuple[int, int]]]     # bins, (length, pieces a bin)
 
@@ -58,6 +60,11 @@ class Tokens:
     _cache: dict[str, dict[str, bytes]] = {}
     ODD = frozenset("\x1c\x1d\x1e\x1f")
     STOPS = ".,;:!?"
+    #: The byte-level alphabet: printable bytes stand for themselves, the others
+    #: follow from code point 256.
+    PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    BYTES = dict(zip([*PLAIN, *sorted(set(range(256)) - set(PLAIN))],
+                     map(chr, [*PLAIN, *range(256, 256 + 256 - len(PLAIN))])))
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -65,6 +72,17 @@ class Tokens:
         self.known = self._cache.setdefault(path, {})
         self.parts = self._cache.setdefault(path + "#parts", {})
 
+    def _word(self, word: str) -> bytes:
+        """Ids of one word.  Lower-case letters in composed form are one word of
+        the pre-tokeniser and go to the model directly."""
+        if word.isalpha() and word.islower():
+            if not word.isascii():
+                if not unicodedata.is_normalized("NFC", word) or any(c.lower() != c for c in word):
+                    return self._encode([word])[0]
+                word = "".join(map(self.BYTES.__getitem__, word.encode()))
+            return array("I", [t.id for t in self.tok.model.tokenize(word)]).tobytes()
+        return self._encode([word])[0]
+
     def _encode(self, words: list[str]) -> list[bytes]:
         got = self.tok.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in got]
@@ -78,19 +96,19 @@ class Tokens:
         return word, ""
 
     def _learn(self, words: set[str]) -> None:
-        if len(self.known) > CACHE:
-            self.known.clear()
         if len(self.parts) > CACHE:
             self.parts.clear()
         cut = {w: self._split(w) for w in words}
-        need = list({p for pair in cut.values() for p in pair if p}.difference(self.parts))
-        self.parts.update(zip(need, self._encode(need)))
+        need = {p for pair in cut.values() for p in pair if p}.difference(self.parts)
+        self.parts.update({p: self._word(p) for p in need})
         self.parts[""] = b""
         self.known.update({w: self.parts[a] + self.parts[b] for w, (a, b) in cut.items()})
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for at in range(0, len(texts), 128):
             part = texts[at:at + 128]
+            if len(self.known) > CACHE:
+                self.known.clear()
             words = [None if self.ODD.intersection(t) else t.split() for t in part]
             new = set().union(*filter(None, words)).difference(self.known)
             if new:
