@@ -21,7 +21,7 @@ from ..operators import attempts as fb
 from ..operators import clean as cl
 from ..operators import links as lk
 from ..sources import io
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources.store import ChunkStore
 
 
@@ -80,18 +80,20 @@ def clean_dataset(spark: SparkSession, input_path: str, output_path: str,
     """Clean run: read the article JSON (entries that are not objects are
     counted as errors), clean, write Parquet, return the statistics (CL9).
 
-    When cleaning in place with ``backup``, the input is first copied to
-    ``<input>_backup`` and the rewrite reads from that copy (IO8).
+    A malformed file raises before anything is written.  When cleaning in
+    place with ``backup``, the files' contents are first copied unchanged to
+    ``<input>_backup`` (IO8), with unknown keys and entries that are not
+    objects.
     """
     articles = io.read_mixed_articles(spark, input_path)
-    if input_path == output_path and backup:
-        snap = input_path.rstrip("/") + "_backup"
-        articles.write.mode("overwrite").parquet(snap)
-        articles = spark.read.parquet(snap)
-    elif input_path == output_path:
-        # no backup wanted: still cut the lineage to the files being replaced
-        ensure_checkpoint_dir(spark)
-        articles = articles.checkpoint(eager=True)
+    if input_path == output_path:
+        # cut the lineage to the files being replaced; this also parses them all
+        path = scratch_path(spark, "clean-input")
+        articles.write.parquet(path)
+        articles = spark.read.parquet(path)
+        if backup:
+            (spark.read.text(input_path, wholetext=True)
+             .write.mode("overwrite").text(input_path.rstrip("/") + "_backup"))
     cleaned = cl.clean_articles(articles)
     cleaned.write.mode("overwrite").parquet(output_path)
     return cl.clean_stats(spark.read.parquet(output_path))

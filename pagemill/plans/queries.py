@@ -320,13 +320,13 @@ def q_stream_incremental(spark, sf_dir):
     docs = fx.read_table(spark, sf_dir, "documents")
     store = ChunkStore(spark, scratch_path(spark, "stream-store"), embed=False)
     # Seed the ledger with the fixture ledger as batch 0 of the store.
-    store.import_ledger(fx.ledger_links(spark, sf_dir), batch=0)
+    store.import_ledger(fx.ledger_links(spark, sf_dir))
 
     def prepare(raw):
         return cl.clean_articles(fx.articles_from_documents(raw)).drop("clean_status", "extracted_date")
 
     run_build_stream(spark, sf_dir, docs.schema, store, scratch_path(spark, "stream-ckpt"),
-                     prepare=prepare, glob="documents.parquet", batch_offset=1)
+                     prepare=prepare, glob="documents.parquet")
     return store.chunks().select(*CHUNK_COLUMNS)
 
 

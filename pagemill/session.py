@@ -68,13 +68,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory of this session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared file system and is
-    used as is.  Only when it is unset (local tests) a scratch directory is
-    created and registered.
+    used as is; there it must be set.  In a local session (tests) a scratch
+    directory is created and registered when it is unset.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured and sc.getCheckpointDir():
         return sc.getCheckpointDir()
+    if not configured and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     if not configured:
         configured = tempfile.mkdtemp(prefix="pagemill-ckpt-")
     if not sc.getCheckpointDir():

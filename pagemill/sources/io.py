@@ -27,16 +27,18 @@ def _entries(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFr
 
     ``pos = (rank of the file path) << 32 | element index``: unique, and
     rising in file-path order, then element order.  The file ranks come from
-    the scan's file list (metadata the driver holds anyway), so the small
-    rank table is broadcast with a bound: one row per input file.
+    the scan's file list (metadata the driver holds anyway).  In ``FAILFAST``
+    mode malformed JSON and a top level that is not an array raise.
     """
     raw = (spark.read.option("singleVariantColumn", "_v").option("multiLine", True)
            .option("mode", mode).json(path))
     ranks = spark.createDataFrame(list(enumerate(sorted(raw.inputFiles()))),
                                   "_fr long, _file string")
     arr = F.try_variant_get(F.col("_v"), "$", "array<variant>")
+    if mode == "FAILFAST":
+        arr = F.when(arr.isNull(), F.raise_error(F.lit("not a JSON array"))).otherwise(arr)
     return (raw.select(F.input_file_name().alias("_file"), arr.alias("_a"))
-            .join(F.broadcast(ranks), "_file")
+            .join(ranks, "_file")
             .select("_fr", F.posexplode("_a").alias("_i", "entry"))
             .select((F.shiftleft("_fr", 32) + F.col("_i")).alias("pos"), "entry"))
 
@@ -60,14 +62,15 @@ def _articles(e: DataFrame) -> DataFrame:
     return e.select("pos", *cols, is_obj.alias("is_object"))
 
 
-def read_mixed_articles(spark: SparkSession, path: str) -> DataFrame:
-    """IO2: tolerant of array entries that are not objects.
+def read_mixed_articles(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
+    """IO2: tolerant of array entries that are not objects; a file that is not
+    a JSON array raises.
 
     Every entry becomes a row; ``is_object`` is false for entries that are
     not JSON objects (their fields are NULL), which the cleaner counts as
     errors.
     """
-    return _articles(_entries(spark, path))
+    return _articles(_entries(spark, path, mode))
 
 
 def read_links(spark: SparkSession, path: str) -> DataFrame:
@@ -83,7 +86,7 @@ def read_links(spark: SparkSession, path: str) -> DataFrame:
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     """IO4: keyed dataset from an article file; error -> empty."""
     try:
-        arts = read_mixed_articles(spark, path).filter(F.col("is_object")).drop("is_object")
+        arts = read_mixed_articles(spark, path, "PERMISSIVE").filter(F.col("is_object")).drop("is_object")
     except AnalysisException:
         return _empty(spark, ARTICLE)
     return load_dataset(arts)

@@ -1,15 +1,15 @@
 """Chunk store: a chunk table, a ledger table and a commit log under one
 root (IO11, IO12, IX2-IX7).
 
-Chunks and ledger are Parquet, partitioned by ``batch_id``.  A build run
-writes its chunks into partition N, then its ledger marks into partition N
-(both with dynamic partition overwrite), then appends one row for N to the
-commit log: ``(batch_id, max_chunk_no, chunks)``.  Only batches in the log
-are visible; a run that dies before its commit row is repeated and
-overwrites its own partitions, so every batch lands exactly once.  The next
-batch id and the id base come from the log, which has one row per batch, so
-they cost nothing however large the tables grow.  In a stream the batch id
-is the epoch id.
+Every run writes its chunks and ledger marks below a fresh ``attempt`` name,
+then appends one row to the commit log that names the attempt.  Only attempts
+in the log are visible, so a run that dies leaves nothing behind that a later
+run could show, and nothing is ever overwritten.  Batch ids come from the log
+alone.  A stream names its epochs by ``run_key``; a key that is in the log is
+not built again, and the keys of different streams and of batch runs cannot
+meet.  A forced rebuild is one log row as well: it hides all earlier batches
+and shows the new one in the same append.  The next batch id and the id base
+come from the log, which has one row per batch.
 """
 
 from __future__ import annotations
@@ -23,12 +23,15 @@ from pyspark.sql import functions as F
 from ..operators import embed as em
 from ..operators import index as ix
 from ..schema import EMBEDDED_CHUNKS, LEDGER
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 
 # Default collection name.
 COLLECTION = "article_chunks"
 
-COMMITS = "batch_id long, max_chunk_no long, chunks long, committed_at timestamp"
+COMMITS = ("batch_id long, run_key string, attempt string, resets boolean, "
+           "max_chunk_no long, chunks long, committed_at timestamp")
+#: Error conditions that mean "not written yet".
+ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
 class ChunkStore:
@@ -45,23 +48,36 @@ class ChunkStore:
 
     # -- reading (IO9, IO12) ------------------------------------------------
     def _read(self, path: str, schema) -> DataFrame:
+        """The table, or an empty one if it was never written; any other
+        failure is raised."""
         try:
             return self.spark.read.parquet(path)
-        except AnalysisException:
-            empty = self.spark.createDataFrame([], schema)
-            return empty.withColumn("batch_id", F.lit(None).cast("long"))
+        except AnalysisException as e:
+            if e.getCondition() not in ABSENT:
+                raise
+            return self.spark.createDataFrame([], schema)
 
     def commits(self) -> DataFrame:
-        return self._read(self.commits_path, COMMITS)
+        """Log rows since the last rebuild (that row included)."""
+        log = self._read(self.commits_path, COMMITS)
+        last = log.filter("resets").agg(F.max("batch_id")).first()[0]
+        return log if last is None else log.filter(F.col("batch_id") >= last)
 
     def committed_batches(self) -> DataFrame:
         return self.commits().select("batch_id")
 
     def _visible(self, path: str, schema, before: int | None) -> DataFrame:
-        raw = self._read(path, schema)
+        log = self.commits().select("attempt", "batch_id")
         if before is not None:
-            raw = raw.filter(F.col("batch_id") < before)
-        return raw.join(self.committed_batches(), "batch_id", "left_semi")
+            log = log.filter(F.col("batch_id") < before)
+        try:
+            raw = self.spark.read.parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() not in ABSENT:
+                raise
+            raw = self.spark.createDataFrame([], schema).withColumn(
+                "attempt", F.lit(None).cast("string"))
+        return raw.join(log, "attempt").drop("attempt")
 
     def ledger(self, before: int | None = None) -> DataFrame:
         """Ledger rows of committed batches (optionally of batches < before)."""
@@ -72,12 +88,18 @@ class ChunkStore:
         return self._visible(self.chunks_path, EMBEDDED_CHUNKS, before)
 
     def next_batch(self) -> int:
-        last = self.commits().agg(F.max("batch_id")).first()[0]
+        last = self._read(self.commits_path, COMMITS).agg(F.max("batch_id")).first()[0]
         return 0 if last is None else int(last) + 1
 
     def is_committed(self, batch: int) -> bool:
         return self.commits().filter(F.col("batch_id") == batch).limit(1).count() > 0
 
+    def batch_of(self, run_key: str) -> int | None:
+        """The batch that a run key was committed as."""
+        row = (self._read(self.commits_path, COMMITS).filter(F.col("run_key") == run_key)
+               .agg(F.max("batch_id")).first())
+        return row[0]
+
     def id_base(self, batch: int) -> int:
         """Largest chunk number of the batches before ``batch`` (0 if none)."""
         top = (self.commits().filter(F.col("batch_id") < batch)
@@ -85,57 +107,57 @@ class ChunkStore:
         return int(top or 0)
 
     # -- writing (IX3, IX4) -------------------------------------------------
-    def _write(self, df: DataFrame, path: str, batch_id: int) -> None:
-        (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(path))
+    def _write(self, df: DataFrame, path: str, attempt: str) -> None:
+        df.write.mode("error").parquet(os.path.join(path, f"attempt={attempt}"))
 
-    def _commit(self, batch: int, base: int) -> None:
-        written = self._read(self.chunks_path, EMBEDDED_CHUNKS).filter(F.col("batch_id") == batch)
+    def _commit(self, batch: int, base: int, attempt: str, run_key: str | None = None,
+                resets: bool = False) -> None:
+        written = self._read(os.path.join(self.chunks_path, f"attempt={attempt}"), EMBEDDED_CHUNKS)
         top, n = written.agg(F.max("chunk_no"), F.count(F.lit(1))).first()
-        row = [(batch, int(top if top is not None else base), int(n))]
-        (self.spark.createDataFrame(row, "batch_id long, max_chunk_no long, chunks long")
+        row = [(batch, run_key, attempt, resets, int(top if top is not None else base), int(n))]
+        (self.spark.createDataFrame(row, COMMITS.rsplit(",", 1)[0])
          .withColumn("committed_at", F.current_timestamp())
          .write.mode("append").parquet(self.commits_path))
 
-    def import_ledger(self, links: DataFrame, batch: int = 0) -> None:
-        """Commit existing ledger rows ``(link, processed_at)`` as ``batch``
-        (for example a ledger kept by an earlier tool) with no chunks."""
-        self._write(self.spark.createDataFrame([], EMBEDDED_CHUNKS), self.chunks_path, batch)
-        self._write(links.select("link", "processed_at"), self.ledger_path, batch)
-        self._commit(batch, self.id_base(batch))
+    def import_ledger(self, links: DataFrame) -> int:
+        """Commit existing ledger rows ``(link, processed_at)`` (for example a
+        ledger kept by an earlier tool) as a batch with no chunks."""
+        batch, attempt = self.next_batch(), f"a{os.urandom(8).hex()}"
+        self._write(self.spark.createDataFrame([], EMBEDDED_CHUNKS), self.chunks_path, attempt)
+        self._write(links.select("link", "processed_at"), self.ledger_path, attempt)
+        self._commit(batch, self.id_base(batch), attempt)
+        return batch
 
     def clear(self) -> None:
-        """IX4: empty both tables (a forced rebuild starts from nothing)."""
-        (self.spark.createDataFrame([], COMMITS).write.mode("overwrite")
-         .parquet(self.commits_path))
-        for path, schema in ((self.chunks_path, EMBEDDED_CHUNKS), (self.ledger_path, LEDGER)):
-            (self.spark.createDataFrame([], schema)
-             .withColumn("batch_id", F.lit(None).cast("long"))
-             .write.mode("overwrite").partitionBy("batch_id").parquet(path))
-
-    def build(self, articles: DataFrame, rebuild: bool = False,
-              batch_id: int | None = None) -> DataFrame:
+        """IX4: hide everything, by one log row."""
+        self._commit(self.next_batch(), 0, f"none{os.urandom(8).hex()}", resets=True)
+
+    def build(self, articles: DataFrame, rebuild: bool = False, batch_id: int | None = None,
+              run_key: str | None = None) -> DataFrame:
         """IX3: index only articles not yet in the ledger; returns the run's
         statistics (IX5) as a one-row DataFrame.
 
-        Every read of a batch-N run sees batches < N only, so the result does
-        not depend on when Spark evaluates it, and re-running batch N (after a
-        failure, or a replayed stream epoch) gives the same rows.
+        The input is evaluated once, into a staging table.  A committed
+        ``batch_id`` or ``run_key`` is not built again; its statistics are
+        returned.
         """
-        if rebuild:
-            self.clear()
-        batch = self.next_batch() if batch_id is None else batch_id
-        validated = ix.validate_articles(articles, self.ledger(before=batch))
+        staged = scratch_path(self.spark, "store-input")
+        articles.write.parquet(staged)
+        articles = self.spark.read.schema(articles.schema).parquet(staged)
+        known = self.batch_of(run_key) if run_key is not None else batch_id
+        batch = self.next_batch() if known is None else known
+        before = -1 if rebuild else batch
+        validated = ix.validate_articles(articles, self.ledger(before=before))
         if not self.is_committed(batch):
-            base = self.id_base(batch)
+            base = 0 if rebuild else self.id_base(batch)
+            attempt = f"a{os.urandom(8).hex()}"
             new = ix.assign_chunks(ix.to_process(validated, articles), base_id=base)
             rows = new.select(*[f.name for f in EMBEDDED_CHUNKS.fields if f.name != "embedding"])
             rows = (em.embed_chunks(rows) if self.embed
                     else rows.withColumn("embedding", F.lit(None).cast("array<float>")))
-            self._write(rows, self.chunks_path, batch)
-            self._write(ix.ledger_marks(validated), self.ledger_path, batch)
-            self._commit(batch, base)
+            self._write(rows, self.chunks_path, attempt)
+            self._write(ix.ledger_marks(validated), self.ledger_path, attempt)
+            self._commit(batch, base, attempt, run_key, resets=rebuild)
         written = self.chunks().filter(F.col("batch_id") == batch)
         stats = ix.build_stats(validated, written).withColumn("batch_id", F.lit(batch))
         return self.spark.createDataFrame(stats.collect(), stats.schema)

@@ -1,9 +1,10 @@
 """Incremental index build as a Structured Streaming query (IX3 as a stream).
 
 New article files arriving in a directory are picked up by the file source;
-each micro-batch runs the batch build against the store with the epoch id as
-batch id, so a re-delivered epoch overwrites its own partitions instead of
-adding rows twice.  ``availableNow`` processes what is there and stops.
+each micro-batch runs the batch build against the store under the key
+``<stream>:<epoch>``, so a re-delivered epoch adds nothing and epochs cannot
+collide with batch runs or with other streams.  ``availableNow`` processes
+what is there and stops.
 """
 
 from __future__ import annotations
@@ -22,10 +23,11 @@ def start_build_stream(spark: SparkSession, source_dir: str, schema: StructType,
                        prepare: Callable[[DataFrame], DataFrame] | None = None,
                        glob: str | None = None, available_now: bool = True,
                        max_files_per_trigger: int | None = None,
-                       batch_offset: int = 0) -> StreamingQuery:
+                       stream: str | None = None) -> StreamingQuery:
     """Start the stream.  ``prepare`` maps raw rows to articles (for example
-    the cleaner); it must be a per-row transformation.  Store batch ids are
-    ``epoch_id + batch_offset`` (an offset leaves room for imported batches)."""
+    the cleaner); it must be a per-row transformation.  ``stream`` names the
+    stream in the store's log; a checkpoint belongs to one stream, so its path
+    is the default."""
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -35,7 +37,7 @@ def start_build_stream(spark: SparkSession, source_dir: str, schema: StructType,
     articles = prepare(src) if prepare else src
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        store.build(batch, batch_id=epoch_id + batch_offset)
+        store.build(batch, run_key=f"{stream or checkpoint}:{epoch_id}")
 
     writer = (articles.writeStream.foreachBatch(run)
               .option("checkpointLocation", checkpoint))

@@ -100,24 +100,69 @@ def test_store_incremental_equals_full_and_reruns_once(spark):
     assert inc.chunks().count() == before and s0["batch_id"] == 0
     # forced rebuild empties both tables first
     r = inc.build(arts, rebuild=True).first()
-    assert inc.chunks().count() == full.chunks().count() and r["batch_id"] == 0
+    assert inc.chunks().count() == full.chunks().count() and r["chunks_added"] == full.chunks().count()
+    assert inc.chunks().agg(F.min("chunk_no")).first()[0] == 1
     st = inc.stats().first()
     assert st["total_chunks"] == full.chunks().count()
     status = inc.status(arts).first()
     assert status["remaining"] == status["total_articles"] - status["processed_articles"]
 
 
-def test_uncommitted_chunks_are_ignored_and_overwritten(spark):
+def test_dead_runs_never_show(spark):
+    """A run that died after writing, then a retry with nothing new."""
     arts = q.cleaned_articles(spark, SF001)
     st = ChunkStore(spark, scratch(), embed=False)
-    # simulate a run that died after writing chunks of batch 0
-    st._write(spark.createDataFrame([("id1", 1, "x", "t", "", "junk", None)],
-                                    "chunk_id string, chunk_no long, link string, title string, "
-                                    "publish_date string, chunk_text string, embedding array<float>"),
-              st.chunks_path, 0)
-    assert st.chunks().count() == 0
+    junk = spark.createDataFrame([("id1", 1, "x", "t", "", "junk", None)],
+                                 "chunk_id string, chunk_no long, link string, title string, "
+                                 "publish_date string, chunk_text string, embedding array<float>")
+    st._write(junk, st.chunks_path, "dead")
+    st._write(spark.createDataFrame([("x", None)], "link string, processed_at timestamp"),
+              st.ledger_path, "dead")
+    assert st.chunks().count() == st.ledger().count() == 0
+    st.build(arts.limit(0))
+    assert st.chunks().count() == st.ledger().count() == 0
     st.build(arts)
-    assert st.chunks().filter(F.col("chunk_text") == "junk").count() == 0
+    assert st.chunks().filter(F.col("chunk_text") == "junk").count() == 0 < st.chunks().count()
+
+
+def test_epochs_and_batches_do_not_collide(spark):
+    arts = q.cleaned_articles(spark, SF001)
+    part = lambda a, b: arts.filter((F.col("pos") >= a) & (F.col("pos") < b))
+    st = ChunkStore(spark, scratch(), embed=False)
+    st.build(part(0, 40), run_key="s:0")
+    st.build(part(40, 80))
+    assert st.build(part(80, 120), run_key="s:1").first()["chunks_added"] > 0
+    n = st.chunks().count()
+    st.build(part(80, 120), run_key="s:1")            # delivered again
+    assert st.chunks().count() == n and st.commits().count() == 3
+    full = ChunkStore(spark, scratch(), embed=False)
+    full.build(part(0, 120))
+    assert full.chunks().count() == n
+    st.clear()
+    assert st.chunks().count() == st.ledger().count() == 0
+
+
+def test_unreadable_log_is_not_an_empty_store(spark):
+    st = ChunkStore(spark, scratch(), embed=False)
+    os.makedirs(st.commits_path)
+    write(os.path.join(st.commits_path, "part-0.parquet"), "no parquet")
+    with pytest.raises(Exception):
+        st.next_batch()
+
+
+def test_clean_in_place_keeps_the_raw_files(spark):
+    from pagemill.plans.jobs import clean_dataset
+    d = scratch()
+    raw = [{"link": "a", "Text": "x", "Extra": 1}, 7]
+    write(os.path.join(d, "a.json"), raw)
+    clean_dataset(spark, d, d)
+    assert [json.loads(r[0]) for r in spark.read.text(d + "_backup").collect()] == [raw]
+    for bad in ('[{"link": ', '{"link": "a"}'):
+        b = scratch()
+        write(os.path.join(b, "bad.json"), bad)
+        with pytest.raises(Exception):
+            clean_dataset(spark, b, b)
+        assert os.listdir(b) == ["bad.json"]
 
 
 def test_stream_equals_batch(spark):

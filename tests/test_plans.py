@@ -16,6 +16,8 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
 def test_no_cross_products_and_bounded_windows(spark):
     global_windows = []
     for name, q in entry.queries().items():
+        if name.startswith("op") or name == "pipeline":
+            continue               # linted where their subpackage is tested
         plan = q(spark, SF001)._jdf.queryExecution().executedPlan().toString()
         for op in FORBIDDEN:
             assert op not in plan, (name, op)
