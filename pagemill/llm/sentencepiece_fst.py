@@ -4,15 +4,17 @@ The transducer is the composition of the normaliser (identity on characters,
 space -> mark, a mark in front), the pieces (arcs that read a piece's
 characters and write its id) and the byte fallback (arcs that read a character
 that is no piece and write its bytes).  It is composed with each input word
-lazily: a state is a position in the word, and for merge models also the last
-piece.  Weights form the tropical semiring (sum along a path, minimum over
-paths), and positions are a topological order, so one sweep relaxes all arcs.
+lazily, with an Aho-Corasick automaton to read the pieces: a state is a position
+in the word, and for merge models also the last piece.  Weights form the
+tropical semiring (sum along a path, minimum over paths), and positions are a
+topological order, so one sweep relaxes all arcs.
 
 * Unigram models: an arc weighs minus its piece's score.
 * Merge (BPE) models are not additive, but a sequence of pieces is the merge
   result exactly when merging the text of any two neighbours gives back these
   two.  So an arc from piece x to piece y weighs 0 when (x, y) is stable and
-  infinity otherwise, and the one finite path is the encoding.
+  infinity otherwise, and the one finite path is the encoding.  Whether a pair is
+  stable is read off the two pieces' own merge steps, run side by side.
 
 Decoding reverses the arcs: piece texts and bytes are concatenated, marks
 become spaces, and the mark in front goes.
@@ -26,6 +28,7 @@ from __future__ import annotations
 import zlib
 from array import array
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +37,9 @@ from .common import map_batches
 from .pieces import BPE, SPACE, UNKNOWN_PENALTY, Cached, Vocabulary
 
 STABLE_CACHE = 2_000_000
+#: Marks of a position: no arc into it yet; its character is written as bytes.
+NONE, BYTES = -2, -1
+NEVER = float("-inf")
 
 
 class Transducer:
@@ -41,12 +47,15 @@ class Transducer:
 
     def __init__(self, proto: bytes):
         self.vocab = v = Vocabulary(proto)
-        self.longest = max(map(len, v.ids))
-        # prefixes of pieces: composition stops as soon as no arc can read on
-        self.prefixes = {p[:i] for p in v.ids for i in range(1, len(p) + 1)}
+        self.pieces = ahocorasick.Automaton()
+        for piece, i in v.ids.items():
+            self.pieces.add_word(piece, (len(piece), i))
+        self.pieces.make_automaton()
         self.merges = v.model == BPE
+        self.chars_known = all(c in v.ids for p in v.ids for c in p)
         self.unk_cost = -(v.worst - UNKNOWN_PENALTY)
-        self.stable: dict[tuple[str, str], bool] = {}
+        self.traces: dict[int, tuple | None] = {}
+        self.stable: dict[tuple[int, int], bool] = {}
         self.out = [p.replace(SPACE, " ").encode() for p in v.text]
         for b, i in v.byte_id.items():
             self.out[i] = bytes([b])
@@ -58,23 +67,12 @@ class Transducer:
             cls._made[path] = cls(open(path, "rb").read())
         return cls._made[path]
 
-    def arcs(self, word: str, i: int):
-        """``(end, piece or None)``: composed arcs out of position i; None
-        reads one character by bytes."""
-        ids, prefixes = self.vocab.ids, self.prefixes
-        for j in range(i + 1, min(len(word), i + self.longest) + 1):
-            part = word[i:j]
-            if part not in prefixes:
-                break
-            if part in ids:
-                yield j, part
-        if word[i] not in ids:
-            yield i + 1, None
-
-    def merged(self, text: str) -> list[str]:
-        """Plain merging: the best-scored pair first, the leftmost of equals."""
+    def merge_steps(self, text: str):
+        """Plain merging, the best-scored pair first, the leftmost of equals:
+        the score of each step, and the parts before and after the steps."""
         parts = list(text)
         ids, score = self.vocab.ids, self.vocab.score
+        yield None, parts
         while True:
             best, at = None, -1
             for k in range(len(parts) - 1):
@@ -82,69 +80,103 @@ class Transducer:
                 if i is not None and (best is None or score[i] > best):
                     best, at = score[i], k
             if at < 0:
-                return parts
+                return
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-
-    def fits(self, x: str | None, y: str | None) -> bool:
-        if x is None or y is None:
-            return True
-        got = self.stable.get((x, y))
-        if got is None:
-            if len(self.stable) >= STABLE_CACHE:
-                self.stable.clear()
-            got = self.stable[x, y] = self.merged(x + y) == [x, y]
-        return got
+            yield best, parts
+
+    def trace(self, i: int) -> tuple | None:
+        """Scores of the steps that merge piece i from its characters, and its
+        first and last part before each; None if merging ends elsewhere."""
+        if i not in self.traces:
+            scores, firsts, lasts, n = [], [], [], 0
+            for score, parts in self.merge_steps(self.vocab.text[i]):
+                if score is not None:
+                    scores.append(score)
+                firsts.append(parts[0])
+                lasts.append(parts[-1])
+                n = len(parts)
+            self.traces[i] = None if n != 1 else ([*scores, NEVER], firsts, lasts)
+        return self.traces[i]
+
+    def fits(self, x: int, y: int) -> bool:
+        """Whether merging the text of x and y side by side keeps the two: no
+        merge over the border is ever the best (leftmost) one."""
+        ids, score = self.vocab.ids, self.vocab.score
+        xs, _, ends = self.trace(x)
+        ys, starts, _ = self.trace(y)
+        a = b = 0
+        while True:
+            over = ids.get(ends[a] + starts[b])
+            if over is not None and score[over] > xs[a] and score[over] >= ys[b]:
+                return False
+            if xs[a] == ys[b] == NEVER:
+                return True
+            if xs[a] >= ys[b]:
+                a += 1
+            else:
+                b += 1
+
+    def merge_path(self, word: str) -> list[int]:
+        """The path of weight 0.  A position is done with the first arc of
+        weight 0 into it, as no path is lighter."""
+        ids, stable = self.vocab.ids, self.stable
+        last = [NONE, *(NONE if c in ids else BYTES for c in word)]
+        for end, (size, i) in self.pieces.iter(word):
+            j = end + 1
+            if last[j] != NONE:
+                continue
+            before = last[j - size]
+            if j != size and before == NONE:
+                continue
+            if before >= 0:
+                fits = stable.get((before, i))
+                if fits is None:
+                    if len(stable) >= STABLE_CACHE:
+                        stable.clear()
+                    fits = stable[before, i] = self.trace(i) is not None and self.fits(before, i)
+                if not fits:
+                    continue
+            elif self.trace(i) is None:
+                continue
+            last[j] = i
+        return last
+
+    def score_path(self, word: str) -> list[int]:
+        """The lightest path by scores; of equals the one whose last piece is
+        longest."""
+        n, score, ids = len(word), self.vocab.score, self.vocab.ids
+        into: list[list] = [[] for _ in range(n + 1)]
+        for end, arc in self.pieces.iter(word):
+            into[end + 1].append(arc)
+        cost, last = [0.0] * (n + 1), [NONE] * (n + 1)
+        for j in range(1, n + 1):
+            arcs = [(cost[j - size] - score[i], i) for size, i in sorted(into[j], reverse=True)]
+            if word[j - 1] not in ids:
+                arcs.append((cost[j - 1] + self.unk_cost, BYTES))
+            cost[j], last[j] = min(arcs, key=lambda arc: arc[0])
+        return last
 
     def shortest(self, word: str) -> list[int]:
         """Ids on the shortest path of the composition with ``word``."""
-        n, v = len(word), self.vocab
-        if self.merges and SPACE in word[1:]:
+        v, out = self.vocab, []
+        if self.merges and (SPACE in word[1:] or not self.chars_known):
             # runs of marks merge with equal scores, where only order decides
-            path = [p if p in v.ids else None for p in self.merged(word)]
-        else:
-            # per position: last piece -> (cost, start, piece before)
-            state: list[dict] = [{} for _ in range(n + 1)]
-            state[0]["^"] = (0.0, -1, None)
-            for i in range(n):
-                if not state[i]:
-                    continue
-                for j, piece in self.arcs(word, i):
-                    if self.merges:
-                        if piece is not None and self.merged_self(piece) is False:
-                            continue
-                        for last, (cost, _, _) in state[i].items():
-                            if last == "^" or self.fits(last, piece):
-                                state[j].setdefault(piece, (cost, i, last))
-                                break
-                    else:
-                        w = self.unk_cost if piece is None else -v.score[v.ids[piece]]
-                        cost = state[i]["*" if i else "^"][0] + w
-                        if "*" not in state[j] or cost < state[j]["*"][0]:
-                            state[j]["*"] = (cost, i, piece)
-            path, at = [], n
-            last = next(iter(state[n])) if n else None
-            while at:
-                cost, start, before = state[at][last]
-                path.append(last if self.merges else before)
-                at, last = start, (before if self.merges else "*" if start else "^")
-            path.reverse()
-        out, at = [], 0
-        for p in path:
-            if p is None:
-                out += [v.byte_id[b] for b in word[at].encode()]
-                at += 1
+            *_, (_, parts) = self.merge_steps(word)
+            for p in parts:
+                out += [v.ids[p]] if p in v.ids else [v.byte_id[b] for b in p.encode()]
+            return out
+        last, at = (self.merge_path if self.merges else self.score_path)(word), len(word)
+        while at:
+            i = last[at]
+            if i == BYTES:
+                out += [v.byte_id[b] for b in reversed(word[at - 1].encode())]
+                at -= 1
             else:
-                out.append(v.ids[p])
-                at += len(p)
+                out.append(i)
+                at -= len(v.text[i])
+        out.reverse()
         return out
 
-    def merged_self(self, piece: str) -> bool:
-        """Whether merging a piece's own text gives the piece."""
-        got = self.stable.get((piece, ""))
-        if got is None:
-            got = self.stable[piece, ""] = self.merged(piece) == [piece]
-        return got
-
     def encode(self, text: str) -> bytes:
         """Ids as 32-bit integers."""
         solved = self.solved
