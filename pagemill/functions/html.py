@@ -11,7 +11,8 @@ not part of the pipeline):
   a blank line; a block ends at ``</p>``, the next ``<p>`` or the end;
 * authors = ``<meta name="author">`` contents; publish date = the
   ``article:published_time`` meta or the first ``<time datetime>``, as an
-  ISO date-time string, NULL when absent or unparsable;
+  ISO date-time string with its offset if it has one, NULL when absent or
+  unparsable;
 * entities are decoded, ``&amp;`` last.
 
 Regular expressions avoid look-around and back-references, so the DuckDB
@@ -36,10 +37,20 @@ P_OPEN_RE = r"(?i)<p\b[^>]*>"
 P_CLOSE_RE = r"(?is)</p\s*>.*"
 BR_RE = r"(?i)<br\b[^>]*>"
 TAG_RE = r"(?s)<[^>]*>"
-AUTHOR_RE = r"""(?i)<meta\s+name\s*=\s*["']author["']\s+content\s*=\s*["']([^"']*)["']"""
-PUBLISHED_META_RE = (r"""(?i)<meta\s+property\s*=\s*["']article:published_time["']"""
-                     r"""\s+content\s*=\s*["']([^"']*)["']""")
-TIME_RE = r"""(?i)<time\b[^>]*\sdatetime\s*=\s*["']([^"']*)["']"""
+META_RE = r"(?i)<meta\s[^>]*>"
+TIME_RE = r"(?i)<time\s[^>]*>"
+IS_AUTHOR_RE = r"""(?i)\sname\s*=\s*["']?author["'\s/>]"""
+IS_PUBLISHED_RE = r"""(?i)\sproperty\s*=\s*["']?article:published_time["'\s/>]"""
+# The zone after the seconds of an ISO date-time.
+ZONE_RE = r"(:\d{2}(?:\.\d+)?)\s*(Z|[+-]\d{2}:?\d{2})$"
+
+
+def attr_re(name: str) -> str:
+    """Value of an attribute in a tag: one of the three groups."""
+    return rf"""(?i)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+
+
+CONTENT_RE, DATETIME_RE = attr_re("content"), attr_re("datetime")
 
 # HTML entities decoded in article text, '&amp;' last.
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
@@ -84,14 +95,31 @@ def body_text(html: Column) -> Column:
     return F.array_join(F.filter(paras, lambda p: p != ""), "\n\n")
 
 
+def attr(tag: Column, pattern: str) -> Column:
+    """The value matched by an :func:`attr_re` pattern, ``""`` when absent."""
+    return F.concat(*[F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)])
+
+
+def _meta_contents(html: Column, which: str) -> Column:
+    tags = F.filter(F.regexp_extract_all(html, F.lit(META_RE), 0), lambda t: t.rlike(which))
+    return F.transform(tags, lambda t: attr(t, CONTENT_RE))
+
+
 def authors(html: Column) -> Column:
-    return F.transform(F.regexp_extract_all(html, F.lit(AUTHOR_RE), 1),
+    return F.transform(_meta_contents(html, IS_AUTHOR_RE),
                        lambda a: decode_entities(F.btrim(a, F.lit(WS_CHARS))))
 
 
 def publish_date(html: Column) -> Column:
-    meta = F.regexp_extract(html, PUBLISHED_META_RE, 1)
-    tm = F.regexp_extract(html, TIME_RE, 1)
-    raw = F.when(meta != "", meta).when(tm != "", tm)
-    ts = F.try_to_timestamp(raw)
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+    """Wall-clock date-time, followed by the offset when the page names one;
+    the session's zone plays no part."""
+    meta = F.get(_meta_contents(html, IS_PUBLISHED_RE), 0)
+    times = F.transform(F.regexp_extract_all(html, F.lit(TIME_RE), 0), lambda t: attr(t, DATETIME_RE))
+    tm = F.get(F.filter(times, lambda t: t != ""), 0)
+    raw = F.when(meta != "", meta).otherwise(tm)
+    zone = F.regexp_extract(raw, ZONE_RE, 2)
+    offset = (F.when(zone == "Z", "+00:00")
+              .when(F.length(zone) == 5, F.concat(F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, 4, 2)))
+              .otherwise(zone))
+    wall = F.regexp_replace(raw, ZONE_RE, "$1").try_cast("timestamp_ntz")
+    return F.concat(F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss"), offset)

@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.html import COMMENT_RE, attr, attr_re, decode_entities
 from .sequence import prefix_sum
 
 ANCHOR_RE = r"(?i)<a\s[^>]*>"
-HREF_RE = r"""(?i)\shref\s*=\s*["']([^"']*)["']"""
+HREF_RE = attr_re("href")
 # Listing pages per bucket of the dense re-numbering (pages hold tens of links).
 PAGE_BUCKET_BITS = 4
 
@@ -24,32 +25,53 @@ def class_pattern(css_class: str) -> str:
     return rf"""(?i)\sclass\s*=\s*["']([^"']*\s)?{cls}(\s[^"']*)?["']"""
 
 
+def _without_dots(path: Column) -> Column:
+    """An absolute path with its ``.`` and ``..`` segments resolved."""
+    parts = F.slice(F.split(path, "/", -1), 2, 1 << 30)
+    kept = F.aggregate(
+        parts, F.array().cast("array<string>"),
+        lambda acc, x: F.when(x == ".", acc)
+        .when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+        .otherwise(F.concat(acc, F.array(x))))
+    folder = F.element_at(parts, -1).isin(".", "..") & (F.size(kept) > 0)
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(folder, "/").otherwise(""))
+
+
 def resolve(href: Column, base_url: Column) -> Column:
     """Absolute URL for ``href`` relative to ``base_url`` (as a browser's
-    ``href`` property returns it): scheme-relative, host-relative and
-    path-relative forms."""
+    ``href`` property returns it): absolute, scheme-relative, host-relative,
+    path-relative, query-only and fragment-only forms."""
     scheme = F.regexp_extract(base_url, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)
     origin = F.regexp_extract(base_url, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
-    directory = F.regexp_extract(base_url, r"^([^?#]*/)", 1)
+    own = F.regexp_extract(base_url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    own = F.when(own == "", "/").otherwise(own)
+    query = F.regexp_extract(base_url, r"^[^?#]*(\?[^#]*)", 1)
+    path = F.regexp_extract(href, r"^([^?#]*)", 1)
+    rest = F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
+    directory = F.regexp_extract(own, r"^(.*/)", 1)
     return (F.when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
             .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-            .when(href.startswith("/"), F.concat(origin, href))
-            .otherwise(F.concat(directory, href)))
+            .when(href.startswith("?"), F.concat(origin, own, href))
+            .when(path == "", F.concat(origin, own, query, rest))
+            .when(href.startswith("/"), F.concat(origin, _without_dots(path), rest))
+            .otherwise(F.concat(origin, _without_dots(F.concat(directory, path)), rest)))
 
 
 def extract_links(pages: DataFrame, css_class: str | None = None,
                   base_url: str | None = None) -> DataFrame:
     """LK1: ``(page_no, idx, link)`` for anchors with a non-empty ``href``,
-    in page order; optionally only anchors carrying ``css_class``.
+    in page order; optionally only anchors carrying ``css_class``.  Anchors in
+    comments do not count, and entities in an ``href`` are decoded.
 
     ``base_url`` names a column holding the page URL; when given, links are
     resolved against it.
     """
-    tags = F.regexp_extract_all(F.col("html"), F.lit(ANCHOR_RE), 0)
+    shown = F.regexp_replace("html", COMMENT_RE, "")
+    tags = F.regexp_extract_all(shown, F.lit(ANCHOR_RE), 0)
     if css_class:
         pat = class_pattern(css_class)
         tags = F.filter(tags, lambda t: t.rlike(pat))
-    hrefs = F.filter(F.transform(tags, lambda t: F.regexp_extract(t, HREF_RE, 1)),
+    hrefs = F.filter(F.transform(tags, lambda t: decode_entities(attr(t, HREF_RE))),
                      lambda h: h != "")
     cols = ["page_no"] + ([base_url] if base_url else [])
     out = pages.select(*cols, F.posexplode(hrefs).alias("idx", "link"))

@@ -154,3 +154,21 @@ def attempt_links(attempts: DataFrame) -> DataFrame:
     """The crawl's link list: attempt links in order of their first attempt."""
     from ..operators.links import ordered_distinct
     return ordered_distinct(attempts, ["ts", "event_id"], hour_bucket("ts"))
+
+
+# Head tags put in front of every stored page, by page_id modulo their number:
+# both attribute orders, an apostrophe, entities, offsets, no byline at all.
+BYLINES = [
+    """<meta name="author" content="Pat O'Brien"><meta property="article:published_time" """
+    """content="2024-01-01T10:00:00+02:00">""",
+    """<meta content='Ann &amp; Bo' name='author'><meta name="author" content="Cy"><time """
+    """datetime="2024-02-03T04:05:06Z">today</time>""",
+    """<meta name="authority" content="nobody"><time class="x" datetime='2023-12-31'>""",
+    "",
+]
+
+
+def pages_with_bylines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    head = F.element_at(F.array(*[F.lit(b) for b in BYLINES]),
+                        (F.col("page_id") % len(BYLINES) + 1).cast("int"))
+    return read_table(spark, sf_dir, "pages").withColumn("html", F.concat(head, "html"))

@@ -297,19 +297,44 @@ def _q(s: str) -> str:
     return s.replace("'", "''")
 
 
+def _attr_sql(tag: str, pattern: str) -> str:
+    return "(" + " || ".join(f"regexp_extract({tag}, '{_q(pattern)}', {g})" for g in (1, 2, 3)) + ")"
+
+
 def page_links_sql(pages: str = "select page_id as page_no, html from pages") -> str:
+    from ..functions import html as hx
     from ..operators import links as lk
+    href = _attr_sql("t", lk.HREF_RE)
+    for entity, char in hx.ENTITIES:
+        href = f"replace({href}, '{_q(entity)}', '{_q(char)}')"
+    shown = f"regexp_replace(html, '{_q(hx.COMMENT_RE)}', '', 'g')"
     return f"""
 select page_no, idx, link from (
   select page_no, unnest(h) as link, generate_subscripts(h, 1) - 1 as idx
   from (select page_no,
-          list_filter(list_transform(regexp_extract_all(html, '{_q(lk.ANCHOR_RE)}', 0),
-                                     lambda t: regexp_extract(t, '{_q(lk.HREF_RE)}', 1)),
+          list_filter(list_transform(regexp_extract_all({shown}, '{_q(lk.ANCHOR_RE)}', 0),
+                                     lambda t: {href}),
                       lambda x: x <> '') as h
         from ({pages})))
 """
 
 
+# The stored pages hold host-relative links.
+ABSOLUTE_LINKS = f"""
+select page_no, idx, split_part(url, '/', 1) || '//' || split_part(url, '/', 3) || link as link
+from ({page_links_sql()}) join (select page_id as page_no, url from pages) using (page_no)
+"""
+
+# Expected values of the four spliced heads, spelled out.
+ARTICLE_BYLINES = """
+select page_id,
+  case page_id % 4 when 0 then ['Pat O''Brien'] when 1 then ['Ann & Bo', 'Cy']
+    else []::VARCHAR[] end as authors,
+  case page_id % 4 when 0 then '2024-01-01T10:00:00+02:00' when 1 then '2024-02-03T04:05:06+00:00'
+    when 2 then '2023-12-31T00:00:00' end as publish_date
+from pages
+"""
+
 PAGES_WITH_END = """
 select page_id as page_no,
   case when page_id = (select max(page_id) from pages) then '' else html end as html
@@ -346,6 +371,7 @@ def prepend_sql(new: str) -> str:
 
 QUERIES.update({
     "extract_links": page_links_sql(),
+    "absolute_links": ABSOLUTE_LINKS,
     "paginate_links": f"""
         with p as ({PAGES_WITH_END}), l as ({page_links_sql(PAGES_WITH_END)}),
         c as (select p.page_no, (select count(*) from l where l.page_no = p.page_no) as n from p),
@@ -474,6 +500,26 @@ def _plain_sql(frag: str) -> str:
     return out
 
 
+def _byline_sql(hx) -> tuple[str, str]:
+    """Authors and publish date of a column ``html``."""
+    def contents(which: str) -> str:
+        return (f"list_transform(list_filter(regexp_extract_all(html, '{_q(hx.META_RE)}', 0), "
+                f"lambda t: regexp_matches(t, '{_q(which)}')), lambda t: {_attr_sql('t', hx.CONTENT_RE)})")
+
+    author = ws_trim("a")
+    for entity, char in hx.ENTITIES:
+        author = f"replace({author}, '{_q(entity)}', '{_q(char)}')"
+    authors = f"list_transform({contents(hx.IS_AUTHOR_RE)}, lambda a: {author})"
+    times = (f"list_filter(list_transform(regexp_extract_all(html, '{_q(hx.TIME_RE)}', 0), "
+             f"lambda t: {_attr_sql('t', hx.DATETIME_RE)}), lambda t: t <> '')")
+    raw = f"coalesce(nullif(({contents(hx.IS_PUBLISHED_RE)})[1], ''), ({times})[1])"
+    zone = f"regexp_extract({raw}, '{_q(hx.ZONE_RE)}', 2)"
+    wall = f"try_cast(regexp_replace({raw}, '{_q(hx.ZONE_RE)}', '\\1') as timestamp)"
+    date = (f"strftime({wall}, '%Y-%m-%dT%H:%M:%S') || case when {zone} = 'Z' then '+00:00' "
+            f"when length({zone}) = 5 then left({zone}, 3) || ':' || right({zone}, 2) else {zone} end")
+    return authors, date
+
+
 def extract_sql() -> str:
     hx, _, _ = _html_sql()
     h = "html"
@@ -487,12 +533,7 @@ def extract_sql() -> str:
     blocks = f"list_slice(regexp_split_to_array({region}, '{_q(hx.P_OPEN_RE)}'), 2, 1073741824)"
     paras = f"list_transform({blocks}, lambda b: {_plain_sql(f'regexp_replace(b, {chr(39)}{_q(hx.P_CLOSE_RE)}{chr(39)}, {chr(39)}{chr(39)})')})"
     text = f"array_to_string(list_filter({paras}, lambda p: p <> ''), chr(10) || chr(10))"
-    authors = (f"list_transform(regexp_extract_all(html, '{_q(hx.AUTHOR_RE)}', 1), "
-               f"lambda a: {ws_trim('a')})")
-    meta = f"regexp_extract(html, '{_q(hx.PUBLISHED_META_RE)}', 1)"
-    tm = f"regexp_extract(html, '{_q(hx.TIME_RE)}', 1)"
-    date = (f"strftime(try_cast(case when {meta} <> '' then {meta} when {tm} <> '' then {tm} end "
-            f"as timestamp), '%Y-%m-%dT%H:%M:%S')")
+    authors, date = _byline_sql(hx)
     return f"""
 select page_id, url as link,
   coalesce(case when {title} <> '' then {title} else {h1} end, '') as title,
@@ -580,6 +621,7 @@ from a join k using (link) join s using (link)
 
 QUERIES.update({
     "article_nlp": ARTICLE_NLP,
+    "article_bylines": ARTICLE_BYLINES,
     "extract_articles": extract_sql(),
     "keywords": keywords_sql(),
     "summary": summary_sql(),

@@ -184,6 +184,11 @@ def q_extract_links(spark, sf_dir):
     return _page_links(spark, sf_dir)
 
 
+def q_absolute_links(spark, sf_dir):
+    pages = fx.read_table(spark, sf_dir, "pages").withColumnRenamed("page_id", "page_no")
+    return lk.extract_links(pages, base_url="url")
+
+
 def q_paginate_links(spark, sf_dir):
     pages = fx.listing_pages_with_end(spark, sf_dir)
     return lk.paginate(lk.extract_links(pages), pages, start=0)
@@ -263,6 +268,11 @@ def q_extract_articles(spark, sf_dir):
     return ex.extract_articles(fx.read_table(spark, sf_dir, "pages"))
 
 
+def q_article_bylines(spark, sf_dir):
+    return (ex.extract_articles(fx.pages_with_bylines(spark, sf_dir))
+            .select("page_id", "authors", "publish_date"))
+
+
 def q_keywords(spark, sf_dir):
     return ex.keywords(fx.read_table(spark, sf_dir, "documents"))
 
@@ -350,6 +360,7 @@ QUERIES: dict[str, Query] = {
     "index_summary": q_index_summary,
     "store_stats": q_store_stats,
     "extract_links": q_extract_links,
+    "absolute_links": q_absolute_links,
     "paginate_links": q_paginate_links,
     "ordered_distinct_links": q_ordered_distinct_links,
     "link_delta": q_link_delta,
@@ -363,6 +374,7 @@ QUERIES: dict[str, Query] = {
     "failed_links": q_failed_links,
     "fetch_report": q_fetch_report,
     "extract_articles": q_extract_articles,
+    "article_bylines": q_article_bylines,
     "keywords": q_keywords,
     "summary": q_summary,
     "article_nlp": q_article_nlp,

@@ -26,6 +26,31 @@ def test_extract_links_class_and_resolve(spark):
     assert len(lk.extract_links(pages).collect()) == 5
 
 
+def test_hrefs_with_quotes_entities_and_comments(spark):
+    html = ("""<a href="/it's">1</a><!-- <a href="/gone">x</a> --><a href='/a"b'>2</a>"""
+            """<a href=/bare class=x>3</a><a href="/q?a=1&amp;b=2">4</a><a name="none">5</a>""")
+    pages = spark.createDataFrame([(0, html), (1, None)], "page_no long, html string")
+    got = lk.extract_links(pages).orderBy("page_no", "idx").collect()
+    assert [r["link"] for r in got] == ["/it's", '/a"b', "/bare", "/q?a=1&b=2"]
+
+
+def test_resolve_forms(spark):
+    cases = [("x", "https://h.org", "https://h.org/x"),
+             ("?p=2", "https://h.org/blog", "https://h.org/blog?p=2"),
+             ("?p=2", "https://h.org", "https://h.org/?p=2"),
+             ("#top", "https://h.org/blog?p=1#end", "https://h.org/blog?p=1#top"),
+             ("../c", "https://h.org/a/b/list", "https://h.org/a/c"),
+             ("../../../c", "https://h.org/a/b", "https://h.org/c"),
+             ("./d/./e/..", "https://h.org/a/b?x=/y/z", "https://h.org/a/d/"),
+             ("/r/../s?t=../u", "https://h.org/a", "https://h.org/s?t=../u"),
+             ("//o.org/z", "https://h.org/a", "https://o.org/z"),
+             ("mailto:a@b.c", "https://h.org/a", "mailto:a@b.c"),
+             ("a/", "https://h.org/p/", "https://h.org/p/a/")]
+    df = spark.createDataFrame(cases, "href string, base string, want string")
+    for r in df.withColumn("got", lk.resolve(F.col("href"), F.col("base"))).collect():
+        assert r["got"] == r["want"], (r["href"], r["base"])
+
+
 def test_paginate_stops_at_empty_or_gap(spark):
     a = '<a href="/x">x</a>'
     pages = spark.createDataFrame([(0, a), (1, a), (2, ""), (3, a)], "page_no long, html string")
