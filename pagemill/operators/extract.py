@@ -1,13 +1,18 @@
 """Article extraction from stored pages and text statistics (EX1-EX6).
 
 Extraction is one narrow ``select`` of column expressions.  Keywords and
-summaries are aggregations: word counts per (document, word) are reduced
-map-side, so a long document collapses to its vocabulary before the shuffle.
+summaries never leave their row: words are split natively and scored in Arrow
+batches, without a shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import heapq
+from collections import Counter
+from collections.abc import Callable
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as hx
@@ -27,6 +32,12 @@ STOPWORDS = [
 ]
 
 
+_STOP = frozenset(STOPWORDS)
+NLP_TYPE = "keywords array<string>, summary string, nlp_error string"
+#: (sentences, words of each sentence) -> (keywords, summary)
+Analyse = Callable[[list[str], list[list[str]]], tuple[list[str], str]]
+
+
 def extract_articles(pages: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """EX1-EX3: one article row per page, defaults for missing fields."""
     h = hx.strip_boilerplate(F.col("html"))
@@ -40,64 +51,67 @@ def extract_articles(pages: DataFrame, id_col: str = "page_id", url_col: str = "
                 F.coalesce(hx.body_text(F.col("_h")), F.lit("")).alias("text")))
 
 
-def _words(df: DataFrame, keys: list[str], text_col: str) -> DataFrame:
-    w = F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(WORD_RE), 0))
-    return (df.select(*keys, w.alias("word"))
-            .filter(~F.col("word").isin(STOPWORDS)))
-
-
-def word_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return _words(df, [id_col], text_col).groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("n"))
-
-
-def keywords(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             k: int = KEYWORDS) -> DataFrame:
-    """EX4: top ``k`` words by count (ties by word) per document, ``[]`` when
-    a document has none (EX6 default)."""
-    counts = word_counts(df, id_col, text_col)
-    w = Window.partitionBy(id_col).orderBy(F.col("n").desc(), F.col("word"))
-    top = (counts.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-           .groupBy(id_col)
-           .agg(F.sort_array(F.collect_list(F.struct("_r", "word"))).alias("_kw")))
-    return (df.select(id_col).join(top, id_col, "left")
-            .select(id_col, F.coalesce(F.transform("_kw", lambda x: x["word"]),
-                                       F.array().cast("array<string>")).alias("keywords")))
-
-
-def summary(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-            k: int = SUMMARY_SENTENCES) -> DataFrame:
-    """EX5: the ``k`` sentences with the highest mean in-document frequency
-    of their (non-stopword) words, in text order, joined by newlines;
-    ``""`` for documents without sentences (EX6 default)."""
-    sents = (df.select(id_col, F.posexplode(
-        F.regexp_extract_all(F.col(text_col), F.lit(SENTENCE_RE), 0)).alias("sidx", "s"))
-        .withColumn("s", F.btrim(F.col("s"), F.lit(WS_CHARS)))
-        .filter(F.col("s") != ""))
-    # Words never cross a sentence end (terminators are not letters), so the
-    # per-document count of each word can be taken over the sentence words:
-    # one window per (document, word) instead of a second pass and a join.
-    sw = _words(sents, [id_col, "sidx"], "s")
-    per_word = Window.partitionBy(id_col, "word")
-    scores = (sw.withColumn("n", F.count(F.lit(1)).over(per_word))
-              .groupBy(id_col, "sidx").agg(F.avg("n").alias("score")))
-    ranked = (sents.join(scores, [id_col, "sidx"], "left")
-              .withColumn("score", F.coalesce(F.col("score"), F.lit(0.0))))
-    w = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("sidx"))
-    top = (ranked.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-           .groupBy(id_col)
-           .agg(F.sort_array(F.collect_list(F.struct("sidx", "s"))).alias("_ss")))
-    return (df.select(id_col).join(top, id_col, "left")
-            .select(id_col, F.coalesce(F.array_join(F.transform("_ss", lambda x: x["s"]), "\n"),
-                                       F.lit("")).alias("summary")))
-
-
-def with_nlp(articles: DataFrame, id_col: str = "link") -> DataFrame:
-    """EX4-EX6 attached to articles: ``summary``, ``keywords``, ``nlp_error``.
-
-    The native path has no failure mode; empty text gets the defaults.
+def _sentences(text: Column) -> Column:
+    found = F.regexp_extract_all(text, F.lit(SENTENCE_RE), 0)
+    return F.filter(F.transform(found, lambda s: F.btrim(s, F.lit(WS_CHARS))), lambda s: s != "")
+
+
+def _words(sentence: Column) -> Column:
+    return F.regexp_extract_all(F.lower(sentence), F.lit(WORD_RE), 0)
+
+
+def top_terms(sentences: list[str], words: list[list[str]]) -> tuple[list[str], str]:
+    """Keywords and summary of one text, given as sentences and their words.
+
+    Keywords: the most frequent words, ties by word.  Summary: the sentences
+    with the highest mean in-text frequency of their words, in text order.
+    """
+    kept = [[w for w in ws if w not in _STOP] for ws in words]
+    counts = Counter(w for ws in kept for w in ws)
+    keywords = heapq.nsmallest(KEYWORDS, counts, key=lambda w: (-counts[w], w))
+    scores = [sum(counts[w] for w in ws) / len(ws) if ws else 0.0 for ws in kept]
+    best = heapq.nsmallest(SUMMARY_SENTENCES, range(len(scores)), key=lambda i: (-scores[i], i))
+    return keywords, "\n".join(sentences[i] for i in sorted(best))
+
+
+def nlp_column(text: Column, analyse: Analyse = top_terms) -> Column:
+    """EX4-EX6: struct ``(keywords, summary, nlp_error)`` of one text.
+
+    Sentences and words are split natively; the scores never leave the row, so
+    nothing is shuffled.  A row on which ``analyse`` fails gets the defaults
+    (``[]`` and ``""``) and the error's text; other rows are not affected.
     """
-    base = articles.select(id_col, "text")
-    return (articles
-            .join(keywords(base, id_col), id_col, "left")
-            .join(summary(base, id_col), id_col, "left")
-            .withColumn("nlp_error", F.lit(None).cast("string")))
+    @F.arrow_udf(NLP_TYPE)
+    def _nlp(sentences: pa.Array, words: pa.Array) -> pa.Array:
+        out = []
+        for s, w in zip(sentences, words):
+            try:
+                k, text = analyse(s.as_py() or [], w.as_py() or [])
+                out.append({"keywords": k, "summary": text, "nlp_error": None})
+            except Exception as e:  # noqa: BLE001  (recorded with the row)
+                out.append({"keywords": [], "summary": "", "nlp_error": f"{type(e).__name__}: {e}"})
+        return pa.array(out, type=pa.struct([("keywords", pa.list_(pa.string())),
+                                             ("summary", pa.string()), ("nlp_error", pa.string())]))
+
+    sentences = _sentences(text)
+    return _nlp(sentences, F.transform(sentences, _words))
+
+
+def keywords(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """EX4: top words by count (ties by word) per row, ``[]`` when a text has
+    none (EX6 default)."""
+    return df.select(id_col, nlp_column(F.col(text_col))["keywords"].alias("keywords"))
+
+
+def summary(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """EX5: the sentences with the highest mean in-document frequency of their
+    (non-stopword) words, in text order, joined by newlines; ``""`` for texts
+    without sentences (EX6 default)."""
+    return df.select(id_col, nlp_column(F.col(text_col))["summary"].alias("summary"))
+
+
+def with_nlp(articles: DataFrame, analyse: Analyse = top_terms) -> DataFrame:
+    """EX4-EX6 attached to every article row: ``keywords``, ``summary``,
+    ``nlp_error``.  Rows with equal links keep their own values."""
+    return (articles.withColumn("_nlp", nlp_column(F.col("text"), analyse))
+            .select(*articles.columns, "_nlp.keywords", "_nlp.summary", "_nlp.nlp_error"))

@@ -613,10 +613,10 @@ from (select chunk_id, cnt, sqrt(list_sum(list_transform(cnt, lambda x: x * x)))
 
 ARTICLE_NLP = f"""
 with a as ({extract_sql()}),
-k as ({keywords_sql("select link as id, text from a", "link")}),
-s as ({summary_sql("select link as id, text from a", "link")})
+k as ({keywords_sql("select page_id as id, text from a", "page_id")}),
+s as ({summary_sql("select page_id as id, text from a", "page_id")})
 select a.page_id, a.link, a.title, k.keywords, s.summary, null::VARCHAR as nlp_error
-from a join k using (link) join s using (link)
+from a join k using (page_id) join s using (page_id)
 """
 
 QUERIES.update({
