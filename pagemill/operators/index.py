@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import splitter as sp
 from ..functions.text import WS_CHARS
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, stage
 from .clean import flagged
 from .sequence import pos_bucket, prefix_sum
 
@@ -55,9 +55,10 @@ def ledger_keys(ledger: DataFrame) -> DataFrame:
 
 def unprocessed_links(articles: DataFrame, ledger: DataFrame) -> DataFrame:
     """IX1: links of error-free articles not in the ledger; order and
-    duplicates kept (``pos`` carries the order)."""
+    duplicates kept (``pos`` carries the order).  The ledger's keys are staged:
+    with a plain scan on both sides AQE can split a hot link."""
     a = articles.filter(~flagged(F.col("error"))).withColumn("link_key", link_key(F.col("link")))
-    return (a.join(ledger_keys(ledger), "link_key", "left_anti")
+    return (a.join(stage(ledger_keys(ledger), "ledger-keys"), "link_key", "left_anti")
             .select("pos", F.col("link_key").alias("link")))
 
 
@@ -67,19 +68,23 @@ def validate_articles(articles: DataFrame, ledger: DataFrame) -> DataFrame:
 
     Only positions, links and flags computed from the text travel through
     the shuffle; the text stays in the input.  ``pos`` must be unique.
+
+    The light rows are staged, so the text is read once, and so are the facts
+    per link: the join has a plain scan on both sides, and AQE splits a link
+    that holds a large part of the rows.
     """
     a = articles.select(
         "pos", "link", link_key(F.col("link")).alias("link_key"),
         (~flagged(F.col("error"))).alias("_ok"),
         (F.coalesce(F.col("text"), F.lit("")) != "").alias("_has_text"),
         yields_chunks(F.col("text")).alias("_yields"))
-    a = a.withColumn("_cand", F.col("_ok") & F.col("_has_text") & F.col("_yields"))
+    a = stage(a.withColumn("_cand", F.col("_ok") & F.col("_has_text") & F.col("_yields")), "articles-light")
     keys = (a.groupBy("link_key")
             .agg(F.max(F.col("_ok").cast("int")).alias("_key_ok"),
                  F.min(F.when(F.col("_cand"), F.col("pos"))).alias("_first_pos"))
             .join(ledger_keys(ledger).withColumn("_in_ledger", F.lit(True)),
                   "link_key", "left"))
-    j = a.join(keys, "link_key", "left")
+    j = a.join(stage(keys, "link-facts"), "link_key", "left")
     in_ledger = F.coalesce(F.col("_in_ledger"), F.lit(False))
     visited = (F.col("_key_ok") == 1) & ~in_ledger
     reason = (F.when(in_ledger, F.lit(SKIP_IN_LEDGER))

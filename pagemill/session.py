@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings used for local runs.  On a cluster the deployment decides; nothing
 # here overrides a value that is already set on the session.
@@ -88,3 +88,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{os.urandom(6).hex()}")
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to a fresh table in the shared folder and reread."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
