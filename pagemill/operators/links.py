@@ -57,6 +57,17 @@ def resolve(href: Column, base_url: Column) -> Column:
             .otherwise(F.concat(origin, _without_dots(F.concat(directory, path)), rest)))
 
 
+def anchors(css_class: str | None = None) -> Column:
+    """Anchor tags of ``html`` outside comments, optionally only those that
+    carry ``css_class``."""
+    shown = F.regexp_replace("html", COMMENT_RE, "")
+    tags = F.regexp_extract_all(shown, F.lit(ANCHOR_RE), 0)
+    if css_class:
+        pat = class_pattern(css_class)
+        tags = F.filter(tags, lambda t: t.rlike(pat))
+    return tags
+
+
 def extract_links(pages: DataFrame, css_class: str | None = None,
                   base_url: str | None = None) -> DataFrame:
     """LK1: ``(page_no, idx, link)`` for anchors with a non-empty ``href``,
@@ -66,11 +77,7 @@ def extract_links(pages: DataFrame, css_class: str | None = None,
     ``base_url`` names a column holding the page URL; when given, links are
     resolved against it.
     """
-    shown = F.regexp_replace("html", COMMENT_RE, "")
-    tags = F.regexp_extract_all(shown, F.lit(ANCHOR_RE), 0)
-    if css_class:
-        pat = class_pattern(css_class)
-        tags = F.filter(tags, lambda t: t.rlike(pat))
+    tags = anchors(css_class)
     hrefs = F.filter(F.transform(tags, lambda t: decode_entities(attr(t, HREF_RE))),
                      lambda h: h != "")
     cols = ["page_no"] + ([base_url] if base_url else [])
@@ -80,26 +87,25 @@ def extract_links(pages: DataFrame, css_class: str | None = None,
     return out
 
 
-def paginate(page_links: DataFrame, pages: DataFrame, start: int = 0) -> DataFrame:
+def paginate(page_links: DataFrame, pages: DataFrame, start: int = 0,
+             css_class: str | None = None) -> DataFrame:
     """LK2: links of pages ``start, start+1, ...`` up to (not including) the
-    first page that is missing or has no links.
+    first page that is missing or has no matching anchor.  A page whose
+    anchors all have an empty ``href`` gives no links and does not stop.
 
-    ``page_links`` is the output of :func:`extract_links` over ``pages``.
+    ``page_links`` is the output of :func:`extract_links` over ``pages`` with
+    the same class.  Every page marks its own number (with matches or not) and
+    the next one; the stop page is the first number without matches.
     """
-    counts = (pages.filter(F.col("page_no") >= start).select("page_no")
-              .join(page_links.groupBy("page_no").agg(F.count(F.lit(1)).alias("n")),
-                    "page_no", "left"))
-    empty = counts.filter(F.col("n").isNull()).select("page_no")
-    present = counts.select("page_no")
-    after_gap = (present.select((F.col("page_no") + 1).alias("page_no"))
-                 .join(present, "page_no", "left_anti"))
-    has_start = present.filter(F.col("page_no") == start).select(F.count(F.lit(1))).scalar()
-    stop = F.least(
-        F.when(has_start == 0, F.lit(start)),
-        empty.select(F.min("page_no")).scalar(),
-        after_gap.select(F.min("page_no")).scalar())
-    return (page_links.filter((F.col("page_no") >= start) &
-                              (F.coalesce(F.col("page_no") < stop, F.lit(True)))))
+    own = F.struct("page_no", (F.coalesce(F.size(anchors(css_class)), F.lit(0)) > 0).alias("ok"))
+    following = F.struct((F.col("page_no") + 1).alias("page_no"), F.lit(False).alias("ok"))
+    marks = (pages.filter(F.col("page_no") >= start)
+             .select(F.explode(F.array(own, following)).alias("m")).select("m.*")
+             .groupBy("page_no").agg(F.max("ok").alias("ok")))
+    first = marks.agg(F.min("page_no").alias("first"),
+                      F.min(F.when(~F.col("ok"), F.col("page_no"))).alias("stop"))
+    stop = first.select(F.when(F.col("first") == start, F.col("stop"))).scalar()
+    return page_links.filter((F.col("page_no") >= start) & (F.col("page_no") < stop))
 
 
 def ordered_distinct(links: DataFrame, order: list[str], bucket: Column,

@@ -60,7 +60,7 @@ def crawl_update(spark: SparkSession, pages: DataFrame, attempts: DataFrame,
         updated.checkpoint(eager=True).write.mode("overwrite").parquet(links_path)
         links = spark.read.parquet(links_path)
     else:
-        links = lk.ordered_distinct(lk.paginate(page_links, pages), order, bucket)
+        links = lk.ordered_distinct(lk.paginate(page_links, pages, css_class=css_class), order, bucket)
         links.write.mode("overwrite").parquet(links_path)
         links = spark.read.parquet(links_path)
         new = links

@@ -607,7 +607,7 @@ select chunk_id, list_transform(cnt, lambda x: cast(case when nrm > 0 then x / n
   as embedding
 from (select chunk_id, cnt, sqrt(list_sum(list_transform(cnt, lambda x: x * x))) as nrm
       from (select chunk_id, {counts} as cnt
-            from (select chunk_id, {buckets} as b from ({built_sql()}))))
+            from (select chunk_id, {buckets} as b from ({built_sql(True)}))))
 """
 
 

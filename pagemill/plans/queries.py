@@ -287,7 +287,7 @@ def q_article_nlp(spark, sf_dir):
 
 
 def q_embed_chunks(spark, sf_dir):
-    return em.embed_chunks(_built(spark, sf_dir)).select("chunk_id", "embedding")
+    return em.embed_chunks(_built(spark, sf_dir, rebuild=True)).select("chunk_id", "embedding")
 
 
 # Sources and sinks: the article fixture goes through real files in the

@@ -57,6 +57,13 @@ def test_paginate_stops_at_empty_or_gap(spark):
     assert sorted({r["page_no"] for r in lk.paginate(lk.extract_links(pages), pages).collect()}) == [0, 1]
     gap = spark.createDataFrame([(0, a), (1, a), (3, a)], "page_no long, html string")
     assert sorted({r["page_no"] for r in lk.paginate(lk.extract_links(gap), gap).collect()}) == [0, 1]
+    hollow = spark.createDataFrame([(0, a), (1, '<a href="">x</a>'), (2, a), (3, None), (4, a)],
+                                   "page_no long, html string")
+    got = lk.paginate(lk.extract_links(hollow), hollow)
+    assert sorted(r["page_no"] for r in got.collect()) == [0, 2]
+    classed = spark.createDataFrame([(0, '<a class="i" href="/x">x</a>'), (1, a)], "page_no long, html string")
+    got = lk.paginate(lk.extract_links(classed, "i"), classed, css_class="i")
+    assert [r["page_no"] for r in got.collect()] == [0]
     late = spark.createDataFrame([(1, a)], "page_no long, html string")
     assert lk.paginate(lk.extract_links(late), late).count() == 0
 
