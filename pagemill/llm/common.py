@@ -24,7 +24,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh table in the shared folder and read it back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
