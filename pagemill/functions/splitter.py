@@ -20,6 +20,8 @@ batches next to the data, so documents never leave their task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -42,19 +44,16 @@ def _pieces(text: str, sep: str) -> list[str]:
 
 
 def _merge(pieces: list[str], size: int, overlap: int, out: list[str]) -> None:
-    run: list[str] = []
-    total = 0
-    for piece in pieces:
+    first = total = 0                 # the run is pieces[first:i]
+    for i, piece in enumerate(pieces):
         n = len(piece)
-        if total + n > size:
-            if run:
-                _emit(run, out)
-                while total > overlap or (total + n > size and total > 0):
-                    total -= len(run[0])
-                    run = run[1:]
-        run.append(piece)
+        if total + n > size and first < i:
+            _emit(pieces[first:i], out)
+            while total > overlap or (total + n > size and total > 0):
+                total -= len(pieces[first])
+                first += 1
         total += n
-    _emit(run, out)
+    _emit(pieces[first:], out)
 
 
 def _emit(run: list[str], out: list[str]) -> None:
@@ -101,14 +100,23 @@ def split_text(text: str | None, size: int = CHUNK_SIZE, overlap: int = CHUNK_OV
 
 
 def chunk_column(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
-                 separators: tuple[str, ...] = SEPARATORS) -> Column:
-    """``ARRAY<STRING>`` of chunks, computed in Arrow batches."""
+                 separators: tuple[str, ...] = SEPARATORS,
+                 split: Callable[[str | None, int, int], list[str]] | None = None) -> Column:
+    """``ARRAY<STRING>`` of chunks, computed in Arrow batches.  ``split`` puts
+    another splitter in place.  A row on which it fails gives NULL; other rows
+    are not affected."""
     seps = tuple(separators)
+    fn = split if split is not None else lambda t, n, o: split_text(t, n, o, seps)
+
+    def one(text: str | None) -> list[str] | None:
+        try:
+            return fn(text, size, overlap)
+        except Exception:  # noqa: BLE001  (the row is reported as an error)
+            return None
 
     @F.arrow_udf(ArrayType(StringType()))
     def _chunks(texts: pa.Array) -> pa.Array:
-        return pa.array([split_text(t, size, overlap, seps) for t in texts.to_pylist()],
-                        type=pa.list_(pa.string()))
+        return pa.array([one(t) for t in texts.to_pylist()], type=pa.list_(pa.string()))
 
     return _chunks(text)
 

@@ -6,9 +6,9 @@ success and ``payload`` then holds the fetched article fields.  The crawler
 retries a link up to ``attempts_per_round`` times per round and runs up to
 ``max_rounds`` rounds, each only over links still failing, so the outcome is
 a closed form: the first success in (round, attempt) order within the
-budget, else the last error.  Folds are aggregations with map-side partial
-aggregation, so a link with a third of all attempts is pre-reduced in every
-task before the shuffle.
+budget, else the last error.  Folds are hash aggregates over light columns with map-side
+partial aggregation, so a link with a third of all attempts is pre-reduced in
+every task before the shuffle; the payload of the deciding attempt joins last.
 """
 
 from __future__ import annotations
@@ -27,50 +27,49 @@ def within_budget(attempts: DataFrame, max_rounds: int = MAX_ROUNDS,
                            (F.col("attempt") <= attempts_per_round))
 
 
+def _winners(inside: DataFrame, by: list[str]) -> DataFrame:
+    """The row of each group that decides it: the first success, else the last
+    attempt.  ``inside`` has the order ``_at`` as one BIGINT, so the fold is a
+    hash aggregate over light columns; payloads join by (group, slot), which no
+    hot link can skew.  A slot that was recorded twice gives one row; attempts
+    without a link are left out."""
+    ok = F.col("error").isNull()
+    light = inside.groupBy(*by).agg(F.min(F.when(ok, F.col("_at"))).alias("_win"),
+                                    F.max("_at").alias("_last"))
+    chosen = light.select(*by, F.coalesce("_win", "_last").alias("_at"),
+                          F.col("_win").isNotNull().alias("ok"))
+    return (inside.join(chosen, [*by, "_at"]).filter(ok == F.col("ok"))
+            .dropDuplicates([*by, "_at"])
+            .withColumn("payload", F.when(F.col("ok"), F.col("payload"))))
+
+
 def attempt_fold(attempts: DataFrame, max_rounds: int = MAX_ROUNDS,
                  attempts_per_round: int = ATTEMPTS_PER_ROUND) -> DataFrame:
     """FB2: one row per (link, round): first success wins, else last error."""
-    ok = F.col("error").isNull()
-    return (within_budget(attempts, max_rounds, attempts_per_round)
-            .groupBy("link", "round")
-            .agg(F.count_if(ok).alias("_n_ok"),
-                 F.min_by("payload", F.when(ok, F.col("attempt"))).alias("payload"),
-                 F.max_by("error", F.col("attempt")).alias("_last_error"),
-                 F.min(F.when(ok, F.col("attempt"))).alias("_ok_attempt"),
-                 F.max("attempt").alias("attempts"))
-            .select("link", "round", (F.col("_n_ok") > 0).alias("ok"),
-                    F.coalesce(F.col("_ok_attempt"), F.col("attempts")).alias("attempts"),
-                    "payload",
-                    F.when(F.col("_n_ok") == 0, F.col("_last_error")).alias("error")))
+    inside = (within_budget(attempts, max_rounds, attempts_per_round)
+              .withColumn("_at", F.col("attempt").cast("long")))
+    return _winners(inside, ["link", "round"]).select(
+        "link", "round", "ok", F.col("attempt").alias("attempts"), "payload", "error")
 
 
 def round_fold(attempts: DataFrame, max_rounds: int = MAX_ROUNDS,
                attempts_per_round: int = ATTEMPTS_PER_ROUND) -> DataFrame:
     """FB4: one row per link.  Attempts after the first success are ignored;
     ``rounds`` is the number of rounds the link took part in."""
-    ok = F.col("error").isNull()
-    order = F.struct("round", "attempt")
-    return (within_budget(attempts, max_rounds, attempts_per_round)
-            .groupBy("link")
-            .agg(F.min_by("payload", F.when(ok, order)).alias("payload"),
-                 F.min(F.when(ok, F.col("round"))).alias("_ok_round"),
-                 F.max_by("error", order).alias("_last_error"),
-                 F.max("round").alias("_last_round"))
-            .select("link", F.col("_ok_round").isNotNull().alias("ok"),
-                    F.coalesce(F.col("_ok_round"), F.col("_last_round")).alias("rounds"),
-                    "payload",
-                    F.when(F.col("_ok_round").isNull(), F.col("_last_error")).alias("error")))
+    inside = (within_budget(attempts, max_rounds, attempts_per_round)
+              .withColumn("_at", F.shiftleft(F.col("round").cast("long"), 32) + F.col("attempt")))
+    return _winners(inside, ["link"]).select(
+        "link", "ok", F.col("round").alias("rounds"), "payload", "error")
 
 
 def load_dataset(records: DataFrame) -> DataFrame:
     """IO4: keyed dataset; drops rows without a link; for a repeated link the
-    last record's values are kept at the first record's position."""
+    last record's values are kept at the first record's position (``pos`` is
+    unique).  The fold reads links and positions only."""
     cols = [c for c in records.columns if c not in ("pos", "link")]
-    return (records.filter(F.col("link").isNotNull())
-            .groupBy("link")
-            .agg(F.min("pos").alias("pos"),
-                 F.max_by(F.struct(*cols), F.col("pos")).alias("_rec"))
-            .select("pos", "link", *[F.col(f"_rec.{c}").alias(c) for c in cols]))
+    known = records.filter(F.col("link").isNotNull())
+    light = known.groupBy("link").agg(F.min("pos").alias("_first"), F.max("pos").alias("pos"))
+    return known.join(light, ["link", "pos"]).select(F.col("_first").alias("pos"), "link", *cols)
 
 
 def needs_fetch(links: DataFrame, dataset: DataFrame) -> DataFrame:
@@ -87,26 +86,30 @@ def upsert(dataset: DataFrame, fetched: DataFrame, links: DataFrame) -> DataFram
     """FB3: dataset after a run.
 
     ``fetched`` is :func:`round_fold` output for the links of
-    :func:`needs_fetch`.  A success replaces the record by the payload, a
-    failure by ``{link, _error}``.  Known links keep their position; new
-    links follow in link-list order.
+    :func:`needs_fetch`.  A success replaces the whole record by the payload
+    (fields that it lacks become null), a failure by ``{link, _error}``.  Known
+    links keep their position; new links follow in link-list order.  Fields
+    are those of the dataset, then those only the payload has.
     """
-    base = dataset.select("pos", "link", "title", "text", "error")
+    known = {f.name: f.dataType for f in dataset.schema.fields
+             if f.name not in ("pos", "link", "error")}
+    payload = {f.name: f.dataType for f in fetched.schema["payload"].dataType.fields}
+    fields = {**payload, **known}
+    names = [*known, *[c for c in payload if c not in known]]
     ordered = links.select(F.col("pos").alias("_lpos"), "link")
-    res = (fetched.join(ordered, "link", "left")
-           .select("link", "_lpos", F.lit(True).alias("_hit"), F.col("ok").alias("_ok"),
-                   F.col("payload.title").alias("_title"), F.col("payload.text").alias("_text"),
-                   F.col("error").alias("_err")))
+    res = fetched.join(ordered, "link", "left").select(
+        "link", "_lpos", F.lit(True).alias("_hit"), F.col("ok").alias("_ok"),
+        F.col("error").alias("_err"),
+        *[(F.col(f"payload.{c}") if c in payload else F.lit(None)).cast(fields[c]).alias(f"_new_{c}")
+          for c in names])
     max_pos = dataset.select(F.coalesce(F.max("pos"), F.lit(-1))).scalar()
-    j = base.join(res, "link", "full")
+    j = dataset.select("pos", "link", "error", *known).join(res, "link", "full")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
+    old = lambda c: F.when(~hit, F.col(c)) if c in known else F.lit(None)
     return j.select(
         F.coalesce(F.col("pos"), max_pos + 1 + F.col("_lpos")).alias("pos"),
         "link",
-        F.when(hit & F.col("_ok"), F.col("_title"))
-        .when(hit, F.lit(None).cast("string")).otherwise(F.col("title")).alias("title"),
-        F.when(hit & F.col("_ok"), F.col("_text"))
-        .when(hit, F.lit(None).cast("string")).otherwise(F.col("text")).alias("text"),
+        *[F.when(hit & F.col("_ok"), F.col(f"_new_{c}")).otherwise(old(c)).alias(c) for c in names],
         F.when(hit & F.col("_ok"), F.lit(None).cast("string"))
         .when(hit, F.coalesce(F.col("_err"), F.lit(""))).otherwise(F.col("error")).alias("error"))
 

@@ -14,7 +14,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
+from pyspark.sql.types import ArrayType, FloatType, StringType, StructField, StructType
 
 DIM = 64
 TOKEN_RE = r"[\p{L}\p{N}]+"
@@ -76,13 +76,31 @@ def embed_chunks(chunks: DataFrame, dim: int = DIM, text_col: str = "chunk_text"
 def embed_with(chunks: DataFrame, model: Callable[[pd.Series], list],
                text_col: str = "chunk_text") -> DataFrame:
     """Attach ``embedding`` computed by ``model`` (texts -> list of vectors)
-    over Arrow batches with ``mapInPandas``."""
+    over Arrow batches with ``mapInPandas``, and ``embed_error``.
+
+    IX8: a batch on which the model fails is repeated row by row; a row that
+    fails has a NULL embedding and the error's text, its neighbours are kept."""
     schema = StructType(chunks.schema.fields + [
-        StructField("embedding", ArrayType(FloatType()))])
+        StructField("embedding", ArrayType(FloatType())), StructField("embed_error", StringType())])
+
+    def vectors(texts: pd.Series) -> list[list[float]]:
+        got = [list(map(float, v)) for v in model(texts)]
+        if len(got) != len(texts):
+            raise ValueError(f"{len(got)} vectors for {len(texts)} texts")
+        return got
+
+    def one(text: str) -> tuple[list[float] | None, str | None]:
+        try:
+            return vectors(pd.Series([text]))[0], None
+        except Exception as e:  # noqa: BLE001  (recorded with the row)
+            return None, f"{type(e).__name__}: {e}"
 
     def run(batches):
         for pdf in batches:
-            vecs = model(pdf[text_col])
-            yield pdf.assign(embedding=[list(map(float, v)) for v in vecs])
+            try:
+                got = [(v, None) for v in vectors(pdf[text_col])]
+            except Exception:  # noqa: BLE001  (row by row instead)
+                got = [one(t) for t in pdf[text_col]]
+            yield pdf.assign(embedding=[v for v, _ in got], embed_error=[e for _, e in got])
 
     return chunks.mapInPandas(run, schema)

@@ -14,6 +14,8 @@ shuffle.  The splitter runs only on processed articles.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,19 +113,23 @@ def to_process(validated: DataFrame, articles: DataFrame) -> DataFrame:
 
 def assign_chunks(processed: DataFrame, base_id: Column | int = 0,
                   size: int = sp.CHUNK_SIZE, overlap: int = sp.CHUNK_OVERLAP,
-                  materialize: bool = True, native: bool = False) -> DataFrame:
+                  materialize: bool = True, native: bool = False,
+                  split: Callable[[str | None, int, int], list[str]] | None = None) -> DataFrame:
     """CK1-CK3: chunk rows with dense ids ``base_id + 1 ...``.
 
+    An article on which the splitter (``split``, if given) fails has no chunks
+    and takes no ids; its neighbours are not affected.
+
     ``base_id`` is the largest chunk number already stored (0 when empty).
     ``native`` picks the higher-order-function splitter (no Python worker).
     The running chunk count over articles is a bucketed prefix sum, never a
     window over the whole table.
     """
-    splitter = sp.chunk_column_native if native else sp.chunk_column
     chunked = (processed
                .select("pos", "link_key", "title", "publish_date",
-                       splitter(F.col("text"), size, overlap).alias("chunks"))
-               .withColumn("n_chunks", F.size("chunks")))
+                       (sp.chunk_column_native(F.col("text"), size, overlap) if native
+                        else sp.chunk_column(F.col("text"), size, overlap, split=split)).alias("chunks"))
+               .withColumn("n_chunks", F.when(F.col("chunks").isNull(), 0).otherwise(F.size("chunks"))))
     if materialize:
         # The id prefix sum reads the chunk counts twice (bucket totals and
         # local running sums).  A reliable checkpoint in the shared
@@ -159,25 +165,35 @@ def _tagged(df: DataFrame, tag: str, **cols: Column) -> DataFrame:
 
 
 def build_stats(validated: DataFrame, chunks: DataFrame) -> DataFrame:
-    """IX5: counters of one build run (one row, one aggregate over a union)."""
+    """IX5: counters of one build run (one row, one aggregate over a union).
+
+    IX8: an article that should have been indexed and has no chunk is an error.
+    One article per link is indexed, so the links with chunks are counted."""
     no = F.lit(None).cast("string")
     rows = _tagged(validated, "article", new=F.col("new"), visited=F.col("visited"),
-                   reason=F.col("skip_reason")).unionByName(
-        _tagged(chunks, "chunk", new=F.lit(False), visited=F.lit(False), reason=no))
+                   reason=F.col("skip_reason"), chunk_of=no).unionByName(
+        _tagged(chunks, "chunk", new=F.lit(False), visited=F.lit(False), reason=no,
+                chunk_of=F.col("link")))
+    processed = F.count_distinct("chunk_of")
     art = F.col("_src") == "article"
     return rows.agg(
         F.count_if(art).alias("total_articles"),
         F.count_if(art & F.col("new")).alias("new_articles"),
         F.count_if(F.col("_src") == "chunk").alias("chunks_added"),
-        F.count_if(art & F.col("visited") & F.col("reason").isNull()).alias("articles_processed"),
+        processed.alias("articles_processed"),
         F.count_if(art & F.col("visited") & F.col("reason").isNotNull()).alias("articles_skipped"),
-        F.lit(0).cast("long").alias("errors"))
+        (F.count_if(art & F.col("visited") & F.col("reason").isNull()) - processed).alias("errors"))
 
 
-def ledger_marks(validated: DataFrame, at: Column | None = None) -> DataFrame:
-    """IX2: ledger rows for the articles processed in this run."""
+def ledger_marks(validated: DataFrame, at: Column | None = None,
+                 chunks: DataFrame | None = None) -> DataFrame:
+    """IX2: ledger rows for the articles processed in this run; with ``chunks``
+    only for those that have some, so a failed article is tried again."""
     ts = at if at is not None else F.current_timestamp()
-    return (validated.filter(F.col("skip_reason").isNull())
+    done = validated.filter(F.col("skip_reason").isNull())
+    if chunks is not None:
+        done = done.join(chunks.select(F.col("link").alias("link_key")), "link_key", "left_semi")
+    return (done
             .select(F.col("link_key").alias("link"), ts.alias("processed_at")))
 
 

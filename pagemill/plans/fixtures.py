@@ -25,6 +25,8 @@ EMPTY_TEXT_EVERY = 29               # 'Text' = ''
 LEDGER_EVERY = 3                    # ledger holds links of pos % 3 = 0
 LEDGER_STRAY_LINK = "https://example.org/not-in-dataset"
 ATTEMPTS_PER_ROUND = 3
+POISON_EVERY = 7                    # the failing splitter: texts of length % 7 = 0
+DEAD_EVERY, DEAD_AT = 20, 7         # links of user_id % 20 = 7 fail every time
 
 
 # Text tables: parsing and cleaning cost CPU per byte, so their scans are
@@ -97,6 +99,18 @@ def control_input(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.expr("chr(28 + cast(doc_id % 4 as int))")).alias("text"))
 
 
+# Compatibility characters put in front of every document, and their known
+# normal form (ligature, Roman numeral, unit, full-width and circled signs,
+# a letter with a combining mark).
+COMPAT = "\ufb01 \u2163 \u338f \uff21\u2460 e\u0301 "
+COMPAT_NFKC = "fi IV kg A1 \u00e9 "
+
+
+def compat_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("pos"), F.concat(F.lit(COMPAT), "text").alias("text"))
+
+
 def ledger_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger: links of articles with ``pos % 3 = 0`` plus one stray link."""
     arts = articles(spark, sf_dir)
@@ -116,20 +130,25 @@ def fetch_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ev = read_table(spark, sf_dir, "events").select(
         F.concat(F.lit(LINK_PREFIX), F.col("user_id").cast("string")).alias("link"),
-        "event_id", "ts", "event_type", "value")
+        "event_id", "ts", "event_type",
+        (F.col("user_id") % DEAD_EVERY == DEAD_AT).alias("dead"))
+    failed = (F.col("event_type") == "error") | F.col("dead")
+    event = F.col("event_id")
     numbered = row_number(ev, ["link"], ["ts", "event_id"],
                           bucket=hour_bucket("ts"), name="rn")
     return numbered.select(
         "link", "event_id", "ts", "rn",
         F.ceil(F.col("rn") / ATTEMPTS_PER_ROUND).cast("int").alias("round"),
         (1 + (F.col("rn") - 1) % ATTEMPTS_PER_ROUND).cast("int").alias("attempt"),
-        F.when(F.col("event_type") == "error",
-               F.concat(F.lit("error at event "), F.col("event_id").cast("string"))
-               ).alias("error"),
-        F.when(F.col("event_type") != "error", F.struct(
-            F.concat(F.lit("Article "), F.col("event_id").cast("string")).alias("title"),
+        F.when(failed, F.concat(F.lit("error at event "), event.cast("string"))).alias("error"),
+        F.when(~failed, F.struct(
+            F.concat(F.lit("Article "), event.cast("string")).alias("title"),
+            F.array(F.concat(F.lit("Author "), (event % 7).cast("string"))).alias("authors"),
+            F.concat(F.lit("2024-01-0"), (1 + event % 9).cast("string")).alias("publish_date"),
             F.concat(F.lit("Body of "), F.col("link"), F.lit(" from event "),
-                     F.col("event_id").cast("string")).alias("text"),
+                     event.cast("string")).alias("text"),
+            F.concat(F.lit("Summary of event "), event.cast("string")).alias("summary"),
+            F.array(F.lit("event"), F.concat(F.lit("k"), (event % 5).cast("string"))).alias("keywords"),
         )).alias("payload"),
     )
 

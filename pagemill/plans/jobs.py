@@ -21,7 +21,8 @@ from ..operators import attempts as fb
 from ..operators import clean as cl
 from ..operators import links as lk
 from ..sources import io
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..schema import ARTICLE
+from ..session import ensure_checkpoint_dir, scratch_path, stage
 from ..sources.store import ChunkStore
 
 
@@ -65,10 +66,9 @@ def crawl_update(spark: SparkSession, pages: DataFrame, attempts: DataFrame,
         links = spark.read.parquet(links_path)
         new = links
     dataset = (spark.read.parquet(dataset_path) if _exists(spark, dataset_path)
-               else spark.createDataFrame([], "pos long, link string, title string, "
-                                              "text string, error string"))
+               else spark.createDataFrame([], ARTICLE))
     need = fb.needs_fetch(links, dataset)
-    fetched = fb.round_fold(attempts.join(need.select("link"), "link", "left_semi"),
+    fetched = fb.round_fold(stage(attempts.join(need.select("link"), "link", "left_semi"), "attempts"),
                             max_rounds, attempts_per_round)
     fb.upsert(dataset, fetched, links).write.mode("overwrite").parquet(out_dataset_path)
     after = spark.read.parquet(out_dataset_path)
@@ -76,22 +76,27 @@ def crawl_update(spark: SparkSession, pages: DataFrame, attempts: DataFrame,
 
 
 def clean_dataset(spark: SparkSession, input_path: str, output_path: str,
-                  backup: bool = True) -> DataFrame:
+                  backup: bool = True, source: str = "json") -> DataFrame:
     """Clean run: read the article JSON (entries that are not objects are
-    counted as errors), clean, write Parquet, return the statistics (CL9).
+    counted as errors) or, with ``source="parquet"``, the table that
+    :func:`crawl_update` wrote; clean, write Parquet, return the statistics
+    (CL9).
 
     A malformed file raises before anything is written.  When cleaning in
     place with ``backup``, the files' contents are first copied unchanged to
     ``<input>_backup`` (IO8), with unknown keys and entries that are not
     objects.
     """
-    articles = io.read_mixed_articles(spark, input_path)
+    articles = (io.read_mixed_articles(spark, input_path) if source == "json"
+                else spark.read.parquet(input_path))
     if input_path == output_path:
         # cut the lineage to the files being replaced; this also parses them all
         path = scratch_path(spark, "clean-input")
         articles.write.parquet(path)
         articles = spark.read.parquet(path)
-        if backup:
+        if backup and source == "parquet":
+            io.snapshot(spark, input_path, input_path.rstrip("/") + "_backup")
+        elif backup:
             (spark.read.text(input_path, wholetext=True)
              .write.mode("overwrite").text(input_path.rstrip("/") + "_backup"))
     cleaned = cl.clean_articles(articles)
@@ -104,9 +109,10 @@ def build_index(spark: SparkSession, cleaned_path: str, store_root: str,
     """Index run: the chunk store is built from the cleaned articles (only
     objects).  Returns the run statistics, the status summary and the store
     statistics."""
-    articles = (spark.read.parquet(cleaned_path)
-                .filter(F.coalesce(F.col("is_object"), F.lit(True)))
-                .drop("clean_status", "extracted_date", "is_object"))
+    articles = spark.read.parquet(cleaned_path)
+    if "is_object" in articles.columns:
+        articles = articles.filter(F.coalesce(F.col("is_object"), F.lit(True)))
+    articles = articles.drop("clean_status", "extracted_date", "is_object")
     store = ChunkStore(spark, store_root, embed=embed)
     stats = store.build(articles, rebuild=rebuild)
     return {"stats": stats, "status": store.status(articles), "store": store.stats()}

@@ -394,23 +394,30 @@ QUERIES.update({
 # Fetch bookkeeping.
 # ---------------------------------------------------------------------------
 
+FIELDS = ["title", "authors", "publish_date", "text", "summary", "keywords"]
+
 ATTEMPTS = f"""
 select link, event_id, ts, rn, cast(ceil(rn / 3) as integer) as round,
   cast(1 + (rn - 1) % 3 as integer) as attempt,
-  case when event_type = 'error' then concat('error at event ', event_id) end as error,
-  case when event_type <> 'error' then concat('Article ', event_id) end as title,
-  case when event_type <> 'error' then concat('Body of ', link, ' from event ', event_id) end as text
-from (select concat('{fx.LINK_PREFIX}', user_id) as link, event_id, ts, event_type,
+  case when failed then concat('error at event ', event_id) end as error,
+  case when not failed then concat('Article ', event_id) end as title,
+  case when not failed then [concat('Author ', event_id % 7)] end as authors,
+  case when not failed then concat('2024-01-0', 1 + event_id % 9) end as publish_date,
+  case when not failed then concat('Body of ', link, ' from event ', event_id) end as text,
+  case when not failed then concat('Summary of event ', event_id) end as summary,
+  case when not failed then ['event', concat('k', event_id % 5)] end as keywords
+from (select concat('{fx.LINK_PREFIX}', user_id) as link, event_id, ts,
+        event_type = 'error' or user_id % {fx.DEAD_EVERY} = {fx.DEAD_AT} as failed,
         row_number() over (partition by user_id order by ts, event_id) as rn from events)
 """
 
 
 def attempt_fold_sql(rounds: int = 5, per_round: int = 3) -> str:
+    fields = ",\n  ".join(f"arg_min({c}, attempt) filter (where error is null) as {c}" for c in FIELDS)
     return f"""
 select link, round, count(*) filter (where error is null) > 0 as ok,
   coalesce(min(attempt) filter (where error is null), max(attempt)) as attempts,
-  arg_min(title, attempt) filter (where error is null) as title,
-  arg_min(text, attempt) filter (where error is null) as text,
+  {fields},
   case when count(*) filter (where error is null) = 0 then arg_max(error, attempt) end as error
 from ({ATTEMPTS}) where round <= {rounds} and attempt <= {per_round}
 group by link, round
@@ -418,11 +425,12 @@ group by link, round
 
 
 def round_fold_sql(rounds: int = 5, per_round: int = 3, src: str = ATTEMPTS) -> str:
+    fields = ",\n  ".join(f"arg_min({c}, round * 1000 + attempt) filter (where error is null) as {c}"
+                          for c in FIELDS)
     return f"""
 select link, count(*) filter (where error is null) > 0 as ok,
   coalesce(min(round) filter (where error is null), max(round)) as rounds,
-  arg_min(title, round * 1000 + attempt) filter (where error is null) as title,
-  arg_min(text, round * 1000 + attempt) filter (where error is null) as text,
+  {fields},
   case when count(*) filter (where error is null) = 0
        then arg_max(error, round * 1000 + attempt) end as error
 from ({src}) where round <= {rounds} and attempt <= {per_round}
@@ -450,16 +458,19 @@ where link not in (select link from ({DATASET}))
 def upsert_sql(rounds: int = 5, per_round: int = 3) -> str:
     fetched = round_fold_sql(rounds, per_round,
                              f"select * from ({ATTEMPTS}) where link in (select link from ({NEEDS}))")
+    more = ["authors", "publish_date", "summary", "keywords"]     # null in the fixture dataset
+    extra = ", ".join(f"case when f.ok then f.{c} end as {c}" for c in more)
     return f"""
 with d as ({DATASET}), f as ({fetched}), l as ({LINK_LIST})
 select d.pos, d.link,
   case when f.link is null then d.title when f.ok then f.title end as title,
   case when f.link is null then d.text when f.ok then f.text end as text,
+  {extra},
   case when f.link is null then d.error when f.ok then null else coalesce(f.error, '') end as error
 from d left join f on d.link = f.link
 union all
 select (select max(pos) from d) + 1 + l.pos, f.link,
-  case when f.ok then f.title end, case when f.ok then f.text end,
+  case when f.ok then f.title end, case when f.ok then f.text end, {extra},
   case when f.ok then null else coalesce(f.error, '') end
 from f join l on f.link = l.link
 where f.link not in (select link from d)
@@ -472,10 +483,10 @@ QUERIES.update({
     "load_dataset": DATASET,
     "needs_fetch": NEEDS,
     "upsert_articles": upsert_sql(),
-    "failed_links": f"select pos, link, error from ({upsert_sql(1, 2)}) where error is not null",
+    "failed_links": f"select pos, link, error from ({upsert_sql()}) where error is not null",
     "fetch_report": f"""
         select count(*) as total, count(*) filter (where error is null) as successful,
-          count(*) filter (where error is not null) as failed from ({upsert_sql(1, 2)})""",
+          count(*) filter (where error is not null) as failed from ({upsert_sql()})""",
 })
 
 
@@ -650,3 +661,24 @@ QUERIES.update({
     "snapshot": f"select pos, link, clean_status, text, publish_date from ({CLEANED})",
     "stream_incremental": f"select {CHUNK_COLS} from ({built_sql()})",
 })
+
+# Sources that were covered by unit tests only; error isolation of the build.
+QUERIES.update({
+    "normalize_unicode": f"""
+        select doc_id as pos, '{fx.COMPAT_NFKC}' || text as text from documents""",
+    "read_links": f"select link from ({first_seen_sql(page_links_sql(), 'page_no, idx')})",
+    "write_links": first_seen_sql(page_links_sql(), "page_no, idx"),
+    "append_ledger": f"""
+        select link from ({ledger_sql()})
+        union all select link_key from ({validated_sql()}) where skip_reason is null""",
+    "build_errors": f"""
+        with v as ({validated_sql()}), b as ({built_sql()}),
+        bad as (select * from v where skip_reason is null and length(text) % {fx.POISON_EVERY} = 0)
+        select (select count(*) from v) as total_articles,
+          (select count(*) from v where new) as new_articles,
+          (select count(*) from b where article_pos not in (select pos from bad)) as chunks_added,
+          (select count(*) from v where visited and skip_reason is null
+             and pos not in (select pos from bad)) as articles_processed,
+          (select count(*) from v where visited and skip_reason is not null) as articles_skipped,
+          (select count(*) from bad) as errors""",
+})

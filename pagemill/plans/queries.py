@@ -20,7 +20,7 @@ from ..operators import links as lk
 from ..operators import attempts as fb
 from ..operators import embed as em
 from ..operators import extract as ex
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import ensure_checkpoint_dir, scratch_path, stage
 from ..sources import io
 from ..sources.store import ChunkStore
 from ..streaming.incremental import run_build_stream
@@ -44,9 +44,8 @@ def q_remove_header(spark, sf_dir):
 
 
 def q_normalize_unicode(spark, sf_dir):
-    d = fx.read_table(spark, sf_dir, "documents")
-    return d.select(F.col("doc_id").alias("pos"),
-                    tx.normalize_unicode(F.col("text")).alias("text"))
+    d = fx.compat_input(spark, sf_dir)
+    return d.select("pos", tx.normalize_unicode(F.col("text")).alias("text"))
 
 
 def q_remove_control_chars(spark, sf_dir):
@@ -148,6 +147,20 @@ def q_build_stats(spark, sf_dir):
     return ix.build_stats(v, _built(spark, sf_dir, validated=v, arts=arts))
 
 
+def q_build_errors(spark, sf_dir):
+    """Statistics of a build whose splitter fails on some articles."""
+    every = fx.POISON_EVERY
+
+    def split(text, size, overlap):
+        if len(text) % every == 0:
+            raise ValueError("planted failure")
+        return sp.split_text(text, size, overlap)
+
+    arts = index_input(spark, sf_dir)
+    v = _validated(spark, sf_dir, arts=arts)
+    return ix.build_stats(v, ix.assign_chunks(ix.to_process(v, arts), split=split))
+
+
 def q_index_summary(spark, sf_dir):
     arts = index_input(spark, sf_dir)
     v = _validated(spark, sf_dir, arts=arts)
@@ -216,33 +229,35 @@ def q_link_update(spark, sf_dir):
 
 
 # Fetch bookkeeping: attempts from events, dataset from the article fixture.
-# The tight budget (one round of two attempts) leaves some links failing.
-TIGHT_BUDGET = dict(max_rounds=1, attempts_per_round=2)
+# Some links fail on every attempt, so the default budget leaves failures.  Attempts
+# and dataset are read as a crawl reads them: from a table, written once.
+def _attempts(spark, sf_dir):
+    return stage(fx.fetch_attempts(spark, sf_dir), "attempts")
 
 
 def _flat(df):
     return df.select(*[c for c in df.columns if c != "payload"],
-                     F.col("payload.title").alias("title"), F.col("payload.text").alias("text"))
+                     "payload.*")
 
 
 def q_attempt_fold(spark, sf_dir):
-    return _flat(fb.attempt_fold(fx.fetch_attempts(spark, sf_dir)))
+    return _flat(fb.attempt_fold(_attempts(spark, sf_dir)))
 
 
 def q_round_fold(spark, sf_dir):
-    return _flat(fb.round_fold(fx.fetch_attempts(spark, sf_dir)))
+    return _flat(fb.round_fold(_attempts(spark, sf_dir)))
 
 
 def q_load_dataset(spark, sf_dir):
     return fb.load_dataset(fx.articles(spark, sf_dir)).select("pos", "link", "title", "text", "error")
 
 
-def _crawl(spark, sf_dir, budget=None):
-    att = fx.fetch_attempts(spark, sf_dir)
-    links = fx.attempt_links(att)
-    dataset = fb.load_dataset(fx.articles(spark, sf_dir))
+def _crawl(spark, sf_dir):
+    att = _attempts(spark, sf_dir)
+    links = stage(fx.attempt_links(att), "crawl-links")
+    dataset = stage(fb.load_dataset(fx.articles(spark, sf_dir)), "crawl-dataset")
     need = fb.needs_fetch(links, dataset)
-    fetched = fb.round_fold(att.join(need.select("link"), "link", "left_semi"), **(budget or {}))
+    fetched = fb.round_fold(att.join(need.select("link"), "link", "left_semi"))
     return links, dataset, need, fb.upsert(dataset, fetched, links)
 
 
@@ -251,15 +266,15 @@ def q_needs_fetch(spark, sf_dir):
 
 
 def q_upsert_articles(spark, sf_dir):
-    return _crawl(spark, sf_dir)[3]
+    return _crawl(spark, sf_dir)[3].drop("nlp_error")
 
 
 def q_failed_links(spark, sf_dir):
-    return fb.failed_links(_crawl(spark, sf_dir, TIGHT_BUDGET)[3])
+    return fb.failed_links(_crawl(spark, sf_dir)[3])
 
 
 def q_fetch_report(spark, sf_dir):
-    return fb.fetch_report(_crawl(spark, sf_dir, TIGHT_BUDGET)[3])
+    return fb.fetch_report(_crawl(spark, sf_dir)[3])
 
 
 # Extraction from stored pages; text statistics over documents; embeddings of
@@ -317,6 +332,28 @@ def q_read_articles(spark, sf_dir):
     return io.read_articles(spark, path).select("link", "title", "text", "error")
 
 
+def q_read_links(spark, sf_dir):
+    links = lk.ordered_distinct(_page_links(spark, sf_dir), ["page_no", "idx"], _page_bucket())
+    path = scratch_path(spark, "links-json")
+    io.write_json_arrays(links.select("pos", F.to_json(F.array("link")).alias("json"))
+                         .withColumn("json", F.expr("substr(json, 2, length(json) - 2)")), path)
+    return io.read_links(spark, path).select("link")
+
+
+def q_write_links(spark, sf_dir):
+    path = scratch_path(spark, "links")
+    pos = F.shiftleft(F.col("page_no").cast("long"), 20) + F.col("idx")
+    io.write_links(_page_links(spark, sf_dir).select(pos.alias("pos"), "link"), path)
+    return spark.read.parquet(path)
+
+
+def q_append_ledger(spark, sf_dir):
+    path = scratch_path(spark, "ledger")
+    io.append_ledger(fx.ledger_links(spark, sf_dir), path)
+    io.append_ledger(ix.ledger_marks(_validated(spark, sf_dir)), path)
+    return io.read_ledger(spark, path).select("link")
+
+
 def q_snapshot(spark, sf_dir):
     path = scratch_path(spark, "articles")
     io.write_table(fx.articles(spark, sf_dir), path)
@@ -357,6 +394,7 @@ QUERIES: dict[str, Query] = {
     "incremental_build": q_incremental_build,
     "rebuild": q_rebuild,
     "build_stats": q_build_stats,
+    "build_errors": q_build_errors,
     "index_summary": q_index_summary,
     "store_stats": q_store_stats,
     "extract_links": q_extract_links,
@@ -381,6 +419,9 @@ QUERIES: dict[str, Query] = {
     "embed_chunks": q_embed_chunks,
     "read_mixed_json": q_read_mixed_json,
     "read_articles": q_read_articles,
+    "read_links": q_read_links,
+    "write_links": q_write_links,
+    "append_ledger": q_append_ledger,
     "snapshot": q_snapshot,
     "stream_incremental": q_stream_incremental,
 }

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators.attempts import load_dataset
 from ..operators.links import ordered_distinct
+from ..session import stage
 from ..schema import ARTICLE, ARTICLE_JSON, JSON_KEYS, LEDGER, LINKS
 
 
@@ -89,7 +90,7 @@ def read_dataset(spark: SparkSession, path: str) -> DataFrame:
         arts = read_mixed_articles(spark, path, "PERMISSIVE").filter(F.col("is_object")).drop("is_object")
     except AnalysisException:
         return _empty(spark, ARTICLE)
-    return load_dataset(arts)
+    return load_dataset(stage(arts, "dataset-rows"))     # read twice, parsed once
 
 
 def write_links(links: DataFrame, path: str) -> None:

@@ -15,7 +15,9 @@ come from the log, which has one row per batch.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,26 +25,30 @@ from pyspark.sql import functions as F
 from ..operators import embed as em
 from ..operators import index as ix
 from ..schema import EMBEDDED_CHUNKS, LEDGER
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import ensure_checkpoint_dir, scratch_path, stage
 
 # Default collection name.
 COLLECTION = "article_chunks"
 
 COMMITS = ("batch_id long, run_key string, attempt string, resets boolean, "
            "max_chunk_no long, chunks long, committed_at timestamp")
+ERRORS = "link string, reason string"
 #: Error conditions that mean "not written yet".
 ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
 class ChunkStore:
     def __init__(self, spark: SparkSession, root: str, name: str = COLLECTION,
-                 embed: bool = True):
+                 embed: bool = True, model: Callable[[pd.Series], list] | None = None):
+        """``model`` (texts -> vectors) replaces the built-in embedding."""
         self.spark = spark
         self.root = root
         self.name = name
         self.embed = embed
+        self.model = model
         self.chunks_path = os.path.join(root, "chunks")
         self.ledger_path = os.path.join(root, "ledger")
+        self.errors_path = os.path.join(root, "errors")
         self.commits_path = os.path.join(root, "commits")
         ensure_checkpoint_dir(spark)
 
@@ -87,6 +93,11 @@ class ChunkStore:
         """Chunks of committed batches (optionally of batches < before)."""
         return self._visible(self.chunks_path, EMBEDDED_CHUNKS, before)
 
+    def errors(self) -> DataFrame:
+        """IX8: links of committed batches that could not be indexed, and why;
+        they are not in the ledger, so a later build tries them again."""
+        return self._visible(self.errors_path, ERRORS, None)
+
     def next_batch(self) -> int:
         last = self._read(self.commits_path, COMMITS).agg(F.max("batch_id")).first()[0]
         return 0 if last is None else int(last) + 1
@@ -153,10 +164,24 @@ class ChunkStore:
             attempt = f"a{os.urandom(8).hex()}"
             new = ix.assign_chunks(ix.to_process(validated, articles), base_id=base)
             rows = new.select(*[f.name for f in EMBEDDED_CHUNKS.fields if f.name != "embedding"])
-            rows = (em.embed_chunks(rows) if self.embed
-                    else rows.withColumn("embedding", F.lit(None).cast("array<float>")))
+            failed = self.spark.createDataFrame([], ERRORS)
+            if self.model is not None:
+                done = stage(em.embed_with(rows, self.model), "store-embedded")
+                failed = (done.filter("embed_error is not null").groupBy("link")
+                          .agg(F.min("embed_error").alias("reason")))
+                rows = done.drop("embed_error").join(failed.select("link"), "link", "left_anti")
+                rows = rows.select(*[f.name for f in EMBEDDED_CHUNKS.fields])
+            else:
+                rows = (em.embed_chunks(rows) if self.embed
+                        else rows.withColumn("embedding", F.lit(None).cast("array<float>")))
             self._write(rows, self.chunks_path, attempt)
-            self._write(ix.ledger_marks(validated), self.ledger_path, attempt)
+            written = self._read(os.path.join(self.chunks_path, f"attempt={attempt}"), EMBEDDED_CHUNKS)
+            self._write(ix.ledger_marks(validated, chunks=written), self.ledger_path, attempt)
+            tried = validated.filter("skip_reason is null").select(F.col("link_key").alias("link"))
+            self._write(tried.join(written.select("link"), "link", "left_anti")
+                        .join(failed, "link", "left")
+                        .select("link", F.coalesce("reason", F.lit("splitter failed")).alias("reason")),
+                        self.errors_path, attempt)
             self._commit(batch, base, attempt, run_key, resets=rebuild)
         written = self.chunks().filter(F.col("batch_id") == batch)
         stats = ix.build_stats(validated, written).withColumn("batch_id", F.lit(batch))

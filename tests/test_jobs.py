@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pagemill.plans import fixtures as fx
 from pagemill.plans import jobs
 from pagemill.sources import io
+from pagemill.sources.store import ChunkStore
 
 from .conftest import SF001
 
@@ -75,3 +76,43 @@ def test_crawl_folds_attempts_for_discovered_links(spark):
     assert [r["error"] for r in out["failed"].collect()] == ["down 5.3"]
     got = {r["link"]: r["title"] for r in spark.read.parquet(ds + "_1").collect()}
     assert got[first3[0]] == "T0" and got[first3[1]] == "T1"
+
+
+def test_runs_chain_from_crawl_to_index(spark):
+    pages = fx.listing_pages(spark, SF001).select("page_no", "html")
+    root = scratch()
+    links, ds = os.path.join(root, "links"), os.path.join(root, "dataset")
+    att = spark.createDataFrame(
+        [("https://example.org/x", 1, 1, None, ("T", "Published May 3, 2024 x\n\nSome  body"))],
+        "link string, round int, attempt int, error string, payload struct<title:string,text:string>")
+    jobs.crawl_update(spark, pages, att, links, ds, ds + "_0")
+    first = spark.read.parquet(links).orderBy("pos").first()["link"]
+    att = att.withColumn("link", F.lit(first))
+    jobs.crawl_update(spark, pages, att, links, ds + "_0", ds)
+    before = spark.read.parquet(ds).count()
+    stats = jobs.clean_dataset(spark, ds, ds, source="parquet").first()
+    assert (stats["total"], stats["cleaned"]) == (1, 1)
+    assert spark.read.parquet(ds + "_backup").count() == before
+    out = jobs.build_index(spark, ds, os.path.join(root, "store"), embed=False)["stats"].first()
+    assert (out["articles_processed"], out["errors"]) == (1, 0)
+
+
+def test_failing_row_is_reported_and_neighbours_are_indexed(spark):
+    arts = spark.createDataFrame(
+        [(0, "a", "good one"), (1, "b", "poison"), (2, "c", "good two")],
+        "pos long, link string, text string").selectExpr(
+        "pos", "link", "'t' as title", "text", "cast(null as string) as publish_date",
+        "cast(null as string) as error")
+
+    def model(texts):
+        if (texts == "poison").any():
+            raise ValueError("bad text")
+        return [[1.0, 2.0]] * len(texts)
+
+    store = ChunkStore(spark, os.path.join(scratch(), "store"), model=model)
+    stats = store.build(arts.coalesce(1)).first()
+    assert (stats["errors"], stats["articles_processed"], stats["chunks_added"]) == (1, 2, 2)
+    assert [tuple(r)[:2] for r in store.errors().select("link", "reason").collect()] == [
+        ("b", "ValueError: bad text")]
+    assert sorted(r["link"] for r in store.ledger().collect()) == ["a", "c"]
+    assert {tuple(r["embedding"]) for r in store.chunks().collect()} == {(1.0, 2.0)}

@@ -129,3 +129,30 @@ def test_needs_upsert_failed_report(spark):
     assert sorted(r["link"] for r in fb.failed_links(after).collect()) == ["n", "z"]
     rep = fb.fetch_report(after).first()
     assert (rep["total"], rep["successful"], rep["failed"]) == (5, 3, 2)
+
+
+def test_folds_take_each_slot_once_and_do_not_sort_payloads(spark):
+    p = ("T", "body")
+    att = spark.createDataFrame([
+        ("twice", 1, 1, None, p), ("twice", 1, 1, None, p),
+        ("both", 1, 1, "e", None), ("both", 1, 1, None, p), (None, 1, 1, None, p)], ATT)
+    got = {r["link"]: (r["ok"], r["payload"]["title"]) for r in fb.round_fold(att).collect()}
+    assert got == {"twice": (True, "T"), "both": (True, "T")}
+    recs = spark.createDataFrame([(0, "a", "A")], "pos long, link string, title string")
+    plan = fb.load_dataset(recs)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_upsert_replaces_the_whole_record(spark):
+    ds = spark.createDataFrame(
+        [(0, "a", "A", ["k"], "old summary", None), (1, "b", "B", ["x"], "s", "down")],
+        "pos long, link string, title string, keywords array<string>, summary string, error string")
+    att = spark.createDataFrame(
+        [("b", 1, 1, None, ("B2", ["y"], "2024"))],
+        "link string, round int, attempt int, error string, "
+        "payload struct<title:string,keywords:array<string>,publish_date:string>")
+    after = {r["link"]: r for r in fb.upsert(ds, fb.round_fold(att), links_df(spark, ["a", "b"])).collect()}
+    assert after["a"].asDict() == {"pos": 0, "link": "a", "title": "A", "keywords": ["k"],
+                                   "summary": "old summary", "publish_date": None, "error": None}
+    assert after["b"].asDict() == {"pos": 1, "link": "b", "title": "B2", "keywords": ["y"],
+                                   "summary": None, "publish_date": "2024", "error": None}
