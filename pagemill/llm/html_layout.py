@@ -2,12 +2,14 @@
 
 A tokenizer (one regular expression) feeds a tree builder with implied tags:
 block starts end an open paragraph, items end items, cells end cells and rows
-end rows, end tags close what is open inside them, and unknown end tags are
-ignored.  Rendering emits every visible text and nothing else:
+end rows, a column group ends at whatever is not a column, a head at the first
+text or tag of the body, a cell without a row gets one, a form between rows
+holds nothing; end tags close what is open inside them, and unknown end tags
+are ignored.  Rendering emits every visible text and nothing else:
 
 * not visible: ``head`` (but see ``title``), ``script``, ``style``,
   ``template``, ``noscript``, ``textarea``, ``select``, ``svg`` and other
-  non-text content; elements with ``hidden``, ``display:none`` or
+  non-text content; annotations of ``math`` (its symbols are text); elements with ``hidden``, ``display:none`` or
   ``visibility:hidden``; comments.  The title is not part of the page's body
   and is returned apart;
 * white space collapses (not in ``pre``); ``br`` breaks a line; blocks start on
@@ -16,8 +18,10 @@ ignored.  Rendering emits every visible text and nothing else:
 * list items get ``- `` or their number and are indented by depth, quotes get
   ``> ``;
 * a table is a grid: cells of a column are padded to its widest line, columns
-  are separated by `` | ``, and ``colspan`` takes that many columns.  Tables
-  inside cells are flattened to their text.
+  are separated by `` | ``, and ``colspan`` takes that many columns.  A cell
+  with ``rowspan`` leaves its place blank in the further rows of its row group
+  (adjoining blanks are one).  Captions and whatever else hangs between the
+  rows come before the grid.  Tables inside cells are flattened to their text.
 
 Defined cases: null or empty HTML gives an empty text and no title; broken
 markup never fails; nesting beyond ``DEPTH`` is flattened; repeated rows are
@@ -41,8 +45,8 @@ DEPTH = 200
 # Element classes of the HTML standard.
 _words = lambda s: frozenset(s.split())
 VOID = _words("area base br col embed hr img input link meta param source track wbr")
-HIDDEN = _words("head script style template noscript textarea select svg math object iframe "
-                "video audio canvas datalist")
+HIDDEN = _words("head script style template noscript textarea select svg annotation "
+                "annotation-xml object iframe video audio canvas datalist")
 RAW = _words("script style textarea title noscript template iframe")
 BLOCK = _words("address article aside blockquote body center dd details dialog div dl dt fieldset "
                "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li "
@@ -53,13 +57,23 @@ APART = _words("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote article sectio
 ENDS = {
     "li": (_words("li p"), _words("ul ol menu")),
     "dt": (_words("dt dd p"), _words("dl")), "dd": (_words("dt dd p"), _words("dl")),
-    "tr": (_words("tr td th p"), _words("table")),
-    "td": (_words("td th p"), _words("tr table")), "th": (_words("td th p"), _words("tr table")),
+    "tr": (_words("tr td th caption p"), _words("table")),
+    "td": (_words("td th caption p"), _words("tr table")),
+    "th": (_words("td th caption p"), _words("tr table")),
     "tbody": (_words("tbody thead tfoot tr td th caption p"), _words("table")),
     "thead": (_words("tbody thead tfoot tr td th caption p"), _words("table")),
     "tfoot": (_words("tbody thead tfoot tr td th caption p"), _words("table")),
+    "caption": (_words("tbody thead tfoot tr td th caption p"), _words("table")),
+    "colgroup": (_words("tbody thead tfoot tr td th caption p"), _words("table")),
     "body": (_words("head"), _words("html")),
 }
+GROUPS = _words("tbody thead tfoot")
+#: start tag -> the elements it can be a child of; others between are ended
+PLACES = {"tr": GROUPS | {"table"}, "td": GROUPS | {"table", "tr"}, "th": GROUPS | {"table", "tr"},
+          **{t: frozenset({"table"}) for t in [*GROUPS, "caption", "colgroup"]}}
+#: elements ended by any text or tag but these
+ONLY = {"head": _words("base basefont bgsound head link meta noframes noscript script style template title"),
+        "colgroup": _words("col colgroup template")}
 CLOSES_P = BLOCK - _words("html body td th tr tbody thead tfoot caption li dt dd")
 
 _TOKEN = re.compile(
@@ -71,24 +85,26 @@ _BLANK = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "kids", "seen", "span")
+    __slots__ = ("tag", "kids", "seen", "span", "rows")
 
-    def __init__(self, tag: str, seen: bool = True, span: int = 1):
-        self.tag, self.kids, self.seen, self.span = tag, [], seen, span
+    def __init__(self, tag: str, seen: bool = True, span: int = 1, rows: int = 1):
+        self.tag, self.kids, self.seen, self.span, self.rows = tag, [], seen, span, rows
 
 
-def _attributes(raw: str) -> tuple[bool, int]:
-    """Whether the element is shown, and its column span."""
-    seen, span = True, 1
+def _attributes(raw: str) -> tuple[bool, int, int]:
+    """Whether the element is shown, its column span and its row span."""
+    seen, span, rows = True, 1, 1
     low = raw.lower()
-    if "hidden" in low or "style" in low or "colspan" in low:
+    if "hidden" in low or "style" in low or "span" in low:
         for m in _ATTR.finditer(raw):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name == "hidden" or name == "style" and _UNSEEN.search(value):
                 seen = False
             elif name == "colspan" and value.isdecimal():
-                span = min(1000, max(1, int(value)))
-    return seen, span
+                span = min(1000, max(1, int(value[:9])))
+            elif name == "rowspan" and value.isdecimal():
+                rows = min(65534, int(value[:9])) or 65534      # 0: all of the row group
+    return seen, span, rows
 
 
 def parse(page: str) -> tuple[Node, str]:
@@ -98,6 +114,8 @@ def parse(page: str) -> tuple[Node, str]:
 
     def text(raw: str) -> None:
         if raw:
+            while stack[-1].tag in ONLY and raw.strip(" \t\n\r\f"):
+                stack.pop()
             stack[-1].kids.append(html.unescape(raw) if "&" in raw else raw)
 
     def close(names: frozenset, stops: frozenset) -> None:
@@ -128,14 +146,22 @@ def parse(page: str) -> tuple[Node, str]:
                         "table", "tr", "tbody", "thead", "tfoot", "body", "html"):
                     break           # an end tag does not reach out of its cell
             continue
+        while stack[-1].tag in ONLY and tag not in ONLY[stack[-1].tag]:
+            stack.pop()
         if tag in ENDS:
             close(*ENDS[tag])
+            for k in range(len(stack) - 1, 0, -1) if tag in PLACES else ():
+                if stack[k].tag in PLACES[tag]:
+                    del stack[k + 1:]
+                    break
+            if tag in ("td", "th") and stack[-1].tag in PLACES["tr"] and len(stack) < DEPTH:
+                row = Node("tr")
+                stack[-1].kids.append(row)
+                stack.append(row)
         elif tag in CLOSES_P:
             close(_words("p"), _words("table td th li dd button"))
-            if tag in BLOCK and stack[-1].tag == "head":
-                stack.pop()
-        seen, span = _attributes(m[3]) if m[3] else (True, 1)
-        node = Node(tag, seen and tag not in HIDDEN, span)
+        seen, span, rows = _attributes(m[3]) if m[3] else (True, 1, 1)
+        node = Node(tag, seen and tag not in HIDDEN, span, rows)
         stack[-1].kids.append(node)
         if tag in RAW and not m[3].rstrip().endswith("/"):
             end = re.compile(rf"</{tag}(?=[\s/>])|\Z", re.I).search(page, at)
@@ -148,6 +174,8 @@ def parse(page: str) -> tuple[Node, str]:
             at = end.start()
             if at < len(page):
                 at = (page.find(">", at) + 1) or len(page)
+        elif tag == "form" and stack[-1].tag in PLACES["td"]:
+            continue                # between rows or cells it holds nothing
         elif tag not in VOID and not (m[3] and m[3].endswith("/") and tag not in BLOCK) \
                 and len(stack) < DEPTH:
             stack.append(node)
@@ -215,30 +243,77 @@ class _Flow:
 
 
 def _rows(node: Node):
+    """Each row and whether it begins a row group."""
+    loose = True
     for kid in node.kids:
         if isinstance(kid, Node) and kid.seen:
             if kid.tag == "tr":
-                yield kid
-            elif kid.tag in ("tbody", "thead", "tfoot"):
+                yield kid, loose
+                loose = False
+            elif kid.tag in GROUPS:
+                loose = True
                 yield from _rows(kid)
 
 
-def _table(node: Node) -> list[str]:
-    flow, grid = _Flow(), []
-    for kid in node.kids:           # captions and stray content come first
+def _strays(node: Node):
+    """What hangs between the rows, row groups' own content included."""
+    for kid in node.kids:
         if isinstance(kid, str):
-            flow.write(kid, False)
-        elif kid.seen and kid.tag not in ("tr", "tbody", "thead", "tfoot", "colgroup"):
-            flow.block(_render(kid), False)
-    for tr in _rows(node):
-        cells = []
+            yield kid
+        elif kid.seen and kid.tag in GROUPS:
+            yield from _strays(kid)
+        elif kid.seen and kid.tag != "tr":
+            yield kid
+
+
+def _blank(cells: list, span: int) -> None:
+    """Adds an empty cell, joined to an empty one before it."""
+    if cells and cells[-1][0] is None:
+        span += cells.pop()[1]
+    cells.append((None, span))
+
+
+def _grid(node: Node) -> list[list]:
+    """Rows of ``(lines, span)``; the places of cells from rows above are blank."""
+    grid, above = [], []            # above: (column, span, rows to come)
+    for tr, begins in _rows(node):
+        above = [] if begins else [(c, n, left - 1) for c, n, left in above if left]
+        cells, c, new, at = [], 0, [], 0
         for kid in tr.kids:
             if isinstance(kid, Node) and kid.seen:
-                cells.append(([x for x in _render(kid) if x], kid.span))
+                lines, span, rows = [x for x in _render(kid) if x], kid.span, kid.rows
             elif isinstance(kid, str) and kid.strip():
-                cells.append(([_BLANK.sub(" ", kid).strip()], 1))
+                lines, span, rows = [_BLANK.sub(" ", kid).strip()], 1, 1
+            else:
+                continue
+            while at < len(above) and above[at][0] <= c:
+                if above[at][0] + above[at][1] > c:
+                    room = above[at][0] + above[at][1] - c
+                    _blank(cells, room)
+                    c += room
+                at += 1
+            cells.append((lines, span))
+            if rows > 1:
+                new.append((c, span, rows - 1))
+            c += span
+        for start, span, _ in above[at:]:
+            if start + span > c:
+                _blank(cells, start + span - c)
+                c = start + span
+        above = sorted(above + new)
         if any(lines for lines, _ in cells):
-            grid.append(cells)
+            grid.append([(lines or [], span) for lines, span in cells])
+    return grid
+
+
+def _table(node: Node) -> list[str]:
+    flow = _Flow()
+    for kid in _strays(node):       # captions and stray content come first
+        if isinstance(kid, str):
+            flow.write(kid, False)
+        else:
+            flow.block(_render(kid), False)
+    grid = _grid(node)
     width: dict[int, int] = {}
     for cells in grid:
         c = 0

@@ -34,6 +34,37 @@ def test_layouts():
     assert hl.render("<title>A\n b</title>x") == ("x", "A b")
 
 
+OMITTED = [
+    ("<table><colgroup><col><col><tr><td>x</table>", "x"),
+    ("<table><colgroup><col><tbody><tr><td>x<td>y</table>", "x | y"), ("<table><colgroup>x<tr><td>y</table>", "x\ny"),
+    ("<table><tbody><td>x<td>y<tr><td>z</table>", "x | y\nz"),
+    ("<table><thead><th>A<th>B<tbody><td>c<td>d</table>", "A | B\nc | d"), ("<table><td>x</table>", "x"),
+    ("<table><tbody><form><tr><td>x<td>y</form><tr><td>z</table>", "x | y\nz"),
+    ("<table><tbody>stray<tr><td>x</table>", "stray\nx"), ("<table><tbody><div>s<tr><td>x<td>y</table>", "s\nx | y"),
+    ("<table><caption>c<tr><td>x<td>y</table>", "c\nx | y"), ("<table><tr><td>a<form><b>b</b></form><td>c</table>", "a | c\nb |"),
+    ("<head><title>T</title><b>hi</b>", "hi"), ("<head><title>T</title>hi", "hi"), ("<head><meta x>\n<p>a", "a"),
+    ("<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math>", "x=1"),
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>", "a | b\n  | c"),
+    ("<table><tr><td>x<td rowspan=2>z<tr><td>y</table>", "x | z\ny |"),
+    ("<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d<tbody><tr><td>e</table>", "a | b\n  | c\n  | d\ne"),
+    ("<table><tr><td>a<td colspan=2 rowspan=2>b<td>c<tr><td>d<td>e</table>", "a | b   | c\nd |     | e"),
+]
+
+
+def test_omitted_tags_and_spans():
+    for page, want in OMITTED:
+        assert hl.render(page)[0] == want, page
+    # no word is lost whatever hangs between the parts of a table
+    rng = random.Random(2)
+    bits = ["<table>", "</table>", "<colgroup>", "<col>", "<tbody>", "<thead>", "<tr>", "<td>", "<td rowspan=3>",
+            "<th colspan=2 rowspan=2>", "</td>", "</tr>", "<form>", "</form>", "<div>", "</div>", "<p>", "<caption>",
+            "<b>", "<head>", "<li>"]
+    for _ in range(2000):
+        parts = [f"{rng.choice(bits)} w{i} " if rng.random() < .5 else rng.choice(bits) for i in range(25)]
+        page = "".join(parts)
+        assert sorted(re.findall(r"w\d+", hl.render(page)[0])) == sorted(re.findall(r"w\d+", page)), page
+
+
 def test_no_visible_word_is_lost(spark):
     """Against a plain rule: take out what is not shown, then the tags."""
     rows = spark.read.parquet(f"{SF01}/pages.parquet").select("html").collect()
