@@ -9,14 +9,21 @@ non-overlapping, short matches dropped).  A battery of randomness tests adds
 * chi-squared uniformity over the alphabet, a runs test about the middle of
   the alphabet and a lag-one serial correlation test ask whether the run
   looks uniform; a run that any of them rejects (Bonferroni, ``VETO``) is out;
-* the same chi-squared statistic against what natural text of that length
-  would give (its symbols are about ``NATURAL`` to the squared-frequency sum)
-  yields a p-value for "natural text".  Longer runs separate better, so runs
-  are judged within strata of encoding and length octave;
-* within a stratum the Benjamini-Hochberg rule at rate ``FDR`` gives the
+* the evidence for a run is the likelihood ratio of uniform symbols against
+  natural text.  Natural text is words of letters and digits, case folded, by a
+  bigram model counted over the words of the whole table (all shorter than a
+  candidate, so secrets do not teach it); a symbol's probability is at least
+  ``EPS / 36``, which bounds what one odd symbol can prove.  Where separators
+  stand and where the case of letters changes is free (paid for by the entropy
+  of the run's own pattern), so slugs, paths, CamelCase and CAPITALS are natural;
+  so are runs of digits.  The ratio is an e-value: its mean over natural runs is
+  at most 1, at every length;
+* runs are judged within strata of encoding and length octave.  Within a stratum
+  the Benjamini-Hochberg rule for e-values (p = 1 / e) at rate ``FDR`` gives the
   p-value up to which runs are reported.  Ranks come from a histogram over
   p-value bins, so the rule covers every run of the table and the driver
-  sees one cut per stratum (at most 5 encodings x 40 octaves).
+  sees one cut per stratum (at most 5 encodings x 40 octaves) and the at most
+  37 x 36 bigram counts.
 
 A ``random`` span that overlaps a base span is left out (it is reported
 already).  Positions count code points; ends are exclusive.
@@ -28,6 +35,8 @@ columns are untouched.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,8 +60,12 @@ ENCODINGS = [
     ("base62", "^[0-9A-Za-z]+$", _AZ + _az + _09),
     ("base64", "", _AZ + _az + _09 + "+/"),
 ]
-#: Sum of squared symbol frequencies of natural text; digits of hex look-alikes.
-NATURAL = {"hex": 0.1, "base32": 0.065, "base36": 0.065, "base62": 0.065, "base64": 0.065}
+#: Symbols of a uniform run (base64 in either form), and the single cases it can have.
+CHOICES, CASES = [16, 32, 36, 62, 66], [2, 1, 2, 1, 1]
+#: Bigram model: symbols (0 is the start of a word), uniform share, and what a table
+#: with few words is taken to hold beside them: so many observations after each symbol,
+#: with these shares of digits at the start, after a digit and after a letter.
+SYMBOLS, EPS, PRIOR, DIGITS = _09 + _az, 0.05, 100, (0.1, 0.9, 0.03)
 VETO = 0.003
 FDR = 0.001
 BIN, LAST_BIN = 10, 3000          # bins of -10 log10 p
@@ -127,8 +140,65 @@ def _score(m: Column) -> Column:
     return F.struct(m["s"].alias("s"), m["e"].alias("e"), enc.alias("enc"), tok.alias("t"))
 
 
-def _tests(c: DataFrame) -> DataFrame:
-    """``c`` has one candidate per row: ``enc, t``.  Adds ``octave, bin, ok``."""
+def natural(docs: DataFrame, text_col: str = "text") -> list[float]:
+    """Log probability of symbol ``c`` (from 1) after symbol ``p`` (0: first of
+    the word) at place ``36 p + c - 1``, counted over all words under 20 long."""
+    word = (docs.select(F.explode(F.split(text_or_empty(text_col), "[^A-Za-z0-9]+")).alias("w"))
+            .filter(F.length("w").between(1, 19)).groupBy(F.lower("w").alias("w"))
+            .agg(F.count(F.lit(1)).alias("n")))
+    code = lambda i: F.instr(F.lit(SYMBOLS), F.substring("w", i, F.lit(1)))
+    pair = F.transform(F.sequence(F.lit(1), F.length("w")), lambda i: F.struct(
+        F.when(i > 1, code(i - 1)).otherwise(0).alias("p"), code(i).alias("c")))
+    got = (word.select("n", F.explode(pair).alias("x")).groupBy("x.p", "x.c")
+           .agg(F.sum("n").alias("n")).collect())
+    k = len(SYMBOLS)
+    table = [[0] * k for _ in range(k + 1)]
+    for p, c, n in got:
+        table[p][c - 1] = n
+    prior = [[PRIOR * d / 10] * 10 + [PRIOR * (1 - d) / 26] * 26 for d in DIGITS]
+    kind = [0, *[1] * 10, *[2] * 26]
+    return [math.log((1 - EPS) * (n + more) / (sum(row) + PRIOR) + EPS / k)
+            for row, i in zip(table, kind) for n, more in zip(row, prior[i])]
+
+
+def _pattern_cost(some: Column, of: Column) -> Column:
+    """Cost (nats) of which ``some`` out of ``of`` places are marked."""
+    x = some / of
+    return F.log(of + 1) + F.when((some > 0) & (some < of), -of * (
+        x * F.log(x) + (1 - x) * F.log(1 - x))).otherwise(0.0)
+
+
+def _evidence(c: DataFrame, table: list[float]) -> DataFrame:
+    """Adds ``gain``: log likelihood ratio of uniform symbols over natural text
+    for the run ``t`` of encoding ``enc``; less than 0 for digits only."""
+    k = len(SYMBOLS)
+    logs = F.split(F.lit(",".join(map(repr, table))), ",").cast("array<double>")
+    per = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("enc") + 1)
+    n = F.length("t")
+    c = (c.withColumn("code", F.transform(F.sequence(F.lit(1), n), lambda i: F.instr(
+            F.lit(SYMBOLS), F.substring(F.lower("t"), i, F.lit(1)))))
+         .withColumn("letters", F.regexp_replace("t", "[^A-Za-z]", "")))
+    c = (c.withColumn("words", F.aggregate(F.zip_with(
+            F.concat(F.array(F.lit(0)), F.slice("code", F.lit(1), n - 1)), "code",
+            lambda p, x: F.when(x > 0, F.element_at(logs, p * k + x)).otherwise(0.0)),
+            F.lit(0.0), lambda a, x: a + x))
+         .withColumn("seps", F.size(F.filter("code", lambda x: x == 0)))
+         .withColumn("turns", F.length(F.regexp_replace(F.regexp_replace(
+             "letters", "[A-Z]+", "A"), "[a-z]+", "a")) - 1))
+    seps = _pattern_cost(F.col("seps"), n) + F.col("seps") * math.log(4)
+    cases = F.when(F.length("letters") > 1, math.log(2) + _pattern_cost(
+        F.col("turns"), F.length("letters") - 1)).when(F.length("letters") == 1, math.log(2)).otherwise(0.0)
+    cost = F.when(F.col("t").rlike("^[0-9]+$"), F.least(-F.col("words"), n * math.log(10))) \
+        .otherwise(-F.col("words") + seps + cases)
+    uniform = n * per([math.log(x) for x in CHOICES]) + per(
+        [math.log(len(ENCODINGS) * x) for x in CASES])
+    return c.withColumn("gain", cost - uniform).drop("code", "letters", "words", "seps", "turns")
+
+
+def _tests(c: DataFrame, table: list[float]) -> DataFrame:
+    """``c`` has one candidate per row: ``enc, t``.  Adds ``octave, bin, ok``;
+    ``table`` is the model of natural text."""
+    c = _evidence(c, table)
     per = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("enc") + 1)
     c = (c.withColumn("u", F.when(F.col("enc").isin(0, 2), F.upper("t"))
                       .when(F.col("enc") == 4, F.translate("t", "-_", "+/")).otherwise(F.col("t")))
@@ -164,17 +234,15 @@ def _tests(c: DataFrame) -> DataFrame:
     z_run = F.when(var > 0, F.abs(F.col("runs") - mu) / F.sqrt(var)).otherwise(99.0)
     z_ser = F.when(F.col("var") > 0, F.abs(F.col("cov") / F.col("var")) * F.sqrt(n)).otherwise(99.0)
     uniform = 3 * F.least(_tail(z_chi), 2 * _tail(z_run), 2 * _tail(z_ser)) >= VETO
-    extra = n * (k * per([NATURAL[e] for e, _, _ in ENCODINGS]) - 1)
-    z_nat = (k - 1 + extra - F.col("chi")) / F.sqrt(2 * (k - 1) + 4 * extra)
-    p = F.greatest(_tail(z_nat), F.lit(1e-300))
     return (c.withColumn("octave", F.floor(F.log2("n") * 2).cast("int"))
-            .withColumn("bin", F.least(F.floor(-F.log10(p) * BIN), F.lit(LAST_BIN)).cast("int"))
+            .withColumn("bin", F.greatest(F.lit(0), F.least(
+                F.floor(F.col("gain") * (BIN / math.log(10))), F.lit(LAST_BIN))).cast("int"))
             .withColumn("ok", uniform))
 
 
 def cuts(cands: DataFrame) -> list[tuple[int, int, int]]:
-    """Smallest p-value bin reported per stratum, by Benjamini-Hochberg.  All
-    runs count as tested; a bin takes part with its largest p-value."""
+    """Smallest p-value bin reported per stratum, by Benjamini-Hochberg with
+    p = 1 / e (which holds for e-values however the runs depend).  All runs count as tested; a bin takes part with its largest p-value."""
     hist = cands.groupBy("enc", "octave", "bin").agg(F.count(F.lit(1)).alias("n"))
     from pyspark.sql import Window
     w = Window.partitionBy("enc", "octave")
@@ -212,7 +280,7 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     over = lambda b, s, e: (b["s"] < e) & (b["e"] > s)
     free = F.filter("cand", lambda c: ~F.exists("base", lambda b: over(b, c["s"], c["e"])))
     one = rows.select("rid", F.explode(free).alias("c")).select("rid", "c.s", "c.e", "c.enc", "c.t")
-    tested = stage(_tests(one).select("rid", "s", "e", "enc", "octave", "bin", "ok"),
+    tested = stage(_tests(one, natural(docs, text_col)).select("rid", "s", "e", "enc", "octave", "bin", "ok"),
                    "secret-tested")
     limit = cuts(tested)
     hit = F.lit(False)

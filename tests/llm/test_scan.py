@@ -1,6 +1,7 @@
 """Operator 4 against Python's regular expressions, and its battery."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -64,6 +65,70 @@ def test_battery_finds_random_runs_only(make):
         assert [s for s in got[i]["spans"].split(",") if s] == want
 
 
+def runs_of(words, rng, shape, n):
+    """A natural run of n characters."""
+    out = ""
+    while len(out) < n:
+        w = rng.choice(words)
+        out += {"HEX": f"{rng.randrange(10 ** 6):06}", "base32": w.upper(), "base36": w.lower(), "BASE36": w.upper(),
+                "base62": w.title(), "base64": w.lower() + rng.choice("-_/")}[shape]
+    return out[:n]
+
+
+def test_recall_by_encoding_and_length_at_one_percent(make, texts01):
+    rng = random.Random(5)
+    az, d = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabet = {"HEX": d + "ABCDEF", "base32": az.upper() + "234567", "base36": az + d, "BASE36": az.upper() + d,
+                "base62": az + az.upper() + d, "base64": az + az.upper() + d + "+/"}
+    words = [w for t in texts01.values() for w in re.findall("[A-Za-z]+", t or "")]
+    secrets, runs = {}, []
+    for name, al in alphabet.items():
+        for n in (20, 24, 32, 40, 48, 64):
+            some = {"".join(rng.choices(al, k=n)): (name, n) for _ in range(10)}
+            secrets |= some
+            runs += [*some, *(runs_of(words, rng, name, n) for _ in range(990))]
+    rng.shuffle(runs)
+    texts = [*texts01.values(), *(" ".join(runs[i:i + 60]) for i in range(0, len(runs), 60))]
+    found, wrong = dict.fromkeys(secrets.values(), 0), 0
+    for r in ss.digest(ss.detect(make(texts))).collect():
+        for s in r["spans"].split(","):
+            if s.startswith("random"):
+                a, b = map(int, s.split(":")[1:])
+                run = texts[r["doc_id"]][a:b]
+                if run in secrets:
+                    found[secrets[run]] += 1
+                else:
+                    wrong += 1
+    assert all(k >= 8 for k in found.values()), found
+    assert sum(found.values()) >= 0.97 * len(secrets) and wrong <= 5, (sum(found.values()), wrong)
+
+
+def test_evidence_by_a_plain_formula(make):
+    texts = ["the old mill by the river 42 times", "The mill2 and 7 more", None]
+    table = ss.natural(make(texts))
+    count = {}
+    for w in re.findall("[A-Za-z0-9]+", " ".join(t or "" for t in texts).lower()):
+        for p, c in zip(" " + w, w):
+            count[p, c] = count.get((p, c), 0) + 1
+
+    def log(p, c):
+        total = sum(n for (q, _), n in count.items() if q == p)
+        digits = 0.1 if p == " " else 0.9 if p.isdigit() else 0.03
+        prior = digits / 10 if c.isdigit() else (1 - digits) / 26
+        return math.log(0.95 * (count.get((p, c), 0) + 100 * prior) / (total + 100) + 0.05 / 36)
+    assert abs(table[36 * 0 + ss.SYMBOLS.index("t")] - log(" ", "t")) < 1e-12
+    place = lambda some, of: math.log(math.prod((of / k) ** k for k in (some, of - some) if k)) + math.log(of + 1)  # noqa
+    words = lambda t: sum(log(" " if p in "-/" else p, c) for p, c in zip("-" + t, t) if c not in "-/")
+    want = {"themillbytheriver42times": (2, -words("themillbytheriver42times") + place(0, 24) + math.log(2) + place(0, 21)
+                                         - 24 * math.log(36) - math.log(10)),
+            "The-Mill/by-the-river": (4, -words("the-mill/by-the-river") + place(4, 21) + 4 * math.log(4)
+                                      + math.log(2) + place(3, 16) - 21 * math.log(66) - math.log(5)),
+            "4" * 22: (0, min(-words("4" * 22), 22 * math.log(10)) - 22 * math.log(16) - math.log(10))}
+    df = make([]).sparkSession.createDataFrame([(t, e) for t, (e, _) in want.items()], "t string, enc int")
+    for r in ss._evidence(df, table).collect():
+        assert abs(r["gain"] - want[r["t"]][1]) < 1e-9, (r, want[r["t"]])
+
+
 def test_running_sums_over_many_matches(spark):
     n = 1500
     df = spark.range(1).select(F.array(*[F.lit(i).cast("long") for i in range(n)]).alias("x"))
