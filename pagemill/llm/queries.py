@@ -12,7 +12,7 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES = {
-    "op1_sentencepiece": lambda s, d: sentencepiece_fst.encode(documents(s, d), PIECES, with_ids=False),
+    "op1_sentencepiece": lambda s, d: sentencepiece_fst.round_trip(documents(s, d), PIECES),
     "op2_language_id": lambda s, d: language_id.identify(documents(s, d)),
     "op3_minhash_near_dedup": lambda s, d: near_dedup.near_dedup(documents(s, d)),
     "op4_secret_scan": lambda s, d: secret_scan.digest(secret_scan.detect(documents(s, d))),

@@ -29,6 +29,7 @@ import zlib
 from array import array
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -189,30 +190,51 @@ class Transducer:
         return raw.decode("utf-8", "replace")
 
 
-def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text",
-           with_ids: bool = True) -> DataFrame:
-    """``doc_id, n_pieces, ids_crc32, decodes`` and, on request, ``ids``."""
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        t = Transducer.of(model)
-        n, crc, back, ids = [], [], [], []
-        for text in batch.column(1).to_pylist():
-            raw = t.encode(text or "")
-            n.append(len(raw) // 4)
-            crc.append(zlib.crc32(raw))
-            back.append(t.decode(raw) == (text or ""))
-            if with_ids:
-                ids.append(list(memoryview(raw).cast("I")))
-        cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(crc, pa.int64()),
-                pa.array(back, pa.bool_())]
-        names = ["doc_id", "n_pieces", "ids_crc32", "decodes"]
-        if with_ids:
-            cols, names = [*cols, pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"]
-        return pa.RecordBatch.from_arrays(cols, names=names)
-
-    schema = "doc_id long, n_pieces long, ids_crc32 long, decodes boolean"
-    return map_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                                   F.col(text_col).cast("string").alias("text")),
-                       run, schema + (", ids array<int>" if with_ids else ""))
+def _encoded(batch: pa.RecordBatch, t: Transducer, back: bool = False) -> pa.RecordBatch:
+    """Pieces of a batch ``doc_id, text`` and whether decoding gives the text;
+    ``back`` keeps the decoded text."""
+    n, crc, same, texts, ids = [], [], [], [], []
+    for text in batch.column(1).to_pylist():
+        raw = t.encode(text or "")
+        got = t.decode(raw)
+        n.append(len(raw) // 4)
+        crc.append(zlib.crc32(raw))
+        same.append(got == (text or ""))
+        ids.append(raw)
+        if back:
+            texts.append(got)
+    ends = np.cumsum([0, *n])
+    if ends[-1] >= 2 ** 31:
+        raise ValueError("a batch has more pieces than an Arrow list can hold")
+    flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
+    cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(crc, pa.int64()),
+            pa.array(same, pa.bool_()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)]
+    names = ["doc_id", "n_pieces", "ids_crc32", "decodes", "ids"]
+    if back:
+        cols, names = [*cols, pa.array(texts, pa.string())], [*names, "decoded"]
+    return pa.RecordBatch.from_arrays(cols, names=names)
+
+
+ENCODED = "doc_id long, n_pieces long, ids_crc32 long, decodes boolean, ids array<int>"
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                       F.col(text_col).cast("string").alias("text"))
+
+
+def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_pieces, ids_crc32, decodes, ids``."""
+    return map_batches(_texts(docs, id_col, text_col),
+                       lambda batch: _encoded(batch, Transducer.of(model)), ENCODED)
+
+
+def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """:func:`encode` and the text that its ids decode to, ``decoded``."""
+    return map_batches(_texts(docs, id_col, text_col),
+                       lambda batch: _encoded(batch, Transducer.of(model), True),
+                       ENCODED + ", decoded string")
 
 
 def decode(rows: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

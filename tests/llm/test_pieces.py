@@ -8,7 +8,9 @@ import sentencepiece
 
 from pagemill.llm import sentencepiece_fst as fst
 from pagemill.llm import token_count as tc
-from pagemill.llm.queries import PIECES
+from pagemill.llm.queries import PIECES, QUERIES
+
+from ..conftest import SF01
 
 PROTO = open(PIECES, "rb").read()
 
@@ -119,3 +121,13 @@ def test_queries(make, docs01, texts01):
         back = {r["doc_id"]: r["text"] for r in fst.decode(rows, PIECES).collect()}
         assert back == {i: sp.decode(got[i]["ids"]) for i in texts}
     assert fst.encode(make([]), PIECES).count() == tc.count_tokens(make([]), PIECES).count() == 0
+
+
+def test_the_query_returns_pieces_and_decoded_texts(spark, texts01):
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    got = {r["doc_id"]: r for r in QUERIES["op1_sentencepiece"](spark, SF01).collect()}
+    assert got.keys() == texts01.keys()
+    for i, x in texts01.items():
+        want = sp.encode(x or "")
+        assert got[i]["ids"] == want and got[i]["decoded"] == sp.decode(want)
+        assert got[i]["n_pieces"] == len(want) and got[i]["decodes"] == (sp.decode(want) == (x or ""))
