@@ -19,9 +19,13 @@ from pagemill.session import ship_package
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without an identifiable language (no letter at all)."""
+    """Drops documents without an identifiable language: no letter at all.
+    The posterior rejects nothing.  Where no row has a label there is no model,
+    and the texts with a letter stay."""
     ship_package(spark)
     model = language_id.train(docs.filter(~language_id.held_out()))
+    if not model.langs:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     kept = language_id.predict(docs, model).filter(F.col("lang_pred") != language_id.UND)
     return kept.select(*docs.columns)
 

@@ -35,3 +35,9 @@ def test_stages_and_result(spark):
     final = {i: r["text"] for i, r in got.items()}
     used, least = verify(rows, dict(zip(final, ids_of(final.values()))))
     assert used <= least + 1
+
+
+def test_no_label_no_model_and_no_loss(spark, make):
+    docs = make(["some words", "123 !", None, "été"], lang=None)
+    got = cp.identify_language(spark, docs, SF001)
+    assert sorted(r["doc_id"] for r in got.collect()) == [0, 3] and got.columns == docs.columns
