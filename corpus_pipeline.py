@@ -30,16 +30,38 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return kept.select(*docs.columns)
 
 
+def _keyed(docs: DataFrame, name: str) -> DataFrame:
+    """``docs``, staged, plus ``_key``, unique per row: ids may be null or repeat."""
+    return stage(docs.withColumn("_key", F.monotonically_increasing_id()), name)
+
+
+#: Rows by id, null last, then by key.
+ORDER = ["doc_id is null as unnamed", "doc_id", "_key"]
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the longest original stays, then the smallest id."""
-    return exact_dedup.drop_copies(docs)
+    """Of equal texts the longest original stays, then the smallest id, then any
+    one row of it."""
+    rows = _keyed(docs, "exact-rows").withColumn("_order", F.struct(*map(F.expr, ORDER)))
+    return exact_dedup.drop_copies(rows, "_order").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
+    """Of each group of near copies the row with the smallest id stays, of
+    equal ids any one."""
     ship_package(spark)
-    gone = near_dedup.near_dedup(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = _keyed(docs, "near-rows")
+    # a row alone in its component is its own label, so only the labels that
+    # another row has as well are grouped
+    label = stage(near_dedup.near_dedup(rows, "_key").select(
+        F.col("doc_id").alias("_key"), F.col("component_id").alias("_comp")), "near-labels")
+    shared = label.filter("_key != _comp").select("_comp").distinct()
+    member = stage(label.join(shared, "_comp", "left_semi")
+                   .join(rows.select("_key", "doc_id"), "_key"), "near-members")
+    first = (member.groupBy("_comp").agg(F.min(F.struct(*map(F.expr, ORDER))).alias("o"))
+             .select(F.col("o._key").alias("_key")))
+    gone = member.select("_key").join(first, "_key", "left_anti")
+    return rows.join(gone, "_key", "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """The pipeline against its stages' brute-force rules on a small table."""
 
+import random
+
 import corpus_pipeline as cp
 
 from ..conftest import SF001
@@ -41,3 +43,16 @@ def test_no_label_no_model_and_no_loss(spark, make):
     docs = make(["some words", "123 !", None, "été"], lang=None)
     got = cp.identify_language(spark, docs, SF001)
     assert sorted(r["doc_id"] for r in got.collect()) == [0, 3] and got.columns == docs.columns
+
+
+def test_rows_with_repeated_or_null_ids_are_decided_by_row(spark, make):
+    rng = random.Random(7)
+    a, b, c, d = (" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(80)) for _ in range(4))
+    near = a + " and a little more"
+    docs = make([(1, a), (2, near), (2, b), (3, c), (3, c), (None, d), (None, d), (None, near + " x")])
+    seen = cp.drop_near_copies(spark, cp.drop_exact_copies(spark, docs, SF001), SF001)
+    assert seen.columns == docs.columns
+    got = sorted((r["doc_id"] or 0, r["text"]) for r in seen.collect())
+    assert got == [(0, d), (1, a), (2, b), (3, c)]
+    alone = sorted((r["doc_id"] or 0, r["text"]) for r in cp.drop_near_copies(spark, docs, SF001).collect())
+    assert alone == got
