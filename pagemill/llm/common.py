@@ -20,6 +20,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh table in the shared folder and read it back."""
     spark = df.sparkSession
@@ -46,6 +50,17 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch],
     return df.mapInArrow(run, schema)
 
 
+def map_tasks(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+              schema: str) -> DataFrame:
+    """``mapInArrow`` with a function of all non-empty batches of a task."""
+    ship_package(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return fn(b for b in batches if b.num_rows)
+
+    return df.mapInArrow(run, schema)
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """``(id, comp)`` for every end of the undirected edges ``(a, b)``:
     smallest reachable id.

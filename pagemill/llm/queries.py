@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import (exact_dedup, fingerprint, html_layout, language_id, near_dedup, packing, repeats,
-               secret_scan, sentencepiece_fst, token_count)
-from .common import documents
+from . import (divergence, exact_dedup, fingerprint, html_layout, language_id, near_dedup, packing,
+               plane_clustering, repeats, secret_scan, sentencepiece_fst, token_count, topk_search)
+from .common import documents, embeddings
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -22,6 +22,14 @@ QUERIES = {
     "op8_exact_dedup": lambda s, d: exact_dedup.decide(documents(s, d)),
     "op9_token_counts": lambda s, d: token_count.count_tokens(documents(s, d), PIECES),
     "op10_html_extraction": lambda s, d: html_layout.extract(s.read.parquet(f"{d}/pages.parquet")),
+    "op11_plane_clustering": lambda s, d: plane_clustering.report(embeddings(s, d)),
+    "op12_source_divergence": lambda s, d: divergence.audit(documents(s, d)),
+    "op13_topk_search": lambda s, d: topk_search.top_k(embeddings(s, d)),
 }
 
-ORACLES = {"op8_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {
+    "op8_exact_dedup": exact_dedup.ORACLE,
+    "op11_plane_clustering": plane_clustering.oracle(),
+    "op12_source_divergence": divergence.ORACLE,
+    "op13_topk_search": topk_search.ORACLE,
+}
