@@ -47,6 +47,8 @@ UNIT = 1000          # three times: 10^9
 SMOOTH = 5
 TILE = 256
 TERMS = 2048
+#: Digests that are broadcast at most (eight bytes each, some 50 MB as a table).
+BROADCAST = 1 << 21
 #: Entries that a task counts before it writes them out.
 HELD = 300_000
 
@@ -117,8 +119,10 @@ def _cells(counts: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame, Data
                 .filter(F.col("docs") >= min_docs).select("lang", "digest", "part", "lang_n"))
 
     kept = stage(frequent(light), "kept-terms")
-    known = kept.select("digest").distinct()
-    words = stage(rows.select("digest", "term").join(known, "digest", "left_semi")
+    known = stage(kept.select("digest").distinct(), "kept-digests")
+    # a small set goes to the terms; a large one meets them by digest
+    small = known.count() <= BROADCAST
+    words = stage(rows.select("digest", "term").join(F.broadcast(known) if small else known, "digest", "left_semi")
                   .groupBy("digest").agg(F.min("term").alias("term"), F.max("term").alias("last"))
                   .withColumn("part", F.lit(0)), "kept-words")
     mixed = words.filter("term != last").select("digest")
