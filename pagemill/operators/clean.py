@@ -56,13 +56,21 @@ def clean_articles(df: DataFrame, extract_dates: bool = True, nfkc: bool = True)
             .drop("_clean"))
 
 
-def clean_stats(cleaned: DataFrame) -> DataFrame:
-    """CL9: one row of counters; statuses partition the rows."""
+STATS = ["total", "cleaned", "date_extracted", "skipped_errors", "skipped_no_text"]
+
+
+def stats_columns() -> list[Column]:
+    """The counters of CL9; statuses partition the rows."""
     st = F.col("clean_status")
-    return cleaned.agg(
+    return [
         F.count(F.lit(1)).alias("total"),
         F.count_if(st == CLEANED).alias("cleaned"),
         F.count_if((st == CLEANED) & (F.col("extracted_date") != "")).alias("date_extracted"),
         F.count_if(st == SKIPPED_ERROR).alias("skipped_errors"),
         F.count_if(st == SKIPPED_NO_TEXT).alias("skipped_no_text"),
-    )
+    ]
+
+
+def clean_stats(cleaned: DataFrame) -> DataFrame:
+    """CL9: one row of counters."""
+    return cleaned.agg(*stats_columns())

@@ -191,3 +191,30 @@ def pages_with_bylines(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = F.element_at(F.array(*[F.lit(b) for b in BYLINES]),
                         (F.col("page_id") % len(BYLINES) + 1).cast("int"))
     return read_table(spark, sf_dir, "pages").withColumn("html", F.concat(head, "html"))
+
+
+# Entries of the crawler's article files: an unknown member first, every 97th
+# entry a JSON string and every 101st null.
+STRING_EVERY, NULL_EVERY = 97, 101
+FILE_OF = 256                       # consecutive positions per file
+
+
+def crawl_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``name, pos, json`` of article files with members and entries that the
+    cleaner does not know."""
+    from ..sources.io import article_json
+    arts = articles(spark, sf_dir)
+    pos = F.col("pos")
+    extra = F.concat(F.lit('{"_crawl": {"id": '), pos.cast("string"), F.lit(', "tags": ["a", null, 1.50]}, '))
+    obj = F.concat(extra, F.expr("substr(json, 2)"))
+    return (article_json(arts).select(
+        F.format_string("articles-%06d.json", (pos / FILE_OF).cast("int")).alias("name"), "pos",
+        F.when(pos % STRING_EVERY == 0, F.concat(F.lit('"'), pos.cast("string"), F.lit('"')))
+        .when(pos % NULL_EVERY == 0, F.lit("null")).otherwise(obj).alias("json")))
+
+
+def text_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``name, pos, json``: the texts of each source as JSON strings."""
+    return read_table(spark, sf_dir, "documents").select(
+        F.concat("source", F.lit(".json")).alias("name"), F.col("doc_id").alias("pos"),
+        F.expr("substr(to_json(array(text)), 2, length(to_json(array(text))) - 2)").alias("json"))

@@ -3,7 +3,7 @@
 * :func:`crawl_update` -- link discovery or update, fetch-attempt folding and
   dataset upsert (the scrape run, starting from stored pages and attempts);
 * :func:`clean_dataset` -- read, optional snapshot, clean, write, statistics
-  (the clean run);
+  (the clean run), :func:`clean_json_files` the same from files to files;
 * :func:`build_index` -- incremental or forced build of the chunk store (the
   index run).
 
@@ -13,14 +13,16 @@ tables are written to the given paths.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import attempts as fb
 from ..operators import clean as cl
 from ..operators import links as lk
-from ..sources import io
+from ..sources import arrays, files, io
 from ..schema import ARTICLE
 from ..session import ensure_checkpoint_dir, scratch_path, stage
 from ..sources.store import ChunkStore
@@ -83,9 +85,8 @@ def clean_dataset(spark: SparkSession, input_path: str, output_path: str,
     (CL9).
 
     A malformed file raises before anything is written.  When cleaning in
-    place with ``backup``, the files' contents are first copied unchanged to
-    ``<input>_backup`` (IO8), with unknown keys and entries that are not
-    objects.
+    place with ``backup``, the files are first copied byte by byte to
+    ``<input>_backup`` (IO8), under their names and with a manifest.
     """
     articles = (io.read_mixed_articles(spark, input_path) if source == "json"
                 else spark.read.parquet(input_path))
@@ -97,13 +98,46 @@ def clean_dataset(spark: SparkSession, input_path: str, output_path: str,
         if backup and source == "parquet":
             io.snapshot(spark, input_path, input_path.rstrip("/") + "_backup")
         elif backup:
-            (spark.read.text(input_path, wholetext=True)
-             .write.mode("overwrite").text(input_path.rstrip("/") + "_backup"))
+            files.copy_files(spark, input_path, input_path.rstrip("/") + "_backup")
     cleaned = cl.clean_articles(articles)
     cleaned.write.mode("overwrite").parquet(output_path)
     return cl.clean_stats(spark.read.parquet(output_path))
 
 
+def clean_json_files(spark: SparkSession, input_path: str, output_path: str,
+                     backup: bool = True) -> DataFrame:
+    """Clean run from JSON array files to JSON array files (IO7): one output
+    file per input file, under its name and in the crawler's form.
+
+    ``Text`` and, where a date was found, ``Publish Date`` of the cleaned
+    articles are replaced.  All other members, skipped articles and entries that
+    are not objects stay as they are, in their order.  Files are written to a
+    fresh folder that takes the place of ``output_path`` when it is whole; in
+    place with ``backup``, the old files are copied to ``<input>_backup`` first.
+    The statistics (CL9) are counted while the files are written.
+    """
+    if input_path == output_path and backup:
+        files.copy_files(spark, input_path, input_path.rstrip("/") + "_backup")
+    elements = arrays.read_elements(spark, input_path)
+    rows = io.article_columns(elements.withColumn("entry", arrays.parsed(F.col("json"))))
+    seen = Observation()
+    cleaned = cl.clean_articles(rows).observe(seen, *cl.stats_columns())
+    done = F.col("clean_status") == cl.CLEANED
+    new = arrays.update_elements(
+        cleaned.withColumn("_text", F.when(done, F.col("text")))
+        .withColumn("_date", F.when(done & (F.col("extracted_date") != ""), F.col("extracted_date"))),
+        {"Text": "_text", "Publish Date": "_date"})
+    # an empty array has no element, but stays a file
+    names = files.listing(spark, input_path).select(
+        "name", F.lit(-1).cast("long").alias("pos"), F.lit(None).cast("string").alias("json"))
+    empty = names.join(elements.select("name").distinct(), "name", "left_anti")
+    fresh = f"{output_path.rstrip('/')}.{os.urandom(6).hex()}"
+    arrays.write_arrays(new.unionByName(empty), fresh)
+    files.replace_folder(spark, fresh, output_path)
+    return spark.createDataFrame([tuple(seen.get[c] for c in cl.STATS)],
+                                 ", ".join(f"{c} long" for c in cl.STATS))
+
+
 def build_index(spark: SparkSession, cleaned_path: str, store_root: str,
                 rebuild: bool = False, embed: bool = True) -> dict[str, DataFrame]:
     """Index run: the chunk store is built from the cleaned articles (only

@@ -682,3 +682,28 @@ QUERIES.update({
           (select count(*) from v where visited and skip_reason is not null) as articles_skipped,
           (select count(*) from bad) as errors""",
 })
+
+# Article files: written, copied, cleaned from files to files and read back.
+NOT_OBJECT = f"(pos % {fx.STRING_EVERY} = 0 or pos % {fx.NULL_EVERY} = 0)"
+
+QUERIES.update({
+    "read_large_array": f"""
+        select row_number() over (order by pos) - 1 as pos, link, title, text, error from ({ARTICLES})""",
+    "snapshot_files": """
+        select name, octet_length(encode(body)) as length, sha256(body) as sha256 from (
+          select source || '.json' as name, '[' || chr(10) || '    ' || string_agg(
+            cast(to_json(text) as varchar), ',' || chr(10) || '    ' order by doc_id) || chr(10) || ']' as body
+          from documents group by source)""",
+    "clean_roundtrip_json": f"""
+        select printf('articles-%06d.json', pos // {fx.FILE_OF}) as name,
+          row_number() over (order by pos) - 1 as pos, not {NOT_OBJECT} as is_object,
+          case when pos % {fx.STRING_EVERY} = 0 then '"' || pos || '"'
+               when pos % {fx.NULL_EVERY} = 0 then 'null' end as scalar,
+          case when not {NOT_OBJECT} then pos end as crawl_id, not {NOT_OBJECT} as keeps_number,
+          case when not {NOT_OBJECT} then link end as link, case when not {NOT_OBJECT} then title end as title,
+          case when not {NOT_OBJECT} then text end as text,
+          case when not {NOT_OBJECT} then publish_date end as publish_date,
+          case when not {NOT_OBJECT} then error end as error
+        from ({CLEANED})""",
+    "clean_files_stats": MIXED_CLEAN_STATS.replace("pos % 97 = 0", NOT_OBJECT),
+})

@@ -21,10 +21,11 @@ from ..operators import attempts as fb
 from ..operators import embed as em
 from ..operators import extract as ex
 from ..session import ensure_checkpoint_dir, scratch_path, stage
-from ..sources import io
+from ..sources import arrays, files, io
 from ..sources.store import ChunkStore
 from ..streaming.incremental import run_build_stream
 from . import fixtures as fx
+from . import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -332,6 +333,43 @@ def q_read_articles(spark, sf_dir):
     return io.read_articles(spark, path).select("link", "title", "text", "error")
 
 
+def q_read_large_array(spark, sf_dir):
+    """All articles as one indented array, read back in splits."""
+    path = scratch_path(spark, "large-array")
+    entries = io.article_json(fx.articles(spark, sf_dir)).withColumn("name", F.lit("articles.json"))
+    arrays.write_arrays(arrays.update_elements(entries, {}), path)
+    return io.read_articles(spark, path).select("pos", "link", "title", "text", "error")
+
+
+def q_snapshot_files(spark, sf_dir):
+    """The files of a copied folder."""
+    path = scratch_path(spark, "text-files")
+    arrays.write_arrays(fx.text_entries(spark, sf_dir), path)
+    files.copy_files(spark, path, path + "_backup")
+    return files.digest_files(spark, path + "_backup")
+
+
+def q_clean_roundtrip_json(spark, sf_dir):
+    """Entries of article files after a clean run from files to files."""
+    path = scratch_path(spark, "crawl-files")
+    arrays.write_arrays(fx.crawl_entries(spark, sf_dir), path)
+    jobs.clean_json_files(spark, path, path)
+    e = arrays.read_elements(spark, path).withColumn("entry", arrays.parsed(F.col("json")))
+    arts = io.article_columns(e)
+    extra = F.when(F.col("is_object"), F.regexp_extract("json", r'"id": (\d+)', 1).cast("long"))
+    return arts.select(
+        "name", "pos", "is_object", F.when(~F.col("is_object"), F.col("json")).alias("scalar"),
+        extra.alias("crawl_id"), F.col("json").contains("1.5").alias("keeps_number"),
+        "link", "title", "text", "publish_date", "error")
+
+
+def q_clean_files_stats(spark, sf_dir):
+    """Statistics counted while the cleaned files are written."""
+    path = scratch_path(spark, "crawl-files")
+    arrays.write_arrays(fx.crawl_entries(spark, sf_dir), path)
+    return jobs.clean_json_files(spark, path, path + "_clean")
+
+
 def q_read_links(spark, sf_dir):
     links = lk.ordered_distinct(_page_links(spark, sf_dir), ["page_no", "idx"], _page_bucket())
     path = scratch_path(spark, "links-json")
@@ -419,6 +457,10 @@ QUERIES: dict[str, Query] = {
     "embed_chunks": q_embed_chunks,
     "read_mixed_json": q_read_mixed_json,
     "read_articles": q_read_articles,
+    "read_large_array": q_read_large_array,
+    "snapshot_files": q_snapshot_files,
+    "clean_roundtrip_json": q_clean_roundtrip_json,
+    "clean_files_stats": q_clean_files_stats,
     "read_links": q_read_links,
     "write_links": q_write_links,
     "append_ledger": q_append_ledger,

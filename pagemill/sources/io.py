@@ -1,7 +1,8 @@
 """Readers and writers (IO1-IO10).
 
-The crawler exchanges whole JSON arrays.  A JSON array cannot be split
-between tasks, so each file is parsed by one task; the readers here are the
+The crawler exchanges whole JSON arrays.  The strict readers cut them in
+splits (:mod:`pagemill.sources.arrays`); the lenient ones parse each file in
+one task, since a file counts as a whole or not at all.  The readers are the
 conversion step, and everything downstream works on Parquet tables with an
 explicit ``pos`` column.  Positions are unique and rise in file order, then
 element order (within a file they are consecutive); they need not be dense.
@@ -17,27 +18,28 @@ from ..operators.attempts import load_dataset
 from ..operators.links import ordered_distinct
 from ..session import stage
 from ..schema import ARTICLE, ARTICLE_JSON, JSON_KEYS, LEDGER, LINKS
+from .arrays import parsed, read_elements
 
 
 def _empty(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def _entries(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
+def _entries(spark: SparkSession, path: str, strict: bool) -> DataFrame:
     """``(pos, entry VARIANT)`` for every element of the JSON array(s).
 
-    ``pos = (rank of the file path) << 32 | element index``: unique, and
-    rising in file-path order, then element order.  The file ranks come from
-    the scan's file list (metadata the driver holds anyway).  In ``FAILFAST``
-    mode malformed JSON and a top level that is not an array raise.
+    Strict: malformed JSON, text after the array and a top level that is not
+    an array raise.  Lenient: such a file has no entries; its positions are
+    ``(rank of the file path) << 32 | element index``, with the file ranks from
+    the scan's file list (metadata the driver holds anyway).
     """
+    if strict:
+        return read_elements(spark, path).select("pos", parsed(F.col("json")).alias("entry"))
     raw = (spark.read.option("singleVariantColumn", "_v").option("multiLine", True)
-           .option("mode", mode).json(path))
+           .option("mode", "PERMISSIVE").json(path))
     ranks = spark.createDataFrame(list(enumerate(sorted(raw.inputFiles()))),
                                   "_fr long, _file string")
     arr = F.try_variant_get(F.col("_v"), "$", "array<variant>")
-    if mode == "FAILFAST":
-        arr = F.when(arr.isNull(), F.raise_error(F.lit("not a JSON array"))).otherwise(arr)
     return (raw.select(F.input_file_name().alias("_file"), arr.alias("_a"))
             .join(ranks, "_file")
             .select("_fr", F.posexplode("_a").alias("_i", "entry"))
@@ -52,18 +54,20 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
     """IO1 strict reader: a missing file or malformed JSON raises.  Returns
     the object entries with their positions (an entry that is not an object
     would stop the index build, so it is not returned)."""
-    arts = _articles(_entries(spark, path, mode="FAILFAST"))
+    arts = article_columns(_entries(spark, path, strict=True))
     return arts.filter(F.col("is_object")).drop("is_object")
 
 
-def _articles(e: DataFrame) -> DataFrame:
+def article_columns(e: DataFrame) -> DataFrame:
+    """The article columns of ``entry VARIANT``, null where it is no object, and
+    ``is_object``; other columns stay."""
     is_obj = F.coalesce(F.schema_of_variant(F.col("entry")).startswith("OBJECT"), F.lit(False))
     cols = [F.when(is_obj, _field(F.col("entry"), f.name, f.dataType.simpleString()))
             .alias(JSON_KEYS[f.name]) for f in ARTICLE_JSON.fields]
-    return e.select("pos", *cols, is_obj.alias("is_object"))
+    return e.select(*[c for c in e.columns if c != "entry"], *cols, is_obj.alias("is_object"))
 
 
-def read_mixed_articles(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
+def read_mixed_articles(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """IO2: tolerant of array entries that are not objects; a file that is not
     a JSON array raises.
 
@@ -71,13 +75,13 @@ def read_mixed_articles(spark: SparkSession, path: str, mode: str = "FAILFAST")
     not JSON objects (their fields are NULL), which the cleaner counts as
     errors.
     """
-    return _articles(_entries(spark, path, mode))
+    return article_columns(_entries(spark, path, strict))
 
 
 def read_links(spark: SparkSession, path: str) -> DataFrame:
     """IO3 lenient link reader: missing or unreadable -> empty list."""
     try:
-        e = _entries(spark, path)
+        e = _entries(spark, path, strict=False)
     except AnalysisException:
         return _empty(spark, LINKS)
     return (e.select("pos", F.try_variant_get(F.col("entry"), "$", "string").alias("link"))
@@ -87,7 +91,7 @@ def read_links(spark: SparkSession, path: str) -> DataFrame:
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     """IO4: keyed dataset from an article file; error -> empty."""
     try:
-        arts = read_mixed_articles(spark, path, "PERMISSIVE").filter(F.col("is_object")).drop("is_object")
+        arts = read_mixed_articles(spark, path, strict=False).filter(F.col("is_object")).drop("is_object")
     except AnalysisException:
         return _empty(spark, ARTICLE)
     return load_dataset(stage(arts, "dataset-rows"))     # read twice, parsed once
@@ -104,13 +108,6 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def write_articles_json(df: DataFrame, path: str) -> None:
-    """Articles back in the crawler's key names, as JSON Lines files."""
-    inverse = {v: k for k, v in JSON_KEYS.items()}
-    df.select("pos", *[F.col(c).alias(inverse[c]) for c in inverse if c in df.columns]) \
-        .write.mode("overwrite").json(path)
-
-
 def snapshot(spark: SparkSession, path: str, backup_path: str) -> DataFrame:
     """IO8: copy the current table to ``backup_path`` and return the copy.
 
