@@ -18,18 +18,18 @@ and links with nothing.  Two documents are linked when
    gives each member's novel shingles, those that the hub lacks.
 4. What the stars leave open is finished without pairing whole groups.  A link
    of u and c needs ``3 / 7 * (|u| + |c|)`` common shingles; at most
-   ``min(|u & hub|, |c & hub|)`` of them are the hub's:
-
-   * if u is not linked to the hub and c is no smaller than the hub, the hub's
-     part never suffices, so c shares ``need`` or more novel shingles with u,
-     hence one of u's novel shingles other than the ``need - 1`` most frequent:
-     partners are looked up by that prefix of rare ones;
-   * a smaller c is looked up by all novel shingles of u, and paired directly
-     where the hub's part could suffice;
-   * far members of a group cannot be linked to those linked with the hub
-     (distances 1 - J add up); among themselves all pairs across components
-     are estimated, in small groups by a join, in groups over ``SMALL``
-     members block by block, so no task holds more than two blocks.
+   ``min(|u & hub|, |c & hub|)`` of them are the hub's, so the others are common
+   novel shingles.  With k of them needed, the shingles other than the ``k - 1``
+   most frequent of u and those of c have one in common.  Members that the hub
+   did not link and all near members meet by these rare shingles: first each of
+   the former with one holder of the shingle (a second star), then, across the
+   components that are left, with all holders.  Pairs for which the hub's part
+   could suffice are compared directly.
+5. Far members of a group are estimated against all its unlinked members of
+   other components, in small groups by a join, in groups over ``SMALL`` members
+   block by block, so no task holds more than two blocks.  A far member cannot
+   be linked to those linked with the hub (distances 1 - J add up; NEAR is more
+   than two standard deviations under the 0.5 that this takes).
 
    Candidates over ``FLOOR`` (more than six standard deviations under 0.75)
    are confirmed on full sets.  No partner or candidate is dropped.
@@ -46,7 +46,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, map_batches, stage, text_or_empty
@@ -197,41 +197,86 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return out.withColumn("linked", F.expr(f"100 * both >= {PERCENT} * (na + nb - both)"))
 
 
-def _by_novel(checked: DataFrame) -> DataFrame:
-    """Candidate pairs of near members of a hub that a star did not link."""
+def _meetings(checked: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Where near members of a hub can meet that a star did not link.
+
+    ``asks (b, sh, u, small)``: rare novel shingles of the members ``u`` that hub
+    ``b`` did not link; ``has (b, sh, c, small)``: rare novel shingles of all near
+    members ``c``.  A link of u and c that the hub's part cannot give shares a
+    shingle of both (``small``: that of c below the hub's size).  ``inside
+    (u, c)``: pairs where the hub's part could suffice, as members ``(b, u, nu,
+    bu)`` to meet ``(b, c, nc, bc)``."""
     open_hubs = stage(checked.filter("not linked").select("b").distinct(), "near-open-hubs")
     own = stage(checked.join(open_hubs, "b", "left_semi"), "near-open-stars")
-    rows = own.select(
-        "a", "b", "linked", (F.col("na") < F.col("nb")).alias("small"),
-        F.size("novel").alias("nn"),
-        (F.ceil(3 * (F.col("na") + F.greatest("nb", F.ceil(F.col("na") * 3 / 4))) / 7)
-         - F.col("both")).alias("need"),
+    # what the hub's part of any open member can give: 3 * (nu + nc) / 7 <= bu
+    room = stage(own.filter("not linked").groupBy("b")
+                 .agg(F.max(F.floor(F.col("both") * 7 / 3) - F.col("na")).alias("most")), "near-room")
+    three_quarters = F.ceil(F.col("na") * 3 / 4)
+    rows = own.join(room, "b").select(
+        "a", "b", "linked", (F.col("na") < F.col("nb")).alias("small"), F.size("novel").alias("nn"),
+        # at least this many common novel shingles: with a partner no smaller than
+        # the hub, with any partner, and with any open member
+        (F.ceil(3 * (F.col("na") + F.greatest("nb", three_quarters)) / 7) - F.col("both")).alias("need"),
+        (F.ceil(3 * (F.col("na") + three_quarters) / 7) - F.col("both")).alias("need_any"),
+        F.ceil(3 * (F.col("na") - F.col("most")) / 7).alias("need_open"),
         F.explode("novel").alias("sh"))
     rows = stage(rows, "near-novel")
     freq = stage(rows.groupBy("b", "sh").agg(F.count(F.lit(1)).alias("f")).filter("f >= 2"),
                  "near-freq")
-    rows = stage(rows.join(freq, ["b", "sh"]), "near-shared")
     w = Window.partitionBy("b", "a")
-    rare = (rows.filter("not linked")
-            .withColumn("rank", F.row_number().over(w.orderBy("f", "sh")))
-            .withColumn("alone", F.col("nn") - F.count(F.lit(1)).over(w))
-            .select("b", "sh", F.col("a").alias("u"),
-                    F.expr("rank + alone <= nn - need + 1").alias("rare")))
-    other = rows.select("b", "sh", F.col("a").alias("c"), "small")
-    shared = (rare.join(other, ["b", "sh"]).filter("u != c and (rare or small)")
-              .select("u", "c"))
-    # where the hub's part could suffice: 3 * (nu + nc) <= 7 * min(both)
-    u = own.filter("not linked").select("b", F.col("a").alias("u"), F.col("na").alias("nu"),
-                                        F.col("both").alias("bu"))
-    c = own.filter("na < nb").select("b", F.col("a").alias("c"), F.col("na").alias("nc"),
-                                     F.col("both").alias("bc"))
-    room = stage(u.groupBy("b").agg(F.max(F.floor(F.col("bu") * 7 / 3) - F.col("nu")).alias("most")),
-                 "near-room")
-    c = c.join(room, "b").filter("nc <= most")
-    inside = (u.join(c, "b").filter("u != c and 3 * (nu + nc) <= 7 * least(bu, bc) "
-                                    "and 4 * nc >= 3 * nu and 4 * nu >= 3 * nc").select("u", "c"))
-    return (shared.unionByName(inside)
-            .select(F.greatest("u", "c").alias("a"), F.least("u", "c").alias("b")).distinct())
+    rows = stage(rows.join(freq, ["b", "sh"])
+                 .withColumn("rank", F.row_number().over(w.orderBy("f", "sh")))
+                 .withColumn("alone", F.col("nn") - F.count(F.lit(1)).over(w)), "near-shared")
+
+    def rare(need: str) -> Column:
+        return F.expr(f"rank + alone <= nn - greatest({need}, 1) + 1")
+
+    asks = rows.filter("not linked").withColumn("large", rare("need")).withColumn("any", rare("need_any"))
+    asks = stage(asks.filter("large or any").select("b", "sh", F.col("a").alias("u"), "large", "any"), "near-asks")
+    has = stage(rows.filter(rare("need_open")).select("b", "sh", F.col("a").alias("c"), "small"), "near-has")
+    return asks, has, own.join(room, "b")
+
+
+def _labelled(rows: DataFrame, comp: DataFrame, col: str) -> DataFrame:
+    """``rows`` plus ``comp_<col>``, the component of that column."""
+    return (rows.join(comp.select(F.col("id").alias(col), F.col("comp").alias(f"comp_{col}")), col, "left")
+            .withColumn(f"comp_{col}", F.coalesce(f"comp_{col}", col)))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("u", "c").alias("a"), F.least("u", "c").alias("b")).distinct()
+
+
+def _second_stars(asks: DataFrame, has: DataFrame) -> DataFrame:
+    """Every asking member with one holder of each rare shingle, the holder of
+    most of them: linear in the rows."""
+    most = has.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+    hub = (has.join(most, "c").groupBy("b", "sh", "n").agg(F.min("c").alias("c"))
+           .groupBy("b", "sh").agg(F.max_by("c", "n").alias("c")))
+    return _ordered(asks.join(stage(hub, "near-second-hubs"), ["b", "sh"]).filter("u != c").select("u", "c"))
+
+
+def _by_novel(asks: DataFrame, has: DataFrame, own: DataFrame, comp: DataFrame) -> DataFrame:
+    """Candidate pairs across components that the stars and second stars left."""
+    asks = stage(_labelled(asks, comp, "u"), "near-asks-comp")
+    has = stage(_labelled(has, comp, "c"), "near-has-comp")
+    mixed = stage(asks.select("b", "sh", F.col("comp_u").alias("comp"))
+                  .unionByName(has.select("b", "sh", F.col("comp_c").alias("comp")))
+                  .groupBy("b", "sh").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+                  .filter("c0 < c1").select("b", "sh"), "near-mixed")
+    asks = stage(asks.join(mixed, ["b", "sh"], "left_semi"), "near-asks-mixed")
+    has = stage(has.join(mixed, ["b", "sh"], "left_semi"), "near-has-mixed")
+    fits = F.when(F.col("small"), F.col("any")).otherwise(F.col("large"))
+    shared = asks.join(has, ["b", "sh"]).filter((F.col("comp_u") != F.col("comp_c")) & fits).select("u", "c")
+    # where the hub's part could suffice: 3 * (nu + nc) <= 7 * min(bu, bc)
+    u = _labelled(own.filter("not linked").select("b", F.col("a").alias("u"), F.col("na").alias("nu"),
+                                                  F.col("both").alias("bu")), comp, "u")
+    c = _labelled(own.filter("na < nb and na <= most").select("b", F.col("a").alias("c"), F.col("na").alias("nc"),
+                                                              F.col("both").alias("bc")), comp, "c")
+    inside = (stage(u, "near-inside-u").join(stage(c, "near-inside-c"), "b")
+              .filter("comp_u != comp_c and 3 * (nu + nc) <= 7 * least(bu, bc) "
+                      "and 4 * nc >= 3 * nu and 4 * nu >= 3 * nc").select("u", "c"))
+    return _ordered(shared.unionByName(inside))
 
 
 def _across(block: pd.DataFrame) -> pd.DataFrame:
@@ -240,22 +285,23 @@ def _across(block: pd.DataFrame) -> pd.DataFrame:
     lo, hi = block["lo"].iloc[0], block["hi"].iloc[0]
     left, right = block[block["i"] == lo], block[block["i"] == hi]
     none = pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
-    if block["comp"].nunique() < 2:
+    if block["comp"].nunique() < 2 or not block["far"].any():
         return none
     sl = np.stack(left["sig"].to_numpy()).astype(np.int64).view(np.uint64)
     sr = np.stack(right["sig"].to_numpy()).astype(np.int64).view(np.uint64)
     lows = _U(sum(1 << (B * i) for i in range(64 // B)))
     cl, cr = left["comp"].to_numpy(), right["comp"].to_numpy()
     il, ir = left["doc_id"].to_numpy(), right["doc_id"].to_numpy()
+    fl, fr = left["far"].to_numpy(), right["far"].to_numpy()
     out_a, out_b = [], []
     most = HASHES * (1 - (FLOOR * (1 - 2.0 ** -B) + 2.0 ** -B))
-    for x, c, d in zip(sl, cl, il):
+    for x, c, d, far in zip(sl, cl, il, fl):
         v = sr ^ x
         f = v
         for s in range(1, B):
             f = f | (v >> _U(s))
         diff = np.bitwise_count(f & lows).sum(axis=1)
-        hit = (diff <= most) & (cr != c)
+        hit = (diff <= most) & (cr != c) & (fr | far)
         if lo == hi:
             hit &= ir > d
         other = ir[hit]
@@ -267,24 +313,27 @@ def _across(block: pd.DataFrame) -> pd.DataFrame:
 
 
 def _by_groups(far: DataFrame, comp: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Candidate pairs across components among the far members ``(key,
-    doc_id)`` of band groups."""
+    """Candidate pairs across components among the unlinked members ``(key,
+    doc_id, far)`` of band groups, at least one of them far (all, without that
+    column)."""
+    if "far" not in far.columns:
+        far = far.withColumn("far", F.lit(True))
     m = stage(far.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-              .select("key", "doc_id", F.coalesce("comp", "doc_id").alias("comp")), "near-far")
+              .select("key", "doc_id", "far", F.coalesce("comp", "doc_id").alias("comp")), "near-far")
     open_ = stage(m.groupBy("key")
                   .agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("c0"),
-                       F.max("comp").alias("c1"))
-                  .filter("c0 < c1").select("key", "n"), "near-open")
+                       F.max("comp").alias("c1"), F.max("far").alias("some"))
+                  .filter("c0 < c1 and some").select("key", "n"), "near-open")
     m = stage(m.join(open_, "key"), "near-open-members")
     few = m.filter(F.col("n") <= SMALL)
-    x = few.select("key", F.col("doc_id").alias("a"), F.col("comp").alias("ca"))
-    y = few.select("key", F.col("doc_id").alias("b"), F.col("comp").alias("cb"))
-    small = x.join(y, "key").filter("a > b and ca != cb").select("a", "b")
+    x = few.select("key", F.col("doc_id").alias("a"), F.col("comp").alias("ca"), F.col("far").alias("fa"))
+    y = few.select("key", F.col("doc_id").alias("b"), F.col("comp").alias("cb"), F.col("far").alias("fb"))
+    small = x.join(y, "key").filter("a > b and ca != cb and (fa or fb)").select("a", "b")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     many = (m.filter(F.col("n") > SMALL).join(sigs.select("doc_id", "sig"), "doc_id")
             .withColumn("i", F.pmod(F.xxhash64("doc_id"), blocks).cast("int"))
             .withColumn("j", F.explode(F.sequence(F.lit(0), blocks - 1)))
-            .select("key", "doc_id", "comp", "sig", "i",
+            .select("key", "doc_id", "comp", "far", "sig", "i",
                     F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi")))
     large = many.groupBy("key", "lo", "hi").applyInPandas(_across, "a long, b long")
     return small.unionByName(large).distinct()
@@ -319,12 +368,22 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     near = stage(_near(star, sigs, NEAR), "near-star")
     checked = stage(_compared(near, texts), "near-checked")
     first = checked.filter("linked").select("a", "b")
+    comp = components(first, "near-cc0")
+    # the second stars join most of what the first ones left
+    asks, has, own_stars = _meetings(checked)
+    again = _second_stars(asks, has)
+    for end in ("a", "b"):
+        again = _labelled(again, comp, end)
+    again = stage(_near(again.filter("comp_a != comp_b").select("a", "b"), sigs, FLOOR), "near-again")
+    first = stage(first.unionByName(_compared(again, texts).filter("linked").select("a", "b")), "near-first")
     comp = components(first, "near-cc1")
-    far = stage(members.join(near.select(F.col("a").alias("doc_id"), F.col("b").alias("hub")),
-                             ["doc_id", "hub"], "left_anti").select("key", "doc_id"), "near-left")
+    pair = [F.col("a").alias("doc_id"), F.col("b").alias("hub")]
+    far = stage(members.join(checked.filter("linked").select(*pair), ["doc_id", "hub"], "left_anti")
+                .join(near.select(*pair, F.lit(False).alias("far")), ["doc_id", "hub"], "left")
+                .select("key", "doc_id", F.coalesce("far", F.lit(True)).alias("far")), "near-left")
     lab = comp.select(F.col("id").alias("a"), F.col("comp").alias("ca"))
     lab2 = comp.select(F.col("id").alias("b"), F.col("comp").alias("cb"))
-    more = stage(_by_novel(checked).unionByName(_by_groups(far, comp, sigs)).distinct()
+    more = stage(_by_novel(asks, has, own_stars, comp).unionByName(_by_groups(far, comp, sigs)).distinct()
                  .join(lab, "a", "left").join(lab2, "b", "left")
                  .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"),
                  "near-more")
