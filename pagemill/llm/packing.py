@@ -27,9 +27,11 @@ an empty result; other columns are not read.
 from __future__ import annotations
 
 import bisect
+import os
 import unicodedata
 import zlib
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +43,8 @@ from .common import map_batches, stage
 
 CAPACITY = 2048
 END = 0
-NODES = 20_000
+#: Steps of the search: lengths and fillings looked at, some seconds in all.
+WORK = 1_000_000
 #: Fillings tried per node, and entries in a worker's cache of words.
 WIDTH = 8
 CACHE = 600_000
@@ -54,11 +57,16 @@ class Tokens:
 
     The normaliser and pre-tokeniser of the vocabulary never join characters
     across white space, so a text is the concatenation of its words and words
-    are cached.  Texts with a separator on which Python and the tokenizer
-    disagree (1C-1F) are encoded whole."""
-
-    _cache: dict[str, dict[str, bytes]] = {}
-    ODD = frozenset("\x1c\x1d\x1e\x1f")
+    are cached.  Letters in lower case, with or without closing stops, are the
+    rule: a letter and a stop are separate words of the pre-tokeniser, and the
+    letters go to the model directly.  Other new words are encoded many at a
+    time, with a mark between them whose one id tells where a word ends.  Texts
+    with a separator on which Python and the tokenizer disagree (1C-1F) are
+    encoded whole."""
+
+    _loaded: dict[str, Tokens] = {}
+    ODD = "\x1c\x1d\x1e\x1f"
+    MARK = "|"
     STOPS = ".,;:!?"
     #: The byte-level alphabet: printable bytes stand for themselves, the others
     #: follow from code point 256.
@@ -67,49 +75,75 @@ class Tokens:
                      map(chr, [*PLAIN, *range(256, 256 + 256 - len(PLAIN))])))
 
     def __init__(self, path: str):
+        # a task has one core: the library's own threads would only wait
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.known = self._cache.setdefault(path, {})
-        self.parts = self._cache.setdefault(path + "#parts", {})
-
-    def _word(self, word: str) -> bytes:
-        """Ids of one word.  Lower-case letters in composed form are one word of
-        the pre-tokeniser and go to the model directly."""
-        if word.isalpha() and word.islower():
-            if not word.isascii():
-                if not unicodedata.is_normalized("NFC", word) or any(c.lower() != c for c in word):
-                    return self._encode([word])[0]
-                word = "".join(map(self.BYTES.__getitem__, word.encode()))
-            return array("I", [t.id for t in self.tok.model.tokenize(word)]).tobytes()
-        return self._encode([word])[0]
+        self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        mark = self.tok.encode(self.MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+
+    @classmethod
+    def of(cls, path: str) -> Tokens:
+        """One per worker process and vocabulary; it outlives the task."""
+        if path not in cls._loaded:
+            cls._loaded[path] = cls(path)
+        return cls._loaded[path]
 
     def _encode(self, words: list[str]) -> list[bytes]:
         got = self.tok.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in got]
 
-    def _split(self, word: str) -> tuple[str, str]:
-        """Word and closing stops; ASCII words in lower case.  Exact: a letter
-        and a stop are always separate words of the pre-tokeniser."""
-        core = word.rstrip(self.STOPS)
-        if core and core[-1].isalpha() and "<|" not in core:
-            return (core.lower() if core.isascii() else core), word[len(core):]
-        return word, ""
+    def _letters(self, word: str) -> bytes | None:
+        """Ids of lower-case letters in composed form; None for other words."""
+        if not word.isascii():
+            if not (word.islower() and word.isalpha() and unicodedata.is_normalized("NFC", word)) \
+                    or word.lower() != word:
+                return None
+            word = "".join(map(self.BYTES.__getitem__, word.encode()))
+        elif not word.isalpha():
+            return None
+        return array("I", [t.id for t in self.tok.model.tokenize(word)]).tobytes()
 
     def _learn(self, words: set[str]) -> None:
         if len(self.parts) > CACHE:
             self.parts.clear()
-        cut = {w: self._split(w) for w in words}
-        need = {p for pair in cut.values() for p in pair if p}.difference(self.parts)
-        self.parts.update({p: self._word(p) for p in need})
-        self.parts[""] = b""
-        self.known.update({w: self.parts[a] + self.parts[b] for w, (a, b) in cut.items()})
+        known, parts, stops = self.known, self.parts, self.STOPS
+        others = []
+        for word in words:
+            core = word.rstrip(stops)
+            low = core.lower() if core.isascii() else core
+            ids = parts.get(low)
+            if ids is None:
+                ids = self._letters(low) if low else None
+                if ids is None:
+                    others.append(word)
+                    continue
+                parts[low] = ids
+            if len(core) < len(word):
+                end = word[len(core):]
+                if end not in parts:
+                    parts[end] = self._encode([end])[0]
+                ids += parts[end]
+            known[word] = ids
+        alone = [w for w in others if self.MARK in w or self.mark is None]
+        known.update(zip(alone, self._encode(alone)))
+        many = [w for w in others if not (self.MARK in w or self.mark is None)]
+        groups = [many[i:i + 512] for i in range(0, len(many), 512)]
+        for group, raw in zip(groups, self._encode([f" {self.MARK} ".join(g) for g in groups])):
+            ends = 4 * np.flatnonzero(np.frombuffer(raw, "<u4") == self.mark)
+            if len(ends) != len(group) - 1:
+                raise ValueError("the mark of the vocabulary is not a token of its own")
+            starts = [0, *(ends + 4).tolist()]
+            known.update((w, raw[i:j]) for w, i, j in zip(group, starts, [*ends.tolist(), len(raw)]))
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for at in range(0, len(texts), 128):
             part = texts[at:at + 128]
             if len(self.known) > CACHE:
                 self.known.clear()
-            words = [None if self.ODD.intersection(t) else t.split() for t in part]
+            words = [None if any(c in t for c in self.ODD) else t.split() for t in part]
             new = set().union(*filter(None, words)).difference(self.known)
             if new:
                 self._learn(new)
@@ -121,12 +155,8 @@ class Tokens:
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
            capacity: int = CAPACITY) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``."""
-    loaded: list[Tokens] = []           # per task; the word caches outlive it
-
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if not loaded:
-            loaded.append(Tokens(tokenizer))
-        tok = loaded[0]
+        tok = Tokens.of(tokenizer)
         out: list[list] = [[], [], [], [], []]
         ids = batch.column(0).to_pylist()
         end = np.array([END], "<u4").tobytes()
@@ -181,80 +211,107 @@ def best_fit(hist: dict[int, int], capacity: int = CAPACITY) -> list[Pattern]:
 
 
 def lower_bound(hist: dict[int, int], capacity: int = CAPACITY) -> int:
-    """Martello and Toth's L2: pieces over half a bin, plus the volume that
-    cannot join them; at least the total volume."""
-    total = sum(k * n for k, n in hist.items())
-    best = -(-total // capacity)
-    for k in [0, *(x for x in hist if x <= capacity // 2)]:
-        big = sum(n for x, n in hist.items() if x > capacity - k)
-        mid = sum(n for x, n in hist.items() if capacity // 2 < x <= capacity - k)
-        mid_sum = sum(x * n for x, n in hist.items() if capacity // 2 < x <= capacity - k)
-        small = sum(x * n for x, n in hist.items() if k <= x <= capacity // 2)
-        best = max(best, big + mid + max(0, -(-(small - (mid * capacity - mid_sum)) // capacity)))
+    """The best of: the volume; Martello and Toth's L2 (pieces over half a bin,
+    plus the volume that cannot join them); and, for every k, the volume after
+    rounding by the dual feasible function u(k), which counts a piece as
+    ``floor((k + 1) x) / k`` of a bin, or as x where ``(k + 1) x`` is whole."""
+    x = np.array(sorted(k for k, n in hist.items() if n), np.int64)
+    if not len(x):
+        return 0
+    n = np.array([hist[int(v)] for v in x], np.int64)
+    count, volume = np.append(0, np.cumsum(n)), np.append(0, np.cumsum(x * n))
+    best = -(-int(volume[-1]) // capacity)
+    half = np.searchsorted(x, capacity // 2, "right")
+    k = np.append(0, x[:half])
+    from_k = np.searchsorted(x, k, "left")
+    over = np.searchsorted(x, capacity - k, "right")
+    mid = count[over] - count[half]
+    room = mid * capacity - (volume[over] - volume[half])
+    small = volume[half] - volume[from_k]
+    best = max(best, int((count[-1] - count[over] + mid + np.maximum(0, -(-(small - room) // capacity))).max()))
+    for f in range(1, 201):
+        part = (f + 1) * x
+        share = np.where(part % capacity == 0, f * x, part // capacity * capacity)   # times f * capacity
+        best = max(best, -(-int((share * n).sum()) // (f * capacity)))
     return best
 
 
-def fillings(lengths: list[int], counts: dict[int, int], room: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room``, least waste first, at most WIDTH.
-    ``lengths`` ascending, all with a positive count."""
+def fillings(lengths: list[int], counts: dict[int, int], room: int,
+             steps: int = 2000) -> tuple[list[tuple[int, ...]], int]:
+    """Undominated fillings of ``room``, least waste first, at most WIDTH, and
+    the steps taken.  ``lengths`` ascending, all with a positive count."""
     found: list[tuple[int, tuple[int, ...]]] = []
-    budget = [2000]
-
-    def grow(chosen: list[int], room: int, top: int) -> None:
-        at = bisect.bisect_right(lengths, min(room, top)) - 1
-        fits = False
+    todo: list[tuple[tuple[int, ...], int, int]] = [((), room, room)]
+    spent = 0
+    while todo and spent < steps:
+        chosen, left, top = todo.pop()
+        spent += 1
+        at = bisect.bisect_right(lengths, min(left, top)) - 1
+        more = []
         for i in range(at, max(-1, at - 2 * WIDTH), -1):
             x = lengths[i]
-            if chosen.count(x) >= counts[x]:
-                continue
-            fits = True
-            budget[0] -= 1
-            if budget[0] < 0:
-                break
-            grow([*chosen, x], room - x, x)
-            if room == x:
-                break
-        if not fits:
-            found.append((room, tuple(chosen)))
+            if chosen.count(x) < counts[x]:
+                more.append(((*chosen, x), left - x, x))
+                if left == x:
+                    break
+        if not more:
+            found.append((left, chosen))
+        todo.extend(reversed(more))          # the largest is tried first
 
     def dominated(slack: int, chosen: tuple[int, ...]) -> bool:
-        groups = [*chosen, *(a + b for i, a in enumerate(chosen) for b in chosen[i + 1:])]
-        for g in {0, *groups}:
+        have = Counter(chosen)
+        pairs = {a + b for a in have for b in have if a < b or (a == b and have[a] > 1)}
+        for g in {0, *have, *pairs}:
             at = bisect.bisect_right(lengths, g + slack) - 1
             while at >= 0 and lengths[at] > g:
-                if counts[lengths[at]] > chosen.count(lengths[at]):
+                if counts[lengths[at]] > have[lengths[at]]:
                     return True
                 at -= 1
         return False
 
-    grow([], room, room)
     best = sorted(set(found))
     good = [f for f in best[:8 * WIDTH] if not dominated(*f)] or best[:1]
-    return [f for _, f in good[:WIDTH]]
+    return [f for _, f in good[:WIDTH]], spent
 
 
-def bin_completion(hist: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[Pattern]:
+class Plan(list):
+    """Patterns with multiplicities, and what is known of their number:
+    ``bins``, the lower ``bound``, ``proved`` (no packing has fewer bins)."""
+
+    def __init__(self, patterns: list[Pattern], bound: int):
+        super().__init__(patterns)
+        self.bins = sum(b for b, _ in patterns)
+        self.bound, self.proved = bound, self.bins == bound
+
+
+def bin_completion(hist: dict[int, int], capacity: int = CAPACITY, work: int = WORK) -> Plan:
+    """The best packing found with ``work`` steps."""
     hist = {k: n for k, n in hist.items() if n}
     incumbent = best_fit(hist, capacity)
     size = lambda plan: sum(b for b, _ in plan)
+    fewest = size(incumbent)
     bound, total = lower_bound(hist, capacity), sum(k * n for k, n in hist.items())
     # depth-first over (counts, plan, bins, waste); the last entry is expanded
     stack = [(hist, [], 0, 0)]
-    while stack and nodes and size(incumbent) > bound:
+    nodes = 0
+    while stack and work > 0 and fewest > bound:
         counts, plan, bins, waste = stack.pop()
-        nodes -= 1
-        allowed = (size(incumbent) - 1) * capacity - total
+        nodes += 1
+        work -= len(counts) + 1
+        allowed = (fewest - 1) * capacity - total
         if waste > allowed:
             continue
         # best fit from here on is a full solution as well
         if bins and nodes % 16 == 0:
             tail = best_fit(counts, capacity)
-            if bins + size(tail) < size(incumbent):
+            work -= 8 * len(counts)
+            if bins + size(tail) < fewest:
                 incumbent = plan + tail
+                fewest = size(incumbent)
                 continue
         if not counts:
-            if bins < size(incumbent):
-                incumbent = plan
+            if bins < fewest:
+                incumbent, fewest = plan, bins
             continue
         lengths = sorted(counts)
         top = lengths[-1]
@@ -262,20 +319,26 @@ def bin_completion(hist: dict[int, int], capacity: int = CAPACITY, nodes: int =
         rest[top] -= 1
         avail = [x for x in lengths if rest[x]]
         nxt = []
-        for f in fillings(avail, rest, capacity - top):
+        steps = min(2000, work)
+        found, spent = fillings(avail, rest, capacity - top, steps)
+        work -= 4 * spent
+        for f in found:
             used = {top: 1}
             for x in f:
                 used[x] = used.get(x, 0) + 1
-            times = min(counts[x] // q for x, q in used.items())
-            lost = waste + times * (capacity - sum(x * q for x, q in used.items()))
-            if lost > allowed:
-                continue
-            after = {x: n - times * used.get(x, 0) for x, n in counts.items()
-                     if n - times * used.get(x, 0)}
-            nxt.append((after, [*plan, (times, sorted(used.items(), reverse=True))],
-                        bins + times, lost))
+            most = min(counts[x] // q for x, q in used.items())
+            # as often as the counts allow first, then once
+            for times in dict.fromkeys((most, 1)):
+                lost = waste + times * (capacity - sum(x * q for x, q in used.items()))
+                if lost > allowed:
+                    continue
+                after = {x: n - times * used.get(x, 0) for x, n in counts.items()
+                         if n - times * used.get(x, 0)}
+                work -= len(counts)
+                nxt.append((after, [*plan, (times, sorted(used.items(), reverse=True))],
+                            bins + times, lost))
         stack.extend(reversed(nxt))
-    return incumbent
+    return Plan(incumbent, bound)
 
 
 def slots(plan: list[Pattern]) -> dict[int, tuple[np.ndarray, ...]]:
