@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import map_batches, stage, text_or_empty
+from .common import map_batches, map_tasks, stage, text_or_empty
 
 LENGTH = 400
 GRAM = 64
@@ -111,17 +111,29 @@ def _anchors(batch: pa.RecordBatch) -> pa.RecordBatch:
                                       names=["h", "doc_id", "pos"])
 
 
-def _contexts(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts of the anchors, some four times their text, in small batches."""
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
     cols: list[list] = [[], [], [], []]
-    for doc, t, at in zip(batch.column(0), batch.column(1), batch.column(2)):
-        text = t.as_py()
-        for x in at.as_py():
-            p = x["pos"]
-            for c, v in zip(cols, (x["h"], doc.as_py(), p, text[max(0, p - SIDE):p + LENGTH])):
-                c.append(v)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-        names=["h", "doc_id", "pos", "ctx"])
+
+    def out() -> pa.RecordBatch:
+        batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                           names=["h", "doc_id", "pos", "ctx"])
+        for c in cols:
+            c.clear()
+        return batch
+
+    for batch in batches:
+        for doc, t, at in zip(batch.column(0), batch.column(1), batch.column(2)):
+            text, doc_id = t.as_py(), doc.as_py()
+            for x in at.as_py():
+                p = x["pos"]
+                for c, v in zip(cols, (x["h"], doc_id, p, text[max(0, p - SIDE):p + LENGTH])):
+                    c.append(v)
+                if len(cols[0]) >= BATCH:
+                    yield out()
+    if cols[0]:
+        yield out()
 
 
 def matrix(pos: list[int], ctx: list[bytes]) -> np.ndarray:
@@ -268,8 +280,8 @@ def covered(docs: DataFrame, reps: DataFrame) -> DataFrame:
     per_doc = stage(found.join(often, "h").groupBy("doc_id").agg(
         F.collect_list(F.struct("h", "pos")).alias("at")), "repeat-at")
     some = _only(docs, per_doc.select("doc_id"))
-    ctx = map_batches(some.join(per_doc, "doc_id").select("doc_id", "text", "at"), _contexts,
-                      "h long, doc_id long, pos long, ctx binary")
+    ctx = map_tasks(some.join(per_doc, "doc_id").select("doc_id", "text", "at"), _contexts,
+                    "h long, doc_id long, pos long, ctx binary")
     ctx = stage(ctx, "repeat-contexts")
     crowded = often.filter(F.col("n") > LIMIT).select("h")
     ship_package(docs.sparkSession)
