@@ -9,9 +9,9 @@ are ignored.  Rendering emits every visible text and nothing else:
 
 * not visible: ``head`` (but see ``title``), ``script``, ``style``,
   ``template``, ``noscript``, ``textarea``, ``select``, ``svg`` and other
-  non-text content; annotations of ``math`` (its symbols are text); elements with ``hidden``, ``display:none`` or
-  ``visibility:hidden``; comments.  The title is not part of the page's body
-  and is returned apart;
+  non-text content; annotations of ``math`` (its symbols are text) and ``rp``; elements with ``hidden``,
+  ``display:none`` or ``visibility:hidden`` (of several the last counts); a closed ``dialog``, and a closed
+  ``details`` but for its summary; comments.  The title is not part of the page's body and is returned apart;
 * white space collapses (not in ``pre``); ``br`` breaks a line; blocks start on
   a new line; paragraphs, headings, lists, tables and quotes are set off by one
   blank line; ``hr`` is a line of dashes;
@@ -24,8 +24,10 @@ are ignored.  Rendering emits every visible text and nothing else:
   rows come before the grid.  Tables inside cells are flattened to their text.
 
 Defined cases: null or empty HTML gives an empty text and no title; broken
-markup never fails; nesting beyond ``DEPTH`` is flattened; repeated rows are
-rendered each; an empty table gives an empty result; other columns are not
+markup never fails; elements nested beyond ``DEPTH`` are laid out as part of
+the one at that depth, and hidden ones stay hidden; a quote opens an attribute
+value only after ``=``; a grid of more than ``GRID`` characters is padded to
+200 a column at most, no text is cut; repeated rows are rendered each; an empty table gives an empty result; other columns are not
 read.
 """
 
@@ -41,11 +43,12 @@ from pyspark.sql import functions as F
 from .common import map_batches
 
 DEPTH = 200
+GRID = 1 << 24
 
 # Element classes of the HTML standard.
 _words = lambda s: frozenset(s.split())
 VOID = _words("area base br col embed hr img input link meta param source track wbr")
-HIDDEN = _words("head script style template noscript textarea select svg annotation "
+HIDDEN = _words("head script style template noscript textarea select svg rp annotation "
                 "annotation-xml object iframe video audio canvas datalist")
 RAW = _words("script style textarea title noscript template iframe")
 BLOCK = _words("address article aside blockquote body center dd details dialog div dl dt fieldset "
@@ -76,47 +79,66 @@ ONLY = {"head": _words("base basefont bgsound head link meta noframes noscript s
         "colgroup": _words("col colgroup template")}
 CLOSES_P = BLOCK - _words("html body td th tr tbody thead tfoot caption li dt dd")
 
+#: One attribute as the standard's tokenizer reads it: a name may begin with
+#: ``=`` or hold quotes, and a quote opens a value only right after ``=``.
+_NAME = r"[^\s/>][^\s/>=]*"
 _TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
-    re.S)
-_ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
+    rf"((?:[\s/]++|(?>{_NAME}"
+    r"""(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*|(?=>)))?))*+)(?:>|\Z)""", re.S)
+_ATTR = re.compile(rf"({_NAME})" + r"""(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*)|(?=>)))?""")
+_STYLE = re.compile(r"(?:^|[;{\s])(display|visibility)\s*:\s*([a-z-]+)", re.I)
 _BLANK = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("tag", "kids", "seen", "span", "rows")
+    __slots__ = ("tag", "kids", "seen", "span", "rows", "open")
 
-    def __init__(self, tag: str, seen: bool = True, span: int = 1, rows: int = 1):
-        self.tag, self.kids, self.seen, self.span, self.rows = tag, [], seen, span, rows
+    def __init__(self, tag: str, seen: bool = True, span: int = 1, rows: int = 1, open_: bool = False):
+        self.tag, self.kids, self.seen, self.span, self.rows, self.open = tag, [], seen, span, rows, open_
 
 
-def _attributes(raw: str) -> tuple[bool, int, int]:
-    """Whether the element is shown, its column span and its row span."""
-    seen, span, rows = True, 1, 1
+def _attributes(raw: str) -> tuple[bool, int, int, bool]:
+    """Whether the element is shown, its column span and its row span, and
+    whether it is open.  Of several declarations the last one counts."""
+    seen, span, rows, is_open = True, 1, 1, False
     low = raw.lower()
-    if "hidden" in low or "style" in low or "span" in low:
+    if "hidden" in low or "style" in low or "span" in low or "open" in low:
         for m in _ATTR.finditer(raw):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-            if name == "hidden" or name == "style" and _UNSEEN.search(value):
+            if name == "hidden":
                 seen = False
+            elif name == "open":
+                is_open = True
+            elif name == "style":
+                last = {k.lower(): v.lower() for k, v in _STYLE.findall(value)}
+                if last.get("display") == "none" or last.get("visibility") in ("hidden", "collapse"):
+                    seen = False
             elif name == "colspan" and value.isdecimal():
                 span = min(1000, max(1, int(value[:9])))
             elif name == "rowspan" and value.isdecimal():
                 rows = min(65534, int(value[:9])) or 65534      # 0: all of the row group
-    return seen, span, rows
+    return seen, span, rows, is_open
+
+
+def _shut(node: Node) -> bool:
+    """A closed details element shows its summary only."""
+    return node.tag == "details" and not node.open
 
 
 def parse(page: str) -> tuple[Node, str]:
     """The tree and the title."""
     root = Node("#root")
     stack, title, at = [root], None, 0
+    below: dict[str, int] = {}      # elements beyond DEPTH that are open, by tag
+    unseen: list = []               # the hidden one of them: tag and depth of its own
 
     def text(raw: str) -> None:
-        if raw:
+        if raw and not unseen:
             while stack[-1].tag in ONLY and raw.strip(" \t\n\r\f"):
                 stack.pop()
-            stack[-1].kids.append(html.unescape(raw) if "&" in raw else raw)
+            if not _shut(stack[-1]):
+                stack[-1].kids.append(html.unescape(raw) if "&" in raw else raw)
 
     def close(names: frozenset, stops: frozenset) -> None:
         """Ends the outermost of ``names`` above the nearest of ``stops``."""
@@ -135,6 +157,17 @@ def parse(page: str) -> tuple[Node, str]:
         if m[2] is None:
             continue
         tag = m[2].lower()
+        if unseen:
+            if tag == unseen[0] and not (m[3] and m[3].endswith("/") and tag not in BLOCK):
+                unseen[1] += -1 if m[1] else 1
+                if not unseen[1]:
+                    unseen.clear()
+            continue
+        if below and len(stack) < DEPTH:
+            below.clear()
+        if m[1] and below.get(tag):
+            below[tag] -= 1
+            continue
         if m[1]:
             if tag == "br":
                 stack[-1].kids.append(Node("br"))
@@ -160,8 +193,10 @@ def parse(page: str) -> tuple[Node, str]:
                 stack.append(row)
         elif tag in CLOSES_P:
             close(_words("p"), _words("table td th li dd button"))
-        seen, span, rows = _attributes(m[3]) if m[3] else (True, 1, 1)
-        node = Node(tag, seen and tag not in HIDDEN, span, rows)
+        seen, span, rows, is_open = _attributes(m[3]) if m[3] else (True, 1, 1, False)
+        if tag in HIDDEN or tag == "dialog" and not is_open or tag != "summary" and _shut(stack[-1]):
+            seen = False
+        node = Node(tag, seen, span, rows, is_open)
         stack[-1].kids.append(node)
         if tag in RAW and not m[3].rstrip().endswith("/"):
             end = re.compile(rf"</{tag}(?=[\s/>])|\Z", re.I).search(page, at)
@@ -176,9 +211,13 @@ def parse(page: str) -> tuple[Node, str]:
                 at = (page.find(">", at) + 1) or len(page)
         elif tag == "form" and stack[-1].tag in PLACES["td"]:
             continue                # between rows or cells it holds nothing
-        elif tag not in VOID and not (m[3] and m[3].endswith("/") and tag not in BLOCK) \
-                and len(stack) < DEPTH:
-            stack.append(node)
+        elif tag not in VOID and not (m[3] and m[3].endswith("/") and tag not in BLOCK):
+            if len(stack) < DEPTH:
+                stack.append(node)
+            elif node.seen:
+                below[tag] = below.get(tag, 0) + 1
+            else:
+                unseen[:] = [tag, 1]
     text(page[at:])
     return root, title or ""
 
@@ -322,12 +361,14 @@ def _table(node: Node) -> list[str]:
                 width[c] = max([width.get(c, 0), *map(len, lines)])
             c += span
     out = flow.done()
+    n_lines = sum(max((len(lines) for lines, _ in cells), default=0) for cells in grid)
+    most = max(width.values(), default=0) if (sum(width.values()) + 3 * len(width)) * n_lines <= GRID else 200
     for cells in grid:
         for k in range(max(len(lines) for lines, _ in cells)):
             parts, c = [], 0
             for lines, span in cells:
-                room = sum(width.get(i, 0) for i in range(c, c + span)) + 3 * (span - 1)
-                parts.append((lines[k] if k < len(lines) else "").ljust(min(room, 200)))
+                room = sum(min(width.get(i, 0), most) for i in range(c, c + span)) + 3 * (span - 1)
+                parts.append((lines[k] if k < len(lines) else "").ljust(room))
                 c += span
             out.append(" | ".join(parts).rstrip())
     return out

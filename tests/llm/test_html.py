@@ -95,3 +95,87 @@ def test_query(spark):
     got = sorted(((r["page_id"] or 0), r["n_chars"], r["n_lines"]) for r in hl.extract(df).collect())
     assert got == [(0, 300_000, 1), (1, 0, 0), (2, 1, 1), (2, 1, 1)]
     assert hl.extract(df.limit(0)).count() == 0
+
+
+MORE = [
+    ("<p data=it's>hello</p><p>it's</p>", "hello\n\nit's"),
+    ('<p>a <a href="x"">Hello</a> b', "a Hello b"),
+    ("<p title='a>b' x = \"c>d\">t", "t"),
+    ('<p style="display:none;display:block">yes</p><p style="display:block; display : none">no', "yes"),
+    ("<p style='visibility:hidden;color:red'>no<p style='x-display:none'>yes", "yes"),
+    ("<details><summary>s</summary>no<p>no</p></details><details open><summary>t</summary>u</details>", "s\nt\nu"),
+    ("<dialog>no</dialog><dialog open>yes</dialog>", "yes"),
+    ("<ruby>a<rp>(</rp><rt>b</rt><rp>)</rp></ruby>", "ab"),
+    ("<table><tr><td>" + "w" * 300 + "<td>x<tr><td>y<td>z</table>", "w" * 300 + " | x\ny" + " " * 299 + " | z"),
+]
+
+
+def test_quotes_visibility_and_wide_columns():
+    for page, want in MORE:
+        assert hl.render(page)[0] == want, page
+
+
+def test_hidden_text_stays_hidden_at_any_depth():
+    for n in (10, 199, 200, 201, 500):
+        deep = "<div>" * n
+        page = f"{deep}a<b hidden>no<b>no</b>no</b>b<div style='display:none'>no<div>no</div></div>c" + "</div>" * n + "d"
+        assert "no" not in hl.render(page)[0] and "".join(hl.render(page)[0].split()) == "abcd", n
+        # the ends of what lies beyond the depth do not end what holds it
+        inner = "<i>" * n + "no" + "</i>" * n
+        assert hl.render(f"<i hidden>{inner}no</i>yes")[0] == "yes", n
+
+
+def characters(tag: str) -> tuple[str, dict]:
+    """A start tag's name and attributes, character by character as the
+    standard's tokenizer reads them."""
+    i, name = 1, ""
+    while i < len(tag) and tag[i] not in " \t\n\r\f/>":
+        name, i = name + tag[i].lower(), i + 1
+    attrs = {}
+    while i < len(tag) and tag[i] != ">":
+        if tag[i] in " \t\n\r\f/":
+            i += 1
+            continue
+        key = tag[i]
+        i += 1
+        while i < len(tag) and tag[i] not in " \t\n\r\f/>=":
+            key, i = key + tag[i], i + 1
+        j = i
+        while j < len(tag) and tag[j] in " \t\n\r\f":
+            j += 1
+        value = ""
+        if j < len(tag) and tag[j] == "=":
+            i = j + 1
+            while i < len(tag) and tag[i] in " \t\n\r\f":
+                i += 1
+            if i < len(tag) and tag[i] in "\"'":
+                end = tag.find(tag[i], i + 1)
+                if end < 0:
+                    return name, None
+                value, i = tag[i + 1:end], end + 1
+            else:
+                while i < len(tag) and tag[i] not in " \t\n\r\f>":
+                    value, i = value + tag[i], i + 1
+        attrs.setdefault(key.lower(), value)
+    return name, (attrs if i < len(tag) else None)
+
+
+def test_tags_end_where_the_standard_ends_them():
+    """Fuzzed attributes: text after the tag is shown, whatever the quotes,
+    unless the element is hidden."""
+    rng = random.Random(6)
+    some = ["a", "hidden", "x", "=", '"', "'", " ", ">", "/", "style", "b=c", "='d>e'", '="f g"', "\n"]
+    shown = 0
+    for _ in range(4000):
+        raw = "".join(rng.choices(some, k=rng.randrange(9)))
+        page = f"<b {raw}>TEXT</b>"
+        name, attrs = characters(page)
+        if attrs is None or name != "b":
+            continue
+        text = hl.render(page)[0]
+        if "hidden" not in attrs:
+            assert "TEXT" in text, page
+            shown += 1
+        elif "hidden" in raw and not re.search(r"hidden\s*=|[=\"'/]", raw):
+            assert "TEXT" not in text, page
+    assert shown > 1000
