@@ -13,7 +13,9 @@ not part of the pipeline):
   ``article:published_time`` meta or the first ``<time datetime>``, as an
   ISO date-time string with its offset if it has one, NULL when absent or
   unparsable;
-* entities are decoded, ``&amp;`` last.
+* a ``>`` in a quoted attribute value does not end a tag, and a quote that
+  does not follow ``=`` is no value;
+* numeric and named entities with their semicolon are decoded once.
 
 Regular expressions avoid look-around and back-references, so the DuckDB
 oracle uses the same patterns.
@@ -21,6 +23,10 @@ oracle uses the same patterns.
 
 from __future__ import annotations
 
+import json
+from html import unescape
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,15 +36,18 @@ SPACE_RE = WS + "+"
 
 DROPPED_ELEMENTS = ("script", "style", "nav", "footer")
 COMMENT_RE = r"(?s)<!--.*?(-->|\z)"
-TITLE_RE = r"(?is)<title\b[^>]*>(.*?)(</title\s*>|\z)"
-H1_RE = r"(?is)<h1\b[^>]*>(.*?)(</h1\s*>|\z)"
-ARTICLE_RE = r"(?is)<article\b[^>]*>(.*?)(</article\s*>|\z)"
-P_OPEN_RE = r"(?i)<p\b[^>]*>"
+#: The rest of a tag up to its end, with up to 100 attribute values.  What a
+#: value is depends on its first character alone, so no match is tried twice.
+REST = r"""[^>=]*(?:=\s*(?:"[^"]*"|'[^']*'|[^\s"'>])[^>=]*){0,100}(?:=\s*)?>"""
+TITLE_RE = rf"(?is)<title\b{REST}(.*?)(</title\s*>|\z)"
+H1_RE = rf"(?is)<h1\b{REST}(.*?)(</h1\s*>|\z)"
+ARTICLE_RE = rf"(?is)<article\b{REST}(.*?)(</article\s*>|\z)"
+P_OPEN_RE = rf"(?i)<p\b{REST}"
 P_CLOSE_RE = r"(?is)</p\s*>.*"
-BR_RE = r"(?i)<br\b[^>]*>"
-TAG_RE = r"(?s)<[^>]*>"
-META_RE = r"(?i)<meta\s[^>]*>"
-TIME_RE = r"(?i)<time\s[^>]*>"
+BR_RE = rf"(?i)<br\b{REST}"
+TAG_RE = rf"(?s)<{REST}"
+META_RE = rf"(?i)<meta\s{REST}"
+TIME_RE = rf"(?i)<time\s{REST}"
 IS_AUTHOR_RE = r"""(?i)\sname\s*=\s*["']?author["'\s/>]"""
 IS_PUBLISHED_RE = r"""(?i)\sproperty\s*=\s*["']?article:published_time["'\s/>]"""
 # The zone after the seconds of an ISO date-time.
@@ -52,14 +61,14 @@ def attr_re(name: str) -> str:
 
 CONTENT_RE, DATETIME_RE = attr_re("content"), attr_re("datetime")
 
-# HTML entities decoded in article text, '&amp;' last.
+# The entities of the test pages, '&amp;' last (for the SQL form).
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
             ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&middot;", "·"),
             ("&copy;", "©"), ("&amp;", "&")]
 
 
 def element_re(tag: str) -> str:
-    return rf"(?is)<{tag}\b[^>]*>.*?(</{tag}\s*>|\z)"
+    return rf"(?is)<{tag}\b{REST}.*?(</{tag}\s*>|\z)"
 
 
 def strip_boilerplate(html: Column) -> Column:
@@ -69,10 +78,34 @@ def strip_boilerplate(html: Column) -> Column:
     return out
 
 
+#: The named references of the HTML standard, as the standard library has them.
+_NAMED = json.dumps({f"&{name}": char for name, char in html5.items() if name.endswith(";")})
+_C1 = json.dumps({c: unescape(f"&#{c};") for c in range(0x80, 0xA0)})
+ENTITY_RE = "&(?:#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,8}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def _entity(e: Column) -> Column:
+    """The characters of one reference, itself if it is none."""
+    hexed = F.regexp_extract(e, "^&#[xX]0*([0-9a-fA-F]*);", 1)
+    code = (F.when(e.rlike("^&#[xX]"), F.conv(F.concat(F.lit("0"), hexed), 16, 10).cast("long"))
+            .otherwise(F.regexp_extract(e, "^&#([0-9]+);", 1).try_cast("long")))
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    bad = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+    # C1 codes stand for the characters of Windows-1252
+    c1 = F.element_at(F.from_json(F.lit(_C1), "map<string,string>"), code.cast("string"))
+    number = F.when(bad, F.lit("\ufffd")).otherwise(F.coalesce(c1, char))
+    named = F.element_at(F.from_json(F.lit(_NAMED), "map<string,string>"), e)
+    return F.when(e.startswith("&#"), number).otherwise(F.coalesce(named, e))
+
+
 def decode_entities(s: Column) -> Column:
-    for ent, ch in ENTITIES:
-        s = F.replace(s, F.lit(ent), F.lit(ch))
-    return s
+    """Character references decoded, each once: those for ``&`` come last, so
+    what they leave is not read again."""
+    found = F.array_distinct(F.regexp_extract_all(s, F.lit(ENTITY_RE), 0))
+    pairs = F.transform(found, lambda e: F.struct(e.alias("e"), _entity(e).alias("c")))
+    ordered = F.concat(F.filter(pairs, lambda p: p["c"] != "&"), F.filter(pairs, lambda p: p["c"] == "&"))
+    return F.when(F.contains(s, F.lit("&")), F.aggregate(ordered, s, lambda t, p: F.replace(t, p["e"], p["c"]))
+                  ).otherwise(s)
 
 
 def _plain(fragment: Column) -> Column:

@@ -62,8 +62,8 @@ def _emit(run: list[str], out: list[str]) -> None:
         out.append(chunk)
 
 
-def _split(text: str, seps: tuple[str, ...], size: int, overlap: int,
-           out: list[str]) -> None:
+def split_piece(text: str, seps: tuple[str, ...], size: int, overlap: int, out: list[str]) -> None:
+    """Append the chunks of a text of ``size`` or more code points."""
     level = len(seps) - 1
     for i, s in enumerate(seps):
         if s == "" or s in text:
@@ -79,7 +79,7 @@ def _split(text: str, seps: tuple[str, ...], size: int, overlap: int,
             _merge(small, size, overlap, out)
             small = []
         if rest:
-            _split(piece, rest, size, overlap, out)
+            split_piece(piece, rest, size, overlap, out)
         else:
             out.append(piece)
     if small:
@@ -95,16 +95,15 @@ def split_text(text: str | None, size: int = CHUNK_SIZE, overlap: int = CHUNK_OV
         chunk = text.strip(WS_CHARS)
         return [chunk] if chunk else []
     out: list[str] = []
-    _split(text, tuple(separators), size, overlap, out)
+    split_piece(text, tuple(separators), size, overlap, out)
     return out
 
 
-def chunk_column(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
-                 separators: tuple[str, ...] = SEPARATORS,
-                 split: Callable[[str | None, int, int], list[str]] | None = None) -> Column:
-    """``ARRAY<STRING>`` of chunks, computed in Arrow batches.  ``split`` puts
-    another splitter in place.  A row on which it fails gives NULL; other rows
-    are not affected."""
+def safe_splitter(size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
+                  separators: tuple[str, ...] = SEPARATORS,
+                  split: Callable[[str | None, int, int], list[str]] | None = None,
+                  ) -> Callable[[str | None], list[str] | None]:
+    """The splitter as a function of one text that gives None where it fails."""
     seps = tuple(separators)
     fn = split if split is not None else lambda t, n, o: split_text(t, n, o, seps)
 
@@ -114,6 +113,17 @@ def chunk_column(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVER
         except Exception:  # noqa: BLE001  (the row is reported as an error)
             return None
 
+    return one
+
+
+def chunk_column(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
+                 separators: tuple[str, ...] = SEPARATORS,
+                 split: Callable[[str | None, int, int], list[str]] | None = None) -> Column:
+    """``ARRAY<STRING>`` of chunks, computed in Arrow batches.  ``split`` puts
+    another splitter in place.  A row on which it fails gives NULL; other rows
+    are not affected."""
+    one = safe_splitter(size, overlap, separators, split)
+
     @F.arrow_udf(ArrayType(StringType()))
     def _chunks(texts: pa.Array) -> pa.Array:
         return pa.array([one(t) for t in texts.to_pylist()], type=pa.list_(pa.string()))

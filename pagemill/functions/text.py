@@ -33,21 +33,24 @@ PUBLISHED = "Published"
 UPDATE_SUFFIX = "Update on GitHub"
 
 
-def _class(ranges, exclude=()) -> str:
-    parts = []
+def _class(ranges, without: int | None = None) -> str:
+    """A regex class of code point ranges, one code point left out."""
+    out = []
     for lo, hi in ranges:
-        cps = [c for c in range(lo, hi + 1) if c not in exclude]
-        for c in cps:
-            parts.append(f"\\x{{{c:X}}}")
-    return "[" + "".join(parts) + "]"
+        if without is None or not lo <= without <= hi:
+            out.append((lo, hi))
+        else:
+            out += [(a, b) for a, b in ((lo, without - 1), (without + 1, hi)) if a <= b]
+    return "[" + "".join(f"\\x{{{lo:X}}}-\\x{{{hi:X}}}" for lo, hi in out) + "]"
 
 
 WS_CHARS = "".join(chr(c) for lo, hi in WS_RANGES for c in range(lo, hi + 1))
 WS = _class(WS_RANGES)
-WS_NO_LF = _class(WS_RANGES, exclude=(0x0A,))
+WS_NO_LF = _class(WS_RANGES, without=0x0A)
 CONTROL = _class(CONTROL_RANGES)
 
-# Patterns, valid in both Java regex and RE2 (no lookaround), see oracle SQL.
+# The cleaner's patterns, in a form valid in both Java regex and
+# RE2 (no lookaround), see oracle SQL.
 # TRAILING_WS_RE is the per-line right strip as one regex; the Spark side
 # splits lines instead (cheaper), the DuckDB oracle uses the regex.
 DATE_RE = f"{PUBLISHED}{WS}+([^\\n]*?)(?:{WS}+{UPDATE_SUFFIX})?\\n"

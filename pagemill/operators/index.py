@@ -14,16 +14,18 @@ shuffle.  The splitter runs only on processed articles.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import splitter as sp
 from ..functions.text import WS_CHARS
-from ..session import ensure_checkpoint_dir, stage
+from ..session import ship_package, stage
 from .clean import flagged
-from .sequence import pos_bucket, prefix_sum
 
 # Defaults the index applies to missing metadata.
 DEFAULT_TITLE = "Untitled"
@@ -102,50 +104,112 @@ def validate_articles(articles: DataFrame, ledger: DataFrame) -> DataFrame:
         reason.alias("skip_reason"))
 
 
-def to_process(validated: DataFrame, articles: DataFrame) -> DataFrame:
-    """The article rows to index: the input joined with the positions whose
-    ``skip_reason`` is NULL.  In an incremental run that set is small and
-    AQE broadcasts it, so the corpus is not shuffled; otherwise it is one
-    shuffle on the unique ``pos``, which no hot link can skew."""
-    keep = validated.filter(F.col("skip_reason").isNull()).select("pos", "link_key")
-    return articles.join(keep, "pos")
-
-
-def assign_chunks(processed: DataFrame, base_id: Column | int = 0,
+#: Positions that are broadcast at most (some 100 MB as a table).
+BROADCAST = 1 << 21
+
+
+@dataclass
+class Work:
+    """The articles to index: the input, and the positions to take from it."""
+    articles: DataFrame
+    keep: DataFrame
+    rows: int
+
+
+def to_process(validated: DataFrame, articles: DataFrame) -> Work:
+    """The positions whose ``skip_reason`` is NULL, written once.  The articles
+    stay where they are until :func:`assign_chunks` moves them."""
+    keep = stage(validated.filter(F.col("skip_reason").isNull()).select("pos", "link_key"), "articles-to-process")
+    return Work(articles, keep, keep.count())
+
+
+def _in_ranges(work: Work) -> DataFrame:
+    """Rows ``mark, pos, link_key, title, publish_date, text`` of the articles
+    to index in ranges of ``pos``, ordered within a range: the one exchange that
+    carries text.
+
+    A small set of positions is broadcast and filters the scan.  A large one
+    takes part in the exchange as marked rows, each before its article.  The
+    bounds of the ranges come from the positions, so no text is read to find
+    them."""
+    spark = work.articles.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = work.articles.select("pos", "title", "publish_date", "text")
+    if work.rows <= BROADCAST:
+        rows = rows.join(F.broadcast(work.keep), "pos").withColumn("mark", F.lit(False))
+    else:
+        rows = rows.withColumn("link_key", F.lit(None).cast("string")).withColumn("mark", F.lit(False)).unionByName(
+            work.keep.select("pos", "link_key", F.lit(True).alias("mark")), allowMissingColumns=True)
+    shares = [i / parts for i in range(1, parts)]
+    bounds = work.keep.agg(F.percentile_approx("pos", shares, max(10_000, 20 * parts)).alias("b")).first()[0] \
+        if shares else None
+    # as many bounds as partitions, so this is short beside the text of a row
+    part = F.lit(0) if not bounds else F.size(F.filter(F.lit(bounds), lambda b: b <= F.col("pos")))
+    return (rows.repartitionById(parts, part)
+            .sortWithinPartitions("pos", F.desc("mark"))
+            .select("mark", "pos", "link_key", "title", "publish_date", "text"))
+
+
+CHUNKED = ("part int, before long, pos long, link_key string, title string, publish_date string, "
+           "chunks array<string>")
+
+
+def _chunk_ranges(rows: DataFrame, marked: bool, one: Callable[[str | None], list[str] | None]) -> DataFrame:
+    """Chunks of every article, and the number of chunks before it in its range."""
+    ship_package(rows.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before, key = TaskContext.get().partitionId(), 0, None
+        for batch in batches:
+            out: list[list] = [[] for _ in range(7)]
+            for mark, pos, link, title, date, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if mark:
+                    key = (pos, link)
+                    continue
+                if marked:
+                    if key is None or key[0] != pos:
+                        continue
+                    link = key[1]
+                chunks = one(text)
+                for col, v in zip(out, (part, before, pos, link, title, date, chunks)):
+                    col.append(v)
+                before += len(chunks or ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(out, (
+                    pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(),
+                    pa.list_(pa.string())))],
+                names=[f.split(" ")[0] for f in CHUNKED.split(", ")])
+
+    return rows.mapInArrow(run, CHUNKED)
+
+
+def assign_chunks(work: Work, base_id: Column | int = 0,
                   size: int = sp.CHUNK_SIZE, overlap: int = sp.CHUNK_OVERLAP,
-                  materialize: bool = True, native: bool = False,
                   split: Callable[[str | None, int, int], list[str]] | None = None) -> DataFrame:
     """CK1-CK3: chunk rows with dense ids ``base_id + 1 ...``.
 
     An article on which the splitter (``split``, if given) fails has no chunks
     and takes no ids; its neighbours are not affected.
 
-    ``base_id`` is the largest chunk number already stored (0 when empty).
-    ``native`` picks the higher-order-function splitter (no Python worker).
-    The running chunk count over articles is a bucketed prefix sum, never a
-    window over the whole table.
+    ``base_id`` is the largest chunk number already stored (0 when empty).  The
+    articles are cut where one exchange puts them in ranges of ``pos``, and a
+    range counts its chunks as it goes.  The chunks are written once; the totals
+    per range (one row a partition) give each range its first id.
     """
-    chunked = (processed
-               .select("pos", "link_key", "title", "publish_date",
-                       (sp.chunk_column_native(F.col("text"), size, overlap) if native
-                        else sp.chunk_column(F.col("text"), size, overlap, split=split)).alias("chunks"))
-               .withColumn("n_chunks", F.when(F.col("chunks").isNull(), 0).otherwise(F.size("chunks"))))
-    if materialize:
-        # The id prefix sum reads the chunk counts twice (bucket totals and
-        # local running sums).  A reliable checkpoint in the shared
-        # checkpoint directory runs the splitter once and cuts the lineage.
-        ensure_checkpoint_dir(chunked.sparkSession)
-        chunked = chunked.checkpoint(eager=True)
-    # The running sum needs only (pos, link, n_chunks); the chunk arrays stay
-    # where they are (hash-partitioned on pos by to_process, or not moved at
-    # all) and get their offset by an equi-join on the unique pos.
-    offsets = (prefix_sum(chunked.select("pos", "link_key", "n_chunks"), [], ["pos", "link_key"],
-                          pos_bucket("pos"), F.col("n_chunks"), name="_offset")
-               .select("pos", "_offset"))
-    numbered = chunked.join(offsets, "pos")
+    one = sp.safe_splitter(size, overlap, split=split)
+    spark = work.articles.sparkSession
+    chunked = stage(_chunk_ranges(_in_ranges(work), work.rows > BROADCAST, one), "chunked")
+    totals = sorted(chunked.groupBy("part").agg(F.min("pos"), F.max("pos"),
+                                                F.sum(F.greatest(F.size("chunks"), F.lit(0)))).collect(),
+                    key=lambda r: r[1])
+    if any(a[2] >= b[1] for a, b in zip(totals, totals[1:])):
+        raise ValueError("positions repeat, or ranges of them overlap")
+    starts = [(r[0], sum(t[3] for t in totals[:i])) for i, r in enumerate(totals)]
+    # one row per partition
+    numbered = chunked.join(F.broadcast(spark.createDataFrame(starts, "part int, _first long")), "part")
     base = base_id if isinstance(base_id, Column) else F.lit(base_id)
     exploded = numbered.select(
-        "pos", "link_key", "title", "publish_date", "_offset",
+        "pos", "link_key", "title", "publish_date", (F.col("_first") + F.col("before")).alias("_offset"),
         F.posexplode("chunks").alias("_i", "chunk_text"))
     no = (base.cast("long") + F.col("_offset") + F.col("_i") + 1).alias("chunk_no")
     return exploded.select(

@@ -9,10 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.html import COMMENT_RE, attr, attr_re, decode_entities
+from ..functions.html import COMMENT_RE, REST, attr, attr_re, decode_entities
 from .sequence import prefix_sum
 
-ANCHOR_RE = r"(?i)<a\s[^>]*>"
+ANCHOR_RE = rf"(?i)<a\s{REST}"
+#: Any tag, for elements that are found by their class.
+ELEMENT_RE = rf"(?i)<[a-z][^\s/>]*\s{REST}"
 HREF_RE = attr_re("href")
 # Listing pages per bucket of the dense re-numbering (pages hold tens of links).
 PAGE_BUCKET_BITS = 4
@@ -58,10 +60,10 @@ def resolve(href: Column, base_url: Column) -> Column:
 
 
 def anchors(css_class: str | None = None) -> Column:
-    """Anchor tags of ``html`` outside comments, optionally only those that
-    carry ``css_class``."""
+    """Anchor tags of ``html`` outside comments; with ``css_class`` the tags of
+    any element that carries it."""
     shown = F.regexp_replace("html", COMMENT_RE, "")
-    tags = F.regexp_extract_all(shown, F.lit(ANCHOR_RE), 0)
+    tags = F.regexp_extract_all(shown, F.lit(ELEMENT_RE if css_class else ANCHOR_RE), 0)
     if css_class:
         pat = class_pattern(css_class)
         tags = F.filter(tags, lambda t: t.rlike(pat))
@@ -71,8 +73,9 @@ def anchors(css_class: str | None = None) -> Column:
 def extract_links(pages: DataFrame, css_class: str | None = None,
                   base_url: str | None = None) -> DataFrame:
     """LK1: ``(page_no, idx, link)`` for anchors with a non-empty ``href``,
-    in page order; optionally only anchors carrying ``css_class``.  Anchors in
-    comments do not count, and entities in an ``href`` are decoded.
+    in page order; with ``css_class`` for any element that carries it and has
+    an ``href``.  Tags in comments do not count, and entities in an ``href`` are
+    decoded.
 
     ``base_url`` names a column holding the page URL; when given, links are
     resolved against it.

@@ -218,3 +218,12 @@ def text_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents").select(
         F.concat("source", F.lit(".json")).alias("name"), F.col("doc_id").alias("pos"),
         F.expr("substr(to_json(array(text)), 2, length(to_json(array(text))) - 2)").alias("json"))
+
+
+def pages_with_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages whose anchors carry the class ``card`` on even pages and
+    ``cards`` on odd ones, after one element of the class that is no anchor."""
+    even = F.col("page_no") % 2 == 0
+    tag = F.when(even, F.lit("<a class='item card' ")).otherwise(F.lit("<a class=\"cards\" "))
+    own = F.concat(F.lit('<area title="a>b" class="card" href="/area/'), F.col("page_no").cast("string"), F.lit('?a&#61;1&amp;b">'))
+    return listing_pages(spark, sf_dir).withColumn("html", F.concat(own, F.replace("html", F.lit("<a "), tag)))

@@ -707,3 +707,12 @@ QUERIES.update({
         from ({CLEANED})""",
     "clean_files_stats": MIXED_CLEAN_STATS.replace("pos % 97 = 0", NOT_OBJECT),
 })
+
+QUERIES["chunk_long_documents"] = chunks_sql("select doc_id as pos, text from documents")
+
+QUERIES["stream_fetch_fold"] = round_fold_sql()
+QUERIES["rebuild_store"] = f"select {CHUNK_COLS} from ({built_sql(True)})"
+
+QUERIES["extract_links_by_class"] = f"""
+    select page_id as page_no, 0 as idx, '/area/' || page_id || '?a=1&b' as link from pages
+    union all select page_no, idx + 1, link from ({page_links_sql()}) where page_no % 2 = 0"""

@@ -17,12 +17,14 @@ from ..functions import splitter as sp
 from ..operators import clean as cl
 from ..operators import index as ix
 from ..operators import links as lk
+from ..operators import long_text as lt
 from ..operators import attempts as fb
 from ..operators import embed as em
 from ..operators import extract as ex
-from ..session import ensure_checkpoint_dir, scratch_path, stage
+from ..session import scratch_path, stage
 from ..sources import arrays, files, io
 from ..sources.store import ChunkStore
+from ..streaming.fetch import folds, run_fold_stream
 from ..streaming.incremental import run_build_stream
 from . import fixtures as fx
 from . import jobs
@@ -75,23 +77,14 @@ STORE_NAME = "article_chunks"
 STORE_PATH = "chunk_store"
 
 
-def _stored(df):
-    """A derived input as the job would read it from storage: materialised
-    once (reliable checkpoint), so scalar subqueries and the branches of a
-    plan read it instead of deriving it again."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def cleaned_articles(spark, sf_dir):
     return cl.clean_articles(fx.articles(spark, sf_dir)).drop("clean_status", "extracted_date")
 
 
 def index_input(spark, sf_dir):
-    """The cleaner's output as the index job reads it: materialised once
-    (reliable checkpoint in the session's checkpoint directory), so the light
-    validation pass and the heavy join read it instead of re-cleaning."""
-    return _stored(cleaned_articles(spark, sf_dir))
+    """The cleaner's output as the index job reads it: a table, written once, so
+    the light validation pass and the chunking read only their columns."""
+    return stage(cleaned_articles(spark, sf_dir), "cleaned-articles")
 
 
 def _validated(spark, sf_dir, rebuild=False, arts=None):
@@ -122,6 +115,13 @@ def q_chunk_articles_native(spark, sf_dir):
                     .alias("chunk_index", "chunk_text"))
 
 
+def q_chunk_long_documents(spark, sf_dir):
+    """Chunks of the stored texts; from 4,096 code points on a text is cut in
+    segments by several tasks."""
+    d = fx.read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), "text")
+    return lt.chunk_documents(d, long=1 << 12, segment=1 << 14)
+
+
 def q_unprocessed_links(spark, sf_dir):
     return ix.unprocessed_links(cleaned_articles(spark, sf_dir), fx.ledger_links(spark, sf_dir))
 
@@ -142,6 +142,16 @@ def q_rebuild(spark, sf_dir):
     return _built(spark, sf_dir, rebuild=True).select(*CHUNK_COLUMNS)
 
 
+def q_rebuild_store(spark, sf_dir):
+    """A forced rebuild of a store that has chunks, by one row of its log."""
+    store = ChunkStore(spark, scratch_path(spark, "store"), embed=False)
+    arts = index_input(spark, sf_dir)
+    store.import_ledger(fx.ledger_links(spark, sf_dir))
+    store.build(arts)
+    store.build(arts, rebuild=True)
+    return store.chunks().select(*CHUNK_COLUMNS)
+
+
 def q_build_stats(spark, sf_dir):
     arts = index_input(spark, sf_dir)
     v = _validated(spark, sf_dir, arts=arts)
@@ -203,6 +213,10 @@ def q_absolute_links(spark, sf_dir):
     return lk.extract_links(pages, base_url="url")
 
 
+def q_extract_links_by_class(spark, sf_dir):
+    return lk.extract_links(fx.pages_with_classes(spark, sf_dir), "card")
+
+
 def q_paginate_links(spark, sf_dir):
     pages = fx.listing_pages_with_end(spark, sf_dir)
     return lk.paginate(lk.extract_links(pages), pages, start=0)
@@ -249,6 +263,15 @@ def q_round_fold(spark, sf_dir):
     return _flat(fb.round_fold(_attempts(spark, sf_dir)))
 
 
+def q_stream_fetch_fold(spark, sf_dir):
+    """The folds of attempts that arrive in files, one file an epoch."""
+    source, out = scratch_path(spark, "attempt-files"), scratch_path(spark, "fetch-folds")
+    att = fx.fetch_attempts(spark, sf_dir).select("link", "round", "attempt", "error", "payload")
+    att.repartition(3).write.parquet(source)
+    run_fold_stream(spark, source, att.schema, out, scratch_path(spark, "fold-ckpt"), max_files_per_trigger=1)
+    return _flat(folds(spark, out))
+
+
 def q_load_dataset(spark, sf_dir):
     return fb.load_dataset(fx.articles(spark, sf_dir)).select("pos", "link", "title", "text", "error")
 
@@ -426,17 +449,20 @@ QUERIES: dict[str, Query] = {
     "clean_articles": q_clean_articles,
     "chunk_articles": q_chunk_articles,
     "chunk_articles_native": q_chunk_articles_native,
+    "chunk_long_documents": q_chunk_long_documents,
     "unprocessed_links": q_unprocessed_links,
     "validate_articles": q_validate_articles,
     "chunk_ids": q_chunk_ids,
     "incremental_build": q_incremental_build,
     "rebuild": q_rebuild,
+    "rebuild_store": q_rebuild_store,
     "build_stats": q_build_stats,
     "build_errors": q_build_errors,
     "index_summary": q_index_summary,
     "store_stats": q_store_stats,
     "extract_links": q_extract_links,
     "absolute_links": q_absolute_links,
+    "extract_links_by_class": q_extract_links_by_class,
     "paginate_links": q_paginate_links,
     "ordered_distinct_links": q_ordered_distinct_links,
     "link_delta": q_link_delta,
@@ -444,6 +470,7 @@ QUERIES: dict[str, Query] = {
     "link_update": q_link_update,
     "attempt_fold": q_attempt_fold,
     "round_fold": q_round_fold,
+    "stream_fetch_fold": q_stream_fetch_fold,
     "load_dataset": q_load_dataset,
     "needs_fetch": q_needs_fetch,
     "upsert_articles": q_upsert_articles,

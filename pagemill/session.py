@@ -43,7 +43,7 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``pagemill`` importable in the Python workers that run its two
+    """Make ``pagemill`` importable in the Python workers that run its
     UDFs: zip the package once per application and ``addPyFile`` it (what
     ``--py-files`` does at submit time)."""
     sc = spark.sparkContext

@@ -15,12 +15,12 @@ def as_list(df):
 
 
 def test_extract_links_class_and_resolve(spark):
-    html = ('<a class="x shadow-xs" href="/p/1">1</a><a href="/p/2">2</a>'
-            '<A CLASS="shadow-xs" HREF="https://o.org/3">3</A><a class="shadow-xs" href="">e</a>'
-            '<a class="shadow-xsl" href="/no">n</a><a class="shadow-xs" href="rel/4">4</a>')
+    html = ('<a class="x card-link" href="/p/1">1</a><a href="/p/2">2</a>'
+            '<A CLASS="card-link" HREF="https://o.org/3">3</A><a class="card-link" href="">e</a>'
+            '<a class="card-linkx" href="/no">n</a><a class="card-link" href="rel/4">4</a>')
     pages = spark.createDataFrame([(0, "https://h.org/blog/list?p=0", html)],
                                   "page_no long, url string, html string")
-    got = [r["link"] for r in lk.extract_links(pages, "shadow-xs", base_url="url")
+    got = [r["link"] for r in lk.extract_links(pages, "card-link", base_url="url")
            .orderBy("idx").collect()]
     assert got == ["https://h.org/p/1", "https://o.org/3", "https://h.org/blog/rel/4"]
     assert len(lk.extract_links(pages).collect()) == 5
