@@ -19,9 +19,10 @@ computed once and used with both weights.
 
 Defined cases: null text is empty; a text without words has the empty
 fingerprint, which is like itself (1) and unlike any other (0); rows that
-repeat an id count as one document (the one with the largest text, in string
-order); rows with a null id are left out of the order of documents and have
-no result; an empty table gives an empty result; other columns are not read.
+repeat an id are documents of their own, which follow one another by the hash
+of their texts; rows with a null id come after all others, in the same way; a
+text of any length is hashed whole, as one row; an empty table gives an empty
+result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import stage, text_or_empty
 
 #: Samples = LANES x PER: lanes are rows, so generated code stays small.
-LANES, PER = 4, 8
+LANES, PER = 5, 8
 SAMPLES = LANES * PER
 BLANK = r"[\x20\x09-\x0D]+"
 
@@ -108,54 +109,60 @@ def as_text(sig: str) -> Column:
     return F.coalesce(F.array_join(F.transform(sig, part), ""), F.lit(""))
 
 
-def following(ids: DataFrame, level: int = 3, width: int = 1024) -> DataFrame:
-    """``(id, next)``: the next smaller id; null after the smallest.  Ids are
-    numbered within blocks of ``width``; only the blocks' ends are looked up,
-    on the next level, so no task sees more than ``width`` ids or a
-    ``width ** level``-th of them."""
-    if level == 0:
-        w = Window.orderBy(F.desc("id"))
-        return ids.withColumn("next", F.lead("id").over(w))
-    b = ids.withColumn("blk", F.floor(F.col("id") / width))
-    own = b.withColumn("next", F.lead("id").over(Window.partitionBy("blk").orderBy(F.desc("id"))))
-    ends = b.groupBy("blk").agg(F.max("id").alias("hi"))
-    order = following(ends.select(F.col("blk").alias("id")), level - 1, width)
-    over = order.join(ends.select(F.col("blk").alias("next"), "hi"), "next") \
-        .select(F.col("id").alias("blk"), "hi")
-    return (own.join(over, "blk", "left")
-            .select("id", F.coalesce("next", "hi").alias("next")))
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``(key, doc_id, text)`` and ``(key, doc_id, n_any, tie)`` of every row.
+    The id is the key where it is unique; else the rows are written once with
+    a number each."""
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    facts = [F.col("doc_id"), F.length("text").cast("long").alias("n_any"),
+             F.xxhash64("text").alias("tie")]
+    light = stage(base.select(F.col("doc_id").alias("key"), *facts), "fp-light")
+    if light.groupBy("key").count().filter("key is null or count > 1").isEmpty():
+        return base.withColumn("key", F.col("doc_id")), light
+    base = stage(base.withColumn("key", F.monotonically_increasing_id()), "fp-rows")
+    return base, stage(base.select("key", *facts), "fp-light")
+
+
+def following(rows: DataFrame) -> DataFrame:
+    """``(key, next)`` for rows ``(key, doc_id, tie)``: the row after this one by
+    descending id, null ids last, rows of one id by their texts' hashes; the
+    first one after the last.  The rows are dealt to ranges of that order; the
+    last row of a range is followed by the first one of the next, and the
+    driver holds one key per range."""
+    order = [F.col("doc_id").desc_nulls_last(), F.col("tie").asc(), F.col("key").asc()]
+    ranges = stage(rows.select("key", "doc_id", "tie").repartitionByRange(*order)
+                   .withColumn("part", F.spark_partition_id()), "fp-ranges")
+    own = ranges.select("key", "part", F.lead("key").over(Window.partitionBy("part").orderBy(*order))
+                        .alias("next"),
+                        F.lag("key").over(Window.partitionBy("part").orderBy(*order)).alias("before"))
+    own = stage(own, "fp-next")
+    firsts = [(r["part"], r["key"]) for r in own.filter("before is null").orderBy("part").collect()]
+    after = [(part, firsts[(k + 1) % len(firsts)][1]) for k, (part, _) in enumerate(firsts)]
+    ends = rows.sparkSession.createDataFrame(after, "part int, start long")
+    return (own.join(F.broadcast(ends), "part")
+            .select("key", F.coalesce("next", "start").alias("next")))
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The query's rows; see the module text."""
-    text = text_or_empty(text_col)
-    base = (docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-            .filter("doc_id is not null"))
-    light = stage(base.groupBy("doc_id").agg(F.max(F.length("text")).cast("long").alias("n_any"),
-                                             F.count(F.lit(1)).alias("rows")), "fp-light")
-    if not light.filter("rows > 1").isEmpty():
-        base = base.groupBy("doc_id").agg(F.max("text").alias("text"))
-        light = stage(base.select("doc_id", F.length("text").cast("long").alias("n_any")), "fp-light")
-    ids = light.select(F.col("doc_id").alias("id"))
-    top = light.agg(F.max("doc_id")).first()[0]
-    order = stage(following(ids).select("id", F.coalesce("next", F.lit(top).cast("long")).alias("next")),
-                  "fp-order")
-    prev = order.join(light.select(F.col("doc_id").alias("id"), "n_any"), "id") \
-        .select(F.col("next").alias("doc_id"), F.col("id").alias("prev_id"),
+    base, light = _keyed(docs, id_col, text_col)
+    order = stage(following(light), "fp-order")
+    prev = order.join(light.select("key", "n_any"), "key") \
+        .select(F.col("next").alias("key"), F.col("key").alias("prev_key"),
                 F.floor(F.col("n_any") / 3).cast("int").alias("need"))
-    heads = (base.join(prev, "doc_id")
-             .select(F.col("prev_id").alias("doc_id"), F.left(F.col("text"), F.col("need")).alias("head")))
+    heads = (base.select("key", "text").join(prev, "key")
+             .select(F.col("prev_key").alias("key"), F.left(F.col("text"), F.col("need")).alias("head")))
     n = F.length("text")
-    both = base.join(heads, "doc_id").select(
-        "doc_id", "text", n.cast("long").alias("n_chars"),
+    both = base.join(heads, "key").select(
+        "key", "doc_id", "text", n.cast("long").alias("n_chars"),
         F.concat(F.left(F.col("text"), n - F.floor(n / 3).cast("int")), F.col("head")).alias("edited"))
-    sums = both.select("doc_id", "n_chars",
+    sums = both.select("key", "doc_id", "n_chars",
                        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-    sig = signatures(both, {"o": "text", "e": "edited"})
-    got = stage(sums.join(sig, "doc_id", "left"), "fp-signed")
-    nxt = order.join(got.select(F.col("doc_id").alias("next"), F.col("o").alias("nx")), "next") \
-        .select(F.col("id").alias("doc_id"), "nx")
-    return got.join(nxt, "doc_id").select(
+    sig = signatures(both, {"o": "text", "e": "edited"}, "key").withColumnRenamed("doc_id", "key")
+    got = stage(sums.join(sig, "key", "left"), "fp-signed")
+    nxt = order.join(got.select(F.col("key").alias("next"), F.col("o").alias("nx")), "next") \
+        .select("key", "nx")
+    return got.join(nxt, "key").select(
         "doc_id", "n_chars", "edited_sha256", as_text("o").alias("fingerprint"),
         as_text("e").alias("edited_fingerprint"), likeness("o", "e").alias("near_edited"),
         likeness("o", "nx").alias("near_next"))

@@ -50,5 +50,37 @@ def test_edges(make):
     assert got[5]["near_next"] == 0.0
     one = fp.edited_fingerprints(make([(3, "abc def")])).collect()
     assert one[0]["near_next"] == 1.0
-    assert fp.edited_fingerprints(make([(None, "a"), (1, "b"), (1, "c")])).count() == 1
     assert fp.edited_fingerprints(make([])).count() == 0
+
+
+def test_every_row_has_its_result(make):
+    rows = [(None, "n one two"), (1, "b c d e f g"), (1, "x y z u v w"), (None, None), (1, "b c d e f g"),
+            (9, "top of the order"), (None, "n one two")]
+    got = fp.edited_fingerprints(make(rows)).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(i) for i, _ in rows)
+    # every edited text ends as some other row's text begins, and the row of the
+    # largest id follows the last null id
+    texts = [t or "" for _, t in rows]
+    for r in got:
+        own = [t or "" for i, t in rows if i == r["doc_id"] and len(t or "") == r["n_chars"]]
+        edits = {hashlib.sha256((t[:len(t) - len(t) // 3] + n[:len(t) // 3]).encode()).hexdigest()
+                 for t in own for n in texts}
+        assert r["edited_sha256"] in edits
+    again = fp.edited_fingerprints(make(rows[::-1])).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
+def test_ids_far_apart_are_ordered_by_ranges(spark, make):
+    ids = [k << 40 for k in range(-50, 950)]
+    light = make([(i, "") for i in ids]).selectExpr("doc_id as key", "doc_id", "0L as tie")
+    got = {r["key"]: r["next"] for r in fp.following(light).collect()}
+    want = sorted(ids, reverse=True)
+    assert got == dict(zip(want, want[1:] + want[:1]))
+    ties = make([(None, "")] * 700 + [(3, "")] * 300).selectExpr(
+        "monotonically_increasing_id() as key", "doc_id", "0L as tie").persist()
+    nxt = {r["key"]: r["next"] for r in fp.following(ties).collect()}
+    at, seen = 0, set()
+    while at not in seen:
+        seen.add(at)
+        at = nxt[at]
+    assert len(seen) == 1000                                 # one ring of all rows
