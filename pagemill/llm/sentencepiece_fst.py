@@ -19,12 +19,14 @@ topological order, so one sweep relaxes all arcs.
 Decoding reverses the arcs: piece texts and bytes are concatenated, marks
 become spaces, and the mark in front goes.
 
-Defined cases: null and empty texts have no pieces; repeated rows are encoded
-each; an empty table gives an empty result; other columns are not read.
+Defined cases: null and empty texts have no pieces; a text of any length is
+encoded whole, word by word, and a word of any length (a run of blanks) in
+n log n steps where it is merged directly; repeated rows are encoded each; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from array import array
 
@@ -85,6 +87,39 @@ class Transducer:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
             yield best, parts
 
+    def merged(self, word: str) -> list[str]:
+        """The parts after the last of :meth:`merge_steps`.  Pairs wait in a
+        heap, by score and then from the left, and parts in a linked list, so a
+        long run of marks costs n log n."""
+        ids, score = self.vocab.ids, self.vocab.score
+        n = len(word)
+        part: list[str | None] = list(word)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+
+        def pair(k: int) -> tuple | None:
+            i = ids.get(part[k] + part[after[k]])
+            # the lengths tell whether the pair is still the same one
+            return None if i is None else (-score[i], k, len(part[k]), len(part[after[k]]))
+
+        heap = [p for p in map(pair, range(n - 1)) if p]
+        heapq.heapify(heap)
+        while heap:
+            _, k, left, right = heapq.heappop(heap)
+            m = after[k]
+            if part[k] is None or len(part[k]) != left or m == n or len(part[m]) != right:
+                continue
+            part[k], part[m], after[k] = part[k] + part[m], None, after[m]
+            if after[m] < n:
+                before[after[m]] = k
+                new = pair(k)
+                if new:
+                    heapq.heappush(heap, new)
+            if before[k] >= 0:
+                new = pair(before[k])
+                if new:
+                    heapq.heappush(heap, new)
+        return [p for p in part if p is not None]
+
     def trace(self, i: int) -> tuple | None:
         """Scores of the steps that merge piece i from its characters, and its
         first and last part before each; None if merging ends elsewhere."""
@@ -162,8 +197,7 @@ class Transducer:
         v, out = self.vocab, []
         if self.merges and (SPACE in word[1:] or not self.chars_known):
             # runs of marks merge with equal scores, where only order decides
-            *_, (_, parts) = self.merge_steps(word)
-            for p in parts:
+            for p in self.merged(word):
                 out += [v.ids[p]] if p in v.ids else [v.byte_id[b] for b in p.encode()]
             return out
         last, at = (self.merge_path if self.merges else self.score_path)(word), len(word)

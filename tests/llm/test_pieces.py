@@ -1,6 +1,7 @@
 """Operators 1 and 9 against the sentencepiece library."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -131,3 +132,18 @@ def test_the_query_returns_pieces_and_decoded_texts(spark, texts01):
         want = sp.encode(x or "")
         assert got[i]["ids"] == want and got[i]["decoded"] == sp.decode(want)
         assert got[i]["n_pieces"] == len(want) and got[i]["decodes"] == (sp.decode(want) == (x or ""))
+
+
+def test_long_runs_of_blanks_are_merged_from_a_heap():
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    t = fst.Transducer(PROTO)
+    rng = random.Random(5)
+    for _ in range(2000):
+        word = "".join(rng.choice("▁▁▁▁ateinx\t\n日") for _ in range(rng.randrange(1, 40)))
+        *_, (_, parts) = t.merge_steps(word)
+        assert t.merged(word) == parts
+    for text in (" " * 5000, "a" + " " * 3333 + "b" + " " * 77, "x  " * 2000):
+        assert np.frombuffer(t.encode(text), np.uint32).tolist() == sp.encode(text)
+    start = time.process_time()
+    assert t.decode(t.encode("a" + " " * 200_000 + "b")) == "a" + " " * 200_000 + "b"
+    assert time.process_time() - start < 5
