@@ -110,7 +110,7 @@ def as_text(sig: str) -> Column:
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """``(key, doc_id, text)`` and ``(key, doc_id, n_any, tie)`` of every row.
+    """``(key, text)`` and ``(key, doc_id, n_any, tie)`` of every row.
     The id is the key where it is unique; else the rows are written once with
     a number each."""
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
@@ -118,13 +118,13 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Data
              F.xxhash64("text").alias("tie")]
     light = stage(base.select(F.col("doc_id").alias("key"), *facts), "fp-light")
     if light.groupBy("key").count().filter("key is null or count > 1").isEmpty():
-        return base.withColumn("key", F.col("doc_id")), light
+        return base.select(F.col("doc_id").alias("key"), "text"), light
     base = stage(base.withColumn("key", F.monotonically_increasing_id()), "fp-rows")
-    return base, stage(base.select("key", *facts), "fp-light")
+    return base.select("key", "text"), stage(base.select("key", *facts), "fp-light")
 
 
 def following(rows: DataFrame) -> DataFrame:
-    """``(key, next)`` for rows ``(key, doc_id, tie)``: the row after this one by
+    """``(key, doc_id, next)`` for rows ``(key, doc_id, tie)``: the row after this one by
     descending id, null ids last, rows of one id by their texts' hashes; the
     first one after the last.  The rows are dealt to ranges of that order; the
     last row of a range is followed by the first one of the next, and the
@@ -132,36 +132,38 @@ def following(rows: DataFrame) -> DataFrame:
     order = [F.col("doc_id").desc_nulls_last(), F.col("tie").asc(), F.col("key").asc()]
     ranges = stage(rows.select("key", "doc_id", "tie").repartitionByRange(*order)
                    .withColumn("part", F.spark_partition_id()), "fp-ranges")
-    own = ranges.select("key", "part", F.lead("key").over(Window.partitionBy("part").orderBy(*order))
-                        .alias("next"),
+    own = ranges.select("key", "doc_id", "part",
+                        F.lead("key").over(Window.partitionBy("part").orderBy(*order)).alias("next"),
                         F.lag("key").over(Window.partitionBy("part").orderBy(*order)).alias("before"))
     own = stage(own, "fp-next")
     firsts = [(r["part"], r["key"]) for r in own.filter("before is null").orderBy("part").collect()]
     after = [(part, firsts[(k + 1) % len(firsts)][1]) for k, (part, _) in enumerate(firsts)]
     ends = rows.sparkSession.createDataFrame(after, "part int, start long")
     return (own.join(F.broadcast(ends), "part")
-            .select("key", F.coalesce("next", "start").alias("next")))
+            .select("key", "doc_id", F.coalesce("next", "start").alias("next")))
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The query's rows; see the module text."""
     base, light = _keyed(docs, id_col, text_col)
     order = stage(following(light), "fp-order")
-    prev = order.join(light.select("key", "n_any"), "key") \
+    # ids join last: what the texts pass through has one set of columns, so the
+    # two readers of `both` share its exchanges
+    prev = order.select("key", "next").join(light.select("key", "n_any"), "key") \
         .select(F.col("next").alias("key"), F.col("key").alias("prev_key"),
                 F.floor(F.col("n_any") / 3).cast("int").alias("need"))
-    heads = (base.select("key", "text").join(prev, "key")
+    heads = (base.join(prev, "key")
              .select(F.col("prev_key").alias("key"), F.left(F.col("text"), F.col("need")).alias("head")))
     n = F.length("text")
     both = base.join(heads, "key").select(
-        "key", "doc_id", "text", n.cast("long").alias("n_chars"),
+        "key", "text", n.cast("long").alias("n_chars"),
         F.concat(F.left(F.col("text"), n - F.floor(n / 3).cast("int")), F.col("head")).alias("edited"))
-    sums = both.select("key", "doc_id", "n_chars",
+    sums = both.select("key", "n_chars",
                        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
     sig = signatures(both, {"o": "text", "e": "edited"}, "key").withColumnRenamed("doc_id", "key")
     got = stage(sums.join(sig, "key", "left"), "fp-signed")
     nxt = order.join(got.select(F.col("key").alias("next"), F.col("o").alias("nx")), "next") \
-        .select("key", "nx")
+        .select("key", "doc_id", "nx")
     return got.join(nxt, "key").select(
         "doc_id", "n_chars", "edited_sha256", as_text("o").alias("fingerprint"),
         as_text("e").alias("edited_fingerprint"), likeness("o", "e").alias("near_edited"),
