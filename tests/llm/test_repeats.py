@@ -5,6 +5,8 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from pagemill.llm import repeats as rp
 
@@ -62,6 +64,41 @@ def test_crowded_anchors_by_windows(make, monkeypatch):
     assert run(make(list(t.items()))) == brute(t)
 
 
+@pytest.mark.parametrize("conf", [
+    {"spark.sql.adaptive.autoBroadcastJoinThreshold": "10m"},
+    {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1"}])
+def test_groups_stay_whole_beside_crowded_anchors(spark, make, monkeypatch, conf):  # noqa: F811
+    """Groups of an anchor meet in one task however Spark would join them."""
+    monkeypatch.setattr(rp, "LIMIT", 8)
+    conf = conf | {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+                   "spark.sql.files.maxPartitionBytes": "16k", "spark.sql.files.openCostInBytes": "1k"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    rng = random.Random(5)
+    noise = lambda k: "".join(rng.choice("abcdefgh ") for _ in range(k))
+    common, pairs = noise(700), [noise(600) for _ in range(100)]
+    texts = {i: noise(80) + pairs[i % 100] + noise(50) + (common if i % 10 == 0 else "") for i in range(200)}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert run(make(list(texts.items())).repartition(16)) == brute(texts)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_windows_of_crowded_anchors_leave_once():
+    rng = random.Random(6)
+    text = bytes(rng.randrange(97, 105) for _ in range(3000))
+    pos, h = rp.anchors(text)
+    ctx = pa.RecordBatch.from_arrays([pa.array(h), pa.array([1] * len(pos), pa.int64()), pa.array(pos), pa.array(
+        [text[max(0, p - rp.SIDE):p + rp.LENGTH] for p in pos.tolist()], pa.binary())], names=["h", "d", "p", "c"])
+    starts = [s for b in rp._windows(iter([ctx])) for s in b.column(1).to_pylist()]
+    assert sorted(starts) == list(range(3000 - rp.LENGTH + 1))
+
+
 def test_whole_table(docs01, texts01):
     assert run(docs01) == brute(texts01)
 
