@@ -194,6 +194,20 @@ def test_long_files_become_numbered_arrays(spark):
     assert [v for _, v in elements(spark, d)] == list(range(100))
 
 
+def test_files_of_many_bytes_become_numbered_arrays(spark):
+    d = os.path.join(scratch(), "out")
+    rows = spark.range(0, 4000).selectExpr(
+        "if(id % 4 = 0, 'b.json', 'sub/a.json') as name", "id - 3 as pos",
+        "concat('\"', id, repeat('x', 100), '\"') as json")
+    manifest = arrays.write_arrays(rows.repartition(7), d, most=50_000).collect()
+    assert max(r["length"] for r in manifest) < 50_000 + 256 * 120      # no task writes more
+    names = sorted(r["name"] for r in manifest)
+    assert names == [*(f"b-{i:06d}.json" for i in range(3)), *(f"sub/a-{i:06d}.json" for i in range(7))]
+    got = [json.loads(v) if isinstance(v, str) and v[0] == '"' else v for _, v in elements(spark, d)]
+    want = [f"{i}" + "x" * 100 for i in range(4000) if i % 4 == 0] + [f"{i}" + "x" * 100 for i in range(4000) if i % 4]
+    assert got == want
+
+
 def test_a_split_changed_between_the_passes_raises(spark):
     d = scratch()
     path = put(d, "a.json", "[1,\n2]")
