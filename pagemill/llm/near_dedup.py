@@ -24,7 +24,11 @@ and links with nothing.  Two documents are linked when
    did not link and all near members meet by these rare shingles: first each of
    the former with one holder of the shingle (a second star), then, across the
    components that are left, with all holders.  Pairs for which the hub's part
-   could suffice are compared directly.
+   could suffice meet directly.  Of these pairs only those leave the join whose
+   marks allow a link: ``MARKS`` bits for the hub's shingles that a member lacks
+   and as many for its novel ones.  The hub's part of a pair is at most the hub
+   without the marked ones of either; a novel shingle whose mark the other does
+   not have is not common.
 5. Far members of a group are estimated against all its unlinked members of
    other components, in small groups by a join, in groups over ``SMALL`` members
    block by block, so no task holds more than two blocks.  A far member cannot
@@ -60,6 +64,8 @@ NEAR = 0.35
 #: Members of a band group up to which its remaining pairs come from a join;
 #: members in a block beyond that.
 SMALL, BLOCK = 64, 512
+#: Bits that mark the shingles a member lacks of its hub, and its novel ones.
+MARKS = 256
 
 _U = np.uint64
 _rng = np.random.RandomState(20240501)
@@ -163,21 +169,36 @@ def estimate(sa: str, sb: str):
     return (1 - diff / float(HASHES) - chance) / (1 - chance)
 
 
+def _marked(places: np.ndarray) -> np.ndarray:
+    bits = np.zeros(MARKS, bool)
+    bits[places % MARKS] = True
+    return np.packbits(bits, bitorder="little").view("<i8")
+
+
+def marks(x: np.ndarray, y: np.ndarray, novel: np.ndarray) -> np.ndarray:
+    """``2 * MARKS`` bits in words: places in ``y`` of its shingles that ``x``
+    lacks, then the shingles ``novel`` of ``x``; places beyond share bits."""
+    lost = np.flatnonzero(~np.isin(y, x, assume_unique=True))
+    return np.concatenate([_marked(lost), _marked(novel)])
+
+
 def _compare(batch: pa.RecordBatch) -> pa.RecordBatch:
     """Exact comparison of two texts per row; ``novel``: shingles of a that b
-    lacks."""
-    cols, last = [[], [], [], []], (None, None)
+    lacks; ``marks`` of both differences."""
+    cols, last = [[], [], [], [], []], (None, None)
     for i in range(batch.num_rows):
         b = batch.column(3)[i].as_py()
         if last[0] != b:
             last = (b, shingle_set(b))
         x, y = shingle_set(batch.column(2)[i].as_py()), last[1]
         novel = np.setdiff1d(x, y, assume_unique=True)
-        for c, v in zip(cols, (len(x), len(y), len(x) - len(novel), novel.view(np.int64))):
+        for c, v in zip(cols, (len(x), len(y), len(x) - len(novel), novel.view(np.int64),
+                               marks(x, y, novel))):
             c.append(v)
     return pa.RecordBatch.from_arrays(
         [batch.column(0), batch.column(1), *[pa.array(c, pa.int64()) for c in cols[:3]],
-         pa.array(cols[3], pa.list_(pa.int64()))], names=["a", "b", "na", "nb", "both", "novel"])
+         *[pa.array(c, pa.list_(pa.int64())) for c in cols[3:]]],
+        names=["a", "b", "na", "nb", "both", "novel", "marks"])
 
 
 def _near(pairs: DataFrame, sigs: DataFrame, floor: float) -> DataFrame:
@@ -193,10 +214,25 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     tb = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
     full = pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb")
     out = map_batches(full, _compare,
-                      "a long, b long, na long, nb long, both long, novel array<long>")
+                      "a long, b long, na long, nb long, both long, novel array<long>, marks array<long>")
     return out.withColumn("linked", F.expr(f"100 * both >= {PERCENT} * (na + nb - both)"))
 
 
+def _may_link() -> Column:
+    """Whether two members ``u`` and ``c`` of one hub can be linked, by their sizes
+    (``n``), common shingles with the hub (``b``) and marks (``m``); ``nb``: the
+    hub's size.  Never false for a link."""
+    words = MARKS // 64
+
+    def bits(first: int, merge: str) -> str:
+        return " + ".join(f"bit_count({merge.format(u=f'mu[{i}]', c=f'mc[{i}]')})"
+                          for i in range(first, first + words))
+
+    hub = f"least(bu, bc, nb - ({bits(0, '{u} | {c}')}))"
+    novel = (f"least(nu - bu - ({bits(words, '{u} & ~{c}')}), nc - bc - ({bits(words, '{c} & ~{u}')}))")
+    return F.expr(f"7 * ({hub} + {novel}) >= 3 * (nu + nc)")
+
+
 def _meetings(checked: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Where near members of a hub can meet that a star did not link.
 
@@ -256,6 +292,12 @@ def _second_stars(asks: DataFrame, has: DataFrame) -> DataFrame:
     return _ordered(asks.join(stage(hub, "near-second-hubs"), ["b", "sh"]).filter("u != c").select("u", "c"))
 
 
+def _member(own: DataFrame, x: str, *more: str) -> DataFrame:
+    """What :func:`_may_link` reads of a member, named ``x``."""
+    return own.select("b", F.col("a").alias(x), F.col("na").alias(f"n{x}"), F.col("both").alias(f"b{x}"),
+                      F.col("marks").alias(f"m{x}"), *more)
+
+
 def _by_novel(asks: DataFrame, has: DataFrame, own: DataFrame, comp: DataFrame) -> DataFrame:
     """Candidate pairs across components that the stars and second stars left."""
     asks = stage(_labelled(asks, comp, "u"), "near-asks-comp")
@@ -264,18 +306,18 @@ def _by_novel(asks: DataFrame, has: DataFrame, own: DataFrame, comp: DataFrame)
                   .unionByName(has.select("b", "sh", F.col("comp_c").alias("comp")))
                   .groupBy("b", "sh").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
                   .filter("c0 < c1").select("b", "sh"), "near-mixed")
-    asks = stage(asks.join(mixed, ["b", "sh"], "left_semi"), "near-asks-mixed")
-    has = stage(has.join(mixed, ["b", "sh"], "left_semi"), "near-has-mixed")
+    asks = stage(asks.join(mixed, ["b", "sh"], "left_semi")
+                 .join(_member(own, "u", "nb"), ["b", "u"]), "near-asks-mixed")
+    has = stage(has.join(mixed, ["b", "sh"], "left_semi").join(_member(own, "c"), ["b", "c"]), "near-has-mixed")
     fits = F.when(F.col("small"), F.col("any")).otherwise(F.col("large"))
-    shared = asks.join(has, ["b", "sh"]).filter((F.col("comp_u") != F.col("comp_c")) & fits).select("u", "c")
+    shared = (asks.join(has, ["b", "sh"])
+              .filter((F.col("comp_u") != F.col("comp_c")) & fits & _may_link()).select("u", "c"))
     # where the hub's part could suffice: 3 * (nu + nc) <= 7 * min(bu, bc)
-    u = _labelled(own.filter("not linked").select("b", F.col("a").alias("u"), F.col("na").alias("nu"),
-                                                  F.col("both").alias("bu")), comp, "u")
-    c = _labelled(own.filter("na < nb and na <= most").select("b", F.col("a").alias("c"), F.col("na").alias("nc"),
-                                                              F.col("both").alias("bc")), comp, "c")
+    u = _labelled(_member(own.filter("not linked"), "u", "nb"), comp, "u")
+    c = _labelled(_member(own.filter("na < nb and na <= most"), "c"), comp, "c")
     inside = (stage(u, "near-inside-u").join(stage(c, "near-inside-c"), "b")
-              .filter("comp_u != comp_c and 3 * (nu + nc) <= 7 * least(bu, bc) "
-                      "and 4 * nc >= 3 * nu and 4 * nu >= 3 * nc").select("u", "c"))
+              .filter(F.expr("comp_u != comp_c and 3 * (nu + nc) <= 7 * least(bu, bc) "
+                             "and 4 * nc >= 3 * nu and 4 * nu >= 3 * nc") & _may_link()).select("u", "c"))
     return _ordered(shared.unionByName(inside))
 
 

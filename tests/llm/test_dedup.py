@@ -4,6 +4,8 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
+
 from pagemill.llm import exact_dedup, near_dedup
 from tools.oracle_check import compare
 
@@ -97,6 +99,53 @@ def test_near_crowd_with_shorter_copies(make):
     assert near(make(list(texts.items()))) == brute_components(texts)
 
 
+def test_crowd_below_the_threshold_leaves_few_pairs(make, monkeypatch):
+    """Copies with words replaced from a small vocabulary share rare shingles
+    with many others, but few of the pairs can be linked."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    texts = {}
+    for i in range(400):
+        d = list(base)
+        for _ in range(rng.randrange(13)):
+            d[rng.randrange(len(d))] = f"v{rng.randrange(4)}"
+        texts[i] = " ".join(d)
+    made, write = {}, near_dedup.stage
+
+    def counted(df, name):
+        out = write(df, name)
+        made[name] = out.count()
+        return out
+    monkeypatch.setattr(near_dedup, "stage", counted)
+    assert near(make(list(texts.items()))) == brute_components(texts)
+    assert made["near-asks-mixed"] and made["near-more"] <= 2 * len(texts)
+
+
+def test_marks_lose_no_link(spark):
+    """The bound holds for sets of up to five times as many shingles as marks,
+    and is exact where places do not collide and nothing is novel."""
+    rng = np.random.default_rng(4)
+    rows, linked = [], []
+    for k in range(600):
+        hub = np.unique(rng.integers(0, 1 << 62, rng.integers(8, 1300)).astype(np.uint64))
+        extra = rng.integers(0, 1 << 62, len(hub) // 2 + 1).astype(np.uint64)
+        # a common variant of the hub, then each member's own changes
+        base = np.union1d(hub[rng.random(len(hub)) > 0.3], extra[rng.random(len(extra)) > 0.5])
+        u, c = (np.union1d(base[rng.random(len(base)) > p], extra[rng.random(len(extra)) > 1 - p / 4])
+                for p in rng.random(2) * 0.35)
+        row = [k, len(hub)]
+        for x in (u, c):
+            new = np.setdiff1d(x, hub)
+            row += [len(x), len(x) - len(new), near_dedup.marks(x, hub, new).tolist()]
+        rows.append(row)
+        both = len(np.intersect1d(u, c))
+        linked.append(100 * both >= 75 * (len(u) + len(c) - both))
+    df = spark.createDataFrame(rows, "k long, nb long, nu long, bu long, mu array<long>, "
+                                     "nc long, bc long, mc array<long>")
+    may = {r["k"] for r in df.filter(near_dedup._may_link()).collect()}
+    assert {k for k, x in enumerate(linked) if x} <= may and 100 < sum(linked) < len(may) < 600
+
+
 def test_groups_by_join_and_by_blocks(spark, make, monkeypatch):
     """All pairs across components of one group of 150, either way."""
     rng = random.Random(6)
