@@ -103,6 +103,19 @@ def test_whole_table(docs01, texts01):
     assert run(docs01) == brute(texts01)
 
 
+def test_what_is_left_of_every_text(make):
+    rng = random.Random(8)
+    noise = lambda k: "".join(rng.choice("abcdefgh ") for _ in range(k))
+    common = noise(700)
+    head, tail = "ä" + common, "ö" + common          # the second byte of ä and ö differs
+    rows = [(1, noise(90) + head + "x"), (2, tail + noise(80)), (3, noise(500)), (4, "é" * 300), (4, "é" * 300),
+            (5, None), (6, "short"), (None, noise(60) + common)]
+    got = {(r["doc_id"], bytes(r["kept"])) for r in rp.kept_bytes(make(rows)).collect()}
+    left = lambda t: t.encode().replace(common.encode(), b"")
+    assert got == {(i, b"" if i == 4 else left(t or "")) for i, t in rows}
+    assert rp.kept_bytes(make(rows)).count() == len(rows)
+
+
 def test_repeated_ids_and_empty(make):
     rows = [(1, "a" * 500), (1, "a" * 500), (1, "b"), (None, "c" * 450)]
     got = sorted(map(tuple, rp.remove_repeats(make(rows)).collect()), key=repr)
